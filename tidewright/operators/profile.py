@@ -292,8 +292,7 @@ def residuals(df: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
     return df.withColumn("residual", F.col(y) - F.col(yhat))
 
 
-@F.pandas_udf("double")
-def normal_quantile(p: pd.Series) -> pd.Series:
+def _normal_quantile(p: pd.Series) -> pd.Series:
     """Inverse standard normal, by Newton steps on the error function."""
     from math import erf
 
@@ -315,4 +314,6 @@ def qq_positions(df: DataFrame, keys: Sequence[str] = (), value: str = "residual
     n = F.count(F.lit(1)).over(whole_series(keys))
     rank = F.row_number().over(by_series(keys, value))
     d = d.withColumns({"rank": rank, "position": (rank - 0.5) / n})
-    return d.withColumn("normal_quantile", normal_quantile("position")) if with_normal else d
+    if not with_normal:
+        return d
+    return d.withColumn("normal_quantile", F.pandas_udf(_normal_quantile, "double")("position"))

@@ -1,6 +1,11 @@
 """Registered queries: each pairs a Spark plan with the SQL that checks it."""
 
 from catalog.base import REGISTRY
-from catalog import regularizing, profiling, feature_building  # noqa: F401
+from catalog import (  # noqa: F401
+    evaluating,
+    feature_building,
+    profiling,
+    regularizing,
+)
 
 __all__ = ["REGISTRY"]

@@ -3,6 +3,9 @@
 from catalog.base import REGISTRY
 from catalog import (  # noqa: F401
     evaluating,
+    monitoring,
+    screening,
+    sourcing,
     feature_building,
     profiling,
     regularizing,

@@ -7,6 +7,7 @@ from catalog import (  # noqa: F401
     screening,
     sourcing,
     feature_building,
+    forecasting,
     profiling,
     regularizing,
 )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from catalog.base import DAILY_ALL, KEYS, MONTHLY_BY_PRIORITY, daily_all, monthly_by_priority, query, raw_events, raw_orders, rounded, table
@@ -12,25 +9,17 @@ from catalog.evaluating import _SNAIVE
 from catalog.profiling import _basic_sql, _round_basic
 from tidewright.models import naive
 from tidewright.operators import profile, screening
+from tidewright.session import scratch_path
 from tidewright.sources import files, parse
 
 
-def scratch(spark, name: str) -> str:
-    """A new folder for one round trip: beside the shared checkpoint folder when
-    the session names one, local otherwise (as in tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/roundtrip-{name}-{spark.sparkContext.applicationId}-{os.urandom(4).hex()}"
-    return os.path.join(tempfile.mkdtemp(prefix="tidewright-"), name)
-
-
 _ORDERS = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS o_totalprice, o_orderdate,
   CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders"""
 
 
 @query("csv_roundtrip", _ORDERS)
 def csv_roundtrip(spark, sf):
-    path = scratch(spark, "orders")
+    path = scratch_path(spark, "orders")
     d = table(spark, sf, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") == "P", "NA").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
@@ -44,7 +33,7 @@ def csv_roundtrip(spark, sf):
 
 @query("forecast_roundtrip", f"SELECT series_id, ts, step, forecast, 'snaive' AS model, '24m' AS horizon_label FROM ({_SNAIVE}) AS f")
 def forecast_roundtrip(spark, sf):
-    path = scratch(spark, "forecast")
+    path = scratch_path(spark, "forecast")
     f = naive.seasonal_naive(monthly_by_priority(spark, sf), "MS", 24, KEYS)
     files.write_forecast(f.withColumns({"model": F.lit("snaive"), "horizon_label": F.lit("24m")}), path)
     return spark.read.parquet(path).where("model = 'snaive'")
@@ -52,7 +41,7 @@ def forecast_roundtrip(spark, sf):
 
 @query("forecast_csv_roundtrip", f"SELECT series_id, ts, step, forecast, 'snaive' AS model, '24m' AS horizon_label FROM ({_SNAIVE}) AS f")
 def forecast_csv_roundtrip(spark, sf):
-    path = scratch(spark, "forecast-csv")
+    path = scratch_path(spark, "forecast-csv")
     f = naive.seasonal_naive(monthly_by_priority(spark, sf), "MS", 24, KEYS)
     files.write_forecast(f.withColumns({"model": F.lit("snaive"), "horizon_label": F.lit("24m")}), path, fmt="csv")
     schema = "series_id string, ts timestamp_ntz, step int, forecast double"
@@ -61,7 +50,7 @@ def forecast_csv_roundtrip(spark, sf):
 
 @query("metrics_json_roundtrip", _basic_sql(DAILY_ALL, 3))
 def metrics_json_roundtrip(spark, sf):
-    path = scratch(spark, "metrics")
+    path = scratch_path(spark, "metrics")
     stats = profile.basic_stats(daily_all(spark, sf), KEYS)
     nested = stats.select("series_id", F.struct(*[c for c in stats.columns if c != "series_id"]).alias("basic_stats"))
     files.write_metrics(nested, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +49,10 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A folder that does not exist yet, under the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    base = spark.sparkContext.getCheckpointDir().rstrip("/")
+    return f"{base}/{name}-{os.urandom(6).hex()}"

@@ -138,10 +138,10 @@ def prior_choice(spark, sf):
 ROUNDS = 20  # boosting rounds in the registered queries
 
 
-def _boosted(spark, sf):
+def _boosted(spark, sf, patience=None):
     split = ev.train_valid_split(filled_daily(spark, sf), "D", KEYS)
     table = boosted.training_table(split, KEYS)
-    return split, table, boosted.train(table, maxIter=ROUNDS)
+    return split, table, boosted.train(table, patience=patience, maxIter=ROUNDS)
 
 
 @query("gbt_validation")
@@ -153,7 +153,7 @@ def gbt_validation(spark, sf):
 
 @query("gbt_forecast")
 def gbt_forecast(spark, sf):
-    split, table, model = _boosted(spark, sf)
+    split, table, model = _boosted(spark, sf, patience=5)
     return rounded(boosted.forecast(split, table, model, "D", 14, KEYS), 2, "forecast")
 
 

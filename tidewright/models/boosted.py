@@ -25,7 +25,7 @@ SETTINGS = {
     "maxDepth": 3, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
     "minInstancesPerNode": 3, "maxIter": 500, "seed": 42,
 }
-EARLY_STOP_TOLERANCE = 0.01
+PATIENCE = 20
 
 
 def training_table(df: DataFrame, keys: Sequence[str], ts: str = "ts", y: str = "y", weekend_days: Sequence[int] = (5, 6)) -> DataFrame:
@@ -41,18 +41,39 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
-def train(table: DataFrame, features: Sequence[str] = FEATURES, **settings) -> GBTRegressionModel:
-    """Boosting with the validation rows deciding when to stop.
-
-    MLlib offers no L1/L2 leaf penalties; depth, leaf size, step and row and
-    feature sampling carry the regularisation.
-    """
-    d = _assembled(table, features).withColumn("is_valid", F.col("split") == "valid")
+def _fit(table: DataFrame, features: Sequence[str], rounds: int, settings: dict) -> GBTRegressionModel:
     gbt = GBTRegressor(
-        featuresCol="features", labelCol="_scaled", predictionCol="_pred", validationIndicatorCol="is_valid",
-        validationTol=EARLY_STOP_TOLERANCE, **{**SETTINGS, **settings},
+        featuresCol="features", labelCol="_scaled", predictionCol="_pred", **{**SETTINGS, **settings, "maxIter": rounds}
     )
-    return gbt.fit(d.select("features", "_scaled", "is_valid"))
+    return gbt.fit(_assembled(table, features).select("features", "_scaled"))
+
+
+def train(
+    table: DataFrame, features: Sequence[str] = FEATURES, patience: int | None = PATIENCE, **settings
+) -> GBTRegressionModel:
+    """Boosting on the training rows, stopped where the validation loss has not
+    improved for ``patience`` rounds.
+
+    Rounds are fitted in doubling steps (the same seed gives the same leading
+    trees), so a run that stops early never pays for all rounds. MLlib offers no
+    L1/L2 leaf penalties; depth, leaf size, step and sampling regularise.
+    """
+    limit = settings.pop("maxIter", SETTINGS["maxIter"])
+    d = table.cache()
+    try:
+        learn, check = d.where("split = 'train'"), d.where("split = 'valid'")
+        if patience is None:
+            return _fit(learn, features, limit, settings)
+        rounds = min(limit, 2 * patience)
+        while True:
+            model = _fit(learn, features, rounds, settings)
+            losses = model.evaluateEachIteration(_assembled(check, features).select("features", "_scaled"), "squared")
+            best = min(range(len(losses)), key=losses.__getitem__) + 1
+            if rounds >= limit or best + patience <= rounds:
+                return model if best == rounds else _fit(learn, features, best, settings)
+            rounds = min(limit, rounds * 2)
+    finally:
+        d.unpersist()
 
 
 def predict(table: DataFrame, model: GBTRegressionModel, features: Sequence[str] = FEATURES) -> DataFrame:

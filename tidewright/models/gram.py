@@ -72,15 +72,21 @@ def unpack(upper: Sequence[float], p: int) -> np.ndarray:
 
 def least_squares(g: np.ndarray, n: int, x: Sequence[int], y: int, ridge: np.ndarray | None = None) -> dict | None:
     """Coefficients, standard errors and squared error from a cross-product
-    matrix, or None when the system cannot be solved."""
-    x = list(x)
-    a, b, yy = g[np.ix_(x, x)], g[x, y], g[y, y]
-    if n <= len(x) or not np.isfinite(g).all():
+    matrix, or None when the system cannot be solved. Columns that are 0
+    throughout get a coefficient of 0."""
+    every = list(x)
+    if n <= len(every) or not np.isfinite(g).all():
+        return None
+    live = [i for i, c in enumerate(every) if g[c, c] > 0]
+    if not live:
         return None
+    x = [every[i] for i in live]
+    ridge = None if ridge is None else np.asarray(ridge)[live]
+    a, b, yy = g[np.ix_(x, x)], g[x, y], g[y, y]
     scale = np.sqrt(np.clip(np.diag(a), 1e-300, None))
     normal = a / np.outer(scale, scale)
     if ridge is not None:
-        normal = normal + np.diag(np.asarray(ridge) / scale**2)
+        normal = normal + np.diag(ridge / scale**2)
     try:
         if ridge is None and np.linalg.cond(normal) > 1e13:
             return None
@@ -91,6 +97,9 @@ def least_squares(g: np.ndarray, n: int, x: Sequence[int], y: int, ridge: np.nda
     sse = max(float(yy - 2 * beta @ b + beta @ a @ beta), 0.0)
     var = sse / max(n - len(x), 1)
     se = np.sqrt(np.clip(np.diag(inv) * var, 0, None)) / scale
+    spread = np.zeros((2, len(every)))
+    spread[:, live] = beta, se
+    beta, se = spread
     return {"beta": beta, "se": se, "sse": sse, "var": var, "aic": n * np.log(max(sse / n, 1e-300)) + 2 * len(x)}
 
 

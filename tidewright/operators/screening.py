@@ -218,12 +218,13 @@ def select_external_features(
     base: Sequence[str] = (),
     y: str = "y",
     points: float = UPLIFT_POINTS,
+    min_abs: float = MIN_ABS_CORR,
 ) -> DataFrame:
     """Screen candidates, then keep them where a caller's back-test improves.
 
     ``backtest(df, columns)`` returns ``keys + [score]`` rows, one per fold.
     """
-    kept = corr_screen(df, columns, keys, y).groupBy(*keys).agg(F.array_sort(F.collect_list("feature")).alias("screened"))
+    kept = corr_screen(df, columns, keys, y, min_abs).groupBy(*keys).agg(F.array_sort(F.collect_list("feature")).alias("screened"))
     if backtest is None:
         return kept.withColumn("accepted", F.lit(True))
     arms = backtest(df, list(base)).withColumn("arm", F.lit("base")).unionByName(

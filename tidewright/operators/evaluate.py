@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
 from tidewright.functions.expressions import METRICS, rmse, smape  # noqa: F401
-from tidewright.operators.layout import by_series, whole_series
+from tidewright.operators.layout import by_series, spread_join, whole_series
 from tidewright.operators.quantiles import exact_quantiles, percentile
-from tidewright.operators.profile import _join_per_key
+from tidewright.operators.profile import join_per_key
 
 
 # ------------------------------------------------------------------- splits
@@ -143,8 +143,8 @@ def choose_metric(df: DataFrame, keys: Sequence[str] = (), y: str = "y", gridded
         moments = d.groupBy(*keys).agg(*_metric_moments(col), percentile(y, [0.5, 0.95]).alias("_q"))
     else:
         mean = df.groupBy(*keys).agg(F.avg(col).alias("_mean"))
-        d = _join_per_key(df, mean, keys)
-        moments = _join_per_key(
+        d = spread_join(df, mean, keys) if keys else df.withColumn("_mean", F.lit(mean.first()["_mean"]))
+        moments = join_per_key(
             d.groupBy(*keys).agg(*_metric_moments(col)), exact_quantiles(df, keys, y, [0.5, 0.95], out="_q"), keys
         )
     p50, p95 = F.col("_q")[0], F.col("_q")[1]

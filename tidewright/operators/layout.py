@@ -34,6 +34,24 @@ def trailing(keys: Sequence[str], ts: str, rows: int, past_only: bool = False) -
     return by_series(keys, ts).rowsBetween(-(rows - 1) - shift, -shift)
 
 
+SALTS = 32
+
+
+def spread_join(
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = SALTS
+) -> DataFrame:
+    """Join raw rows to a table with one row per key.
+
+    Spark broadcasts ``per_key`` when its measured size allows. When it does not,
+    the rows of a hot key are spread over ``salts`` tasks: the salt comes from
+    the row's own content, so a retried task repeats it exactly, and each key's
+    one row is copied to every salt.
+    """
+    salted = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int")
+    return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], ts: str, out: str = "rn", chunk: str = "month") -> DataFrame:
     """Row number within each series without sorting a series in one task.
 

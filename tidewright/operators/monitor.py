@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tidewright.operators.features import gated
-from tidewright.operators.layout import by_series, in_blocks
+from tidewright.operators.layout import by_series, in_blocks, spread_join
 from tidewright.operators.quantiles import exact_quantiles, percentile
 
 # Guard inside the logarithm, sample size below which PSI is
@@ -30,7 +30,7 @@ def bin_edges(baseline: DataFrame, keys: Sequence[str], y: str = "y", bins: int
 def bin_counts(sample: DataFrame, edges: DataFrame, keys: Sequence[str], y: str = "y", bins: int = 10) -> DataFrame:
     """Rows per bin as one array per series; empty bins count 0."""
     index = F.size(F.filter("edges", lambda e: e <= F.col(y)))
-    d = sample.where(F.col(y).isNotNull()).join(edges, list(keys)).withColumn("_bin", index)
+    d = spread_join(sample.where(F.col(y).isNotNull()), edges, keys).withColumn("_bin", index)
     return d.groupBy(*keys).agg(F.array(*[F.count_if(F.col("_bin") == i) for i in range(bins)]).alias("counts"))
 
 
@@ -52,10 +52,10 @@ def psi(
     """
     edges = bin_edges(baseline, keys, y, bins, gridded)
     index = F.size(F.filter("edges", lambda e: e <= F.col(y)))
-    both = baseline.select(*keys, y, F.lit(True).alias("_base")).unionByName(
-        current.select(*keys, y, F.lit(False).alias("_base"))
+    both = baseline.withColumn("_base", F.lit(True)).unionByName(
+        current.withColumn("_base", F.lit(False)), allowMissingColumns=True
     )
-    d = both.where(F.col(y).isNotNull()).join(edges, list(keys)).withColumn("_bin", index)
+    d = spread_join(both.where(F.col(y).isNotNull()), edges, keys).withColumn("_bin", index)
     counts = lambda side: F.array(*[F.count_if(side & (F.col("_bin") == i)) for i in range(bins)])
     out = d.groupBy(*keys).agg(counts(F.col("_base")).alias("base_counts"), counts(~F.col("_base")).alias("now_counts"))
     return out.withColumn("psi", psi_from_counts(F.col("base_counts"), F.col("now_counts")))

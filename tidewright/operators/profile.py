@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.operators.features import rolling_stats
-from tidewright.operators.layout import by_series, number_rows, whole_series
+from tidewright.operators.layout import by_series, number_rows, spread_join, whole_series
 from tidewright.operators.quantiles import exact_quantiles, percentile
 
 INTERMITTENT_SHARE = 0.4
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _join_per_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_per_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join of two one-row-per-series frames (or one-row frames without keys)."""
     if keys:
         return left.join(right, list(keys))
@@ -28,14 +28,14 @@ def _join_per_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
 def basic_stats(df: DataFrame, keys: Sequence[str] = (), y: str = "y", gridded: bool = True) -> DataFrame:
     """Count (missing included), moments, quartiles, variation, zeros."""
     col = F.col(y)
-    aggs = [
-        F.count(F.lit(1)).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-        F.min(col).alias("min"), F.max(col).alias("max"), F.count_if(col == 0).alias("zeros_count"),
-    ]
+    aggs = {
+        "count": F.count(F.lit(1)), "mean": F.avg(col), "std": F.stddev_samp(col),
+        "min": F.min(col), "max": F.max(col), "zeros_count": F.count_if(col == 0),
+    }
     if gridded:
-        d = df.groupBy(*keys).agg(*aggs, percentile(y, QUARTILES).alias("_q"))
+        d = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], percentile(y, QUARTILES).alias("_q"))
     else:
-        d = _join_per_key(df.groupBy(*keys).agg(*aggs), exact_quantiles(df, keys, y, QUARTILES, out="_q"), keys)
+        d = exact_quantiles(df, keys, y, QUARTILES, out="_q", carry=aggs)
     return d.select(
         *keys, "count", "mean", "std", "min", "max",
         F.col("_q")[1].alias("median"), F.col("_q")[0].alias("p25"), F.col("_q")[2].alias("p75"),
@@ -156,7 +156,7 @@ def acf(
         d = d.withColumn("_all", F.lit(1))
     d = d.select(*group, F.col(ts).alias("_ts"), F.col(y).cast("double").alias("_y"))
     means = d.groupBy(*group).agg(F.avg("_y").alias("_mean"), F.count(F.lit(1)).alias("_n"))
-    d = number_rows(d, group, "_ts", out="_rn").join(means, group)
+    d = spread_join(number_rows(d, group, "_ts", out="_rn"), means, group)
     block = F.floor((F.col("_rn") - 1) / F.lit(block_rows))
     # a row also serves as context for the blocks up to nlags rows before it
     first = F.floor(F.greatest(F.lit(0), F.col("_rn") - 1 - nlags) / F.lit(block_rows))
@@ -262,14 +262,19 @@ def histogram(
     )
     width = (F.col("_b") - F.col("_a")) / F.lit(float(bins))
     bin_of = F.least(F.lit(bins - 1), F.floor((F.col(y) - F.col("_a")) / width)).cast("int")
-    counts = d.join(ends, group).groupBy(*group, bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
-    every = ends.select(
-        *group, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.col("_a").alias("_lo"), width.alias("_w")
+    counts = spread_join(d, ends, group).groupBy(*group, bin_of.alias("bin")).agg(
+        F.count(F.lit(1)).alias("_c"), F.first("_a").alias("_a"), F.first("_b").alias("_b")
+    )
+    # at most ``bins`` rows per series meet here
+    filled = counts.groupBy(*group).agg(
+        F.first("_a").alias("_a"), F.first("_b").alias("_b"),
+        F.map_from_entries(F.collect_list(F.struct("bin", "_c"))).alias("_m"),
     )
-    return every.join(counts, [*group, "bin"], "left").select(
+    every = filled.select(*group, "_a", width.alias("_w"), "_m", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return every.select(
         *keys, "bin",
-        (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_start"),
-        F.coalesce("_c", F.lit(0)).alias("n"),
+        (F.col("_a") + F.col("bin") * F.col("_w")).alias("bin_start"),
+        F.coalesce(F.try_element_at("_m", F.col("bin")), F.lit(0)).alias("n"),
     )
 
 
@@ -277,11 +282,11 @@ def month_box(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", y: str =
     """Five-number summary by calendar month."""
     group = [*keys, "month"]
     d = df.withColumn("month", F.month(ts)).where(F.col(y).isNotNull())
-    ends = [F.min(y).alias("min"), F.max(y).alias("max"), F.count(F.lit(1)).alias("n")]
+    ends = {"min": F.min(y), "max": F.max(y), "n": F.count(F.lit(1))}
     if gridded:
-        box = d.groupBy(*group).agg(*ends, percentile(y, QUARTILES).alias("_q"))
+        box = d.groupBy(*group).agg(*[c.alias(n) for n, c in ends.items()], percentile(y, QUARTILES).alias("_q"))
     else:
-        box = d.groupBy(*group).agg(*ends).join(exact_quantiles(d, group, y, QUARTILES, out="_q"), group)
+        box = exact_quantiles(d, group, y, QUARTILES, out="_q", carry=ends)
     return box.select(
         *group, "n", "min", "max",
         F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("p75"),

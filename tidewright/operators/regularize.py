@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
-from tidewright.operators.layout import by_series, in_blocks, whole_series
+from tidewright.operators.layout import by_series, in_blocks, spread_join, whole_series
 from tidewright.operators.quantiles import exact_quantiles, percentile
 
 RESAMPLE_METHODS = ("mean", "sum", "max", "min", "median", "first", "last")
@@ -300,8 +300,9 @@ def with_quantiles(
         return df.withColumn(out, percentile(y, probs).over(whole_series(keys)))
     q = exact_quantiles(df, keys, y, probs, out=out)
     if keys:
-        return df.join(q, list(keys), "left")
-    return df.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+        return spread_join(df, q, keys, "left")
+    one = F.lit(1).alias("_one")
+    return spread_join(df.select("*", one), q.select("*", one), ["_one"], "left").drop("_one")
 
 
 def _outside_iqr(y: Column, q: Column) -> Column:

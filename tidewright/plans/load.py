@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
 from tidewright.operators import regularize as reg
+from tidewright.operators.layout import spread_join
 from tidewright.sources import parse
 
 KEYS = ["series_id"]
@@ -57,17 +58,21 @@ def regular(d: DataFrame, label: str, o: LoadOptions) -> DataFrame:
 def load_series(raw: DataFrame, options: LoadOptions = LoadOptions()) -> DataFrame:
     """(series_id, ts, y, imputed_flag, fill_policy, freq) for every series.
 
-    With inferred frequencies the plan has one branch per label present; only
-    that list of at most eleven labels reaches the driver.
+    With inferred frequencies the plan has one branch per way of regularising;
+    all sub-hourly series share one when they are resampled. Only that list of
+    at most eleven labels reaches the driver.
     """
     d = shape(raw, options)
     if options.freq:
         return regular(d, fq.frequency(options.freq).label, options)
-    inferred = reg.infer_frequency(d, KEYS)
+    label = F.col("freq")
+    if options.auto_resample and options.resample_freq is None:
+        label = F.when(label.isin(*fq.SUB_HOURLY), F.lit(fq.SUB_HOURLY[-1])).otherwise(label)
+    inferred = reg.infer_frequency(d, KEYS).select(*KEYS, label.alias("freq"))
     labels = sorted(r["freq"] for r in inferred.select("freq").distinct().collect())
     out = None
-    for label in labels:
-        mine = d if len(labels) == 1 else d.join(inferred.where(F.col("freq") == label), KEYS, "left_semi")
-        part = regular(mine, label, options)
+    for name in labels:
+        mine = d if len(labels) == 1 else spread_join(d, inferred.where(F.col("freq") == name), KEYS, "left_semi")
+        part = regular(mine, name, options)
         out = part if out is None else out.unionByName(part)
     return out

@@ -14,6 +14,13 @@ from tidewright.operators.layout import whole_series
 DATE_FORMATS = ("d-M-yyyy", "d/M/yyyy", "yyyy-M-d", "M-d-yyyy", "M/d/yyyy")
 MONTH_YEAR = "M-yy"
 
+# Looks of the formats above. Testing the look first spares the parser (and the
+# exceptions it raises inside) on text that cannot match.
+LOOKS = {
+    "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$", "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$", "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "M-d-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$", "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+}
+
 
 def rename_target(df: DataFrame, target: str = "value", y: str = "y") -> DataFrame:
     if target in df.columns:
@@ -47,7 +54,11 @@ def _month_year(col: Column) -> Column:
 
 
 def _reading(col: Column, fmt: str) -> Column:
-    parsed = _month_year(col) if fmt == MONTH_YEAR else F.try_to_timestamp(col, F.lit(fmt))
+    if fmt == MONTH_YEAR:
+        return _month_year(col).cast("timestamp_ntz")
+    parsed = F.try_to_timestamp(col, F.lit(fmt))
+    if fmt in LOOKS:
+        parsed = F.when(col.rlike(LOOKS[fmt]), parsed)
     return parsed.cast("timestamp_ntz")
 
 

@@ -197,12 +197,19 @@ def carry_forward_chunks(spark, sf):
     return carry_forward(with_quiet_hours(hourly_events(spark, sf)), KEYS, "ts", "y", "carried", chunk="day")
 
 
-@query("fill_partial_day_zero", f"""
-WITH h AS ({OFFICE}), {_SPINE.format(unit='HOUR')}
-SELECT s.series_id, s.ts, coalesce(h.y, 0.0::DOUBLE) AS y,
-  (CASE WHEN h.ts IS NULL THEN 1 ELSE 0 END)::INTEGER AS imputed_flag, 'zero' AS fill_policy
-FROM s LEFT JOIN h ON s.series_id = h.series_id AND s.ts = h.ts
-""")
+def _policy_sql(inner: str) -> str:
+    return f"""
+WITH h AS ({inner}), r AS ({_GAP_SQL.format(inner='SELECT * FROM h', unit='hour')}), {_SPINE.format(unit='HOUR')},
+d AS (SELECT s.series_id, s.ts, h.y, (CASE WHEN h.ts IS NULL THEN 1 ELSE 0 END)::INTEGER AS imputed_flag, r.fill_policy
+  FROM s JOIN r ON s.series_id = r.series_id LEFT JOIN h ON s.series_id = h.series_id AND s.ts = h.ts),
+f AS (SELECT *, {_FILLED} AS filled FROM d)
+SELECT series_id, ts, imputed_flag, fill_policy,
+  CASE fill_policy WHEN 'ffill' THEN filled WHEN 'zero' THEN coalesce(y, 0.0::DOUBLE) ELSE y END AS y
+FROM f WHERE fill_policy IN ('ffill', 'zero') OR imputed_flag = 0
+"""
+
+
+@query("fill_partial_day_zero", _policy_sql(OFFICE))
 def fill_partial_day_zero(spark, sf):
     return reg.fill_gaps(office_hours(spark, sf), "h", KEYS)
 
@@ -217,15 +224,7 @@ MIXED = f"""{HOURLY_EVENTS} UNION ALL {OFFICE}
 UNION ALL SELECT 'busy/' || series_id, ts, y FROM ({HOURLY_EVENTS}) AS m WHERE y > 120"""
 
 
-@query("fill_policy", f"""
-WITH h AS ({MIXED}), r AS ({_GAP_SQL.format(inner='SELECT * FROM h', unit='hour')}), {_SPINE.format(unit='HOUR')},
-d AS (SELECT s.series_id, s.ts, h.y, (CASE WHEN h.ts IS NULL THEN 1 ELSE 0 END)::INTEGER AS imputed_flag, r.fill_policy
-  FROM s JOIN r ON s.series_id = r.series_id LEFT JOIN h ON s.series_id = h.series_id AND s.ts = h.ts),
-f AS (SELECT *, {_FILLED} AS filled FROM d)
-SELECT series_id, ts, imputed_flag, fill_policy,
-  CASE fill_policy WHEN 'ffill' THEN filled WHEN 'zero' THEN coalesce(y, 0.0::DOUBLE) ELSE y END AS y
-FROM f WHERE fill_policy IN ('ffill', 'zero') OR imputed_flag = 0
-""")
+@query("fill_policy", _policy_sql(MIXED))
 def fill_policy(spark, sf):
     return reg.fill_gaps(mixed_hourly(spark, sf), "h", KEYS)
 

@@ -16,15 +16,26 @@ from tidewright.session import scratch_path
 from tidewright.streaming import live
 
 
+# Sub-hourly and hourly series are read by the hour, wider ones by 6 hours or a day.
 @query("load_series", f"""
-WITH h AS (SELECT event_type || '_' || (user_id < 50)::VARCHAR AS series_id, date_trunc('hour', ts)::TIMESTAMP AS ts, avg(value) AS y FROM events GROUP BY 1, 2),
-e AS (SELECT series_id, min(ts) AS a, max(ts) AS b, count(*) AS n FROM h GROUP BY series_id),
-g AS (SELECT *, (date_diff('hour', a, b) + 1 - n)::DOUBLE / (date_diff('hour', a, b) + 1) AS share FROM e),
-s AS (SELECT series_id, share, unnest(generate_series(a, b, INTERVAL 1 HOUR))::TIMESTAMP AS ts FROM g WHERE share < 0.1
-  UNION ALL SELECT g.series_id, share, h.ts FROM g JOIN h ON g.series_id = h.series_id WHERE share >= 0.1),
-d AS (SELECT s.series_id, s.ts, h.y, (CASE WHEN h.ts IS NULL THEN 1 ELSE 0 END)::INTEGER AS imputed_flag, CASE WHEN share < 0.1 THEN 'ffill' ELSE 'keep' END AS fill_policy
-  FROM s LEFT JOIN h ON s.series_id = h.series_id AND s.ts = h.ts)
-SELECT series_id, ts, round({_FILLED}, 7) AS y, imputed_flag, fill_policy, 'h' AS freq FROM d
+WITH raw AS (SELECT event_type || '_' || (user_id < 50)::VARCHAR AS series_id, date_trunc('second', ts)::TIMESTAMP AS ts, value AS y FROM events),
+u AS (SELECT DISTINCT series_id, ts FROM raw),
+w AS (SELECT series_id, date_diff('second', lag(ts) OVER (PARTITION BY series_id ORDER BY ts), ts) AS g FROM u),
+c AS (SELECT series_id, g, count(*) AS n FROM w WHERE g > 0 GROUP BY series_id, g),
+l AS (SELECT series_id, CASE WHEN g <= 3600 THEN 'h' WHEN g <= 21600 THEN '6h' ELSE 'D' END AS freq, CASE WHEN g <= 3600 THEN 3600 WHEN g <= 21600 THEN 21600 ELSE 86400 END AS step
+  FROM (SELECT series_id, g, row_number() OVER (PARTITION BY series_id ORDER BY n DESC, g) AS k FROM c) AS t WHERE k = 1),
+h AS (SELECT raw.series_id, make_timestamp((epoch(ts)::BIGINT // step * step * 1000000)::BIGINT) AS ts, avg(y) AS y FROM raw JOIN l ON raw.series_id = l.series_id GROUP BY 1, 2),
+e AS (SELECT h.series_id, freq, step, min(ts) AS a, max(ts) AS b, count(*) AS n, count(DISTINCT hour(ts)) AS hours FROM h JOIN l ON h.series_id = l.series_id GROUP BY 1, 2, 3),
+x AS (SELECT *, date_diff('second', a, b) // step + 1 AS want, date_diff('second', a, b) // 86400 + 1 AS days FROM e),
+p AS (SELECT *, CASE WHEN want = n THEN 'none' WHEN (want - n)::DOUBLE / want < 0.1 THEN 'ffill'
+  WHEN freq = 'h' AND hours < 24 AND abs(n - days * hours) < days * 2 THEN 'zero' ELSE 'keep' END AS fill_policy FROM x),
+s AS (SELECT series_id, freq, fill_policy, unnest(generate_series(a, b, to_seconds(step)))::TIMESTAMP AS ts FROM p),
+d AS (SELECT s.series_id, s.ts, h.y, freq, fill_policy, (CASE WHEN h.ts IS NULL THEN 1 ELSE 0 END)::INTEGER AS imputed_flag
+  FROM s LEFT JOIN h ON s.series_id = h.series_id AND s.ts = h.ts),
+f AS (SELECT *, {_FILLED} AS filled FROM d)
+SELECT series_id, ts, imputed_flag, fill_policy, freq,
+  round(CASE fill_policy WHEN 'ffill' THEN filled WHEN 'zero' THEN coalesce(y, 0.0::DOUBLE) ELSE y END, 7) AS y
+FROM f WHERE fill_policy IN ('ffill', 'zero') OR imputed_flag = 0
 """)
 def load_whole(spark, sf):
     """Text dates and times, two id columns, sub-hourly rows: the full load."""

@@ -197,9 +197,9 @@ def carry_forward_chunks(spark, sf):
     return carry_forward(with_quiet_hours(hourly_events(spark, sf)), KEYS, "ts", "y", "carried", chunk="day")
 
 
-def _policy_sql(inner: str) -> str:
+def policy_sql(inner: str, unit: str = "hour") -> str:
     return f"""
-WITH h AS ({inner}), r AS ({_GAP_SQL.format(inner='SELECT * FROM h', unit='hour')}), {_SPINE.format(unit='HOUR')},
+WITH h AS ({inner}), r AS ({_GAP_SQL.format(inner='SELECT * FROM h', unit=unit)}), {_SPINE.format(unit=unit)},
 d AS (SELECT s.series_id, s.ts, h.y, (CASE WHEN h.ts IS NULL THEN 1 ELSE 0 END)::INTEGER AS imputed_flag, r.fill_policy
   FROM s JOIN r ON s.series_id = r.series_id LEFT JOIN h ON s.series_id = h.series_id AND s.ts = h.ts),
 f AS (SELECT *, {_FILLED} AS filled FROM d)
@@ -209,7 +209,7 @@ FROM f WHERE fill_policy IN ('ffill', 'zero') OR imputed_flag = 0
 """
 
 
-@query("fill_partial_day_zero", _policy_sql(OFFICE))
+@query("fill_partial_day_zero", policy_sql(OFFICE))
 def fill_partial_day_zero(spark, sf):
     return reg.fill_gaps(office_hours(spark, sf), "h", KEYS)
 
@@ -224,7 +224,7 @@ MIXED = f"""{HOURLY_EVENTS} UNION ALL {OFFICE}
 UNION ALL SELECT 'busy/' || series_id, ts, y FROM ({HOURLY_EVENTS}) AS m WHERE y > 120"""
 
 
-@query("fill_policy", _policy_sql(MIXED))
+@query("fill_policy", policy_sql(MIXED))
 def fill_policy(spark, sf):
     return reg.fill_gaps(mixed_hourly(spark, sf), "h", KEYS)
 
@@ -257,12 +257,13 @@ def month_start(spark, sf):
     return reg.normalise_months(raw_orders(spark, sf)).groupBy("series_id", "ts").agg(F.count(F.lit(1)).alias("n"))
 
 
-_DEDUPE = {"mean": ("avg(o_totalprice)", 4), "sum": ("sum(o_totalprice)", 2), "last": ("arg_max(o_totalprice, o_orderkey)", 2)}
+# Prices in whole cents add up exactly in any order, so nothing needs rounding.
+_DEDUPE = {"mean": "avg({})", "sum": "sum({})", "min": "min({})", "max": "max({})", "first": "arg_min({}, o_orderkey)", "last": "arg_max({}, o_orderkey)"}
 
 
-def _register_dedupe(policy: str, expr: str, digits: int) -> None:
+def _register_dedupe(policy: str, expr: str) -> None:
     sql = (
-        f"SELECT o_orderpriority AS series_id, o_orderdate AS ts, round({expr}, {digits}) AS y, count(*) AS n_rows "
+        f"SELECT o_orderpriority AS series_id, o_orderdate AS ts, {expr.format('round(o_totalprice * 100)')} AS y, count(*) AS n_rows "
         "FROM orders GROUP BY o_orderpriority, o_orderdate"
     )
 
@@ -270,13 +271,13 @@ def _register_dedupe(policy: str, expr: str, digits: int) -> None:
     def run(spark, sf):
         d = table(spark, sf, "orders").select(
             F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").alias("ts"),
-            F.col("o_totalprice").alias("y"), "o_orderkey",
+            F.round(F.col("o_totalprice") * 100).alias("y"), "o_orderkey",
         )
-        return rounded(reg.dedupe_timestamps(d, KEYS, policy=policy, order="o_orderkey"), digits, "y")
+        return reg.dedupe_timestamps(d, KEYS, policy=policy, order="o_orderkey")
 
 
-for _p, (_e, _d) in _DEDUPE.items():
-    _register_dedupe(_p, _e, _d)
+for _p, _e in _DEDUPE.items():
+    _register_dedupe(_p, _e)
 
 
 # ----------------------------------------------------------------- validate

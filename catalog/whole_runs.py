@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, raw_events, rounded, table
-from catalog.regularizing import _FILLED
+from catalog.regularizing import _FILLED, policy_sql
 from catalog.screening import _LAGGED_SQL, lagged_features
 from tidewright.functions.expressions import safe_divide
 from tidewright.models import custom
@@ -47,10 +47,7 @@ def load_whole(spark, sf):
     return rounded(load_series(raw, o), 7, "y")
 
 
-@query("load_series_daily", f"""
-SELECT series_id, ts, y, 0::INTEGER AS imputed_flag, 'keep' AS fill_policy, 'D' AS freq FROM (
-  SELECT o_orderpriority AS series_id, o_orderdate AS ts, round(sum(o_totalprice), 2) AS y FROM orders GROUP BY 1, 2) AS d
-""")
+@query("load_series_daily", f"SELECT *, 'D' AS freq FROM ({policy_sql(DAILY_BY_PRIORITY, 'day')}) AS p")
 def load_series_daily(spark, sf):
     o = LoadOptions(target="o_totalprice", date="o_orderdate", id_cols=("o_orderpriority",), freq="D", duplicates="sum")
     return rounded(load_series(table(spark, sf, "orders"), o), 2, "y")

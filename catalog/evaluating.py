@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    DAILY_ALL, DAILY_BY_PRIORITY, HOURLY_EVENTS, KEYS, MONTHLY_BY_PRIORITY, daily_all, daily_by_priority, hourly_events,
+    DAILY_BY_PRIORITY, HOURLY_EVENTS, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, hourly_events,
     idle_weekends_sql, monthly_by_priority, query, raw_events, raw_orders, rounded, with_idle_weekends,
 )
 from catalog.profiling import NAIVE_WEEK, naive_week

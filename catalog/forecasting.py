@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, hourly_events, monthly_by_priority, query, raw_orders, rounded, summed
+from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, rounded
 from catalog.feature_building import holidays
 from tidewright.models import boosted, seasonal_ar, trend_season, unit_root
 from tidewright.models.naive import future_spine

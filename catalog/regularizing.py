@@ -94,6 +94,21 @@ def infer_freq(spark, sf):
     return reg.infer_frequency(series, KEYS)
 
 
+@query("coarse_frequency", f"""
+WITH s AS (SELECT 'day/' || series_id AS series_id, ts FROM ({DAILY_BY_PRIORITY}) AS a UNION ALL SELECT 'hour/' || series_id, ts FROM ({HOURLY_EVENTS}) AS b
+  UNION ALL SELECT DISTINCT 'month/all', date_trunc('month', o_orderdate)::TIMESTAMP FROM orders),
+g AS (SELECT series_id, date_diff('second', lag(ts) OVER (PARTITION BY series_id ORDER BY ts), ts)::DOUBLE AS g FROM s),
+m AS (SELECT series_id, quantile_cont(g, 0.5) AS g FROM g GROUP BY series_id)
+SELECT series_id, g AS median_gap_seconds, CASE WHEN g <= 3600 THEN 'h' WHEN g <= 86400 THEN 'D' WHEN g <= 604800 THEN 'W' WHEN g <= 2678400 THEN 'MS'
+  WHEN g <= 7948800 THEN 'QS' ELSE 'YS' END AS freq FROM m
+""")
+def coarse_frequency(spark, sf):
+    tag = lambda name, df: df.select(F.concat(F.lit(name + "/"), F.col("series_id")).alias("series_id"), "ts")
+    months = raw_orders(spark, sf, None).withColumn("ts", F.date_trunc("month", "ts").cast("timestamp_ntz"))
+    series = tag("day", raw_orders(spark, sf)).unionByName(tag("hour", hourly_events(spark, sf))).unionByName(tag("month", months))
+    return reg.coarse_frequency(series, KEYS)
+
+
 @query("gap_list", f"""
 WITH d AS ({DAILY_BY_PRIORITY}),
 g AS (SELECT series_id, ts, lag(ts) OVER (PARTITION BY series_id ORDER BY ts) AS prev_ts FROM d)
@@ -192,9 +207,9 @@ SELECT series_id, ts, y, last_value(y IGNORE NULLS) OVER (PARTITION BY series_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM h
 """)
 def carry_forward_chunks(spark, sf):
-    from tidewright.operators.layout import carry_forward
+    from tidewright.operators.layout import carry
 
-    return carry_forward(with_quiet_hours(hourly_events(spark, sf)), KEYS, "ts", "y", "carried", chunk="day")
+    return carry(with_quiet_hours(hourly_events(spark, sf)), KEYS, "ts", "y", "carried", chunk="day")
 
 
 def policy_sql(inner: str, unit: str = "hour") -> str:
@@ -249,6 +264,16 @@ def impute_lookback_compat(spark, sf):
     return reg.impute_lookback(with_quiet_hours(hourly_events(spark, sf)), "h", KEYS, compat=True)
 
 
+@query("fill_policy_blocks", policy_sql(MIXED))
+def fill_policy_blocks(spark, sf):
+    return reg.fill_gaps(mixed_hourly(spark, sf), "h", KEYS, block_rows=100, chunk="day")
+
+
+@query("impute_lookback_chunks", _lookback_sql(24))
+def impute_lookback_chunks(spark, sf):
+    return reg.impute_lookback(with_quiet_hours(hourly_events(spark, sf)), "h", KEYS, chunk="week")
+
+
 @query("month_start", """
 SELECT o_orderpriority AS series_id, date_trunc('month', o_orderdate)::TIMESTAMP AS ts, count(*) AS n
 FROM orders GROUP BY o_orderpriority, date_trunc('month', o_orderdate)

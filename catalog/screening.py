@@ -8,7 +8,6 @@ from catalog.base import (
     DAILY_BY_PRIORITY, HOURLY_EVENTS, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, hourly_events, idle_weekends_sql,
     monthly_by_priority, query, rounded, table, with_idle_weekends,
 )
-from catalog.feature_building import _lag_sql
 from catalog.profiling import _ACF
 from tidewright.functions.expressions import safe_divide
 from tidewright.operators import features as feat

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import DAILY_ALL, KEYS, MONTHLY_BY_PRIORITY, daily_all, monthly_by_priority, query, raw_events, raw_orders, rounded, table
+from catalog.base import DAILY_ALL, KEYS, MONTHLY_BY_PRIORITY, daily_all, monthly_by_priority, query, raw_events, table
 from catalog.evaluating import _SNAIVE
 from catalog.profiling import _basic_sql, _round_basic
 from tidewright.models import naive

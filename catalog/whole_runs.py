@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, raw_events, rounded, table
+from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, monthly_by_priority, query, raw_events, rounded, table
 from catalog.regularizing import _FILLED, policy_sql
 from catalog.screening import _LAGGED_SQL, lagged_features
 from tidewright.functions.expressions import safe_divide

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewright.operators import monitor, profile
 from tidewright.operators import regularize as reg
-from tidewright.operators.layout import carry_forward, number_rows, spread_join
+from tidewright.operators.layout import carry, number_rows, spread_join
 from tidewright.operators.quantiles import exact_quantiles
 from tidewright.session import ensure_checkpoint_dir
 
@@ -88,11 +88,21 @@ def test_row_numbers_and_carry_across_chunks(skewed, chunk):
     d = skewed.dropDuplicates(["series_id", "ts"]).withColumn("y", F.when(F.col("y") > 25, F.col("y")))
     w = Window.partitionBy("series_id").orderBy("ts")
     want = d.withColumns({"rn": F.row_number().over(w).cast("long"), "c": F.last("y", True).over(w.rowsBetween(Window.unboundedPreceding, 0))})
-    got = number_rows(d, KEYS, "ts", chunk=chunk).join(carry_forward(d, KEYS, "ts", "y", "c", chunk).select("series_id", "ts", "c"), ["series_id", "ts"])
+    got = number_rows(d, KEYS, "ts", chunk=chunk).join(carry(d, KEYS, "ts", "y", "c", chunk).select("series_id", "ts", "c"), ["series_id", "ts"])
     assert got.select("series_id", "ts", "rn", "c").exceptAll(want.select("series_id", "ts", "rn", "c")).count() == 0
     assert got.count() == want.count()
 
 
+def test_chunked_filling_equals_the_plain_one(holes):
+    for plain, cut in (
+        (reg.fill_forward_backward(holes, KEYS), reg.fill_forward_backward(holes, KEYS, chunk="month")),
+        (reg.impute_lookback(holes, "D", KEYS), reg.impute_lookback(holes, "D", KEYS, chunk="month")),
+        (reg.fill_gaps(holes.where("y is not null"), "D", KEYS), reg.fill_gaps(holes.where("y is not null"), "D", KEYS, block_rows=50, chunk="week")),
+    ):
+        cols = sorted(plain.columns)
+        assert plain.select(cols).exceptAll(cut.select(cols)).count() == 0 and plain.count() == cut.count()
+
+
 def test_gaps_do_not_depend_on_the_chunk(skewed):
     a, b = reg.gaps(skewed, KEYS, chunk="hour"), reg.gaps(skewed, KEYS, chunk="month")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

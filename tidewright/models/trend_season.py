@@ -163,16 +163,19 @@ def prior_scores(
     keys = list(keys)
     design = design or Design.for_frequency(freq)
     p = design.width
+    _, period, horizon = fq.frequency(freq).cv_days
     cuts = cv_windows(df, freq, keys, ts).withColumn(
         "_fold", F.row_number().over(by_series(keys, "cutoff")) - 1
     )
-    per_series = cuts.groupBy(*keys).agg(F.array_sort(F.collect_list("cutoff")).alias("_cuts"))
+    per_series = cuts.groupBy(*keys).agg(F.min("cutoff").alias("_first"), F.count(F.lit(1)).alias("_folds"))
     spans = _spans(df, keys, ts, y)
     rows = _with_vectors(df.where(F.col(y).isNotNull()), spans, design, keys, ts).join(per_series, keys)
-    rows = rows.withColumn("_segment", F.size(F.filter("_cuts", lambda c: c < F.col(ts))))
+    # cut-offs are evenly spaced, so the number of them before a row is arithmetic
+    passed = F.ceil(fq.seconds_between(F.col("_first"), F.col(ts)) / F.lit(period * 86400))
+    rows = rows.withColumn("_segment", F.greatest(F.lit(0), F.least(F.col("_folds"), passed)).cast("int"))
 
     z = F.concat("_x", F.array(design.to_fit(F.col(y))))
-    train = rows.where(F.col("_segment") < F.size("_cuts")).select(*keys, "_segment", z.alias("_z"))
+    train = rows.where(F.col("_segment") < F.col("_folds")).select(*keys, "_segment", z.alias("_z"))
     cells = gram_of_vectors(train, [*keys, "_segment"], "_z")
     # accumulate over segments; a fold with an empty segment inherits the sum before it
     upto = by_series([*keys, "_pos"], "_fold").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -196,13 +199,14 @@ def prior_scores(
         return out
 
     models = solve(grams, keys, p + 1, grid, "beta array<double>, prior double", extra=["_fold"])
-    # a validation row belongs to every fold whose horizon reaches it
-    horizon = fq.frequency(freq).cv_days[2]
-    reach = F.make_dt_interval(F.lit(horizon))
-    member = F.filter(
-        F.transform("_cuts", lambda c, i: F.when((c < F.col(ts)) & (F.col(ts) <= c + reach), i)), lambda i: i.isNotNull()
+    # a validation row belongs to the last few folds that ended before it
+    back = -(-horizon // period)
+    ended = F.sequence(F.greatest(F.lit(0), F.col("_segment") - back - 1), F.col("_segment") - 1)
+    cutoff_of = lambda i: F.col("_first") + F.make_dt_interval(i * period)
+    reaches = lambda i: F.col(ts) <= cutoff_of(i) + F.make_dt_interval(F.lit(horizon))
+    valid = rows.where(F.col("_segment") > 0).select(
+        *keys, F.col(y).alias("_y"), "_x", F.explode(F.filter(ended, reaches)).alias("_fold")
     )
-    valid = rows.select(*keys, F.col(y).alias("_y"), "_x", F.explode(member).alias("_fold"))
     scored = valid.join(models, [*keys, "_fold"])
     error = F.abs((F.col("_y") - design.from_fit(_dot("_x", "beta"))) / F.nullif(F.col("_y"), F.lit(0.0)))
     by_fold = scored.groupBy(*keys, "prior", "_fold").agg((F.avg(error) * 100).alias("_mape"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
-from tidewright.functions.expressions import METRICS, rmse, smape  # noqa: F401
+from tidewright.functions.expressions import METRICS
 from tidewright.operators.layout import by_series, spread_join, whole_series
 from tidewright.operators.quantiles import exact_quantiles, percentile
 from tidewright.operators.profile import join_per_key

@@ -7,8 +7,8 @@ Two regimes:
   observations fed it. One window per series is then a bounded sort, and every
   operator that windows on the same keys shares one shuffle.
 * A *long* series (raw observations, or a very fine grid) must not meet in one
-  task. ``number_rows`` and ``in_blocks`` split it into blocks with copied edge
-  rows, so bounded frames give the same result with no task larger than a block.
+  task. ``number_rows``, ``carry`` and ``in_blocks`` split it into chunks or
+  blocks with copied edge rows, so they give the same result with no task larger than a block.
 """
 
 from __future__ import annotations
@@ -109,22 +109,29 @@ def in_blocks(
     return done.where(F.col("_block") == F.col("_home")).drop("_pos", "_home", "_block")
 
 
-def carry_forward(df: DataFrame, keys: Sequence[str], ts: str, y: str, out: str, chunk: str = "month") -> DataFrame:
-    """Last non-NULL ``y`` at or before each row, for long series.
+def carry(
+    df: DataFrame, keys: Sequence[str], ts: str, y: str, out: str, chunk: str = "month", ahead: bool = False
+) -> DataFrame:
+    """Nearest non-NULL ``y`` at or before each row (``ahead``: at or after), for
+    long series.
 
     Inside a calendar chunk this is an ordinary window; across chunks only one
     summary row per chunk travels.
     """
+    part = [*keys, "_chunk"]
+    known = F.when(F.col(y).isNotNull(), F.col(ts))
+    if ahead:
+        edge, pick = F.min_by(F.col(y), known), F.first
+        others, near = (1, Window.unboundedFollowing), (0, Window.unboundedFollowing)
+    else:
+        edge, pick = F.max_by(F.col(y), known), F.last
+        others, near = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
     d = df.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
-    tails = d.groupBy(*keys, "_chunk").agg(
-        F.max_by(F.col(y), F.when(F.col(y).isNotNull(), F.col(ts))).alias("_tail")
-    )
-    earlier = by_series(keys, "_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(*keys, "_chunk", F.last("_tail", ignorenulls=True).over(earlier).alias("_carry"))
-    upto = by_series([*keys, "_chunk"], ts).rowsBetween(Window.unboundedPreceding, 0)
+    edges = d.groupBy(*part).agg(edge.alias("_edge"))
+    carried = edges.select(*part, pick("_edge", ignorenulls=True).over(by_series(keys, "_chunk").rowsBetween(*others)).alias("_carry"))
     return (
-        d.withColumn("_here", F.last(y, ignorenulls=True).over(upto))
-        .join(carried, [*keys, "_chunk"])
+        d.withColumn("_here", pick(y, ignorenulls=True).over(by_series(part, ts).rowsBetween(*near)))
+        .join(carried, part)
         .withColumn(out, F.coalesce("_here", "_carry"))
         .drop("_chunk", "_here", "_carry")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
-from tidewright.operators.layout import by_series, in_blocks, spread_join, whole_series
+from tidewright.operators.layout import by_series, carry, in_blocks, number_rows, spread_join, whole_series
 from tidewright.operators.quantiles import exact_quantiles, percentile
 
 RESAMPLE_METHODS = ("mean", "sum", "max", "min", "median", "first", "last")
@@ -123,6 +123,15 @@ def infer_frequency(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", chu
     )
 
 
+def coarse_frequency(df: DataFrame, keys: Sequence[str], ts: str = "ts", chunk: str = "hour") -> DataFrame:
+    """Six-label frequency from the median gap, as cross-validation uses it; a
+    series without two timestamps counts as daily."""
+    seconds = gaps(df, keys, ts, chunk).withColumn("_s", F.col("gap_us") / F.lit(1e6))
+    q = exact_quantiles(seconds, keys, "_s", [0.5], out="_q")
+    median = F.coalesce(F.col("_q")[0], F.lit(86400.0))
+    return q.select(*keys, median.alias("median_gap_seconds"), fq.coarse_label_for_gap(median).alias("freq"))
+
+
 # --------------------------------------------------------------------- gaps
 
 def spine(df: DataFrame, freq: str, keys: Sequence[str] = (), ts: str = "ts") -> DataFrame:
@@ -151,9 +160,11 @@ def densify(
     ts: str = "ts",
     only_if: Column | None = None,
     block_rows: int | None = None,
+    repeat: Sequence[str] = (),
 ) -> DataFrame:
     """The same rows as ``align_to_spine`` without a join: every row emits the
-    empty slots up to the next one. One shuffle, shared with later windows."""
+    empty slots up to the next one. One shuffle, shared with later windows.
+    Columns in ``repeat`` keep their value on the added rows."""
     cols = [c for c in df.columns if c not in (*keys, ts)]
     step = fq.step_interval(freq)
 
@@ -171,7 +182,7 @@ def densify(
     return d.select(
         *keys,
         F.col("_slot").alias(ts),
-        *[F.when(real, F.col(c)).alias(c) for c in cols],
+        *[F.col(c) if c in repeat else F.when(real, F.col(c)).alias(c) for c in cols],
         F.when(real, 0).otherwise(1).alias("imputed_flag"),
     )
 
@@ -206,9 +217,16 @@ def gap_report(df: DataFrame, freq: str, keys: Sequence[str] = (), ts: str = "ts
 
 # --------------------------------------------------------------------- fill
 
-def fill_forward_backward(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", y: str = "y") -> DataFrame:
-    """Last known value, else the next known one."""
-    return df.withColumn(y, _ffill_bfill(F.col(y), keys, ts))
+def fill_forward_backward(
+    df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", y: str = "y", chunk: str | None = None
+) -> DataFrame:
+    """Last known value, else the next known one. With ``chunk`` (a calendar
+    unit) a long series is filled chunk by chunk."""
+    if chunk is None:
+        return df.withColumn(y, _ffill_bfill(F.col(y), keys, ts))
+    d = carry(df, keys, ts, y, "_back", chunk)
+    d = carry(d, keys, ts, y, "_ahead", chunk, ahead=True)
+    return d.withColumn(y, F.coalesce("_back", "_ahead")).drop("_back", "_ahead")
 
 
 def _ffill_bfill(col: Column, keys: Sequence[str], order: str) -> Column:
@@ -226,14 +244,23 @@ def fill_gaps(
     y: str = "y",
     others: Sequence[str] = (),
     policy: str = "auto",
+    block_rows: int | None = None,
+    chunk: str | None = None,
 ) -> DataFrame:
     """Per-series gap policy in one plan: few gaps are filled forward then
     backward, inactive hours become 0, anything else is kept as it is.
 
-    All steps window on ``keys``, so the series is shuffled once.
+    All steps window on ``keys``, so the series is shuffled once. For long
+    series give ``block_rows`` and ``chunk``: the policy then comes from an
+    aggregation and every window is cut into blocks.
     """
     d = df.select(*keys, ts, y, *others)
-    if policy == "auto":
+    if policy != "auto":
+        d = d.withColumn("_policy", F.lit(policy))
+    elif block_rows:
+        chosen = gap_report(d, freq, keys, ts).select(*keys, F.col("fill_policy").alias("_policy"))
+        d = spread_join(d, chosen, keys)
+    else:
         w = whole_series(keys)
         d = d.withColumns({
             "_n": F.count(F.lit(1)).over(w), "_a": F.min(ts).over(w), "_b": F.max(ts).over(w),
@@ -241,29 +268,41 @@ def fill_gaps(
         })
         chosen = _gap_columns(F.col("_n"), F.col("_a"), F.col("_b"), F.col("_h"), freq)["fill_policy"]
         d = d.withColumn("_policy", chosen).drop("_n", "_a", "_b", "_h")
+    dense = densify(d, freq, keys, ts, only_if=F.col("_policy").isin("ffill", "zero"), block_rows=block_rows, repeat=["_policy"])
+    if chunk is None:
+        near = _ffill_bfill(F.col(y), keys, ts)
     else:
-        d = d.withColumn("_policy", F.lit(policy))
-    w_fill = by_series(keys, ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dense = densify(d, freq, keys, ts, only_if=F.col("_policy").isin("ffill", "zero"))
-    dense = dense.withColumn("_policy", F.last("_policy", ignorenulls=True).over(w_fill))
-    filled = {y: F.when(F.col("_policy") == "ffill", _ffill_bfill(F.col(y), keys, ts))
-              .when(F.col("_policy") == "zero", F.coalesce(F.col(y), F.lit(0.0))).otherwise(F.col(y))}
+        dense = fill_forward_backward(dense.withColumn("_near", F.col(y)), keys, ts, "_near", chunk)
+        near = F.col("_near")
+    zero = F.col("_policy") == "zero"
+    filled = {y: F.when(F.col("_policy") == "ffill", near).when(zero, F.coalesce(F.col(y), F.lit(0.0))).otherwise(F.col(y))}
     for c in others:
-        filled[c] = F.when(F.col("_policy") == "zero", F.coalesce(F.col(c), F.lit(0.0))).otherwise(F.col(c))
-    return dense.withColumns(filled).withColumnRenamed("_policy", "fill_policy")
+        filled[c] = F.when(zero, F.coalesce(F.col(c), F.lit(0.0))).otherwise(F.col(c))
+    return dense.withColumns(filled).withColumnRenamed("_policy", "fill_policy").drop("_near")
 
 
 def impute_lookback(
-    df: DataFrame, freq: str, keys: Sequence[str] = (), ts: str = "ts", y: str = "y", compat: bool = False
+    df: DataFrame,
+    freq: str,
+    keys: Sequence[str] = (),
+    ts: str = "ts",
+    y: str = "y",
+    compat: bool = False,
+    chunk: str | None = None,
 ) -> DataFrame:
     """Missing values take the value one season back, which may itself have been
     filled; what is left is filled forward then backward.
 
     Looking back recursively by L equals the last known value among rows whose
-    number has the same remainder mod L, so no loop is needed.
+    number has the same remainder mod L, so no loop is needed. ``chunk`` works
+    as in ``fill_forward_backward``.
     """
     f = fq.frequency(freq)
     lookback = fq.COMPAT_LOOKBACK.get(f.label, 1) if compat else f.lookback
+    if chunk:
+        d = number_rows(df, keys, ts, out="_rn", chunk=chunk).withColumn("_phase", F.col("_rn") % lookback)
+        d = carry(d, [*keys, "_phase"], ts, y, "_season", chunk).drop("_rn", "_phase", y)
+        return fill_forward_backward(d.withColumnRenamed("_season", y), keys, ts, y, chunk).select(*df.columns)
     d = df.withColumn("_rn", F.row_number().over(by_series(keys, ts)))
     d = d.withColumn("_phase", F.col("_rn") % lookback)
     same_phase = by_series([*keys, "_phase"], "_rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)

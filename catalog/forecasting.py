@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, rounded
 from catalog.feature_building import holidays
+from catalog.profiling import _ACF, _TEMPORAL_CTES, _TEMPORAL_SELECT, _basic_sql
 from tidewright.models import boosted, seasonal_ar, trend_season, unit_root
 from tidewright.models.naive import future_spine
 from tidewright.operators import evaluate as ev
@@ -174,3 +175,90 @@ def best_iteration(spark, sf):
 def feature_importance(spark, sf):
     _, _, model = _boosted(spark, sf)
     return rounded(boosted.importance(spark, model), 6, "importance")
+
+
+# ------------------------------------------- special cases SQL can also compute
+
+@query("pacf_two_lags", f"""
+WITH s AS ({DAILY_BY_PRIORITY}), {_ACF},
+r AS (SELECT a.series_id, sum(a.d * b.d) FILTER (b.rn = a.rn + 1) / max(v0) AS r1, sum(a.d * b.d) FILTER (b.rn = a.rn + 2) / max(v0) AS r2
+  FROM v a JOIN v b ON a.series_id = b.series_id AND b.rn BETWEEN a.rn + 1 AND a.rn + 2 JOIN z ON z.series_id = a.series_id GROUP BY a.series_id)
+SELECT series_id, 1::INTEGER AS lag, round(r1, 8) AS pacf FROM r UNION ALL SELECT series_id, 2::INTEGER, round((r2 - r1 * r1) / (1 - r1 * r1), 8) FROM r
+""")
+def pacf_two_lags(spark, sf):
+    return rounded(profile.pacf(profile.acf(daily_by_priority(spark, sf), KEYS, nlags=2), KEYS), 8, "pacf")
+
+
+_FILLED_DAILY = f"""SELECT s.series_id, s.ts, last_value(h.y IGNORE NULLS) OVER (PARTITION BY s.series_id ORDER BY s.ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y
+  FROM (SELECT series_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY))::TIMESTAMP AS ts FROM ({DAILY_BY_PRIORITY}) AS e GROUP BY series_id) AS s
+  LEFT JOIN ({DAILY_BY_PRIORITY}) AS h ON s.series_id = h.series_id AND s.ts = h.ts"""
+
+
+@query("order_grid_small", f"""
+WITH f AS ({_FILLED_DAILY}), sd AS (SELECT series_id, stddev_samp(y) AS sd FROM f GROUP BY series_id),
+w AS (SELECT series_id, ts, (y - lag(y, 1) OVER w - lag(y, 7) OVER w + lag(y, 8) OVER w) AS w FROM f WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+p AS (SELECT w.series_id, w / sd AS w, lag(w) OVER (PARTITION BY w.series_id ORDER BY ts) / sd AS p FROM w JOIN sd ON w.series_id = sd.series_id),
+r AS (SELECT series_id, regr_count(w, p) AS n, regr_syy(w, p) AS syy, regr_sxx(w, p) AS sxx, regr_sxy(w, p) AS sxy FROM p GROUP BY series_id)
+SELECT series_id, 0::INTEGER AS p, 0::INTEGER AS seasonal_p, round(n * ln(syy / n) + 2, 4) AS aic FROM r
+UNION ALL SELECT series_id, 1::INTEGER, 0::INTEGER, round(n * ln((syy - sxy * sxy / sxx) / n) + 4, 4) FROM r
+""")
+def order_grid_small(spark, sf):
+    return rounded(seasonal_ar.order_grid(filled_daily(spark, sf), KEYS, max_p=1, max_seasonal=0), 4, "aic")
+
+
+LINE = trend_season.Design(changepoints=0, yearly=0, weekly=0, multiplicative=False)
+
+
+@query("trend_season_line", f"""
+WITH d AS ({DAILY_BY_PRIORITY}), e AS (SELECT series_id, min(ts) AS a, max(ts) AS b FROM d GROUP BY series_id),
+t AS (SELECT d.series_id, y, date_diff('second', a, ts)::DOUBLE / date_diff('second', a, b) AS t FROM d JOIN e ON d.series_id = e.series_id),
+r AS (SELECT series_id, regr_slope(y, t) AS k, regr_intercept(y, t) AS c, sqrt((regr_syy(y, t) - regr_slope(y, t) * regr_sxy(y, t)) / (count(*) - 2)) AS s FROM t GROUP BY series_id),
+f AS (SELECT e.series_id, (b + to_days(step::INTEGER))::TIMESTAMP AS ts, step::INTEGER AS step, c + k * (date_diff('second', a, b + to_days(step::INTEGER))::DOUBLE / date_diff('second', a, b)) AS f, s
+  FROM e JOIN r ON e.series_id = r.series_id, range(1, 31) AS n(step))
+SELECT series_id, ts, step, round(f, 1) AS forecast, round(f - 1.959963984540054::DOUBLE * s, 1) AS lower, round(f + 1.959963984540054::DOUBLE * s, 1) AS upper FROM f
+""")
+def trend_season_line(spark, sf):
+    return rounded(trend_season.forecast(daily_by_priority(spark, sf), "D", 30, KEYS, design=LINE), 1, "forecast", "lower", "upper")
+
+
+@query("prior_grid_line", f"""
+WITH d AS ({MONTHLY_BY_PRIORITY}), e AS (SELECT series_id, min(ts) AS a, max(ts) AS b, date_diff('day', min(ts), max(ts)) AS span FROM d GROUP BY series_id HAVING count(*) > 50),
+c AS (SELECT series_id, a, b, k, b - to_days(365) - to_days((k * 180)::INTEGER) AS cut FROM e, range(0, 40) AS r(k) WHERE k <= (span - 365 - 730) // 180),
+t AS (SELECT c.series_id, k, cut, ts, y, date_diff('second', a, ts)::DOUBLE / date_diff('second', a, b) AS t FROM c JOIN d ON c.series_id = d.series_id),
+m AS (SELECT series_id, k, regr_slope(y, t) AS s, regr_intercept(y, t) AS i FROM t WHERE ts <= cut GROUP BY series_id, k),
+v AS (SELECT t.series_id, t.k, avg(abs((y - (i + s * t)) / y)) * 100 AS e FROM t JOIN m ON t.series_id = m.series_id AND t.k = m.k WHERE ts > cut AND ts <= cut + to_days(365) GROUP BY 1, 2),
+g AS (SELECT series_id, avg(e) AS cv_mape, count(*) AS n_folds FROM v GROUP BY series_id)
+SELECT series_id, prior::DOUBLE AS prior, round(cv_mape, 4) AS cv_mape, n_folds FROM g, (VALUES (0.001), (0.01), (0.05), (0.5)) AS p(prior)
+""")
+def prior_grid_line(spark, sf):
+    return rounded(trend_season.prior_scores(monthly_by_priority(spark, sf), "MS", KEYS, design=LINE), 4, "cv_mape")
+
+
+@query("recursive_linear", f"""
+WITH RECURSIVE d AS ({DAILY_BY_PRIORITY}),
+h AS (SELECT series_id, list(y ORDER BY ts) AS h, max(ts) AS b FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) AS k FROM d) AS q WHERE k <= 14 GROUP BY series_id),
+r AS (SELECT series_id, b, h, 0 AS step FROM h
+  UNION ALL SELECT series_id, b, list_append(h, 0.5::DOUBLE * h[-1] + 0.3::DOUBLE * h[-7] + 0.2::DOUBLE * list_avg(h[-7:])), step + 1 FROM r WHERE step < 10)
+SELECT series_id, step::INTEGER AS step, (b + to_days(step::INTEGER))::TIMESTAMP AS ts, round(h[-1], 3) AS forecast FROM r WHERE step > 0
+""")
+def recursive_linear(spark, sf):
+    d = daily_by_priority(spark, sf).withColumn("level", F.lit(1.0))
+    score = lambda f: f.withColumn("_pred", F.col("lag_1") * 0.5 + F.col("lag_7") * 0.3 + F.col("roll7_mean") * 0.2)
+    return rounded(boosted.recursive_forecast(d, "D", 10, KEYS, score), 3, "forecast")
+
+
+@query("full_summary_fields", f"""
+WITH d AS ({DAILY_BY_PRIORITY}), b AS ({_basic_sql(DAILY_BY_PRIORITY, 3)}), {_TEMPORAL_CTES},
+q AS (SELECT series_id, count(DISTINCT y) AS unique_count FROM d GROUP BY series_id),
+l AS (SELECT series_id, y, lag(y) OVER (PARTITION BY series_id ORDER BY ts) AS p FROM d),
+g AS (SELECT series_id, regr_slope(y - p, p) AS s, regr_sxx(y - p, p) AS sxx, regr_syy(y - p, p) AS syy, regr_count(y - p, p) AS n FROM l WHERE p IS NOT NULL GROUP BY series_id)
+SELECT b.series_id, b.mean, b.median, b.cv, t.weekly_avg, t.weekend_avg, t.mom_growth_avg, q.unique_count, round(g.s / sqrt((g.syy - g.s * g.s * g.sxx) / (g.n - 2) / g.sxx), 6) AS adf_statistic
+FROM b JOIN ({_TEMPORAL_SELECT}) AS t ON b.series_id = t.series_id JOIN q ON b.series_id = q.series_id JOIN g ON b.series_id = g.series_id
+""")
+def full_summary_fields(spark, sf):
+    d = profile.full_summary(daily_by_priority(spark, sf), KEYS, adf_lags=0)
+    d = d.select(
+        "series_id", "basic_stats.mean", "basic_stats.median", "basic_stats.cv", "temporal_stats.weekly_avg", "temporal_stats.weekend_avg",
+        "temporal_stats.mom_growth_avg", "quality.unique_count", "stationarity.adf_statistic",
+    )
+    return rounded(rounded(rounded(d, 3, "mean", "median", "weekly_avg", "weekend_avg"), 7, "cv"), 6, "mom_growth_avg", "adf_statistic")

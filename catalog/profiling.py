@@ -57,8 +57,7 @@ def summary_stats(spark, sf):
     return rounded(rounded(profile.summary_stats(d, KEYS), 7, "missing_pct"), 9, "zero_fraction")
 
 
-_TEMPORAL = f"""
-d AS ({{inner}}),
+_TEMPORAL_CTES = """
 wk AS (SELECT series_id, avg(m) AS v FROM (SELECT series_id, avg(y) AS m FROM d GROUP BY series_id, date_trunc('week', ts)) AS a GROUP BY series_id),
 mm AS (SELECT series_id, date_trunc('month', ts)::TIMESTAMP AS ts, avg(y) AS m FROM d GROUP BY series_id, date_trunc('month', ts)),
 mo AS (SELECT series_id, avg(m) AS v FROM mm GROUP BY series_id),
@@ -71,10 +70,13 @@ mf AS (SELECT ms.series_id, ms.ts, last_value(mm.m IGNORE NULLS) OVER (PARTITION
 mg AS (SELECT series_id, m / lag(m) OVER (PARTITION BY series_id ORDER BY ts) - 1 AS g FROM mf),
 gr AS (SELECT series_id, avg(g) * 100 AS ga, stddev_samp(g) * 100 AS gs FROM mg GROUP BY series_id),
 al AS (SELECT series_id, floor(date_diff('second', min(ts), max(ts)) / 86400)::BIGINT + 1 AS span_days, avg(y) AS v FROM d GROUP BY series_id)
+"""
+_TEMPORAL_SELECT = """
 SELECT al.series_id, span_days, round(al.v, 3) AS daily_avg, round(wk.v, 3) AS weekly_avg, round(mo.v, 3) AS monthly_avg,
   round(wd, 3) AS weekday_avg, round(we, 3) AS weekend_avg, round(ga, 6) AS mom_growth_avg, round(gs, 6) AS mom_growth_std
 FROM al JOIN wk USING (series_id) JOIN mo USING (series_id) JOIN dv USING (series_id) JOIN gr USING (series_id)
 """
+_TEMPORAL = "d AS ({inner}), " + _TEMPORAL_CTES + _TEMPORAL_SELECT
 
 
 def _round_temporal(df):

@@ -93,6 +93,27 @@ def vif_three(spark, sf):
     return rounded(screening.vif_table(d, _P3, KEYS), 8, "vif")
 
 
+_MIXED3 = ["l_quantity", "mixed", "l_tax"]
+
+
+# Round one drops the worst of three when its VIF exceeds 5, round two the
+# earlier of the two left when theirs does.
+@query("vif_select_three", f"""
+WITH d AS (SELECT *, l_quantity * 2 + l_discount * 100 AS mixed FROM lineitem),
+c AS (SELECT l_returnflag AS series_id, {_corr('l_quantity', 'mixed')} AS a, {_corr('l_quantity', 'l_tax')} AS b, {_corr('mixed', 'l_tax')} AS c FROM d GROUP BY l_returnflag),
+u AS (SELECT series_id, 0 AS k, 'l_quantity' AS feature, 1 / (1 - (a * a + b * b - 2 * a * b * c) / (1 - c * c)) AS vif, c AS others FROM c
+  UNION ALL SELECT series_id, 1, 'mixed', 1 / (1 - (a * a + c * c - 2 * a * b * c) / (1 - b * b)), b FROM c
+  UNION ALL SELECT series_id, 2, 'l_tax', 1 / (1 - (b * b + c * c - 2 * a * b * c) / (1 - a * a)), a FROM c),
+w AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY vif DESC) AS place, max(vif) OVER (PARTITION BY series_id) AS top FROM u),
+k AS (SELECT series_id, feature, row_number() OVER (PARTITION BY series_id ORDER BY k) AS pos,
+  1 / (1 - (max(CASE WHEN place = 1 THEN others END) OVER (PARTITION BY series_id)) ** 2) AS pair_vif, top, place FROM w)
+SELECT series_id, feature FROM k WHERE top <= 5 OR (place > 1 AND (pair_vif <= 5 OR pos = (SELECT max(pos) FROM k AS m WHERE m.series_id = k.series_id AND m.place > 1)))
+""")
+def vif_select_three(spark, sf):
+    d = table(spark, sf, "lineitem").withColumnRenamed("l_returnflag", "series_id")
+    return screening.select_by_vif(d.withColumn("mixed", F.col("l_quantity") * 2 + F.col("l_discount") * 100), _MIXED3, KEYS)
+
+
 @query("vif_n")
 def vif_n(spark, sf):
     return rounded(screening.vif_table(lagged_features(spark, sf), [*_LAGGED, "lag_14", "dayofyear"], KEYS), 6, "vif")

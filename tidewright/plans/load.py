@@ -14,6 +14,7 @@ from tidewright.operators.layout import spread_join
 from tidewright.sources import parse
 
 KEYS = ["series_id"]
+BLOCK_ROWS, CHUNK = 50_000, "month"
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,7 @@ class LoadOptions:
     auto_resample: bool = True
     duplicates: str = "mean"
     compat_lookback: bool = False
+    long_series: bool = False  # very fine grids: cut every window into blocks
 
 
 def shape(raw: DataFrame, o: LoadOptions) -> DataFrame:
@@ -50,8 +52,9 @@ def regular(d: DataFrame, label: str, o: LoadOptions) -> DataFrame:
         d, label = reg.auto_resample(d, label, KEYS, method=o.resample_method, target=o.resample_freq, enabled=o.auto_resample)
     else:
         d = reg.dedupe_timestamps(d.withColumn("ts", fq.floor_to(F.col("ts"), label)), KEYS, policy=o.duplicates).drop("n_rows")
-    d = reg.fill_gaps(d, label, KEYS)
-    d = reg.impute_lookback(d, label, KEYS, compat=o.compat_lookback)
+    block_rows, chunk = (BLOCK_ROWS, CHUNK) if o.long_series else (None, None)
+    d = reg.fill_gaps(d, label, KEYS, block_rows=block_rows, chunk=chunk)
+    d = reg.impute_lookback(d, label, KEYS, compat=o.compat_lookback, chunk=chunk)
     return d.withColumn("freq", F.lit(label))
 
 

@@ -140,7 +140,9 @@ def recursive_forecast(
         )
         if step % checkpoint_every == 0 and step < horizon:
             state = cut_lineage(state)
-    out = state.select(*keys, "_end", "level", F.posexplode("_path").alias("_i", "_v"))
+    # the outer form adds no "array is not empty" filter, which the optimizer
+    # would push down through every step
+    out = state.select(*keys, "_end", "level", F.posexplode_outer("_path").alias("_i", "_v"))
     n = (F.col("_i") + 1).cast("int")
     return out.select(*keys, n.alias("step"), fq.add_steps(F.col("_end"), n, freq).alias(ts), (F.col("_v") * F.col("level")).alias("forecast"))
 

@@ -21,7 +21,7 @@ def future_spine(df: DataFrame, freq: str, horizon: int | Column, keys: Sequence
     """The ``horizon`` grid slots after each series' last row, with ``step``."""
     ends = df.groupBy(*keys).agg(F.max(ts).alias("_end"))
     h = horizon if isinstance(horizon, Column) else F.lit(horizon)
-    steps = ends.select(*keys, "_end", F.explode(F.sequence(F.lit(1), h)).alias("step"))
+    steps = ends.select(*keys, "_end", F.explode_outer(F.sequence(F.lit(1), h)).alias("step"))
     return steps.select(*keys, fq.add_steps(F.col("_end"), F.col("step"), freq).alias(ts), "step")
 
 

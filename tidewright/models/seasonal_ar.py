@@ -226,7 +226,7 @@ def ar1_forecast(df: DataFrame, freq: str, horizon: int, keys: Sequence[str], ts
         lambda acc, _: F.concat(acc, F.array(F.col("const") + F.col("phi") * F.element_at(acc, -1))),
     )
     d = ar1_fit(df, keys, ts, y).withColumn("_path", F.slice(path, 2, horizon))
-    d = d.select(*keys, "last_ts", F.posexplode("_path").alias("_i", "forecast"))
+    d = d.select(*keys, "last_ts", F.posexplode_outer("_path").alias("_i", "forecast"))
     step = (F.col("_i") + 1).cast("int")
     return d.select(*keys, step.alias("step"), fq.add_steps(F.col("last_ts"), step, freq).alias(ts), "forecast")
 

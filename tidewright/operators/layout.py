@@ -104,7 +104,7 @@ def in_blocks(
             F.when(inside < after, home - 1),
         )
     )
-    d = d.withColumn("_home", home).withColumn("_block", F.explode(homes))
+    d = d.withColumn("_home", home).withColumn("_block", F.explode_outer(homes))
     done = body(d, by_series([*keys, "_block"], "_pos"))
     return done.where(F.col("_block") == F.col("_home")).drop("_pos", "_home", "_block")
 

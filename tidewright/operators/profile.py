@@ -161,7 +161,7 @@ def acf(
     # a row also serves as context for the blocks up to nlags rows before it
     first = F.floor(F.greatest(F.lit(0), F.col("_rn") - 1 - nlags) / F.lit(block_rows))
     d = d.select(
-        *group, "_rn", "_n", (F.col("_y") - F.col("_mean")).alias("_d"), F.explode(F.sequence(first, block)).alias("_block")
+        *group, "_rn", "_n", (F.col("_y") - F.col("_mean")).alias("_d"), F.explode_outer(F.sequence(first, block)).alias("_block")
     )
     packed = d.groupBy(*group, "_block").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_d"))), lambda s: s["_d"]).alias("_x"),

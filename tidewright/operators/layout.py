@@ -97,14 +97,8 @@ def in_blocks(
     d = number_rows(df, keys, ts, out="_pos")
     home = F.floor((F.col("_pos") - 1) / F.lit(block_rows))
     inside = (F.col("_pos") - 1) % F.lit(block_rows)
-    homes = F.array_compact(
-        F.array(
-            home,
-            F.when(inside >= block_rows - before, home + 1),
-            F.when(inside < after, home - 1),
-        )
-    )
-    d = d.withColumn("_home", home).withColumn("_block", F.explode_outer(homes))
+    homes = F.array(home, F.when(inside >= block_rows - before, home + 1), F.when(inside < after, home - 1))
+    d = d.withColumn("_home", home).withColumn("_block", F.explode(homes)).where("_block is not null")
     done = body(d, by_series([*keys, "_block"], "_pos"))
     return done.where(F.col("_block") == F.col("_home")).drop("_pos", "_home", "_block")
 

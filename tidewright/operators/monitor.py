@@ -27,10 +27,14 @@ def bin_edges(baseline: DataFrame, keys: Sequence[str], y: str = "y", bins: int
     return exact_quantiles(baseline, keys, y, probs, out="edges")
 
 
+def _bin_index(y: str, bins: int) -> Column:
+    """Number of edges at or below the value; equal edges leave empty bins."""
+    return sum(((F.col("edges")[i] <= F.col(y)).cast("int") for i in range(bins - 1)), F.lit(0))
+
+
 def bin_counts(sample: DataFrame, edges: DataFrame, keys: Sequence[str], y: str = "y", bins: int = 10) -> DataFrame:
     """Rows per bin as one array per series; empty bins count 0."""
-    index = F.size(F.filter("edges", lambda e: e <= F.col(y)))
-    d = spread_join(sample.where(F.col(y).isNotNull()), edges, keys).withColumn("_bin", index)
+    d = spread_join(sample.where(F.col(y).isNotNull()), edges, keys).withColumn("_bin", _bin_index(y, bins))
     return d.groupBy(*keys).agg(F.array(*[F.count_if(F.col("_bin") == i) for i in range(bins)]).alias("counts"))
 
 
@@ -51,11 +55,10 @@ def psi(
     Both samples are binned in one aggregation, so only bin counts are shuffled.
     """
     edges = bin_edges(baseline, keys, y, bins, gridded)
-    index = F.size(F.filter("edges", lambda e: e <= F.col(y)))
     both = baseline.withColumn("_base", F.lit(True)).unionByName(
         current.withColumn("_base", F.lit(False)), allowMissingColumns=True
     )
-    d = spread_join(both.where(F.col(y).isNotNull()), edges, keys).withColumn("_bin", index)
+    d = spread_join(both.where(F.col(y).isNotNull()), edges, keys).withColumn("_bin", _bin_index(y, bins))
     counts = lambda side: F.array(*[F.count_if(side & (F.col("_bin") == i)) for i in range(bins)])
     out = d.groupBy(*keys).agg(counts(F.col("_base")).alias("base_counts"), counts(~F.col("_base")).alias("now_counts"))
     return out.withColumn("psi", psi_from_counts(F.col("base_counts"), F.col("now_counts")))

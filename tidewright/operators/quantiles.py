@@ -68,7 +68,8 @@ def exact_quantiles(
         entries.append(F.when(known, F.struct(F.lit(i).alias("i"), F.when(low, F.col("_y")).alias("v"))))
     counted = (
         spread_join(rows, sketch, group)
-        .select(*group, "_n", "_carry", F.explode(F.array_compact(F.array(*entries))).alias("_s"))
+        .select(*group, "_n", "_carry", F.explode(F.array(*entries)).alias("_s"))
+        .where("_s is not null")
         .groupBy(*group, F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_carry").alias("_carry"))
     )

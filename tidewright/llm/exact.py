@@ -35,7 +35,8 @@ def frequent_digests(keyed: DataFrame, tracked: int = TRACKED) -> DataFrame:
     sketches = keyed.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(digest, {2 * tracked})").alias("sketch")
     )
-    named = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {2 * tracked})").alias("sketch")).select(
+    # grouped by a constant: an empty partition then sends no empty sketch
+    named = sketches.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {2 * tracked})").alias("sketch")).select(
         F.explode(F.transform(F.expr(f"approx_top_k_estimate(sketch, {tracked})"), lambda x: x["item"])).alias("digest")
     )
     return (

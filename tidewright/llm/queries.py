@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewright.llm import exact
+from tidewright.llm import exact, secrets, urls
 from tidewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,42 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
        row_number() OVER (PARTITION BY h ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, h AS text_sha256
 FROM d
 """
+
+
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op3_url_filter(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return urls.judge_urls(pages, urls.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op3_url_filter"] = """
+WITH u AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+r(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow'))
+SELECT page_id, host, path,
+       (SELECT h || p FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+        ORDER BY length(h) DESC, length(p) DESC LIMIT 1) AS rule,
+       coalesce((SELECT v FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+                 ORDER BY length(h) DESC, length(p) DESC LIMIT 1), 'allow') AS verdict
+FROM u
+"""
+
+
+@query
+def op4_secrets(spark, sf_dir):
+    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    of = lambda kind: F.filter("secrets", lambda x: x["kind"] == kind)
+    spelled = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(
+        ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex", "random")],
+        F.sha2(spelled(F.filter("secrets", lambda x: x["kind"] != "random")).cast("binary"), 256).alias("base_sha256"),
+        spelled(F.col("secrets")).alias("spans"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import exact, secrets, urls
+from tidewright.llm import exact, mixing, secrets, urls
 from tidewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,34 @@ def op4_secrets(spark, sf_dir):
         F.sha2(spelled(F.filter("secrets", lambda x: x["kind"] != "random")).cast("binary"), 256).alias("base_sha256"),
         spelled(F.col("secrets")).alias("spans"),
     )
+
+
+#: Sources are flattened until one is seen four times as often as another; blocks of a million tokens.
+MAX_REPEAT, BLOCK_TOKENS = 4.0, 1 << 20
+
+
+@query
+def op2_mixing(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "source", mixing.token_count().alias("tokens"))
+    return mixing.mix(docs, text_col=None, tokens=F.col("tokens"), max_repeat=MAX_REPEAT, block_tokens=BLOCK_TOKENS)
+
+
+SQL["op2_mixing"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce('=' || source, 'null') AS k, coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         greatest(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')), 1) AS tokens FROM documents),
+s AS (SELECT k, count(*) AS docs, sum(tokens)::BIGINT AS t FROM d GROUP BY k),
+p AS (SELECT *, t / sum(t) OVER () AS share FROM s),
+e AS (SELECT max(share) / min(share) AS spread FROM p),
+a AS (SELECT CASE WHEN spread <= {MAX_REPEAT} THEN 0.0 ELSE 1 - ln({MAX_REPEAT}) / ln(spread) END AS a FROM e),
+w AS (SELECT k, docs, t, pow(share, a) AS power FROM p, a),
+q AS (SELECT k, docs, t, round(max(t / power) OVER () * power)::BIGINT AS quota FROM w),
+n AS (SELECT greatest(1, round(sum(quota) / {BLOCK_TOKENS}.0))::BIGINT AS blocks FROM q),
+x AS (SELECT d.*, q.t, q.quota, unnest(range(ceil(q.quota / q.t)::BIGINT)) AS epoch FROM d JOIN q USING (k)),
+y AS (SELECT *, epoch * t + coalesce(sum(tokens) OVER (PARTITION BY k, epoch ORDER BY md5('0|' || epoch || '|' || id), tokens
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM x),
+z AS (SELECT y.*, (start * blocks) // quota AS block FROM y, n WHERE start < quota)
+SELECT doc_id, source, tokens, epoch, block::BIGINT AS block,
+       row_number() OVER (PARTITION BY block ORDER BY md5('0|block|' || epoch || '|' || id), tokens) AS position
+FROM z
+"""

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import exact, mixing, secrets, urls
+from tidewright.llm import bpe, exact, mixing, secrets, urls
 from tidewright.llm.common import documents
 
+#: the tokenizer's file, installed at the same place on every machine
+TOKENIZER = os.environ.get("WORD_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -84,7 +88,8 @@ def op2_mixing(spark, sf_dir):
 SQL["op2_mixing"] = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce('=' || source, 'null') AS k, coalesce(CAST(doc_id AS VARCHAR), '') AS id,
-         greatest(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')), 1) AS tokens FROM documents),
+         greatest(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')), 1) AS tokens FROM documents),
 s AS (SELECT k, count(*) AS docs, sum(tokens)::BIGINT AS t FROM d GROUP BY k),
 p AS (SELECT *, t / sum(t) OVER () AS share FROM s),
 e AS (SELECT max(share) / min(share) AS spread FROM p),
@@ -100,3 +105,12 @@ SELECT doc_id, source, tokens, epoch, block::BIGINT AS block,
        row_number() OVER (PARTITION BY block ORDER BY md5('0|block|' || epoch || '|' || id), tokens) AS position
 FROM z
 """
+
+
+@query
+def op1_bpe(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", bpe.encode(F.col("text"), TOKENIZER).alias("ids"))
+    return docs.withColumn("decoded", bpe.decode(F.col("ids"), TOKENIZER)).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

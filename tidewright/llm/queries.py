@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, exact, mixing, secrets, urls
+from tidewright.llm import bpe, exact, language, mixing, secrets, urls
 from tidewright.llm.common import documents
 
 #: the tokenizer's file, installed at the same place on every machine
@@ -114,3 +114,11 @@ def op1_bpe(spark, sf_dir):
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", language.held_out("doc_id", 4, 2).alias("held_out"))
+    model = language.train(docs.where("not held_out").select("text", "lang"))
+    return docs.select("doc_id", "held_out", language.predict(F.col("text"), model).alias("p")).select(
+        "doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))

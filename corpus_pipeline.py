@@ -1,19 +1,66 @@
-"""Corpus preparation in stages; each stage works on all that the one before kept."""
+"""Corpus preparation in stages; each stage works on all that the one before kept.
+
+Every stage is (spark, docs, sf_dir) -> DataFrame and returns the columns of
+``documents``, but for the last, which adds the encoding. Null and repeated rows,
+empty texts and empty tables are handled as the operators' modules say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewright.llm import exact
-from tidewright.llm.common import documents
+from tidewright.llm import bpe, exact, language, mixing, near
+from tidewright.llm.common import documents, fresh
+from tidewright.llm.queries import TOKENIZER
 from tidewright.session import scratch_path
 
+#: a text goes if a smaller share of its trigrams is known to its best language
+MIN_SCORE = 0.2
+#: the least repeated source is taken once, no source more than one and a half times as often
+MAX_REPEAT = 1.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that are in no language: no letter, or hardly a known trigram."""
+    model = language.train(docs.where(~language.held_out("doc_id", 4, 2)).select("text", "lang"))
+    (found,) = fresh(docs, "found")
+    known = docs.withColumn(found, language.predict(F.col("text"), model))
+    return known.where((F.col(found)["lang"] != "und") & (F.col(found)["score"] >= MIN_SCORE)).select(docs.columns)
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest id stays."""
     return exact.drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the one with the largest id stays."""
+    return near.drop_near(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, rarer sources repeated up to the limit, in blocks that
+    hold the sources in their target proportions."""
+    return mixing.mix(docs, max_repeat=MAX_REPEAT).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds packed ids, their number, and the text that they decode to as a digest."""
+    coded = docs.withColumn("ids", bpe.encode(F.col("text"), TOKENIZER))
+    return coded.withColumn("decoded", bpe.decode(F.col("ids"), TOKENIZER)).select(
+        *docs.columns, "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("bpe_encode", encode),
+]
+#: trained filters and signatures are not SQL; tests hold the stages against brute force
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, exact, language, mixing, secrets, urls
+from tidewright.llm import bpe, exact, language, mixing, near, secrets, urls
 from tidewright.llm.common import documents
 
 #: the tokenizer's file, installed at the same place on every machine
@@ -122,3 +122,8 @@ def op10_language_id(spark, sf_dir):
     model = language.train(docs.where("not held_out").select("text", "lang"))
     return docs.select("doc_id", "held_out", language.predict(F.col("text"), model).alias("p")).select(
         "doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
+@query
+def op9_near_dedup(spark, sf_dir):
+    return near.near_classes(documents(spark, sf_dir).select("doc_id", "text"))

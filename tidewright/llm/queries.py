@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, exact, language, mixing, near, secrets, urls
+from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, secrets, urls
 from tidewright.llm.common import documents
 
 #: the tokenizer's file, installed at the same place on every machine
@@ -127,3 +127,11 @@ def op10_language_id(spark, sf_dir):
 @query
 def op9_near_dedup(spark, sf_dir):
     return near.near_classes(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op5_fingerprints(spark, sf_dir):
+    found = fingerprint.edited_fingerprints(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")

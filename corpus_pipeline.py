@@ -42,7 +42,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, rarer sources repeated up to the limit, in blocks that
     hold the sources in their target proportions."""
-    return mixing.mix(docs, max_repeat=MAX_REPEAT).select(docs.columns)
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))
+    return mixing.mix(rows, max_repeat=MAX_REPEAT).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ from tidewright.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
 WAYS = 16
+FEW_SOURCES = 10_000
 OUT = ("epoch", "block", "position")
 
 
@@ -116,9 +117,11 @@ def mix(
     plan = cut_lineage(plan.where("quota > 0").select(
         "source_key", F.col("tokens").alias("all"), "quota", F.ceil(F.col("quota") / F.col("tokens")).alias("epochs"),
         F.round(F.log(16.0, F.sqrt("docs"))).cast("int").alias("digits")))
+    # a few sources go to every task; beyond that rows meet their source in a shuffle
+    few = plan.count() <= FEW_SOURCES
     blocks = max(1, round((plan.agg(F.sum("quota")).first()[0] or 0) / block_tokens))
     draws = (
-        rows.join(plan, "source_key")
+        rows.join(F.broadcast(plan) if few else plan, "source_key")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)))
         .withColumn("draw", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), "id").cast("binary")))
         .withColumn("bucket", F.substring("draw", F.lit(1), F.col("digits")))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, secrets, urls
+from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, ngram_lm, secrets, urls
 from tidewright.llm.common import documents
 
 #: the tokenizer's file, installed at the same place on every machine
@@ -135,3 +135,12 @@ def op5_fingerprints(spark, sf_dir):
     return found.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op8_lm_scores(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = language.held_out("doc_id", 7, 2)
+    trie = ngram_lm.train(docs.where(~out))
+    return ngram_lm.score(docs, trie).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, ngram_lm, secrets, urls
+from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, ngram_lm, repeats, secrets, urls
 from tidewright.llm.common import documents
 
 #: the tokenizer's file, installed at the same place on every machine
@@ -144,3 +144,9 @@ def op8_lm_scores(spark, sf_dir):
     trie = ngram_lm.train(docs.where(~out))
     return ngram_lm.score(docs, trie).select(
         "doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query
+def op6_repeats(spark, sf_dir):
+    done = repeats.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

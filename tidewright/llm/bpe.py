@@ -38,7 +38,7 @@ WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L
 SPACES = regex.compile(f"[{SPACE}]+")
 #: str.split also cuts at these, which are not white space to the tokenizer
 NOT_SPACE = regex.compile("[\x1c-\x1f]")
-CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 400_000, 12_000_000, 2_000_000
+CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 500_000, 16_000_000, 2_000_000
 NEVER = np.int32(2**31 - 1)
 #: words that need merging are padded to the next of these; longer ones are merged alone
 WIDTHS = (8, 16, 32)
@@ -64,9 +64,6 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in whole["added_tokens"]}
         vocab = model["vocab"]
         size = max([*vocab.values(), *self.special.values()]) + 1
-        self.tokens: list[str | None] = [None] * size
-        for t, i in [*vocab.items(), *self.special.items()]:
-            self.tokens[i] = t
         # a token's creation: rank of its merge, and the two tokens it was merged from
         self.rank = np.full(size, -1, np.int32)
         self.left, self.right = np.arange(size, dtype=np.int32), np.arange(size, dtype=np.int32)
@@ -276,61 +273,71 @@ class WordBpe:
                 parts += WORDS.findall(text.lower())
         return parts
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces into the cache."""
-        cut: list[tuple[str, list[str | bytes]]] = []
-        new: dict[str, None] = {}
-        known = self.words
-        for piece in pieces:
-            # the common case: letters, then marks
-            core = piece.rstrip(MARKS)
-            marks = piece[len(core) :]
-            if not core.isascii():
-                # letters are lowered one by one, so a final sigma is like any other
-                core = unicodedata.normalize("NFC", core).replace("\u03a3", "\u03c3")
-            lower = core.lower()
-            if lower.isalpha():
-                parts: list[str | bytes] = [lower, marks] if marks else [lower]
-            else:
-                parts = self._parts(piece)
-            for w in parts:
-                if w not in known and isinstance(w, str):
-                    new[w] = None
-            cut.append((piece, parts))
+    def _learn(self, pieces: list[str], composed: bool) -> None:
+        """Encode new pieces into the cache. ``composed``: no letter needs normalising."""
+        known, words = self.pieces, self.words
+        # the common case: letters, then marks
+        cores = [p.rstrip(MARKS) for p in pieces]
+        lowered = [c.lower() for c in cores]
+        simple = [w.isalpha() and (composed or w.isascii()) for w in lowered]
+        # the word and its marks, or all words of a piece that is not so simple
+        plain = [(p, w, p[len(c) :]) for p, c, w, ok in zip(pieces, cores, lowered, simple) if ok]
+        other = [(p, self._parts(p)) for p, ok in zip(pieces, simple) if not ok]
+        need = {w for _, w, _ in plain}
+        need.update(m for _, _, m in plain if m)
+        need.update(w for _, parts in other for w in parts if isinstance(w, str))
+        new = list(need.difference(words))
         if new:
-            words = list(new)
-            for w, ids in zip(words, self.encode_words([w.encode("utf-8", "replace") for w in words])):
-                known[w] = ids
-                self.held += len(w)
-        for piece, parts in cut:
-            self.pieces[piece] = b"".join([self.words[p] if isinstance(p, str) else p for p in parts])
-            self.held += len(piece)
+            words.update(zip(new, self.encode_words([w.encode("utf-8", "replace") for w in new])))
+            self.held += sum(map(len, new))
+        words[""] = b""
+        known.update((p, words[w] + words[m]) for p, w, m in plain)
+        known.update((p, b"".join([words[x] if isinstance(x, str) else x for x in parts])) for p, parts in other)
+        self.held += sum(map(len, pieces))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         i = 0
         while i < len(texts):
-            taken, chars = [], 0
-            while i < len(texts) and (not taken or chars + len(texts[i] or "") <= SLICE_CHARS):
-                text = texts[i] or ""
-                chars += len(text)
-                taken.append(SPACES.split(text) if NOT_SPACE.search(text) else text.split())
+            some, chars = [], 0
+            while i < len(texts) and (not some or chars + len(texts[i] or "") <= SLICE_CHARS):
+                some.append(texts[i] or "")
+                chars += len(some[-1])
                 i += 1
             if len(self.pieces) > CACHE_WORDS or len(self.words) > CACHE_WORDS or self.held > CACHE_CHARS:
                 self.pieces.clear()
                 self.words.clear()
                 self.held = 0
-            known = self.pieces
-            new = {p for pieces in taken for p in pieces if p not in known}
+            composed = all(t.isascii() or (unicodedata.is_normalized("NFC", t) and "\u03a3" not in t) for t in some)
+            taken = [SPACES.split(t) if NOT_SPACE.search(t) else t.split() for t in some]
+            new = set().union(*taken).difference(self.pieces)
             if new:
-                self._learn(list(new))
-            out += [b"".join([known[p] for p in pieces]) for pieces in taken]
+                self._learn(list(new), composed)
+            out += [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in taken]
         return out
 
-    def decode(self, packed: bytes | None) -> str:
-        ids = np.frombuffer(packed or b"", "<u4")
-        tokens = self.tokens
-        return " ".join([t for i in ids.tolist() if i < self.size and (t := tokens[i]) is not None])
+
+def spellings(path: str) -> list[str | None]:
+    """Each id's token."""
+
+    def make():
+        with open(path, encoding="utf-8") as f:
+            whole = json.load(f)
+        pairs = [*whole["model"]["vocab"].items(), *((t["content"], t["id"]) for t in whole["added_tokens"])]
+        out: list[str | None] = [None] * (max(i for _, i in pairs) + 1)
+        for t, i in pairs:
+            out[i] = t
+        return out
+
+    return per_worker(("bpe tokens", path), make)
+
+
+def decoded(packed: bytes | None, tokens: list[str | None]) -> str:
+    ids = np.frombuffer(packed or b"", "<u4").tolist()
+    try:
+        return " ".join([tokens[i] for i in ids])
+    except (IndexError, TypeError):  # ids without a token
+        return " ".join([t for i in ids if i < len(tokens) and (t := tokens[i]) is not None])
 
 
 def tokenizer(path: str) -> WordBpe:
@@ -352,7 +359,7 @@ def decode(packed: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def bpe_decode(column: pa.Array) -> pa.Array:
-        one = tokenizer(path).decode
-        return pa.array([one(x) for x in column.to_pylist()], pa.string())
+        tokens = spellings(path)
+        return pa.array([decoded(x, tokens) for x in column.to_pylist()], pa.string())
 
     return bpe_decode(packed)

@@ -10,10 +10,10 @@ later than every register. Two documents agree in a register with the probabilit
 of their weighted Jaccard likeness. ``BANDS`` bands of ``ROWS`` registers find
 candidates: at likeness 0.8 a pair is missed with probability 7e-6.
 
-Documents with the same multiset are one node, so copies never meet each other. In a
-bucket every node is compared with one leader, not with all; buckets that still hold
-several classes are then chained in random order, again with linear pairs, until a
-round adds no link. Each pair is verified on whole multisets. Classes are the
+Documents with the same multiset are one node, so copies never meet each other. Every
+node is compared with one leader; then the classes that still share a bucket meet in
+each such bucket, one member of each, chained in random order, ``MEETINGS`` times
+over. So the pairs are linear in the rows, whatever a bucket's size. Each pair is verified on whole multisets. Classes are the
 connected components of verified links.
 
 Edge cases: a null or wordless text is alone; a text of fewer than five words is one
@@ -41,6 +41,7 @@ BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
 #: nodes of one bucket that are put in one random order
 CHAIN = 4096
+MEETINGS = 3
 U64 = np.uint64
 
 
@@ -254,32 +255,26 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     packed = cut_lineage(
         docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
         .join(wanted, id_col, "left_semi").mapInArrow(pack, "id long, bag binary"))
-    tried = cut_lineage(buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
-    links = cut_lineage(verified(tried, packed, likeness))
+    # a node is first compared with the largest leader of its buckets only
+    first = buckets.groupBy(F.col("node").alias("a")).agg(F.max("leader").alias("b")).where("a <> b")
+    links = cut_lineage(verified(first, packed, likeness))
     classes = components(links)
-    turn = 0
-    while True:
-        # buckets that hold nodes of several classes are chained in a new random order
+    for turn in range(MEETINGS):
+        # then classes that share a bucket meet there through one member each, in random order
         labelled = buckets.join(classes.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed_up = labelled.groupBy("band", "value").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "value")
         order = F.xxhash64(F.lit(turn), "band", "node")
-        chain = W.partitionBy("band", "value", F.pmod(order, F.ceil(F.col("n") / CHAIN))).orderBy(order, "node")
+        members = labelled.groupBy("band", "value", "label").agg(F.min(F.struct(order.alias("order"), "node", "size", "n")).alias("one"))
+        chain = W.partitionBy("band", "value", F.pmod("one.order", F.ceil(F.col("one.n") / CHAIN))).orderBy("one.order", "one.node")
         pairs = (
-            labelled.join(mixed_up, ["band", "value"], "left_semi")
-            .select(
-                F.col("node").alias("x"), "label", "size",
-                F.lag(F.struct("node", "label", "size")).over(chain).alias("y"))
-            .where("label <> y.label and least(size, y.size) >= " + str(likeness) + " * greatest(size, y.size)")
+            members.select(F.col("one.node").alias("x"), F.col("one.size").alias("size"), F.lag(F.struct("one.node", "one.size")).over(chain).alias("y"))
+            .where(f"least(size, y.size) >= {likeness} * greatest(size, y.size)")
             .select(F.least("x", "y.node").alias("a"), F.greatest("x", "y.node").alias("b")).distinct()
-            .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         )
-        pairs = cut_lineage(pairs)
         found = cut_lineage(verified(pairs, packed, likeness))
         if not found.take(1):
             break
-        tried, links = tried.unionByName(pairs), links.unionByName(found)
+        links = links.unionByName(found)
         classes = components(links)
-        turn += 1
     of_node = nodes.select(*bag, "node").join(classes.withColumnRenamed("id", "node"), "node", "left").select(*bag, F.coalesce("label", "node").alias("class_id"))
     member = signed.join(of_node, bag, "left").groupBy("id").agg(F.coalesce(F.max("class_id"), F.first("id")).alias("class_id"))
     member = cut_lineage(member)

@@ -11,8 +11,9 @@ unique is dropped:
 2. the anchor's whole context, from its first to its last window: contexts that occur
    twice settle all their windows at once, and one of them stands for the class;
 3. for other anchors of a repeated gram, blocks of ``BLOCK`` windows by the bytes
-   that all windows of the block share (``LENGTH - BLOCK + 1``);
-4. each window of a block that is still not unique, past the threshold (``LENGTH``).
+   that all windows of the block share (``LENGTH - BLOCK + 1``), then by those that
+   they cover together: equal blocks settle all their windows;
+4. each window of a block that is equal in part, past the threshold (``LENGTH``).
 
 Counts are aggregated map-side and joined back, so no group meets in one task, and no
 pairs are made. Names are pairs of 64-bit hashes.
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,20 +121,28 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, ANCHOR)
 
 
+def listed_rows(column: pa.Array, i: int, j: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(row within i..j, fields) of a slice of a column of lists of structs."""
+    some = column.slice(i, j - i)
+    flat = some.flatten()
+    count = pa.compute.list_value_length(some).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(j - i), count), [flat.field(k).to_numpy(zero_copy_only=False) for k in range(flat.type.num_fields)]
+
+
+BLOCKS = "place long, core long, hull long, id long, th long, first int, size int, settled boolean"
+
+
 def block_rows(rows: DataFrame) -> DataFrame:
-    """Blocks of the windows of listed anchors, with the name of each window packed. ``rows`` are
-    (id, text, th, list of (before, after, first, settled))."""
+    """Blocks of the windows of listed anchors. ``rows`` are (id, text, th, list of (before, after,
+    first, settled)). ``place`` names the gram and the block's offset from it, ``core`` the
+    bytes that all windows of a block share, ``hull`` those that they cover together; a
+    block with some windows only has a hull of its own."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, texts in batches_of(batch.column(1)):
                 b = Bytes(texts)
-                listed = batch.column(3).slice(i, j - i)
-                count = np.array([len(x) for x in listed], np.int64)
-                flat = listed.flatten()
-                before, after, first = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
-                settled = flat.field(3).to_numpy(zero_copy_only=False)
-                text = np.repeat(np.arange(j - i), count)
+                text, (before, after, first, settled) = listed_rows(batch.column(3), i, j)
                 low = first + b.start[text]
                 anchor, high = low + before, low + before + after
                 # windows by how far they start ahead of the anchor, in blocks of BLOCK
@@ -141,42 +151,43 @@ def block_rows(rows: DataFrame) -> DataFrame:
                 row = np.repeat(np.arange(len(n)), n)
                 block = b0[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 shared = anchor[row] - BLOCK * block
-                core = b.name(shared, shared + LENGTH - BLOCK + 1)
                 p0 = np.maximum(low[row], shared - BLOCK + 1)
-                p1 = np.minimum(high[row], shared)
-                size = p1 - p0 + 1
-                window = np.repeat(p0 - np.cumsum(size) + size, size) + np.arange(size.sum())
-                names = b.name(window, window + LENGTH).tobytes()
-                edges = (8 * np.concatenate([[0], np.cumsum(size)])).tolist()
+                size = np.minimum(high[row], shared) - p0 + 1
                 rows_ = pa.array(i + text[row])
+                own = batch.column(2).take(rows_).to_numpy().view(U64)
+                hull = np.where(size == BLOCK, b.name(p0, p0 + size - 1 + LENGTH), mixed(own + p0.astype(U64)))
+                place = mixed(b.name(anchor, anchor + GRAM)[row] + block.astype(U64))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(b.name(anchor, anchor + GRAM)[row].view(np.int64)), pa.array(block.astype(np.int32)), pa.array(core.view(np.int64)),
+                        pa.array(place.view(np.int64)), pa.array(b.name(shared, shared + LENGTH - BLOCK + 1).view(np.int64)), pa.array(hull.view(np.int64)),
                         batch.column(0).take(rows_), batch.column(2).take(rows_), pa.array((p0 - b.start[text[row]]).astype(np.int32)),
-                        pa.array([names[x:y] for x, y in zip(edges, edges[1:])], pa.binary()), pa.array(settled[row]),
+                        pa.array(size.astype(np.int32)), pa.array(settled[row].astype(bool)),
                     ],
-                    names=["gram", "block", "core", "id", "th", "first", "names", "settled"])
+                    names=["place", "core", "hull", "id", "th", "first", "size", "settled"])
+
+    return rows.mapInArrow(work, BLOCKS)
 
-    return rows.mapInArrow(work, "gram long, block int, core long, id long, th long, first int, names binary, settled boolean")
 
+def window_rows(rows: DataFrame) -> DataFrame:
+    """Windows of listed blocks. ``rows`` are (id, text, th, list of (place, core, first, size,
+    settled))."""
 
-def window_rows(blocks: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("names")]
-            if not names:
-                continue
-            count = np.array([len(x) for x in names], np.int64)
-            row = np.repeat(np.arange(len(names)), count)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            at = pa.array(row)
-            first = batch.column("first").to_numpy()[row] + step
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("core").take(at), pa.array(np.concatenate(names)), batch.column("id").take(at), batch.column("th").take(at),
-                 pa.array(first.astype(np.int32)), batch.column("settled").take(at)],
-                names=["core", "name", "id", "th", "first", "settled"])
-
-    return blocks.mapInArrow(work, "core long, name long, id long, th long, first int, settled boolean")
+            for i, j, texts in batches_of(batch.column(1)):
+                b = Bytes(texts)
+                text, (place, core, first, size, settled) = listed_rows(batch.column(3), i, j)
+                size = size.astype(np.int64)
+                row = np.repeat(np.arange(len(size)), size)
+                at = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+                begin = at + b.start[text[row]]
+                rows_ = pa.array(i + text[row])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place[row]), pa.array(core[row]), pa.array(b.name(begin, begin + LENGTH).view(np.int64)), batch.column(0).take(rows_),
+                     batch.column(2).take(rows_), pa.array(at.astype(np.int32)), pa.array(settled[row].astype(bool))],
+                    names=["place", "core", "name", "id", "th", "first", "settled"])
+
+    return rows.mapInArrow(work, "place long, core long, name long, id long, th long, first int, settled boolean")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -202,15 +213,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("one.id", "one.th", F.struct("before", "after", "one.first", (F.col("n") > 1).alias("settled")).alias("anchor"))
         .groupBy("id", "th").agg(F.collect_list("anchor").alias("anchors"))
     )
-    # one row for each text, so that rows repeated whole are not listed twice
-    texts = rows.join(listed, ["id", "th"]).select("id", "text", "th", "anchors").dropDuplicates(["id", "th"])
-    blocks = written(block_rows(texts), "repeats-blocks")
-    core = ["gram", "block", "core"]
-    shared = blocks.groupBy(*core).agg(F.count(F.lit(1)).alias("n"), F.bool_and("settled").alias("all_settled")).where("n > 1 and not all_settled").select(core)
-    windows = written(window_rows(blocks.join(shared, core)), "repeats-windows")
-    again = windows.groupBy("core", "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core", "name")
-    single = windows.where("not settled").join(again, ["core", "name"]).select("id", "th", F.col("first").alias("start"), (F.col("first") + LENGTH).alias("end"))
-    return whole.unionByName(single).groupBy("id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    blocks = written(block_rows(with_list(rows, listed, "anchors")), "repeats-blocks")
+    core = ["place", "core"]
+    shared = blocks.groupBy(*core).agg(F.count(F.lit(1)).alias("n"), F.bool_and("settled").alias("all")).where("n > 1 and not all").select(core)
+    near = written(blocks.join(shared, core), "repeats-shared")
+    # again one stands for all blocks that are equal as a whole
+    hulls = written(
+        near.groupBy(*core, "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "first", "size", "settled")).alias("one"))
+        .withColumn("settled", F.col("one.settled") | (F.col("n") > 1)), "repeats-hulls")
+    equal = near.where("not settled").join(hulls.where("n > 1").select(*core, "hull"), [*core, "hull"])
+    equal = equal.select("id", "th", F.col("first").alias("start"), (F.col("first") + F.col("size") - 1 + LENGTH).alias("end"))
+    open_cores = hulls.groupBy(*core).agg(F.count(F.lit(1)).alias("n"), F.bool_and("settled").alias("all")).where("n > 1 and not all").select(core)
+    bordering = hulls.join(open_cores, core).select(
+        "one.id", "one.th", F.struct(*core, "one.first", "one.size", "settled").alias("block")).groupBy("id", "th").agg(F.collect_list("block").alias("blocks"))
+    windows = written(window_rows(with_list(rows, bordering, "blocks")), "repeats-windows")
+    again = windows.groupBy(*core, "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*core, "name")
+    single = windows.where("not settled").join(again, [*core, "name"]).select("id", "th", F.col("first").alias("start"), (F.col("first") + LENGTH).alias("end"))
+    return whole.unionByName(equal).unionByName(single).groupBy("id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+
+def with_list(rows: DataFrame, lists: DataFrame, name: str) -> DataFrame:
+    """Texts with their list; rows repeated whole are one text here."""
+    return rows.join(lists, ["id", "th"]).select("id", "text", "th", name).dropDuplicates(["id", "th"])
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

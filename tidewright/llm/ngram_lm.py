@@ -41,7 +41,7 @@ from tidewright.session import cut_lineage, scratch_path
 
 ORDER, DISCOUNT, MIN_COUNT = 3, 0.75, 2
 #: vocabulary entries per file, about; n-grams that a task sums before it sends them
-PER_SHARD, HELD = 1 << 20, 1 << 21
+PER_SHARD, HELD = 1 << 20, 1 << 19
 SLICE_BYTES = 1_000_000
 #: logarithms from -GRID to 0 in 65535 steps
 GRID = 16.0
@@ -249,8 +249,12 @@ def count(rows: DataFrame, trie: Trie, level: int, shards: int) -> DataFrame:
                     held.append(np.unique(keys, return_counts=True))
                     size += len(held[-1][0])
                 if size > HELD:
-                    yield from sent()
-                    held, size = [], 0
+                    # what repeats between texts is summed first; what is left may be small enough to hold on to
+                    held = [summed(*(np.concatenate(x) for x in zip(*held)))]
+                    size = len(held[0][0])
+                    if size > HELD // 2:
+                        yield from sent()
+                        held, size = [], 0
         if held:
             yield from sent()
 

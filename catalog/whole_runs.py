@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, monthly_by_priority, query, raw_events, rounded, table
+from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, raw_events, rounded, table
 from catalog.regularizing import _FILLED, policy_sql
 from catalog.screening import _LAGGED_SQL, lagged_features
+from tidewright.functions import frequency as fq
 from tidewright.functions.expressions import safe_divide
 from tidewright.models import custom
 from tidewright.operators import monitor, screening
+from tidewright.operators.layout import by_series
 from tidewright.plans import forecasting as plan
 from tidewright.plans.load import LoadOptions, load_series
 from tidewright.session import scratch_path
@@ -69,55 +71,115 @@ def custom_drift_model(spark, sf):
     return rounded(custom.fit_forecast(monthly_by_priority(spark, sf), drift, "MS", 12, KEYS), 2, "forecast")
 
 
+SCREEN = 0.02  # drops a candidate in some series, and all of them in others
+
+
 @query("external_features", f"""
 WITH d AS ({_LAGGED_SQL}), c AS (SELECT series_id, covar_pop(coalesce(lag_7, 0), y) / nullif(stddev_pop(coalesce(lag_7, 0)) * stddev_pop(y), 0) AS r7,
   covar_pop(coalesce(roll7_mean, 0), y) / nullif(stddev_pop(coalesce(roll7_mean, 0)) * stddev_pop(y), 0) AS rr FROM d GROUP BY series_id),
-k AS (SELECT series_id, concat_ws(',', CASE WHEN abs(r7) >= 0.01 THEN 'lag_7' END, CASE WHEN abs(rr) >= 0.01 THEN 'roll7_mean' END) AS screened FROM c WHERE abs(r7) >= 0.01 OR abs(rr) >= 0.01),
-f AS (SELECT series_id, date_trunc('month', ts) AS fold, avg(abs((y - lag_1) / y)) * 100 AS base, avg(abs((y - (lag_1 + lag_7 + roll7_mean) / 3) / y)) * 100 AS plus
-  FROM d WHERE roll7_mean IS NOT NULL GROUP BY 1, 2),
+k AS (SELECT series_id, coalesce(abs(r7) >= {SCREEN}, false) AS in7, coalesce(abs(rr) >= {SCREEN}, false) AS inr FROM c),
+f AS (SELECT d.series_id, date_trunc('month', ts) AS fold, avg(abs((y - lag_1) / y)) * 100 AS base,
+  avg(abs((y - (lag_1 + CASE WHEN in7 THEN lag_7 ELSE 0 END + CASE WHEN inr THEN roll7_mean ELSE 0 END) / (1 + in7::INTEGER + inr::INTEGER)) / y)) * 100 AS plus
+  FROM d JOIN k ON d.series_id = k.series_id WHERE roll7_mean IS NOT NULL AND lag_7 IS NOT NULL GROUP BY 1, 2),
 m AS (SELECT series_id, quantile_cont(base, 0.5) AS mb, quantile_cont(plus, 0.5) AS mp FROM f GROUP BY series_id)
-SELECT k.series_id, screened, round(mb, 6) AS median_base, round(mp, 6) AS median_plus, round(mb - mp, 6) AS uplift, mb - mp >= 1.0 AS accepted FROM k JOIN m ON k.series_id = m.series_id
+SELECT k.series_id, concat_ws(',', CASE WHEN in7 THEN 'lag_7' END, CASE WHEN inr THEN 'roll7_mean' END) AS screened,
+  round(mb, 6) AS median_base, round(mp, 6) AS median_plus, round(mb - mp, 6) AS uplift, mb - mp >= 1.0 AND (in7 OR inr) AS accepted FROM k JOIN m ON k.series_id = m.series_id
 """)
 def external_features(spark, sf):
+    d = lagged_features(spark, sf).withColumn("whole", F.col("roll7_mean").isNotNull() & F.col("lag_7").isNotNull())
+
     def monthly_error(df, columns):
-        mean = sum((F.col(c) for c in columns), F.lit(0.0)) / len(columns)
+        total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in columns), F.lit(0.0))
+        mean = total / sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))
         error = F.avg(F.abs(safe_divide(F.col("y") - mean, F.col("y")))) * 100
-        d = df.where("roll7_mean is not null").withColumn("fold", F.date_trunc("month", "ts"))
-        return d.groupBy("series_id", "fold").agg(error.alias("score")).drop("fold")
+        folds = df.where("whole").withColumn("fold", F.date_trunc("month", "ts"))
+        return folds.groupBy("series_id", "fold").agg(error.alias("score")).drop("fold")
 
-    d = screening.select_external_features(lagged_features(spark, sf), ["lag_7", "roll7_mean"], KEYS, monthly_error, base=["lag_1"], min_abs=0.01)
-    return rounded(d, 6, "median_base", "median_plus", "uplift").withColumn("screened", F.concat_ws(",", "screened"))
+    out = screening.select_external_features(d, ["lag_7", "roll7_mean"], KEYS, monthly_error, base=["lag_1"], min_abs=SCREEN)
+    return rounded(out, 6, "median_base", "median_plus", "uplift").withColumn("screened", F.concat_ws(",", "screened"))
 
 
 # ------------------------------------------------------------------ whole runs
 
-FAST = {"maxIter": 10, "patience": None}
-
-
 def _monthly_run(spark, sf, ladder):
     from tidewright.operators.regularize import fill_gaps
 
     d = fill_gaps(monthly_by_priority(spark, sf), "MS", KEYS, policy="ffill").select("series_id", "ts", "y")
-    return d, plan.backtest(d, "MS", KEYS, ladder, boosting=FAST)
+    return plan.backtest(d, "MS", KEYS, ladder)
 
 
 @query("fitted_ladder")
 def fitted_ladder(spark, sf):
-    _, run = _monthly_run(spark, sf, plan.LADDER)
-    return rounded(run.ranked, 4, "score", "improvement_pct")
+    return rounded(_monthly_run(spark, sf, plan.LADDER).ranked, 4, "score", "improvement_pct")
 
 
 @query("flagship_forecast")
 def flagship_forecast(spark, sf):
-    d, run = _monthly_run(spark, sf, ("seasonal_ar", "seasonal_ar_x", "trend_season", "snaive"))
-    return rounded(plan.forecast(d, "MS", KEYS, run), 2, "forecast", "lower", "upper")
+    run = _monthly_run(spark, sf, plan.LADDER)
+    return rounded(plan.forecast("MS", KEYS, run), 2, "forecast", "lower", "upper")
 
 
 @query("run_report")
 def run_report(spark, sf):
-    d, run = _monthly_run(spark, sf, ("naive", "snaive", "moving_average", "trend_season"))
-    r = plan.report(d, KEYS, run)
-    return r.withColumn("models_tried", F.to_json("models_tried"))
+    r = plan.report(KEYS, _monthly_run(spark, sf, (*plan.BASELINES, "seasonal_ar", "seasonal_ar_x", "trend_season")))
+    return r.withColumns({"models_tried": F.to_json("models_tried"), "metrics": F.to_json("metrics")})
+
+
+_LAST = f"WITH d AS ({MONTHLY_BY_PRIORITY}), m AS (SELECT series_id, max(ts) AS t FROM d GROUP BY series_id)"
+_STEPS = """SELECT m.series_id, h.label AS horizon_label, s.step::INTEGER AS step, (m.t + to_months(s.step::INTEGER))::TIMESTAMP AS ts"""
+_HORIZONS = "(VALUES {}) AS h(label, n)".format(", ".join(f"('{n}', {h})" for n, h in fq.frequency("MS").horizons))
+
+
+def _won_by(spark, sf, name):
+    run = plan.backtest(monthly_by_priority(spark, sf), "MS", KEYS, (name,))
+    return rounded(plan.forecast("MS", KEYS, run), 2, "forecast").drop("lower", "upper")
+
+
+@query("plan_naive_winner", f"""{_LAST}
+{_STEPS}, round(d.y, 2) AS forecast, 'naive' AS model, false AS fallback
+FROM m JOIN d ON m.series_id = d.series_id AND m.t = d.ts, {_HORIZONS}, range(1, h.n + 1) AS s(step)
+""")
+def plan_naive_winner(spark, sf):
+    """A series won by the naive model is forecast by it."""
+    return _won_by(spark, sf, "naive")
+
+
+@query("plan_moving_average_winner", f"""{_LAST},
+a AS (SELECT series_id, avg(y) AS y FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) AS k FROM d) WHERE k <= {plan.AVERAGED} GROUP BY series_id)
+{_STEPS}, round(a.y, 2) AS forecast, 'moving_average' AS model, false AS fallback
+FROM m JOIN a ON m.series_id = a.series_id, {_HORIZONS}, range(1, h.n + 1) AS s(step)
+""")
+def plan_moving_average_winner(spark, sf):
+    return _won_by(spark, sf, "moving_average")
+
+
+_GAPPED = ("seasonal_ar", "seasonal_ar_x", "trend_season", "snaive")
+
+
+@query("plan_scored_rows", f"""
+WITH d AS ({DAILY_BY_PRIORITY}), n AS (SELECT series_id, count(*) AS n FROM d GROUP BY series_id)
+SELECT series_id, model, least({fq.frequency("D").valid_cap}, n - {fq.frequency("D").min_train})::BIGINT AS n_rows
+FROM n, (VALUES {", ".join(f"('{m}')" for m in _GAPPED)}) AS v(model)
+""")
+def plan_scored_rows(spark, sf):
+    """Series with gaps: every model is scored on the same rows."""
+    run = plan.backtest(daily_by_priority(spark, sf), "D", KEYS, _GAPPED)
+    return run.predictions.groupBy("series_id", "model").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("plan_series_complete", f"""
+WITH d AS ({MONTHLY_BY_PRIORITY}), c AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS k FROM d),
+s AS (SELECT series_id, n AS kept FROM (SELECT DISTINCT series_id FROM c), (VALUES (1), (3), (1000)) AS v(n))
+SELECT series_id || '-' || kept AS series_id, horizon_label, count(*) AS n_steps
+FROM s, {_HORIZONS.replace("label, n", "horizon_label, h")}, range(1, h + 1) AS r(step) GROUP BY ALL
+""")
+def plan_series_complete(spark, sf):
+    """Series of one row, of three and whole ones: each comes out with every step."""
+    d = monthly_by_priority(spark, sf).withColumn("k", F.row_number().over(by_series(KEYS, "ts")))
+    d = d.withColumn("kept", F.explode(F.array(*map(F.lit, (1, 3, 1000))))).where("k <= kept")
+    d = d.withColumn("series_id", F.concat_ws("-", "series_id", "kept")).drop("k", "kept")
+    out = plan.forecast("MS", KEYS, plan.backtest(d, "MS", KEYS, ("seasonal_ar", "trend_season")))
+    return out.where("forecast is not null").groupBy("series_id", "horizon_label").agg(F.count(F.lit(1)).alias("n_steps"))
 
 
 # -------------------------------------------------------------------- streams

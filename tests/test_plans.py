@@ -85,10 +85,33 @@ def test_backtest_picks_the_lowest_score_and_forecasts_every_horizon(daily):
         assert best[k]["best_score"] == g.score.min()
         assert best[k]["best_model"] == g.sort_values(["score", "step"]).model.iloc[0]
     assert ranked.score.min() < 5  # the waves are learned
-    out = plan.forecast(daily, "D", KEYS, run).toPandas()
+    out = plan.forecast("D", KEYS, run).toPandas()
     sizes = out.groupby(["series_id", "horizon_label"]).size().to_dict()
     assert sizes == {(s, h): n for s in ("s0", "s1", "s2") for h, n in (("30d", 30), ("90d", 90))}
     assert (out.lower <= out.upper).all()
-    rep = plan.report(daily, KEYS, run).toPandas()
+    rep = plan.report(KEYS, run).toPandas()
     assert len(rep) == 3 and rep.models_tried.map(len).eq(4).all()
     assert isinstance(rep, pd.DataFrame)
+
+
+def test_gapped_and_short_series_keep_every_row_and_step(spark, daily_pdf):
+    gapped = daily_pdf[(daily_pdf.series_id != "s0") | (daily_pdf.ts.dt.dayofweek < 5)]
+    short = daily_pdf[daily_pdf.series_id == "s1"].head(4).assign(series_id="short")
+    d = spark.createDataFrame(pd.concat([gapped, short]), SCHEMA)
+    ladder = ("seasonal_ar", "seasonal_ar_x", "trend_season", "naive", "snaive", "moving_average")
+    run = plan.backtest(d, "D", KEYS, ladder)
+    counts = run.predictions.toPandas().groupby(["series_id", "model"]).size().unstack()
+    for k in ("s0", "s1", "s2"):
+        assert counts.loc[k, list(ladder)].nunique() == 1
+    out = plan.forecast("D", KEYS, run, "30d").toPandas()
+    assert out.groupby("series_id").size().to_dict() == {k: 30 for k in ("s0", "s1", "s2", "short")}
+    assert out.forecast.notna().all()
+
+
+@pytest.mark.parametrize("name, value", [("naive", lambda y: y.iloc[-1]), ("moving_average", lambda y: y.tail(30).mean())])
+def test_a_baseline_that_wins_makes_its_own_forecast(daily, daily_pdf, name, value):
+    run = plan.backtest(daily, "D", KEYS, (name,))
+    out = plan.forecast("D", KEYS, run, "30d").toPandas()
+    for k, g in daily_pdf.groupby("series_id"):
+        assert abs(out[out.series_id == k].forecast - value(g.sort_values("ts").y)).max() < 1e-9
+    assert set(out.model) == {name} and not out.fallback.any()

@@ -46,6 +46,17 @@ def seasonal_naive(df: DataFrame, freq: str, horizon: int, keys: Sequence[str] =
     return with_seasonal_naive(future, df, season, keys, ts, y).withColumnRenamed("snaive", "forecast")
 
 
+def level_forecast(
+    df: DataFrame, freq: str, horizon: int, keys: Sequence[str] = (), ts: str = "ts", y: str = "y", window: int = 1
+) -> DataFrame:
+    """Every step takes the mean of the last ``window`` rows (1: the last value)."""
+    back = F.row_number().over(by_series(keys, F.col(ts).desc()))
+    recent = df.withColumn("_back", back).where(F.col("_back") <= window)
+    level = recent.groupBy(*keys).agg(F.avg(y).alias("forecast"))
+    future = future_spine(df, freq, horizon, keys, ts)
+    return future.join(level, list(keys)) if keys else future.withColumn("forecast", F.lit(level.first()["forecast"]))
+
+
 def naive_validation(df: DataFrame, season: int, keys: Sequence[str] = (), ts: str = "ts", y: str = "y", window: int = 30) -> DataFrame:
     """Validation predictions of three baselines, from a frame with ``split``.
 

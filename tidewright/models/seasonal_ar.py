@@ -87,9 +87,13 @@ def forecast(
     season: int | None = None,
     exog: Sequence[str] = (),
     exog_future: DataFrame | None = None,
+    future: DataFrame | None = None,
 ) -> DataFrame:
     """Mean forecast with 95 % bounds for ``horizon`` steps after each series.
 
+    Steps count rows, as the differences do. ``future`` may name the rows to
+    forecast (keys, ts, step); otherwise they follow on the calendar.
+
     ``exog_future`` carries real future values of the features on the future
     grid. The recursion sees one row per series: a season of recent values and
     shocks, whatever the length of the history.
@@ -107,7 +111,8 @@ def forecast(
         ordered("_u").alias("_u"), ordered("_w").alias("_w"), ordered("_e").alias("_e"),
         F.max("_mu").alias("_mu"), F.max("_sd").alias("_sd"),
     ).join(coef, keys)
-    future = future_spine(df, freq, horizon, keys, ts)
+    if future is None:
+        future = future_spine(df, freq, horizon, keys, ts)
     if exog:
         state = state.join(_future_exog(df, future, exog_future, keys, ts, season, exog), keys)
     else:
@@ -124,8 +129,10 @@ def forecast(
             u, w, e = (np.stack(pdf[c].to_numpy()).astype(float) for c in ("_u", "_w", "_e"))
             add = np.zeros((len(pdf), horizon))
             if exog:
-                fx = np.array([[np.asarray(step, dtype=float) for step in s] for s in pdf["_fx"]])
-                add = np.einsum("shp,sp->sh", fx, beta[:, n_ar:])
+                # a series may have fewer future rows than the horizon
+                for i, steps in enumerate(pdf["_fx"]):
+                    fx = np.array([np.asarray(step, dtype=float) for step in steps])
+                    add[i, : len(fx)] = fx @ beta[i, n_ar:]
             mean = _continue(beta, u, w, e, add, season)
             sd = np.sqrt(pdf["var"].to_numpy()[:, None] * np.cumsum(_psi(beta, horizon, season) ** 2, axis=1))
             mu, scale = pdf["_mu"].to_numpy()[:, None], pdf["_sd"].to_numpy()[:, None]

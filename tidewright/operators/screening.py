@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -65,9 +66,10 @@ def high_pairs(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
 
 # ---------------------------------------------------------------------- VIF
 
-def _corr_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """One row per series: row count and upper-triangle correlations."""
-    d = df.na.drop(subset=list(columns))
+def _corr_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str], complete: bool = True) -> DataFrame:
+    """One row per series: row count and upper-triangle correlations, of rows
+    that are complete in all columns unless the caller has chosen the rows."""
+    d = df.na.drop(subset=list(columns)) if complete else df
     value = lambda a, b: pearson(F.col(a).cast("double"), F.col(b).cast("double"))
     spread = [F.stddev_samp(F.col(c).cast("double")) for c in columns]
     return d.groupBy(*keys).agg(
@@ -166,7 +168,9 @@ def evaluate_features(
     min_abs: float = MIN_ABS_CORR, threshold: float = MAX_VIF,
 ) -> DataFrame:
     """Correlation screen, then drop every survivor whose VIF is too high, all
-    at once. One row per series: counts, largest VIF, kept features."""
+    at once. One row per series: counts, largest VIF, kept features. Rows count
+    for the VIF when a series' survivors are known in them; a screened-out column
+    takes no row away."""
     columns, keys = list(columns), list(keys)
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     target = df.groupBy(*keys).agg(F.array(*[pearson(zero(c), zero(y)) for c in columns]).alias("_t"))
@@ -189,7 +193,10 @@ def evaluate_features(
             yield pd.DataFrame(rows, columns=[*keys, "n_features_post_corr", "n_features_final", "max_vif", "features_kept"])
 
     schema = _key_schema(df, keys) + "n_features_post_corr int, n_features_final int, max_vif double, features_kept array<string>"
-    return target.join(_corr_rows(df, columns, keys), keys, "left").mapInPandas(decide, schema)
+    survives = target.select(*keys, F.transform("_t", lambda r: F.coalesce(F.abs(r) >= min_abs, F.lit(False))).alias("_in"))
+    known = [~F.col("_in")[i] | F.col(c).isNotNull() for i, c in enumerate(columns)]
+    rows = df.join(survives, keys).where(reduce(lambda a, b: a & b, known)) if keys else df
+    return target.join(_corr_rows(rows, columns, keys, complete=not keys), keys, "left").mapInPandas(decide, schema)
 
 
 # ------------------------------------------------------------- uplift, gates
@@ -222,15 +229,22 @@ def select_external_features(
 ) -> DataFrame:
     """Screen candidates, then keep them where a caller's back-test improves.
 
-    ``backtest(df, columns)`` returns ``keys + [score]`` rows, one per fold.
+    ``backtest(df, columns)`` returns ``keys + [score]`` rows, one per fold. It
+    sees NULL in the candidates that a series' screen has dropped, so only the
+    survivors are tried. A series without survivors stays on its base set.
     """
     kept = corr_screen(df, columns, keys, y, min_abs).groupBy(*keys).agg(F.array_sort(F.collect_list("feature")).alias("screened"))
+    every = df.select(*keys).distinct().join(kept, list(keys), "left")
+    every = every.withColumn("screened", F.coalesce("screened", F.array().cast("array<string>")))
     if backtest is None:
-        return kept.withColumn("accepted", F.lit(True))
+        return every.withColumn("accepted", F.size("screened") > 0)
+    tried = df.join(every.withColumnRenamed("screened", "_screened"), list(keys))
+    tried = tried.withColumns({c: F.when(F.array_contains("_screened", c), F.col(c)) for c in columns}).drop("_screened")
     arms = backtest(df, list(base)).withColumn("arm", F.lit("base")).unionByName(
-        backtest(df, [*base, *columns]).withColumn("arm", F.lit("plus"))
+        backtest(tried, [*base, *columns]).withColumn("arm", F.lit("plus"))
     )
-    return kept.join(uplift_decision(arms, keys, points=points), list(keys), "left")
+    out = every.join(uplift_decision(arms, keys, points=points), list(keys), "left")
+    return out.withColumn("accepted", F.coalesce("accepted", F.lit(False)) & (F.size("screened") > 0))
 
 
 def gate_columns(acf7: Column, acf365: Column, calendar_kept: Column, zero_fraction: Column) -> dict[str, Column]:

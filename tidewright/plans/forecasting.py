@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,23 +15,28 @@ from tidewright.operators import evaluate as ev
 from tidewright.operators import intervals as iv
 from tidewright.operators import monitor
 from tidewright.operators.features import calendar_features
+from tidewright.operators.layout import by_series
 from tidewright.session import cut_lineage
 
 LADDER = ("seasonal_ar", "seasonal_ar_x", "trend_season", "boosted")
 EXOG = ("is_weekend", "sin_annual", "cos_annual")
 
 
+BASELINES = ("naive", "snaive", "moving_average")
+AVERAGED = 30  # rows of the moving average
+
+
 @dataclass
 class Run:
-    """Lazy results of one back-test."""
+    """Results of one back-test; all later steps read the series stored here."""
 
-    predictions: DataFrame  # keys, ts, y, model, yhat
+    series: DataFrame  # keys, ts, y
+    predictions: DataFrame  # keys, ts, y, model, yhat: models that predicted every validation row
     scores: DataFrame  # keys, model, metric, value
     ranked: DataFrame  # keys, model, score, improvement, is_best
-    best: DataFrame  # keys, best_model, best_score
+    best: DataFrame  # keys, best_model, best_score, fallback: one row for every series
     metric: DataFrame  # keys, primary_metric
     boosted_model: object = None
-    boosted_table: DataFrame | None = None
 
 
 def _season(freq: str) -> int:
@@ -38,92 +44,123 @@ def _season(freq: str) -> int:
     return fq.frequency(freq).season
 
 
-def _ar(df: DataFrame, freq: str, steps: int, keys: Sequence[str], features: bool) -> DataFrame:
+def _ar(df: DataFrame, freq: str, steps: int, keys: Sequence[str], features: bool, future: DataFrame | None = None) -> DataFrame:
     if not features:
-        return seasonal_ar.forecast(df, freq, steps, keys, season=_season(freq))
-    future = calendar_features(naive.future_spine(df, freq, steps, keys))
+        return seasonal_ar.forecast(df, freq, steps, keys, season=_season(freq), future=future)
+    known = future.select(*keys, "ts") if future is not None else naive.future_spine(df, freq, steps, keys)
     return seasonal_ar.forecast(
-        calendar_features(df), freq, steps, keys, season=_season(freq), exog=list(EXOG), exog_future=future
+        calendar_features(df), freq, steps, keys, season=_season(freq), exog=list(EXOG), exog_future=calendar_features(known), future=future
     )
 
 
 def backtest(
     series: DataFrame, freq: str, keys: Sequence[str], ladder: Sequence[str] = LADDER, boosting: dict | None = None
 ) -> Run:
-    """Score every model of the ladder on each series' validation rows."""
+    """Score every model of the ladder on each series' validation rows.
+
+    All models are scored on the same rows: each predicts every validation row, by
+    position where it counts steps. A model that leaves one out has failed for
+    that series. A series where every model fails falls back on the seasonal
+    naive, or on the last value if it is shorter than a season.
+    """
     keys = list(keys)
     # every model reads the regular series, which is small beside the raw rows
     series = cut_lineage(series.select(*keys, "ts", "y"))
     split = ev.train_valid_split(series, freq, keys)
     train = split.where("split = 'train'").drop("split")
-    valid = split.where("split = 'valid'").drop("split")
+    valid = split.where("split = 'valid'").drop("split").withColumn("step", F.row_number().over(by_series(keys, "ts")))
     steps = fq.frequency(freq).valid_cap
-    run_model = run_table = None
+    run_model = None
     parts = []
     for name in ladder:
         if name in ("seasonal_ar", "seasonal_ar_x"):
-            p = _ar(train, freq, steps, keys, name.endswith("_x"))
-            p = ev.match_predictions(valid, p.select(*keys, "ts", F.col("forecast").alias("yhat")), keys)
+            p = _ar(train, freq, steps, keys, name.endswith("_x"), valid.select(*keys, "ts", "step"))
+            p = p.select(*keys, "ts", F.col("forecast").alias("yhat"))
         elif name == "trend_season":
             design = trend_season.Design.for_frequency(freq)
-            p = trend_season.predict(valid, trend_season.fit(train, design, keys), design, keys)
-            p = p.select(*keys, "ts", "y", F.col("forecast").alias("yhat"))
+            p = trend_season.predict(valid.drop("step"), trend_season.fit(train, design, keys), design, keys)
+            p = p.select(*keys, "ts", F.col("forecast").alias("yhat"))
         elif name == "boosted":
-            run_table = boosted.training_table(split, keys)
-            run_model = boosted.train(run_table, **(boosting or {}))
-            p = boosted.predict(run_table.where("split = 'valid'"), run_model).select(*keys, "ts", "y", "yhat")
-        elif name in ("naive", "snaive", "moving_average"):
-            p = naive.naive_validation(split, _season(freq), keys).where(F.col("model") == name).drop("model")
+            table = cut_lineage(boosted.training_table(split, keys))
+            run_model = boosted.train(table, **(boosting or {}))
+            p = boosted.predict(table.where("split = 'valid'"), run_model).select(*keys, "ts", "yhat")
+        elif name in BASELINES:
+            p = naive.naive_validation(split, _season(freq), keys, window=AVERAGED).where(F.col("model") == name).select(*keys, "ts", "yhat")
         else:
             raise ValueError(f"unknown model {name!r}")
-        parts.append(p.where("yhat is not null").withColumn("model", F.lit(name)))
-    predictions = parts[0]
-    for p in parts[1:]:
-        predictions = predictions.unionByName(p)
+        parts.append(valid.drop("step").join(p, [*keys, "ts"], "left").withColumn("model", F.lit(name)))
     # scored, ranked and used for intervals: fitted once
-    predictions = cut_lineage(predictions)
+    predictions = cut_lineage(reduce(DataFrame.unionByName, parts))
     by = [*keys, "model"]
+    failed = predictions.where("yhat is null or isnan(yhat)").select(*by).distinct()
+    predictions = predictions.join(failed, by, "left_anti").select(*keys, "ts", "y", "model", "yhat")
     scores = ev.tidy(ev.score(predictions, by), by)
     metric = ev.choose_metric(series, keys).select(*keys, "primary_metric")
     primary = scores.join(metric, keys).where("metric = primary_metric").select(*by, F.col("value").alias("score"))
     ranked = ev.rank_models(primary, ladder, keys)
-    best = ev.best_model(primary, ladder, keys)
-    return Run(predictions, scores, ranked, best, metric, run_model, run_table)
+    won = ev.best_model(primary, ladder, keys)
+    fallback = F.when(F.col("_n") >= _season(freq), "snaive").otherwise("naive")
+    best = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).join(won, keys, "left").select(
+        *keys, F.coalesce("best_model", fallback).alias("best_model"), "best_score", F.col("best_model").isNull().alias("fallback"))
+    return Run(series, predictions, scores, ranked, cut_lineage(best), metric, run_model)
 
 
-def forecast(series: DataFrame, freq: str, keys: Sequence[str], run: Run, horizon_label: str | None = None) -> DataFrame:
+def forecast(freq: str, keys: Sequence[str], run: Run, horizon_label: str | None = None) -> DataFrame:
     """Refit each series' best model on its whole history and forecast.
 
     Monthly trend-season forecasts are levelled and blended with the seasonal
-    naive; boosted forecasts get conformal bounds from the validation rows.
+    naive; baselines and boosted forecasts get conformal bounds from their own
+    validation rows. Every series has every step: what a refitted model cannot
+    give is the last value, marked as fallback.
     """
     keys = list(keys)
     f = fq.frequency(freq)
     horizons = [h for h in f.horizons if horizon_label in (None, h[0])]
     steps = max(h for _, h in horizons)
-    best = cut_lineage(run.best.select(*keys, "best_model"))
-    winners = sorted(r["best_model"] for r in best.select("best_model").distinct().collect())  # at most the ladder
+    winners = sorted(r["best_model"] for r in run.best.select("best_model").distinct().collect())  # at most the ladder and the baselines
+    future = naive.future_spine(run.series, freq, steps, keys)
     parts = []
     for name in winners:
-        mine = series.select(*keys, "ts", "y").join(best.where(F.col("best_model") == name), keys, "left_semi")
-        if name in ("seasonal_ar", "seasonal_ar_x"):
-            out = _ar(mine, freq, steps, keys, name.endswith("_x"))
-        elif name == "trend_season":
-            out = _trend(mine, freq, steps, keys)
-        elif name == "boosted":
-            out = boosted.forecast(mine, run.boosted_table, run.boosted_model, freq, steps, keys)
-            out = iv.conformal(run.predictions.where("model = 'boosted'"), out, keys)
-        else:
-            out = naive.seasonal_naive(mine, freq, steps, keys)
-            out = iv.conformal(run.predictions.where(F.col("model") == name), out, keys)
-        parts.append(out.select(*keys, "ts", "step", "forecast", "lower", "upper").withColumn("model", F.lit(name)))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
+        mine = run.series.join(run.best.where(F.col("best_model") == name).select(*keys), keys, "left_semi")
+        out = _refitted(name, mine, freq, steps, keys, run)
+        parts.append(out.select(*keys, "step", "forecast", "lower", "upper").withColumn("model", F.lit(name)))
+    last = run.series.where("y is not null").groupBy(*keys).agg(F.max_by("y", "ts").alias("_last"))
+    known = future.join(run.best.select(*keys, "fallback"), keys).join(last, keys, "left")
+    if parts:
+        known = known.join(reduce(DataFrame.unionByName, parts), [*keys, "step"], "left")
+    missing = F.col("forecast").isNull() | F.isnan("forecast")
+    value = F.when(missing, F.col("_last")).otherwise(F.col("forecast"))
+    every = known.select(
+        *keys, "ts", "step", value.alias("forecast"),
+        F.when(missing, value * iv.FALLBACK[0]).otherwise(F.coalesce("lower", value * iv.FALLBACK[0])).alias("lower"),
+        F.when(missing, value * iv.FALLBACK[1]).otherwise(F.coalesce("upper", value * iv.FALLBACK[1])).alias("upper"),
+        F.when(missing, "naive").otherwise(F.col("model")).alias("model"), (F.col("fallback") | missing).alias("fallback"))
     labels = F.array(*[F.struct(F.lit(n).alias("horizon_label"), F.lit(h).alias("_h")) for n, h in horizons])
     return every.select(*every.columns, F.inline(labels)).where(F.col("step") <= F.col("_h")).drop("_h")
 
 
+def _refitted(name: str, mine: DataFrame, freq: str, steps: int, keys: list[str], run: Run) -> DataFrame:
+    """Forecast of one model for the series that it won."""
+    if name in ("seasonal_ar", "seasonal_ar_x"):
+        return _ar(mine, freq, steps, keys, name.endswith("_x"))
+    if name == "trend_season":
+        return _trend(mine, freq, steps, keys)
+    if name == "boosted":
+        # as many rounds as validation chose, on all rows
+        table = cut_lineage(boosted.training_table(run.series.withColumn("split", F.lit("train")), keys))
+        model = boosted.train(table, patience=None, maxIter=run.boosted_model.getNumTrees)
+        out = boosted.forecast(mine, table, model, freq, steps, keys)
+    elif name == "snaive":
+        out = naive.seasonal_naive(mine, freq, steps, keys, season=_season(freq))
+    elif name == "naive":
+        out = naive.level_forecast(mine, freq, steps, keys)
+    elif name == "moving_average":
+        out = naive.level_forecast(mine, freq, steps, keys, window=AVERAGED)
+    else:
+        raise ValueError(f"unknown model {name!r}")
+    return iv.conformal(run.predictions.where(F.col("model") == name), out, keys)
+
+
 def _trend(df: DataFrame, freq: str, steps: int, keys: Sequence[str]) -> DataFrame:
     design = trend_season.Design.for_frequency(freq)
     model = trend_season.fit(df, design, keys)
@@ -132,12 +169,16 @@ def _trend(df: DataFrame, freq: str, steps: int, keys: Sequence[str]) -> DataFra
         return out
     scale = iv.level_scale(trend_season.fitted(df, model, design, keys), keys)
     out = iv.calibrate_level(out, scale, keys)
-    return iv.blend(naive.with_seasonal_naive(out, df, 12, keys)).drop("snaive")
+    # a series shorter than a year has no season to blend with
+    long = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n >= 12").select(*keys)
+    return iv.blend(naive.with_seasonal_naive(out, df.join(long, list(keys), "left_semi"), 12, keys)).drop("snaive")
 
 
-def report(series: DataFrame, keys: Sequence[str], run: Run) -> DataFrame:
-    """One nested row per series: winner, ladder, drift of the recent rows."""
+def report(keys: Sequence[str], run: Run) -> DataFrame:
+    """One nested row per series: winner, ladder, metrics of all models, drift of the recent rows."""
+    keys = list(keys)
     entry = F.struct("step", "model", "score", "is_best")
     ladder = run.ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("models_tried"))
-    drift = monitor.recent_drift(series, keys).select(*keys, F.col("psi").alias("drift_psi"))
-    return run.best.join(run.metric, list(keys)).join(ladder, list(keys)).join(drift, list(keys), "left")
+    metrics = run.scores.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("model", "metric", "value"))).alias("metrics"))
+    drift = monitor.recent_drift(run.series, keys).select(*keys, F.col("psi").alias("drift_psi"))
+    return run.best.join(run.metric, keys, "left").join(ladder, keys, "left").join(metrics, keys, "left").join(drift, keys, "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.operators.monitor import bin_counts, psi_from_counts
+from tidewright.session import cut_lineage
 
 
 def resample_stream(
@@ -37,7 +38,9 @@ def watch_drift(
     stream: DataFrame, edges: DataFrame, base_counts: DataFrame, keys: Sequence[str], path: str, checkpoint: str, y: str = "y", bins: int = 10
 ) -> StreamingQuery:
     """PSI of every micro-batch against a stored baseline, appended to ``path``.
-    Each batch writes its own folder, so a repeated batch overwrites itself."""
+    Each batch writes its own folder, so a repeated batch overwrites itself. The
+    baseline is materialised once, not once per batch."""
+    edges, base_counts = cut_lineage(edges), cut_lineage(base_counts)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         now = bin_counts(batch, edges, keys, y, bins).withColumnRenamed("counts", "now_counts")

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, rounded
 from catalog.feature_building import holidays
 from catalog.profiling import _ACF, _TEMPORAL_CTES, _TEMPORAL_SELECT, _basic_sql
+from tidewright.functions import frequency as fq
 from tidewright.models import boosted, seasonal_ar, trend_season, unit_root
 from tidewright.models.naive import future_spine
 from tidewright.operators import evaluate as ev
 from tidewright.operators import features as feat
 from tidewright.operators import profile
 from tidewright.operators.regularize import densify, fill_forward_backward
+from tidewright.session import cut_lineage
 
 
 def filled_daily(spark, sf):
@@ -136,13 +138,10 @@ def prior_choice(spark, sf):
 
 # ------------------------------------------------------------------ boosted
 
-ROUNDS = 20  # boosting rounds in the registered queries
-
-
-def _boosted(spark, sf, patience=None):
+def _boosted(spark, sf):
     split = ev.train_valid_split(filled_daily(spark, sf), "D", KEYS)
-    table = boosted.training_table(split, KEYS)
-    return split, table, boosted.train(table, patience=patience, maxIter=ROUNDS)
+    table = cut_lineage(boosted.training_table(split, KEYS))
+    return split, table, boosted.train(table)
 
 
 @query("gbt_validation")
@@ -154,8 +153,9 @@ def gbt_validation(spark, sf):
 
 @query("gbt_forecast")
 def gbt_forecast(spark, sf):
-    split, table, model = _boosted(spark, sf, patience=5)
-    return rounded(boosted.forecast(split, table, model, "D", 14, KEYS), 2, "forecast")
+    split, table, model = _boosted(spark, sf)
+    steps = max(h for _, h in fq.frequency("D").horizons)
+    return rounded(boosted.forecast(split, table, model, "D", steps, KEYS), 2, "forecast")
 
 
 @query("learning_curve")

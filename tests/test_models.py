@@ -266,3 +266,25 @@ def test_naive_validation(daily, daily_pdf):
         for model, want in (("naive", [train[-1]] * n), ("snaive", [train[-7 + i % 7] for i in range(n)]), ("moving_average", [train[-10:].mean()] * n)):
             g = got[(got.series_id == name) & (got.model == model)].sort_values("ts")
             np.testing.assert_allclose(g.yhat, want)
+
+
+def test_tree_arrays_are_the_model(spark, daily):
+    table = boosted.training_table(ev.train_valid_split(daily, "D", KEYS), KEYS).cache()
+    model = boosted.train(table, patience=None, maxIter=12, stepSize=0.3)
+    rows = boosted.predict(table, model).select(*boosted.FEATURES, "yhat", "level").toPandas()
+    got = boosted.Trees(model).each(rows[boosted.FEATURES].to_numpy(float)).sum(1) * rows.level
+    np.testing.assert_allclose(got, rows.yhat, rtol=1e-9)
+    assembled = boosted._assembled(table, boosted.FEATURES).select("features", "_scaled")
+    np.testing.assert_allclose(boosted.losses(table, model), model.evaluateEachIteration(assembled, "squared"), rtol=1e-9)
+
+
+def test_forecast_inside_a_task_equals_the_step_by_step_one(daily):
+    split = ev.train_valid_split(daily, "D", KEYS)
+    table = boosted.training_table(split, KEYS).cache()
+    model = boosted.train(table, patience=None, maxIter=8, stepSize=0.3)
+    got = boosted.forecast(daily, table, model, "D", 9, KEYS).toPandas().sort_values(["series_id", "step"])
+    scaled = daily.join(table.select("series_id", "level").distinct(), KEYS).withColumn("_scaled", F.col("y") / F.col("level"))
+    score = lambda d: model.transform(boosted._assembled(d, boosted.FEATURES))
+    want = boosted.recursive_forecast(scaled, "D", 9, KEYS, score, y="_scaled").toPandas().sort_values(["series_id", "step"])
+    np.testing.assert_allclose(got.forecast, want.forecast, rtol=1e-9)
+    assert (got.ts.to_numpy() == want.ts.to_numpy()).all()

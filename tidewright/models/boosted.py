@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
 from tidewright.functions.expressions import calendar_columns
+from tidewright.models.gram import key_schema
+from tidewright.models.naive import future_spine
 from tidewright.operators.features import calendar_features, complete_rows, lag_roll_features
 from tidewright.operators.layout import by_series
 from tidewright.session import cut_lineage
@@ -41,6 +45,87 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
+class Trees:
+    """A fitted ensemble as arrays, read from the model's own listing once: each tree is a
+    full binary tree of the model's depth, short branches repeated down to it."""
+
+    def __init__(self, model: GBTRegressionModel):
+        depth = SETTINGS["maxDepth"]
+        found: list[list] = []
+        for line in model.toDebugString.splitlines():
+            text = line.strip()
+            if text.startswith("Tree "):
+                found.append([])
+            elif text.startswith(("If ", "Predict")):
+                found[-1].append(text)
+        depth = max([depth, *(max(_depths(t)) for t in found)])
+        n, size = len(found), 2 ** (depth + 1) - 1
+        self.depth = depth
+        self.weight = np.array(model.treeWeights, float)
+        self.feature = np.zeros((n, size), np.int64)
+        self.limit = np.full((n, size), np.inf)
+        self.value = np.zeros((n, size))
+        for t, lines in enumerate(found):
+            self._place(t, iter(lines), 0)
+
+    def _place(self, t: int, lines: Iterator[str], node: int) -> None:
+        text = next(lines)
+        if text.startswith("Predict"):
+            self._leaf(t, node, float(text.split(":")[1]))
+            return
+        # "If (feature 3 <= 0.5)"
+        _, feature, _, limit = text[text.index("(") + 1 : text.rindex(")")].split(" ")
+        self.feature[t, node], self.limit[t, node] = int(feature), float(limit)
+        self._place(t, lines, 2 * node + 1)
+        self._place(t, lines, 2 * node + 2)
+
+    def _leaf(self, t: int, node: int, value: float) -> None:
+        self.value[t, node] = value
+        if 2 * node + 2 < self.value.shape[1]:
+            self._leaf(t, 2 * node + 1, value)
+            self._leaf(t, 2 * node + 2, value)
+
+    def each(self, x: np.ndarray) -> np.ndarray:
+        """Weighted value of every tree for every row of ``x``."""
+        tree = np.arange(len(self.weight))
+        node = np.zeros((len(x), len(tree)), np.int64)
+        row = np.arange(len(x))[:, None]
+        for _ in range(self.depth):
+            right = x[row, self.feature[tree, node]] > self.limit[tree, node]
+            node = 2 * node + 1 + right
+        return self.value[tree, node] * self.weight
+
+
+def _depths(lines: list[str]) -> list[int]:
+    """Depth of each leaf, from the order of branches and leaves."""
+    out, todo = [], [0]
+    for text in lines:
+        d = todo.pop()
+        if text.startswith("Predict"):
+            out.append(d)
+        else:
+            todo += [d + 1, d + 1]
+    return out
+
+
+def losses(rows: DataFrame, model: GBTRegressionModel, features: Sequence[str] = FEATURES) -> list[float]:
+    """Mean squared error after each round, all rounds in one pass over the rows."""
+    trees = Trees(model)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(len(trees.weight)), 0
+        for pdf in batches:
+            for i in range(0, len(pdf), 1024):
+                some = pdf.iloc[i : i + 1024]
+                error = some["_scaled"].to_numpy()[:, None] - np.cumsum(trees.each(some[list(features)].to_numpy(float)), axis=1)
+                total, n = total + (error**2).sum(0), n + len(some)
+        yield pd.DataFrame({"round": np.arange(len(total)), "total": total, "n": n})
+
+    parts = rows.select(*features, "_scaled").mapInPandas(sums, "round int, total double, n long")
+    out = parts.groupBy("round").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("mse")).orderBy("round").collect()
+    return [r["mse"] if r["mse"] is not None else 0.0 for r in out]
+
+
 def _fit(table: DataFrame, features: Sequence[str], rounds: int, settings: dict) -> GBTRegressionModel:
     gbt = GBTRegressor(
         featuresCol="features", labelCol="_scaled", predictionCol="_pred", **{**SETTINGS, **settings, "maxIter": rounds}
@@ -55,7 +140,8 @@ def train(
     improved for ``patience`` rounds.
 
     Rounds are fitted in doubling steps (the same seed gives the same leading
-    trees), so a run that stops early never pays for all rounds. MLlib offers no
+    trees), so a run that stops early never pays for all rounds; the losses of
+    all rounds of a fit come from one pass over the validation rows. MLlib offers no
     L1/L2 leaf penalties; depth, leaf size, step and sampling regularise.
     """
     limit = settings.pop("maxIter", SETTINGS["maxIter"])
@@ -67,8 +153,8 @@ def train(
         rounds = min(limit, 2 * patience)
         while True:
             model = _fit(learn, features, rounds, settings)
-            losses = model.evaluateEachIteration(_assembled(check, features).select("features", "_scaled"), "squared")
-            best = min(range(len(losses)), key=losses.__getitem__) + 1
+            loss = losses(check, model, features)
+            best = min(range(len(loss)), key=loss.__getitem__) + 1
             if rounds >= limit or best + patience <= rounds:
                 return model if best == rounds else _fit(learn, features, best, settings)
             rounds = min(limit, rounds * 2)
@@ -84,9 +170,7 @@ def predict(table: DataFrame, model: GBTRegressionModel, features: Sequence[str]
 def learning_curve(table: DataFrame, model: GBTRegressionModel, features: Sequence[str] = FEATURES) -> DataFrame:
     """Loss after each round on the training and validation rows: one number per
     round, computed by MLlib in one pass over each split."""
-    d = _assembled(table, features).select("features", "_scaled", "split").cache()
-    curves = {s: model.evaluateEachIteration(d.where(F.col("split") == s), "squared") for s in ("train", "valid")}
-    d.unpersist()
+    curves = {x: losses(table.where(F.col("split") == x), model, features) for x in ("train", "valid")}
     spark: SparkSession = table.sparkSession
     rows = [(i + 1, float(a) ** 0.5, float(b) ** 0.5) for i, (a, b) in enumerate(zip(curves["train"], curves["valid"]))]
     return spark.createDataFrame(rows, "iteration int, train_rmse double, valid_rmse double")
@@ -168,10 +252,48 @@ def _history_features() -> dict:
 
 def forecast(
     df: DataFrame, table: DataFrame, model: GBTRegressionModel, freq: str, horizon: int, keys: Sequence[str],
-    ts: str = "ts", y: str = "y", features: Sequence[str] = FEATURES, **kw,
+    ts: str = "ts", y: str = "y",
 ) -> DataFrame:
-    """Recursive boosted forecast on the original scale."""
+    """Recursive boosted forecast on the original scale.
+
+    All steps of a series run inside one task on its last values; the calendar of
+    its future rows comes along as one array, so no step costs a job.
+    """
+    keys = list(keys)
     level = table.select(*keys, "level").distinct()
-    scaled = df.join(level, list(keys)).withColumn("_scaled", F.col(y) / F.col("level"))
-    score = lambda d: model.transform(_assembled(d, features))
-    return recursive_forecast(scaled, freq, horizon, keys, score, ts, "_scaled", **kw)
+    scaled = df.join(level, keys).withColumn("_scaled", F.col(y) / F.col("level"))
+    back = F.row_number().over(by_series(keys, F.col(ts).desc()))
+    recent = scaled.where(F.col("_scaled").isNotNull()).withColumn("_back", back).where(F.col("_back") <= MEMORY)
+    in_order = F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("o"), F.col("_scaled").alias("v"))))
+    state = recent.groupBy(*keys).agg(F.transform(in_order, lambda s: s["v"]).alias("_hist"), F.first("level").alias("level"))
+    future = future_spine(df.where(F.col(y).isNotNull()), freq, horizon, keys, ts)
+    dates = future.withColumns(calendar_columns(F.col(ts))).groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("step", F.array(*[F.col(c).cast("double") for c in CALENDAR]).alias("v")))), lambda s: s["v"]).alias("_dates"))
+    trees = Trees(model)
+
+    def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, some in pdf.groupby(pdf["_hist"].map(len)):
+                hist = np.stack(some["_hist"].to_numpy()).astype(float)
+                dates = np.array([np.stack(x) for x in some["_dates"]])
+                path = []
+                for step in range(horizon):
+                    x = np.concatenate([dates[:, step], _history(hist)], axis=1)
+                    path.append(trees.each(x).sum(1))
+                    hist = np.concatenate([hist, path[-1][:, None]], axis=1)[:, -MEMORY:]
+                out = some[keys].loc[some.index.repeat(horizon)].reset_index(drop=True)
+                out["step"] = np.tile(np.arange(1, horizon + 1), len(some))
+                out["forecast"] = (np.stack(path, axis=1) * some["level"].to_numpy()[:, None]).ravel()
+                yield out
+
+    paths = state.join(dates, keys).mapInPandas(roll, key_schema(df, keys) + "step int, forecast double")
+    return future.join(paths, [*keys, "step"])
+
+
+def _history(h: np.ndarray) -> np.ndarray:
+    """The columns of HISTORY, as ``_history_features`` has them."""
+    n = h.shape[1]
+    nth = lambda k: h[:, -k] if n >= k else h[:, 0]
+    week = h[:, -7:]
+    spread = week.std(1, ddof=1) if n >= 7 else np.zeros(len(h))
+    return np.stack([h[:, -1], nth(7), nth(14), week.mean(1), spread], axis=1)

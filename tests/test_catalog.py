@@ -33,7 +33,7 @@ def test_query_runs(spark, name):
 
 def test_entry_has_a_stable_schema(spark):
     df = entry.entry(spark)
-    assert df.columns == ["series_id", "ts", "step", "forecast", "lower", "upper", "model", "horizon_label"]
+    assert df.columns == ["series_id", "ts", "step", "forecast", "lower", "upper", "model", "fallback", "horizon_label"]
 
 
 def test_every_query_is_listed():

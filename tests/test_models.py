@@ -33,7 +33,8 @@ def test_wide_and_narrow_grams_agree(daily):
 
 # ---------------------------------------------------------------- unit root
 
-def adf_reference(s, lags=None, top=8):
+def adf_reference(s, lags=None):
+    top = min(int(np.ceil(12 * (len(s) / 100) ** 0.25)), len(s) // 2 - 2)
     u = ((s - s.mean()) / s.std()).to_numpy()
 
     def design(k, skip):

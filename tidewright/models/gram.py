@@ -12,6 +12,8 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +51,9 @@ def gram_of_vectors(df: DataFrame, keys: Sequence[str], vector: str) -> DataFram
             yield pd.DataFrame(rows, columns=[*keys, "n", "gram"])
 
     parts = df.select(*keys, vector).mapInPandas(partial, key_schema(df, keys) + "n long, gram array<double>")
-    cells = (
-        parts.select(*keys, "n", F.posexplode("gram").alias("_pos", "_v"))
-        .groupBy(*keys, "_pos").agg(F.sum("_v").alias("_v"), F.sum("n").alias("n"))
-    )
-    return pack(cells, keys)
+    # whole triangles are added up, map-side first; they are never taken apart
+    total = Summarizer.sum(array_to_vector("gram"))
+    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), vector_to_array(total).alias("gram"))
 
 
 def pack(cells: DataFrame, keys: Sequence[str]) -> DataFrame:

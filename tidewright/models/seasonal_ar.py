@@ -166,20 +166,19 @@ def _future_exog(df, future, exog_future, keys, ts, season, exog) -> DataFrame:
 
 def _continue(beta, u, w, e, add, season) -> np.ndarray:
     """Continue all series of a batch together, one step at a time."""
-    u, w, e = u.copy(), w.copy(), e.copy()
-    out = []
-    for h in range(add.shape[1]):
-        nxt = beta[:, 0] * w[:, -1] + beta[:, 1] * e[:, -1] + add[:, h]
+    held, horizon = u.shape[1], add.shape[1]
+    room = np.zeros((len(u), horizon))
+    u, w, e = (np.concatenate([x, room], axis=1) for x in (u, w, e))
+    for h in range(horizon):
+        at = held + h
+        nxt = beta[:, 0] * w[:, at - 1] + beta[:, 1] * e[:, at - 1] + add[:, h]
         if season > 1:
-            nxt = nxt + beta[:, 2] * w[:, -season] + beta[:, 3] * e[:, -season]
-            value = nxt + u[:, -1] + u[:, -season] - u[:, -season - 1]
+            nxt = nxt + beta[:, 2] * w[:, at - season] + beta[:, 3] * e[:, at - season]
+            u[:, at] = nxt + u[:, at - 1] + u[:, at - season] - u[:, at - season - 1]
         else:
-            value = nxt + u[:, -1]
-        out.append(value)
-        u = np.concatenate([u, value[:, None]], axis=1)[:, 1:]
-        w = np.concatenate([w, nxt[:, None]], axis=1)[:, 1:]
-        e = np.concatenate([e, np.zeros((len(e), 1))], axis=1)[:, 1:]
-    return np.stack(out, axis=1)
+            u[:, at] = nxt + u[:, at - 1]
+        w[:, at] = nxt
+    return u[:, held:]
 
 
 def _psi(beta: np.ndarray, horizon: int, season: int) -> np.ndarray:
@@ -204,11 +203,15 @@ def _psi(beta: np.ndarray, horizon: int, season: int) -> np.ndarray:
     ar = times_difference(ar, 1)
     if season > 1:
         ar = times_difference(ar, season)
+    # a handful of lags whatever the season: 1, s and what differencing makes of them
+    used = [i for i in range(1, ar.shape[1]) if ar[:, i].any()]
     psi = np.zeros((len(beta), horizon))
     psi[:, 0] = 1.0
     for j in range(1, horizon):
         value = ma[:, j].copy() if j < ma.shape[1] else np.zeros(len(beta))
-        for i in range(1, min(j, ar.shape[1] - 1) + 1):
+        for i in used:
+            if i > j:
+                break
             value -= ar[:, i] * psi[:, j - i]
         psi[:, j] = value
     return psi

@@ -222,7 +222,7 @@ def rolling_cv(
     return d.groupBy(*keys).agg(cv("roll_mean").alias("rolling_mean_cv"), cv("roll_std").alias("rolling_std_cv"))
 
 
-def full_summary(df: DataFrame, keys: Sequence[str], ts: str = "ts", y: str = "y", adf_lags: int = 1) -> DataFrame:
+def full_summary(df: DataFrame, keys: Sequence[str], ts: str = "ts", y: str = "y", adf_lags: int | str = "aic") -> DataFrame:
     """One nested row per series: basic, temporal, stationarity, quality."""
     from tidewright.models.unit_root import adf_test
 
@@ -297,20 +297,38 @@ def residuals(df: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
     return df.withColumn("residual", F.col(y) - F.col(yhat))
 
 
+# Wichura's algorithm AS 241, numerators and denominators of the
+# centre and of two tails, highest power first.
+AS241 = (
+    (
+        (2.5090809287301226727e3, 3.3430575583588128105e4, 6.7265770927008700853e4, 4.5921953931549871457e4,
+         1.3731693765509461125e4, 1.9715909503065514427e3, 1.3314166789178437745e2, 3.3871328727963666080),
+        (5.2264952788528545610e3, 2.8729085735721942674e4, 3.9307895800092710610e4, 2.1213794301586595867e4,
+         5.3941960214247511077e3, 6.8718700749205790830e2, 4.2313330701600911252e1, 1.0),
+    ),
+    (
+        (7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258,
+         3.64784832476320460504, 5.76949722146069140550, 4.63033784615654529590, 1.42343711074968357734),
+        (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+         6.89767334985100004550e-1, 1.67638483018380384940, 2.05319162663775882187, 1.0),
+    ),
+    (
+        (2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+         2.96560571828504891230e-1, 1.78482653991729133580, 5.46378491116411436990, 6.65790464350110377720),
+        (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+         1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0),
+    ),
+)
+
+
 def _normal_quantile(p: pd.Series) -> pd.Series:
-    """Inverse standard normal, by Newton steps on the error function."""
-    from math import erf
-
-    p = p.astype(float)
-    # Winitzki's closed form as the start
-    t = np.log(4.0 * p * (1.0 - p))
-    a = 0.147
-    b = 2.0 / (np.pi * a) + t / 2.0
-    z = np.sign(p - 0.5) * np.sqrt(2.0) * np.sqrt(np.sqrt(b * b - t / a) - b)
-    for _ in range(4):
-        cdf = z.map(lambda v: 0.5 * (1.0 + erf(v / 2**0.5)))
-        z = z - (cdf - p) / (np.exp(-z * z / 2.0) / np.sqrt(2.0 * np.pi))
-    return z
+    """Inverse standard normal of a whole column."""
+    p = p.to_numpy(float)
+    ratio = lambda part, r: np.polyval(part[0], r) / np.polyval(part[1], r)
+    q = p - 0.5
+    tail = np.sqrt(-np.log(np.clip(np.minimum(p, 1 - p), 1e-300, 0.5)))
+    far = np.where(tail <= 5, ratio(AS241[1], tail - 1.6), ratio(AS241[2], tail - 5))
+    return pd.Series(np.where(np.abs(q) <= 0.425, q * ratio(AS241[0], 0.180625 - q * q), np.sign(q) * far))
 
 
 def qq_positions(df: DataFrame, keys: Sequence[str] = (), value: str = "residual", with_normal: bool = True) -> DataFrame:

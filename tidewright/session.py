@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidewright-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")

@@ -37,9 +37,10 @@ def read_csv(
 
 
 def write_forecast(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("model", "horizon_label")) -> None:
-    """Forecast rows, one folder per model and horizon so readers can prune."""
+    """Forecast rows, one folder per model and horizon so readers can prune; each
+    file is in order of time."""
     by = [c for c in partition_by if c in df.columns]
-    writer = df.write.mode("overwrite").partitionBy(*by)
+    writer = df.sortWithinPartitions(*by, *[c for c in ("ts",) if c in df.columns]).write.mode("overwrite").partitionBy(*by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

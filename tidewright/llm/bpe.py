@@ -1,7 +1,7 @@
 """Byte-pair encoding and decoding, by speculation and verification.
 
 A text is cut at white space, each distinct piece is normalised and cut into words
-once per worker while it stays in a bounded cache. New words of a batch are encoded
+once per task while it stays in a bounded cache. New words of a batch are encoded
 together: greedy longest match proposes tokens for each; then every distinct pair
 of neighbouring tokens is checked, all pairs at once in NumPy, for whether merging
 their joint text would give back just these two. A proposal whose neighbours all
@@ -22,6 +22,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -295,6 +296,11 @@ class WordBpe:
         known.update((p, b"".join([words[x] if isinstance(x, str) else x for x in parts])) for p, parts in other)
         self.held += sum(map(len, pieces))
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.words.clear()
+        self.held = 0
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         i = 0
@@ -305,9 +311,7 @@ class WordBpe:
                 chars += len(some[-1])
                 i += 1
             if len(self.pieces) > CACHE_WORDS or len(self.words) > CACHE_WORDS or self.held > CACHE_CHARS:
-                self.pieces.clear()
-                self.words.clear()
-                self.held = 0
+                self.forget()
             composed = all(t.isascii() or (unicodedata.is_normalized("NFC", t) and "\u03a3" not in t) for t in some)
             taken = [SPACES.split(t) if NOT_SPACE.search(t) else t.split() for t in some]
             new = set().union(*taken).difference(self.pieces)
@@ -348,8 +352,13 @@ def encode(text: Column, path: str) -> Column:
     """Packed ids of a text column; ``path`` is the tokenizer's file on every machine."""
 
     @F.arrow_udf("binary")
-    def bpe_encode(texts: pa.Array) -> pa.Array:
-        return pa.array(tokenizer(path).encode(texts.to_pylist()), pa.binary())
+    def bpe_encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = tokenizer(path)
+        try:
+            for texts in batches:
+                yield pa.array(bpe.encode(texts.to_pylist()), pa.binary())
+        finally:  # the worker goes on to other tasks
+            bpe.forget()
 
     return bpe_encode(text)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import (
@@ -99,6 +102,18 @@ def future_spine(spark, sf):
     )
 
 
+_MORE = {"W": ("b + to_days(7 * step)", 12), "QS": ("b + to_months(3 * step)", 4), "YS": ("b + to_months(12 * step)", 3), "15min": ("b + to_minutes(15 * step)", 96)}
+
+
+@query("future_spine_more", f"WITH m AS (SELECT series_id, max(ts) AS b FROM ({MONTHLY_BY_PRIORITY}) AS d GROUP BY series_id)\n" + "\nUNION ALL ".join(
+    f"SELECT '{f}/' || series_id AS series_id, ({e})::TIMESTAMP AS ts, step AS step FROM m, (SELECT unnest(generate_series(1, {n}))::INTEGER AS step) AS r" for f, (e, n) in _MORE.items()))
+def future_spine_more(spark, sf):
+    """The other units, from the monthly series' last rows."""
+    d = monthly_by_priority(spark, sf)
+    parts = [naive.future_spine(d, f, n, KEYS).withColumn("series_id", F.concat(F.lit(f + "/"), "series_id")) for f, (_, n) in _MORE.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("horizon_table", f"""
 WITH s AS (SELECT DISTINCT 'D/' || series_id AS series_id, 'D' AS freq FROM ({DAILY_BY_PRIORITY}) AS d
   UNION ALL SELECT DISTINCT 'MS/' || series_id, 'MS' FROM ({MONTHLY_BY_PRIORITY}) AS m UNION ALL SELECT DISTINCT 'h/' || series_id, 'h' FROM ({HOURLY_EVENTS}) AS h),

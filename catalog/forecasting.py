@@ -131,6 +131,12 @@ def prior_grid_cv(spark, sf):
     return rounded(trend_season.prior_scores(monthly_by_priority(spark, sf), "MS", KEYS), 6, "cv_mape")
 
 
+@query("prior_grid_daily")
+def prior_grid_daily(spark, sf):
+    """Weekly, yearly and daily patterns over some hundred folds per series."""
+    return rounded(trend_season.prior_scores(filled_daily(spark, sf), "D", KEYS), 6, "cv_mape")
+
+
 @query("prior_choice")
 def prior_choice(spark, sf):
     return rounded(trend_season.choose_prior(trend_season.prior_scores(monthly_by_priority(spark, sf), "MS", KEYS), KEYS), 6, "cv_mape")
@@ -189,6 +195,18 @@ def pacf_two_lags(spark, sf):
     return rounded(profile.pacf(profile.acf(daily_by_priority(spark, sf), KEYS, nlags=2), KEYS), 8, "pacf")
 
 
+@query("pacf_three_lags", f"""
+WITH s AS ({DAILY_BY_PRIORITY}), {_ACF},
+r AS (SELECT a.series_id, {", ".join(f"sum(a.d * b.d) FILTER (b.rn = a.rn + {k}) / max(v0) AS r{k}" for k in (1, 2, 3))}
+  FROM v a JOIN v b ON a.series_id = b.series_id AND b.rn BETWEEN a.rn + 1 AND a.rn + 3 JOIN z ON z.series_id = a.series_id GROUP BY a.series_id),
+q AS (SELECT *, (r2 - r1 * r1) / (1 - r1 * r1) AS p22 FROM r), t AS (SELECT *, r1 - p22 * r1 AS p21 FROM q)
+SELECT series_id, 1::INTEGER AS lag, round(r1, 8) AS pacf FROM t UNION ALL SELECT series_id, 2::INTEGER, round(p22, 8) FROM t
+UNION ALL SELECT series_id, 3::INTEGER, round((r3 - p21 * r2 - p22 * r1) / (1 - p21 * r1 - p22 * r2), 8) FROM t
+""")
+def pacf_three_lags(spark, sf):
+    return rounded(profile.pacf(profile.acf(daily_by_priority(spark, sf), KEYS, nlags=3), KEYS), 8, "pacf")
+
+
 _FILLED_DAILY = f"""SELECT s.series_id, s.ts, last_value(h.y IGNORE NULLS) OVER (PARTITION BY s.series_id ORDER BY s.ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y
   FROM (SELECT series_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY))::TIMESTAMP AS ts FROM ({DAILY_BY_PRIORITY}) AS e GROUP BY series_id) AS s
   LEFT JOIN ({DAILY_BY_PRIORITY}) AS h ON s.series_id = h.series_id AND s.ts = h.ts"""

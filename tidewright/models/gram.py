@@ -56,14 +56,6 @@ def gram_of_vectors(df: DataFrame, keys: Sequence[str], vector: str) -> DataFram
     return parts.groupBy(*keys).agg(F.sum("n").alias("n"), vector_to_array(total).alias("gram"))
 
 
-def pack(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, position, value) cells back to one array per key."""
-    return cells.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_v"))), lambda s: s["_v"]).alias("gram"),
-    )
-
-
 def unpack(upper: Sequence[float], p: int) -> np.ndarray:
     m = np.zeros((p, p))
     m[np.triu_indices(p)] = upper

@@ -8,15 +8,16 @@ candidate prior solves the same cross-product matrix.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
-from tidewright.models.gram import gram_of_vectors, least_squares, pack, solve
+from tidewright.models.gram import gram_of_vectors, key_schema, least_squares, solve, unpack
 from tidewright.models.naive import future_spine
 from tidewright.operators.evaluate import cv_windows
 from tidewright.operators.intervals import clip_forecast
@@ -177,28 +178,28 @@ def prior_scores(
     z = F.concat("_x", F.array(design.to_fit(F.col(y))))
     train = rows.where(F.col("_segment") < F.col("_folds")).select(*keys, "_segment", z.alias("_z"))
     cells = gram_of_vectors(train, [*keys, "_segment"], "_z")
-    # accumulate over segments; a fold with an empty segment inherits the sum before it
-    upto = by_series([*keys, "_pos"], "_fold").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    folds = cuts.select(*keys, "_fold").join(
-        cells.select(*keys, F.col("_segment").alias("_fold"), F.col("n"), F.col("gram")), [*keys, "_fold"], "left"
-    )
-    width = (p + 1) * (p + 2) // 2
-    zero = F.array_repeat(F.lit(0.0), width)
-    spread = folds.select(
-        *keys, "_fold", F.coalesce("n", F.lit(0)).alias("n"), F.posexplode(F.coalesce("gram", zero)).alias("_pos", "_v")
-    )
-    total = spread.withColumns({"_v": F.sum("_v").over(upto), "n": F.sum("n").over(upto)})
-    grams = pack(total, [*keys, "_fold"])
-
-    def grid(g: np.ndarray, n: int) -> list[list]:
-        out = []
-        for prior in PRIORS:
-            found = least_squares(g, n, range(p), p, design.ridge(prior))
-            if found is not None:
-                out.append([[float(b) for b in found["beta"]], prior])
-        return out
-
-    models = solve(grams, keys, p + 1, grid, "beta array<double>, prior double", extra=["_fold"])
+    # a series' segment matrices are bounded by its number of folds; they are summed up
+    # fold by fold where they are solved, and a fold with an empty segment adds nothing
+    held = cells.groupBy(*keys).agg(F.collect_list(F.struct("_segment", "n", "gram")).alias("_cells"))
+    held = per_series.select(*keys, "_folds").join(held, keys)
+
+    def grid(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for rec in pdf.to_dict("records"):
+                at = {c["_segment"]: c for c in rec["_cells"]}
+                total, n = np.zeros((p + 1) * (p + 2) // 2), 0
+                for fold in range(int(rec["_folds"])):
+                    if fold in at:
+                        total, n = total + np.asarray(at[fold]["gram"], float), n + int(at[fold]["n"])
+                    g = unpack(total, p + 1)
+                    for prior in PRIORS:
+                        found = least_squares(g, n, range(p), p, design.ridge(prior))
+                        if found is not None:
+                            out.append([*(rec[k] for k in keys), fold, [float(b) for b in found["beta"]], prior])
+            yield pd.DataFrame(out, columns=[*keys, "_fold", "beta", "prior"])
+
+    models = held.mapInPandas(grid, key_schema(df, keys) + "_fold int, beta array<double>, prior double")
     # a validation row belongs to the last few folds that ended before it
     back = -(-horizon // period)
     ended = F.sequence(F.greatest(F.lit(0), F.col("_segment") - back - 1), F.col("_segment") - 1)

@@ -37,6 +37,7 @@ class Run:
     best: DataFrame  # keys, best_model, best_score, fallback: one row for every series
     metric: DataFrame  # keys, primary_metric
     boosted_model: object = None
+    priors: DataFrame | None = None  # keys, prior
 
 
 def _season(freq: str) -> int:
@@ -54,10 +55,14 @@ def _ar(df: DataFrame, freq: str, steps: int, keys: Sequence[str], features: boo
 
 
 def backtest(
-    series: DataFrame, freq: str, keys: Sequence[str], ladder: Sequence[str] = LADDER, boosting: dict | None = None
+    series: DataFrame, freq: str, keys: Sequence[str], ladder: Sequence[str] = LADDER, boosting: dict | None = None,
+    tune_prior: bool = False,
 ) -> Run:
     """Score every model of the ladder on each series' validation rows.
 
+    ``tune_prior`` chooses the trend's flexibility per series by cross-validation
+    on its training rows; series too short for a fold keep the default.
+
     All models are scored on the same rows: each predicts every validation row, by
     position where it counts steps. A model that leaves one out has failed for
     that series. A series where every model fails falls back on the seasonal
@@ -70,7 +75,7 @@ def backtest(
     train = split.where("split = 'train'").drop("split")
     valid = split.where("split = 'valid'").drop("split").withColumn("step", F.row_number().over(by_series(keys, "ts")))
     steps = fq.frequency(freq).valid_cap
-    run_model = None
+    run_model = priors = None
     parts = []
     for name in ladder:
         if name in ("seasonal_ar", "seasonal_ar_x"):
@@ -78,7 +83,9 @@ def backtest(
             p = p.select(*keys, "ts", F.col("forecast").alias("yhat"))
         elif name == "trend_season":
             design = trend_season.Design.for_frequency(freq)
-            p = trend_season.predict(valid.drop("step"), trend_season.fit(train, design, keys), design, keys)
+            if tune_prior:
+                priors = cut_lineage(trend_season.choose_prior(trend_season.prior_scores(train, freq, keys), keys))
+            p = trend_season.predict(valid.drop("step"), trend_season.fit(train, design, keys, priors=priors), design, keys)
             p = p.select(*keys, "ts", F.col("forecast").alias("yhat"))
         elif name == "boosted":
             table = cut_lineage(boosted.training_table(split, keys))
@@ -102,7 +109,7 @@ def backtest(
     fallback = F.when(F.col("_n") >= _season(freq), "snaive").otherwise("naive")
     best = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).join(won, keys, "left").select(
         *keys, F.coalesce("best_model", fallback).alias("best_model"), "best_score", F.col("best_model").isNull().alias("fallback"))
-    return Run(series, predictions, scores, ranked, cut_lineage(best), metric, run_model)
+    return Run(series, predictions, scores, ranked, cut_lineage(best), metric, run_model, priors)
 
 
 def forecast(freq: str, keys: Sequence[str], run: Run, horizon_label: str | None = None) -> DataFrame:
@@ -144,7 +151,7 @@ def _refitted(name: str, mine: DataFrame, freq: str, steps: int, keys: list[str]
     if name in ("seasonal_ar", "seasonal_ar_x"):
         return _ar(mine, freq, steps, keys, name.endswith("_x"))
     if name == "trend_season":
-        return _trend(mine, freq, steps, keys)
+        return _trend(mine, freq, steps, keys, run.priors)
     if name == "boosted":
         # as many rounds as validation chose, on all rows
         table = cut_lineage(boosted.training_table(run.series.withColumn("split", F.lit("train")), keys))
@@ -161,9 +168,9 @@ def _refitted(name: str, mine: DataFrame, freq: str, steps: int, keys: list[str]
     return iv.conformal(run.predictions.where(F.col("model") == name), out, keys)
 
 
-def _trend(df: DataFrame, freq: str, steps: int, keys: Sequence[str]) -> DataFrame:
+def _trend(df: DataFrame, freq: str, steps: int, keys: Sequence[str], priors: DataFrame | None = None) -> DataFrame:
     design = trend_season.Design.for_frequency(freq)
-    model = trend_season.fit(df, design, keys)
+    model = trend_season.fit(df, design, keys, priors=priors)
     out = trend_season.predict(naive.future_spine(df, freq, steps, keys), model, design, keys)
     if fq.frequency(freq).label != "MS":
         return out
@@ -181,4 +188,5 @@ def report(keys: Sequence[str], run: Run) -> DataFrame:
     ladder = run.ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("models_tried"))
     metrics = run.scores.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("model", "metric", "value"))).alias("metrics"))
     drift = monitor.recent_drift(run.series, keys).select(*keys, F.col("psi").alias("drift_psi"))
-    return run.best.join(run.metric, keys, "left").join(ladder, keys, "left").join(metrics, keys, "left").join(drift, keys, "left")
+    best = run.best.join(run.priors.select(*keys, "prior"), keys, "left") if run.priors is not None else run.best
+    return best.join(run.metric, keys, "left").join(ladder, keys, "left").join(metrics, keys, "left").join(drift, keys, "left")

@@ -11,9 +11,9 @@ of their weighted Jaccard likeness. ``BANDS`` bands of ``ROWS`` registers find
 candidates: at likeness 0.8 a pair is missed with probability 7e-6.
 
 Documents with the same multiset are one node, so copies never meet each other. Every
-node is compared with one leader; then nodes with different leaders meet in each
-bucket that they share, one for each leader, chained in random order, ``MEETINGS``
-times over. So the pairs are linear in the rows, whatever a bucket's size. Each pair is verified on whole multisets. Classes are the
+node is compared with one leader; then the classes that this leaves meet in each
+bucket that they share, one member of each, chained in one of ``ORDERS`` random
+orders. So the pairs are linear in the rows, whatever a bucket's size. Each pair is verified on whole multisets. Classes are the
 connected components of verified links.
 
 Edge cases: a null or wordless text is alone; a text of fewer than five words is one
@@ -41,7 +41,7 @@ BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
 #: nodes of one bucket that are put in one random order
 CHAIN = 4096
-MEETINGS = 3
+ORDERS = 6
 U64 = np.uint64
 
 
@@ -258,14 +258,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # a node is first compared with the largest leader of its buckets only
     first = buckets.groupBy(F.col("node").alias("a")).agg(F.max("leader").alias("b")).where("a <> b")
     led = cut_lineage(verified(first, packed, likeness))
-    # then nodes with different leaders that share a bucket meet there, one for each leader
-    order = F.xxhash64("turn", "band", "node")
+    # then classes that share a bucket meet there through one member each; orders are few,
+    # so the same two members that share many buckets are one pair
+    order = F.xxhash64(F.col("band") % ORDERS, "node")
     members = (
-        buckets.join(led.withColumnsRenamed({"a": "node", "b": "led"}), "node", "left")
-        .select("*", F.coalesce("led", "node").alias("label"), F.explode(F.array(*map(F.lit, range(MEETINGS)))).alias("turn"))
-        .groupBy("turn", "band", "value", "label").agg(F.min(F.struct(order.alias("order"), "node", "size", "n")).alias("one"))
+        buckets.join(components(led).withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        .groupBy("band", "value", "label").agg(F.min(F.struct(order.alias("order"), "node", "size", "n")).alias("one"))
     )
-    chain = W.partitionBy("turn", "band", "value", F.pmod("one.order", F.ceil(F.col("one.n") / CHAIN))).orderBy("one.order", "one.node")
+    chain = W.partitionBy("band", "value", F.pmod("one.order", F.ceil(F.col("one.n") / CHAIN))).orderBy("one.order", "one.node")
     pairs = (
         members.select(F.col("one.node").alias("x"), F.col("one.size").alias("size"), F.lag(F.struct("one.node", "one.size")).over(chain).alias("y"))
         .where(f"least(size, y.size) >= {likeness} * greatest(size, y.size)")

@@ -43,6 +43,8 @@ ORDER, DISCOUNT, MIN_COUNT = 3, 0.75, 2
 #: vocabulary entries per file, about; n-grams that a task sums before it sends them
 PER_SHARD, HELD = 1 << 20, 1 << 19
 SLICE_BYTES = 1_000_000
+#: n-grams looked up together when a level is built
+AT_ONCE = 1 << 16
 #: logarithms from -GRID to 0 in 65535 steps
 GRID = 16.0
 END = U64(0x5DEECE66D1CE4E5B)
@@ -334,16 +336,21 @@ def plan_level(plan: Trie, level: int, shard: int, keys: np.ndarray, counts: np.
     share = (counts - DISCOUNT) / context[own] if len(keys) else np.zeros(0)
     left = np.maximum(1 - np.bincount(own, share, minlength=parents), 1e-16)
     bits.store(f"{plan.folder}/left{level - 1}-{shard}", {"left": quantised(np.log10(left))})
-    if level == 2:
-        lower = plan.level1(word)[1]
-    else:
+    last = None if level == 2 else plan.file("level", level - 1, shard)["word"]
+    width = plan.vocabulary.bit_length()
+
+    def lower_of(own: np.ndarray, word: np.ndarray) -> np.ndarray:
+        if level == 2:
+            return plan.level1(word)[1]
         # the shorter context: the parent's own word, then this one
-        last = bits.unpack(plan.file("level", level - 1, shard)["word"], own, plan.vocabulary.bit_length()).astype(np.int64)
-        pair_text = np.repeat(np.arange(len(keys)), 2)
-        flat = np.stack([last, word], 1).ravel()
-        lower = plan.log_probability(plan.entries(pair_text, flat, 2), pair_text, 2)[1::2]
+        flat = np.stack([bits.unpack(last, own, width).astype(np.int64), word], 1).ravel()
+        pair = np.repeat(np.arange(len(word)), 2)
+        return plan.log_probability(plan.entries(pair, flat, 2), pair, 2)[1::2]
+
+    parts = [lower_of(own[i : i + AT_ONCE], word[i : i + AT_ONCE]) for i in range(0, len(keys), AT_ONCE)]
+    lower = np.concatenate(parts) if parts else np.zeros(0)
     log = np.log10(share + left[own] * 10.0**lower) if len(keys) else np.zeros(0)
-    out = EliasFano.arrays("pointer", pointer, len(keys) + 1) | {"word": bits.pack(word, plan.vocabulary.bit_length()), "log": quantised(log)}
+    out = EliasFano.arrays("pointer", pointer, len(keys) + 1) | {"word": bits.pack(word, width), "log": quantised(log)}
     return out | ({"count": counts} if level < order else {})
 
 

@@ -48,10 +48,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds packed ids, their number, and the text that they decode to as a digest."""
-    coded = docs.withColumn("ids", bpe.encode(F.col("text"), TOKENIZER))
-    return coded.withColumn("decoded", bpe.decode(F.col("ids"), TOKENIZER)).select(
-        *docs.columns, "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    (coded,) = fresh(docs, "coded")
+    both = docs.withColumn(coded, bpe.round_trip(F.col("text"), TOKENIZER))
+    ids, decoded = F.col(coded)["ids"], F.col(coded)["decoded"]
+    return both.select(
+        *docs.columns, ids.alias("ids"), (F.length(ids) / 4).cast("long").alias("n_tokens"), F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [

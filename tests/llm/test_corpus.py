@@ -196,10 +196,12 @@ def test_bpe_matches_library(spark):
     texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 5))) for _ in range(8000)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
     out = df.withColumn("ids", bpe.encode(F.col("text"), TOKENIZER)).withColumn("decoded", bpe.decode(F.col("ids"), TOKENIZER))
+    out = out.withColumn("both", bpe.round_trip(F.col("text"), TOKENIZER))
     for r in out.collect():
         want = lib.encode(r.text or "", add_special_tokens=False).ids
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == want, r.text
         assert r.decoded == lib.decode(want, skip_special_tokens=False)
+        assert r.both.ids == r.ids and r.both.decoded == r.decoded
     assert bpe.decoded(np.array([10**6, 0], "<u4").tobytes(), bpe.spellings(TOKENIZER)) == bpe.spellings(TOKENIZER)[0]
     assert out.limit(0).count() == 0
 

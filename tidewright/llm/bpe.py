@@ -372,3 +372,21 @@ def decode(packed: Column, path: str) -> Column:
         return pa.array([decoded(x, tokens) for x in column.to_pylist()], pa.string())
 
     return bpe_decode(packed)
+
+
+def round_trip(text: Column, path: str) -> Column:
+    """struct<ids, decoded>: the packed ids and the text that they decode to, in one pass
+    through one worker."""
+
+    @F.arrow_udf("ids binary, decoded string")
+    def bpe_round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe, tokens = tokenizer(path), spellings(path)
+        try:
+            for texts in batches:
+                ids = bpe.encode(texts.to_pylist())
+                yield pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.binary()), pa.array([decoded(x, tokens) for x in ids], pa.string())], names=["ids", "decoded"])
+        finally:  # the worker goes on to other tasks
+            bpe.forget()
+
+    return bpe_round_trip(text)

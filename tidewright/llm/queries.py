@@ -109,8 +109,8 @@ FROM z
 
 @query
 def op1_bpe(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", bpe.encode(F.col("text"), TOKENIZER).alias("ids"))
-    return docs.withColumn("decoded", bpe.decode(F.col("ids"), TOKENIZER)).select(
+    docs = documents(spark, sf_dir).select("doc_id", bpe.round_trip(F.col("text"), TOKENIZER).alias("coded"))
+    return docs.select("doc_id", "coded.ids", "coded.decoded").select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

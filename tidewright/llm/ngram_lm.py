@@ -267,15 +267,16 @@ def count(rows: DataFrame, trie: Trie, level: int, shards: int) -> DataFrame:
             parent = (keys // U64(max(1, trie.vocabulary))).astype(np.int64)
             shard = np.searchsorted(trie.starts[level - 2], parent, side="right") - 1
         else:
-            shard = (keys >> U64(64 - FINE)).astype(np.int64)
+            shard = (keys >> U64(64 - fine(shards))).astype(np.int64)
         out = list(blocks(keys, counts, shard.astype(np.int32)))
         return pa.Table.from_batches(out) if out else table.slice(0, 0).select(["shard", "keys", "counts"])
 
     return rows.mapInArrow(work, SHARD).groupBy("shard").applyInArrow(merge, SHARD)
 
 
-#: level 1 is first cut into 2 ** FINE ranges of the hash
-FINE = 12
+def fine(shards: int) -> int:
+    """Level 1 is first cut into 2 ** fine ranges of the hash, twice the shards or more."""
+    return max(4, (shards - 1).bit_length() + 1)
 
 
 def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Trie:
@@ -290,7 +291,7 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Trie:
     trie = Trie(folder, 2, 0, [])
     blocks1 = cut_lineage(count(rows, trie, 1, shards))
     entries = blocks1.agg(F.sum(F.length("keys") / 8)).first()[0] or 0
-    trie.power = min(FINE, max(2, int(entries / PER_SHARD).bit_length()))
+    trie.power = min(fine(shards), max(2, int(entries / PER_SHARD).bit_length()))
     files = 1 << trie.power
     found = spark.range(files).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("counts"))
 
@@ -318,7 +319,7 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Trie:
         if level == 1:
             trie.total = sum(r["total"] for r in sizes)
 
-    write_level(blocks1.withColumn("shard", F.shiftright("shard", FINE - trie.power)), 1)
+    write_level(blocks1.withColumn("shard", F.shiftright("shard", fine(shards) - trie.power)), 1)
     for level in range(2, order + 1):
         write_level(count(rows, trie, level, shards), level)
     return trie

@@ -398,6 +398,43 @@ def test_near_classes(docs, pairs, nothing, clashing):
     assert near.near_classes(nothing).count() == 0
 
 
+def test_near_star(spark):
+    """Edits are each alike to one original, hardly to each other: one class all the same."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts = [" ".join(base)]
+    for k in range(1000):
+        w = list(base)
+        for at in rng.sample(range(5, 195), 3):
+            w[at] = f"e{k}x{at}"
+        texts.append(" ".join(w))
+    texts += [words(rng, 150, "klmnopqrst") for _ in range(50)]
+    bags = [bag(t) for t in texts]
+    likeness = lambda a, b: sum((a & b).values()) / sum((a | b).values())
+    assert min(likeness(bags[0], b) for b in bags[1:1001]) >= 0.8
+    assert np.mean([likeness(bags[i], bags[i + 1]) for i in range(1, 1000)]) < 0.8
+    want = {i: 1000 if i <= 1000 else i for i in range(len(texts))}
+    df = table(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    assert {r.doc_id: r.class_id for r in near.near_classes(df).collect()} == want
+
+
+def test_near_blocks(spark, monkeypatch):
+    """Small blocks find what one block finds."""
+    monkeypatch.setattr(near, "BLOCK_NODES", 4)
+    monkeypatch.setattr(near, "COLUMNS", 16)
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    texts = []
+    for k in range(80):
+        w = list(base)
+        for at in rng.sample(range(100), rng.choice([0, 1, 2, 2, 3, 4])):
+            w[at] = f"e{k}x{at}"
+        texts.append(" ".join(w))
+    known = list(enumerate(texts))
+    df = table(spark, [(i, t, "en", "s", 1) for i, t in known])
+    assert {r.doc_id: r.class_id for r in near.near_classes(df).collect()} == brute_classes(known)
+
+
 def test_bag_min_hash_is_unbiased():
     rng = np.random.default_rng(0)
     h = rng.integers(1, 2**63, 60).astype(np.uint64)

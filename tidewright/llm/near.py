@@ -13,8 +13,11 @@ candidates: at likeness 0.8 a pair is missed with probability 7e-6.
 Documents with the same multiset are one node, so copies never meet each other. Every
 node is compared with one leader; then the classes that this leaves meet in each
 bucket that they share, one member of each, chained in one of ``ORDERS`` random
-orders. So the pairs are linear in the rows, whatever a bucket's size. Each pair is verified on whole multisets. Classes are the
-connected components of verified links.
+orders. These pairs are linear in the rows and join most of what belongs together. At
+last every pair of nodes that still are in different classes and share a bucket is
+compared: a bucket is cut into blocks, and each two blocks that hold different
+classes of fit sizes meet in one group of rows. Each pair is verified on whole
+multisets. Classes are the connected components of verified links.
 
 Edge cases: a null or wordless text is alone; a text of fewer than five words is one
 shingle; a null id is never compared and has a null class; of rows that share an id
@@ -42,6 +45,8 @@ REGISTERS = BANDS * ROWS
 #: nodes of one bucket that are put in one random order
 CHAIN = 4096
 ORDERS = 6
+#: nodes of a block and the units of their bags, about; shingles compared at once
+BLOCK_NODES, BLOCK_UNITS, COLUMNS = 512, 1 << 19, 4096
 U64 = np.uint64
 
 
@@ -234,6 +239,106 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def alike(bags_: list[np.ndarray], label: np.ndarray, side: np.ndarray, likeness: float) -> np.ndarray:
+    """For each node of a group the largest label that verified pairs lead to. Pairs of one
+    label are left out, and those of one side if there are two sides."""
+    size = np.array([len(x) for x in bags_], np.int64)
+    wanted = np.triu(label[:, None] != label) & (np.minimum(size[:, None], size) >= likeness * np.maximum(size[:, None], size) - 1e-9)
+    if side.min() < side.max():
+        wanted &= side[:, None] != side
+    x, y = np.nonzero(wanted)
+    if len(x) <= 2 * len(size):
+        common = np.array([len(np.intersect1d(bags_[i], bags_[j], assume_unique=True)) for i, j in zip(x.tolist(), y.tolist())], np.int64)
+    else:
+        row = np.repeat(np.arange(len(size)), size)
+        _, column, times = np.unique(np.concatenate(bags_), return_inverse=True, return_counts=True)
+        shared = times[column] > 1
+        row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(size), len(size)), np.int64)
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            i, j = np.searchsorted(column, [low, low + COLUMNS])
+            dense = np.zeros((len(size), COLUMNS), np.float32)
+            dense[row[i:j], column[i:j] - low] = 1
+            both += np.rint(dense @ dense.T).astype(np.int64)
+        common = both[x, y]
+    linked = common >= likeness * (size[x] + size[y] - common) - 1e-9
+    x, y = x[linked], y[linked]
+    top = label.copy()
+    while True:
+        after = top.copy()
+        np.maximum.at(after, x, top[y])
+        np.maximum.at(after, y, top[x])
+        if (after == top).all():
+            return top
+        top = after
+
+
+def remaining(buckets: DataFrame, classes: DataFrame, packed: DataFrame, likeness: float) -> DataFrame:
+    """Links (a, b) between labels: all pairs of nodes of different classes that share a
+    bucket are compared. Buckets with the same nodes count once."""
+    at = ["band", "value"]
+    named = buckets.select(*at, "node", "size").join(classes.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = named.groupBy(*at).agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("low <> high")
+    once = several.groupBy("n", "x", "y").agg(F.min(F.struct(*at)).alias("one")).select("one.*")
+    rows = cut_lineage(named.join(once, at))
+
+    def parts(n, units):
+        return F.greatest(F.ceil(n / BLOCK_NODES), F.ceil(units / BLOCK_UNITS))
+
+    # a class too large for one block has blocks of its own, the others are mixed
+    own = rows.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("units")).withColumn("parts", parts(F.col("n"), F.col("units")))
+    mixed_ = own.where("parts = 1").groupBy(*at).agg(parts(F.sum("n"), F.sum("units")).alias("mixed"))
+    of_label = own.join(mixed_, at, "left").select(*at, "label", "parts", "mixed")
+    spot = F.when(F.col("parts") > 1, F.struct("label", F.pmod(F.xxhash64("node"), "parts").alias("part"))).otherwise(
+        F.struct(F.lit(-1).cast("long").alias("label"), F.pmod(F.xxhash64("node", F.lit(2)), "mixed").alias("part")))
+    big = F.col("parts") > 1
+    rows = cut_lineage(rows.join(of_label, [*at, "label"]).select(*at, "node", "size", "label", F.struct(big.alias("own"), spot.alias("spot")).alias("block")))
+    blocks = rows.groupBy(*at, "block").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("size").alias("least"), F.max("size").alias("most"))
+    left, right = (blocks.select(*at, *[F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high", "least", "most")]) for k in "ij")
+    met = left.join(right, at).where(
+        f"block_i <= block_j and least(low_i, low_j) < greatest(high_i, high_j)"
+        f" and most_i >= {likeness} * least_j - 1e-9 and most_j >= {likeness} * least_i - 1e-9")
+    met = met.select(*at, F.xxhash64(*at, "block_i", "block_j").alias("meeting"), "block_i", "block_j")
+    sides = met.select(*at, "meeting", F.col("block_i").alias("block"), F.lit(0).alias("side")).unionByName(
+        met.where("block_i <> block_j").select(*at, "meeting", F.col("block_j").alias("block"), F.lit(1).alias("side")))
+    groups = (
+        rows.join(sides, [*at, "block"]).select("meeting", "side", "label", "node")
+        .join(packed.withColumnRenamed("id", "node"), "node").select("meeting", "side", "label", "bag")
+        .repartition("meeting").sortWithinPartitions("meeting")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(table: pa.Table) -> pa.RecordBatch:
+            meeting, side, label = (table.column(c).to_numpy() for c in ("meeting", "side", "label"))
+            own = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("bag")]
+            cuts = [0, *(np.flatnonzero(meeting[1:] != meeting[:-1]) + 1).tolist(), len(meeting)]
+            top = np.concatenate([alike(own[i:j], label[i:j], side[i:j], likeness) for i, j in zip(cuts, cuts[1:])])
+            a, b = label[top != label], top[top != label]
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # what is held and the start of this batch up to its last meeting is complete
+            meeting = batch.column(0).to_numpy()
+            last = int(np.searchsorted(meeting, meeting[-1]))
+            if held and (last or held[-1].column(0)[0].as_py() != meeting[0]):
+                yield links(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            elif last:
+                yield links(pa.Table.from_batches([batch.slice(0, last)]))
+            held.append(batch.slice(last))
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    return cut_lineage(groups.mapInArrow(compare, "a long, b long").distinct())
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", likeness: float = LIKENESS) -> DataFrame:
     """One row per row of ``docs``: id, class_id (largest id of its class), class_size."""
     signed = cut_lineage(signatures(docs, id_col, text_col))
@@ -272,6 +377,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(F.least("x", "y.node").alias("a"), F.greatest("x", "y.node").alias("b")).distinct()
     )
     classes = components(led.unionByName(verified(pairs, packed, likeness)))
+    joined = components(remaining(buckets, classes, packed, likeness)).toDF("label", "top")
+    # a class without a link so far is its one node
+    classes = buckets.select(F.col("node").alias("id")).distinct().join(classes, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    classes = classes.join(joined, "label", "left").select("id", F.coalesce("top", "label").alias("label"))
     of_node = nodes.select(*bag, "node").join(classes.withColumnRenamed("id", "node"), "node", "left").select(*bag, F.coalesce("label", "node").alias("class_id"))
     member = signed.join(of_node, bag, "left").groupBy("id").agg(F.coalesce(F.max("class_id"), F.first("id")).alias("class_id"))
     member = cut_lineage(member)

@@ -361,6 +361,33 @@ def test_language_model(spark, docs, pairs, nothing):
     assert ngram_lm.score(nothing, trie).count() == 0
 
 
+def test_language_model_query_keeps_all(spark):
+    """The query's scores against exact counts in which n-grams seen once stay."""
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    low = str.maketrans({c: c + 32 for c in range(65, 91)})
+    tok = lambda t: re.findall("[^\x20\x09-\x0d]+", (t or "").translate(low)) + ["\0end"]
+    c1, c2, c3 = Counter(), Counter(), Counter()
+    for r in rows:
+        if zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 7 != 2:
+            w = tok(r.text)
+            c1.update(w)
+            c2.update(zip(w, w[1:]))
+            c3.update(zip(w, w[1:], w[2:]))
+    n, v = sum(c1.values()), len(c1)
+    t1, t2 = Counter(a for a, _ in c2.elements()), Counter((a, b) for a, b, _ in c3.elements())
+    l1 = {a: 1 - (t1[a] - 0.75 * k) / c1[a] for a, k in Counter(a for a, _ in c2).items()}
+    l2 = {p: 1 - (t2[p] - 0.75 * k) / c2[p] for p, k in Counter((a, b) for a, b, _ in c3).items()}
+    p1 = lambda w: (c1[w] + 1) / (n + v + 1)
+    p2 = lambda a, w: max(c2[a, w] - 0.75, 0) / max(1, c1[a]) + l1.get(a, 1.0) * p1(w)
+    p3 = lambda a, b, w: max(c3[a, b, w] - 0.75, 0) / max(1, c2[a, b]) + l2.get((a, b), 1.0) * p2(b, w)
+    assert sum(x == 1 for x in c2.values()) > 100 and sum(x == 1 for x in c3.values()) > 100
+    got = {r.doc_id: r for r in QUERIES["op8_lm_scores"](spark, SMALL).collect()}
+    for r in rows:
+        w = tok(r.text)
+        want = sum(math.log10(p3(w[j - 2], w[j - 1], x) if j > 1 else p2(w[j - 1], x) if j else p1(x)) for j, x in enumerate(w))
+        assert got[r.doc_id].n_tokens == len(w) and abs(got[r.doc_id].score - want) < 6e-4 * len(w)
+
+
 # ------------------------------------------------------------------ 9 near duplicates
 
 def bag(t):

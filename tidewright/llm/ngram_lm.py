@@ -10,7 +10,8 @@ are interpolated with absolute discounting,
     p(w | context) = max(c - D, 0) / c(context) + left(context) * p(w | shorter context),
 
 where left() is what the kept children leave over, so each context sums to one;
-n-grams seen once are not kept beyond level 1. Probabilities and left() are stored as
+n-grams seen less than ``min_count`` times are not kept beyond level 1 (the registered
+query keeps all). Probabilities and left() are stored as
 16-bit logarithms on a fixed grid. Level 1 is add-one smoothed.
 
 Counting: each task sums its own n-grams and sends them as sorted packed blocks to
@@ -41,7 +42,7 @@ from tidewright.session import cut_lineage, scratch_path
 
 ORDER, DISCOUNT, MIN_COUNT = 3, 0.75, 2
 #: vocabulary entries per file, about; n-grams that a task sums before it sends them
-PER_SHARD, HELD = 1 << 20, 1 << 19
+PER_SHARD, HELD = 1 << 18, 1 << 19
 SLICE_BYTES = 1_000_000
 #: n-grams looked up together when a level is built
 AT_ONCE = 1 << 16
@@ -114,21 +115,30 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts[:0]
 
 
+def planes(x: np.ndarray) -> bytes:
+    """64-bit numbers by byte place, so that Spark's compression leaves little of small ones."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(x: pa.Scalar, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(8, -1).T).ravel().view(kind)
+
+
 def blocks(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each shard: its sorted keys and their counts."""
+    """One row for each shard: the steps between its sorted keys, and their counts."""
     order = np.argsort(shard, kind="stable")
     keys, counts, shard = keys[order], counts[order], shard[order]
     present, first = np.unique(shard, return_index=True)
     for s, i, j in zip(present.tolist(), first.tolist(), [*first[1:].tolist(), len(shard)]):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([s], pa.int32()), pa.array([keys[i:j].tobytes()], pa.binary()), pa.array([counts[i:j].tobytes()], pa.binary())],
+            [pa.array([s], pa.int32()), pa.array([planes(np.diff(keys[i:j], prepend=U64(0)))], pa.binary()), pa.array([planes(counts[i:j])], pa.binary())],
             names=["shard", "keys", "counts"])
 
 
 def joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All keys of a shard's blocks with their summed counts."""
-    keys = [np.frombuffer(x.as_buffer(), U64) for x in table.column("keys")]
-    counts = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("counts")]
+    keys = [np.cumsum(from_planes(x, U64), dtype=U64) for x in table.column("keys")]
+    counts = [from_planes(x, np.int64) for x in table.column("counts")]
     return summed(np.concatenate(keys), np.concatenate(counts))
 
 
@@ -225,7 +235,7 @@ class Trie:
         return log
 
 
-def count(rows: DataFrame, trie: Trie, level: int, shards: int) -> DataFrame:
+def count(rows: DataFrame, trie: Trie, level: int, shards: int, min_count: int = MIN_COUNT) -> DataFrame:
     """Blocks (shard, keys, counts) of all n-grams of ``level`` in the training texts; keys are
     token hashes, then parent * vocabulary + word."""
 
@@ -263,7 +273,7 @@ def count(rows: DataFrame, trie: Trie, level: int, shards: int) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         keys, counts = joined(table)
         if level > 1:
-            keys, counts = keys[counts >= MIN_COUNT], counts[counts >= MIN_COUNT]
+            keys, counts = keys[counts >= min_count], counts[counts >= min_count]
             parent = (keys // U64(max(1, trie.vocabulary))).astype(np.int64)
             shard = np.searchsorted(trie.starts[level - 2], parent, side="right") - 1
         else:
@@ -279,7 +289,7 @@ def fine(shards: int) -> int:
     return max(4, (shards - 1).bit_length() + 1)
 
 
-def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Trie:
+def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
     spark = texts.sparkSession
     rows = texts.select(F.col(text_col).cast("string").alias("text"))
     folder = scratch_path(spark, "ngrams")
@@ -321,7 +331,7 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Trie:
 
     write_level(blocks1.withColumn("shard", F.shiftright("shard", fine(shards) - trie.power)), 1)
     for level in range(2, order + 1):
-        write_level(count(rows, trie, level, shards), level)
+        write_level(count(rows, trie, level, shards, min_count), level)
     return trie
 
 

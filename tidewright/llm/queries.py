@@ -141,7 +141,7 @@ def op5_fingerprints(spark, sf_dir):
 def op8_lm_scores(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     out = language.held_out("doc_id", 7, 2)
-    trie = ngram_lm.train(docs.where(~out))
+    trie = ngram_lm.train(docs.where(~out), min_count=1)
     return ngram_lm.score(docs, trie).select(
         "doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -121,7 +121,7 @@ def flagship_forecast(spark, sf):
 
 @query("run_report")
 def run_report(spark, sf):
-    r = plan.report(KEYS, _monthly_run(spark, sf, (*plan.BASELINES, "seasonal_ar", "seasonal_ar_x", "trend_season")))
+    r = plan.report(KEYS, _monthly_run(spark, sf, (*plan.BASELINES, *plan.LADDER)))
     return r.withColumns({"models_tried": F.to_json("models_tried"), "metrics": F.to_json("metrics")})
 
 

@@ -115,3 +115,15 @@ def test_a_baseline_that_wins_makes_its_own_forecast(daily, daily_pdf, name, val
     for k, g in daily_pdf.groupby("series_id"):
         assert abs(out[out.series_id == k].forecast - value(g.sort_values("ts").y)).max() < 1e-9
     assert set(out.model) == {name} and not out.fallback.any()
+
+
+def test_run_report_tries_all_models(spark):
+    import json
+
+    from catalog import whole_runs
+    from tidewright.plans import forecasting
+
+    rows = whole_runs.run_report(spark, "/root/testdata/sf0.001").collect()
+    assert rows
+    for r in rows:
+        assert {x["model"] for x in json.loads(r.models_tried)} == {*forecasting.BASELINES, *forecasting.LADDER}

@@ -8,11 +8,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, ngram_lm, repeats, secrets, urls
+from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, ngram_lm, pieces, repeats, secrets, urls
 from tidewright.llm.common import documents
 
-#: the tokenizer's file, installed at the same place on every machine
-TOKENIZER = os.environ.get("WORD_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
+
+
+def public_file(name: str, variable: str) -> str:
+    """A public tokenizer's file: the one that ``variable`` names, else the installed one."""
+    if variable in os.environ:
+        return os.environ[variable]
+    try:
+        import public_tokenizers
+    except ModuleNotFoundError:
+        return f"/opt/tokenizers/{name}"
+    return public_tokenizers.path(name)
+
+
+#: tokenizer files, installed at the same place on every machine
+TOKENIZER = public_file("word_bpe_49k.json", "WORD_BPE_FILE")
+PIECES = public_file("piece_bpe_32k.model", "PIECE_BPE_FILE")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -150,3 +164,13 @@ def op8_lm_scores(spark, sf_dir):
 def op6_repeats(spark, sf_dir):
     done = repeats.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_sentencepiece(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", pieces.round_trip(F.col("text"), PIECES).alias("coded"))
+    return docs.select("doc_id", "coded.ids", "coded.decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

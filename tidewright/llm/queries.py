@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, exact, fingerprint, language, mixing, near, ngram_lm, pieces, repeats, secrets, urls
+from tidewright.llm import bpe, conversations, divergence, exact, fingerprint, language, mixing, near, ngram_lm, pieces, repeats, secrets, urls
 from tidewright.llm.common import documents
+from tidewright.session import scratch_path
 
 
 
@@ -174,3 +175,48 @@ def op12_sentencepiece(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_repair(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = conversations.damage(given)
+    path = scratch_path(spark, "repair-report")
+    conversations.report(rows, given).write.parquet(path)
+    reports = spark.read.parquet(path)
+    return reports.alias("r").join(conversations.digests(rows, reports).alias("d"), F.expr("r.conv_id <=> d.conv_id")).select("r.*", "d.repaired_sha256")
+
+
+@query
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(documents(spark, sf_dir))
+
+
+SQL["op13_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS tokens
+  FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT lang, source, row, unnest(tokens) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS whole FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(whole) AS n FROM k GROUP BY lang),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS cnt FROM t JOIN k ON t.lang = k.lang AND t.term = k.term GROUP BY t.lang, t.source, t.term),
+gn AS (SELECT g.lang, g.source, coalesce(sum(cnt), 0) AS n FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+p AS (
+  SELECT gn.lang, gn.source, k.term, coalesce(c.cnt, 0) AS cnt,
+         1 + (1000000000::HUGEINT * (coalesce(c.cnt, 0) + 2)) // (gn.n + 2 * v.v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (k.whole + 2)) // (v.n + 2 * v.v)::HUGEINT AS q
+  FROM gn JOIN v ON gn.lang = v.lang JOIN k ON k.lang = gn.lang
+  LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+tops AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE cnt > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM tops) AS both_parts)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 10
+"""

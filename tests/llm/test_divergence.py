@@ -79,6 +79,7 @@ def test_against_plain_counts(docs, rows):
 def test_several_models_small_blocks_and_tiles(docs, rows, monkeypatch):
     monkeypatch.setattr(divergence, "BLOCK", 7)
     monkeypatch.setattr(divergence, "TILE", 2)
+    monkeypatch.setattr(divergence, "HASH_SHARE", 2)
     assert got_of(divergence.audit(docs, max_terms=25)) == expected(rows, 10, 10)
 
 
@@ -104,3 +105,12 @@ def test_sql_says_the_same(spark, docs, rows, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     want = {tuple(r) for r in con.execute(SQL["op13_divergence"]).fetchall()}
     assert got_of(QUERIES["op13_divergence"](spark, str(tmp_path))) == want == expected(rows, 10, 10)
+
+
+def test_terms_of_a_batch():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abZé中🤖 1_@[`{\x7f\x00") for _ in range(rng.randint(0, 12))) for _ in range(3000)] + [None, "", "a", "B"]
+    for part in (pa.array(texts), pa.array(texts)[7:2990], pa.array(["x", None, "y"]), pa.array([], pa.string()), pa.array([None, ""], pa.string())):
+        assert divergence.cut_terms(part).to_pylist() == [TERMS.findall((t or "").translate(LOWER)) for t in part.to_pylist()]

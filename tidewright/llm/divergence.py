@@ -1,9 +1,10 @@
 """How far the sources of a language differ in their words.
 
-Terms are runs of letters and other non-ASCII characters, A-Z lower-cased. Texts become
-token arrays, each token tagged with its document's language, so one ``CountVectorizer``
-(``minDF`` documents, the largest integer as ``vocabSize``) keeps the vocabulary of every
-language at once. Its exact sparse vectors are summed by group - language and source - as
+Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased; they are cut out
+of a whole Arrow batch of texts at once. Texts become token arrays, each token tagged with
+its document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest
+integer as ``vocabSize``) keeps the vocabulary of every language at once. The arrays are
+written once, for the passes of fitting and counting. The model's exact sparse vectors are summed by group - language and source - as
 index and value rows, with a partial sum in each task. The sums feed both parts of the audit:
 
 * ``pair``: every two sources of a language are compared over all kept terms, in blocks of
@@ -16,9 +17,9 @@ Shares are integers, ``1 + floor(scale * (count + 2) / (N + 2 V))``, and so is t
 pass 64 bits are taken as decimals.
 
 The vocabulary of a model goes through the driver and to every task, as
-``CountVectorizer`` works. It is kept bounded: the kept terms are counted first, and where
-there are more than ``MAX_TERMS`` they are dealt by hash to several models, each of which
-reads the texts once. All terms stay. Models are stored in the folder of
+``CountVectorizer`` works. It is kept bounded: the distinct terms of one hash value in
+``HASH_SHARE`` tell how many there are, and where ``MAX_TERMS`` are passed they are dealt by hash to several models,
+each of which reads the arrays once. All terms stay. Models are stored in the folder of
 ``spark.checkpoint.dir`` and their vocabularies read back as tables.
 
 Edge cases: null text, language and source count as empty strings; a document without terms
@@ -29,35 +30,74 @@ broken by the item's UTF-8 bytes; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import whole_text
+from tidewright.operators.layout import spread_join
 from tidewright.session import scratch_path
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: bytes of terms: letters, and all of what is not ASCII
+LETTER = np.array([b >= 128 or bytes([b]).isalpha() for b in range(256)])
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 SCALE = 1_000_000_000
 LARGEST = 2**31 - 1
-#: terms of one model, terms of a block, sources of a tile
-MAX_TERMS, BLOCK, TILE = 1 << 20, 4096, 128
+#: distinct terms of one model, terms of a block, sources of a tile
+MAX_TERMS, BLOCK, TILE = 1 << 22, 4096, 128
+#: the arrays are read a few times only: no dictionaries of words
+PLAIN = {"parquet.enable.dictionary": "false", "compression": "lz4"}
+#: one of so many hash values tells how many distinct terms there are; the margin allowed for
+HASH_SHARE, MARGIN = 64, 1.1
 #: no term holds this character; it tags, and is the token that keeps a vocabulary from being empty
 MARK = "\0"
 
 
-def terms(text: str) -> Column:
-    return F.regexp_extract_all(F.translate(whole_text(text), UPPER, LOWER), F.lit(TERM), F.lit(0))
+def cut_terms(texts: pa.Array) -> pa.ListArray:
+    """The terms of each text, all texts of the batch in one pass over their bytes."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    inside = np.concatenate([[False], LETTER[raw], [False]])
+    # a text's end ends its last term too
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    first, last = edge[::2], edge[1::2]
+    starts = ends[1:-1] - ends[0]
+    split = np.unique(starts[(starts > 0) & (starts < len(raw))])
+    split = split[inside[split] & inside[split + 1]]
+    first, last = np.sort(np.concatenate([first, split])), np.sort(np.concatenate([last, split]))
+    offsets = np.concatenate([[0], np.cumsum(last - first)])
+    letters = LOWER[raw[inside[1:-1]]]
+    words = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters))
+    return pa.LargeListArray.from_arrays(pa.array(np.searchsorted(first, ends - ends[0]), pa.int64()), words)
+
+
+def tagged_terms(lang: Column, text: Column) -> Column:
+    """array<string>: the text's terms, each behind its language and a mark."""
+
+    @F.arrow_udf("array<string>")
+    def tag(lang: pa.Array, text: pa.Array) -> pa.Array:
+        found = cut_terms(text)
+        sizes = np.diff(found.offsets.to_numpy())
+        tags = pc.binary_join_element_wise(lang.cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar(MARK, pa.large_string()))
+        spread = tags.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+        whole = pc.binary_join_element_wise(spread, found.values, pa.scalar("", pa.large_string()))
+        return pa.LargeListArray.from_arrays(found.offsets, whole).cast(pa.list_(pa.string()))
+
+    return tag(lang, text)
 
 
 def count_models(tagged: DataFrame, min_df: int, max_terms: int) -> list[CountVectorizerModel]:
     """Fitted models over ``tokens``; together they hold every token of at least ``min_df``
     rows, each exactly one of a hash's values."""
-    rows = tagged.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token").count()
-    kept = rows.where(F.col("count") >= min_df).count()
-    shards = -(-kept // max_terms) or 1
+    some = tagged.select(F.explode("tokens").alias("token")).where(F.xxhash64("token") % HASH_SHARE == 0)
+    distinct = some.agg(F.count_distinct("token").alias("n")).first().n * HASH_SHARE
+    shards = math.ceil(distinct * MARGIN / max_terms) or 1
     spark = tagged.sparkSession
     # a token in min_df rows of our own, so that no vocabulary is empty
     mark = spark.range(min_df).select(F.array(F.lit(MARK)).alias("tokens"))
@@ -74,9 +114,11 @@ def _share(tokens: str, shard: int, shards: int) -> Column:
 
 
 def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame, DataFrame]:
-    """(sums, vocabulary): ``count`` of each (lang, source, term id) that occurs, and the
-    (id, lang, term) that are kept."""
-    tagged = docs.select("lang", "source", F.transform("tokens", lambda t: F.concat("lang", F.lit(MARK), t)).alias("tokens"))
+    """(sums, vocabulary) of lang, source, text: ``count`` of each (lang, source, term id)
+    that occurs, and the (id, lang, term) that are kept."""
+    path = scratch_path(docs.sparkSession, "divergence-tokens")
+    docs.select("lang", "source", tagged_terms(F.col("lang"), F.col("text")).alias("tokens")).write.options(**PLAIN).parquet(path)
+    tagged = docs.sparkSession.read.parquet(path)
     models = count_models(tagged, min_df, max_terms)
     spark, n = docs.sparkSession, len(models)
     sums, names = [], []
@@ -147,12 +189,12 @@ def _tile_pairs(table: pa.Table) -> pa.Table:
 def source_pairs(sums: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) of every ordered pair of sources of a language.
 
-    ``groups`` has lang, source, its number within the language, total, kept and ``rest``,
+    ``groups`` has lang, source, its number within the language, totals, kept and ``rest``,
     the share of a term that the group does not have.
     """
-    known = sums.join(groups, ["lang", "source"]).select(
+    known = spread_join(sums, groups, ["lang", "source"]).select(
         "lang", "number", "id", _share_of(F.col("count"), F.col("total"), F.col("kept")).alias("share"), F.floor(F.col("id") / BLOCK).alias("block"))
-    blocks = known.select("lang", "block").distinct()
+    blocks = sums.select("lang", F.floor(F.col("id") / BLOCK).alias("block")).distinct()
     absent = blocks.join(groups, "lang").select("lang", "number", F.lit(None).cast("long").alias("id"), F.col("rest").alias("share"), "block")
     tiles = groups.groupBy("lang").agg(F.floor(F.max("number") / TILE).alias("last_tile"))
     tile = F.floor(F.col("number") / TILE)
@@ -169,11 +211,11 @@ def source_pairs(sums: DataFrame, groups: DataFrame) -> DataFrame:
     return done.select("lang", F.explode(ways).alias("x"), "value").select("lang", "x.source", "x.item", "value")
 
 
-def source_terms(sums: DataFrame, groups: DataFrame, languages: DataFrame, names: DataFrame, top: int) -> DataFrame:
+def source_terms(sums: DataFrame, groups: DataFrame, names: DataFrame, top: int) -> DataFrame:
     """(lang, source, item, value) of the ``top`` terms, ties at the end included, that a
     source has and uses more than its language."""
-    whole = sums.groupBy("lang", "id").agg(F.sum("count").alias("whole"))
-    each = sums.join(whole, ["lang", "id"]).join(groups.select("lang", "source", "total"), ["lang", "source"]).join(languages, "lang")
+    whole = F.sum("count").over(Window.partitionBy("lang", "id"))
+    each = spread_join(sums.withColumn("whole", whole), groups.select("lang", "source", "total", "kept", "lang_total"), ["lang", "source"])
     p, q = _share_of(F.col("count"), F.col("total"), F.col("kept")), _share_of(F.col("whole"), F.col("lang_total"), F.col("kept"))
     each = each.select("lang", "source", "id", p.alias("p"), q.alias("q")).where("p > q").withColumn("value", _unlike(F.col("p"), F.col("q")))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
@@ -185,24 +227,24 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     """(lang, source, part, item, value, rank): how far each source is from every other one
     of its language (part ``pair``), and its ``top`` most typical terms (part ``term``)."""
     spark = docs.sparkSession
-    plain = docs.select(whole_text(lang).alias("lang"), whole_text(source).alias("source"), terms(text).alias("tokens"))
+    plain = docs.select(whole_text(lang).alias("lang"), whole_text(source).alias("source"), whole_text(text).alias("text"))
     sums, names = group_sums(plain, min_df, max_terms)
     path = scratch_path(spark, "divergence-sums")
     sums.write.parquet(path)
     sums = spark.read.parquet(path)
     kept = names.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     totals = sums.groupBy("lang", "source").agg(F.sum("count").alias("total"))
-    of_lang = totals.groupBy("lang").agg(F.sum("total").alias("lang_total")).join(kept, "lang")
+    of_lang = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
     occurring = plain.select("lang", "source").distinct()
     number = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long")
-    groups = occurring.join(totals, ["lang", "source"], "left").join(kept, "lang", "left").select(
-        "lang", "source", number.alias("number"), F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kept", F.lit(0)).alias("kept"))
+    groups = occurring.join(totals, ["lang", "source"], "left").join(kept, "lang", "left").join(of_lang, "lang", "left").select(
+        "lang", "source", number.alias("number"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "kept", "lang_total")])
     groups = groups.withColumn("rest", _share_of(F.lit(0), F.col("total"), F.col("kept")))
     path = scratch_path(spark, "divergence-groups")
     groups.write.parquet(path)
     groups = spark.read.parquet(path)
     pairs = source_pairs(sums, groups).withColumn("part", F.lit("pair"))
-    typical = source_terms(sums, groups, of_lang, names, top).withColumn("part", F.lit("term"))
+    typical = source_terms(sums, groups, names, top).withColumn("part", F.lit("term"))
     place = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
     return pairs.unionByName(typical).withColumn("rank", place).where((F.col("part") == "pair") | (F.col("rank") <= top)).select(
         "lang", "source", "part", "item", "value", "rank")

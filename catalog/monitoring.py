@@ -51,13 +51,19 @@ def psi_last_180(spark, sf):
     return rounded(monitor.recent_drift(daily_by_priority(spark, sf), KEYS), 9, "psi").select("series_id", "psi")
 
 
-def _mad_sql(inner: str, threshold: float) -> str:
-    w = "PARTITION BY series_id ORDER BY ts ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+def _mad_steps(inner: str, window: int = 30) -> str:
+    """Tables up to z: rows with their robust score."""
+    w = f"PARTITION BY series_id ORDER BY ts ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW"
+    need = max(5, window // 2)
+    return f"""m AS (SELECT *, CASE WHEN count(y) OVER ({w}) >= {need} THEN quantile_cont(y, 0.5) OVER ({w}) END AS med FROM ({inner}) AS d),
+  v AS (SELECT *, abs(y - med) AS dev FROM m),
+  s AS (SELECT *, CASE WHEN count(dev) OVER ({w}) >= {need} THEN quantile_cont(dev, 0.5) OVER ({w}) END * 1.4826::DOUBLE AS mad FROM v),
+  z AS (SELECT *, (y - med) / nullif(mad, 0) AS z FROM s)"""
+
+
+def _mad_sql(inner: str, threshold: float, window: int = 30) -> str:
     return f"""
-WITH m AS (SELECT *, CASE WHEN count(y) OVER ({w}) >= 15 THEN quantile_cont(y, 0.5) OVER ({w}) END AS med FROM ({inner}) AS d),
-v AS (SELECT *, abs(y - med) AS dev FROM m),
-s AS (SELECT *, CASE WHEN count(dev) OVER ({w}) >= 15 THEN quantile_cont(dev, 0.5) OVER ({w}) END * 1.4826::DOUBLE AS mad FROM v),
-z AS (SELECT *, (y - med) / nullif(mad, 0) AS z FROM s)
+WITH {_mad_steps(inner, window)}
 SELECT series_id, ts, y, round(z, 6) AS z, coalesce(abs(z) > {threshold}, false) AS is_change FROM z
 """
 
@@ -71,3 +77,26 @@ def mad_changepoints(spark, sf):
 def mad_changepoints_blocks(spark, sf):
     d = monitor.mad_change_points(daily_by_priority(spark, sf), KEYS, threshold=3.0, block_rows=256)
     return rounded(d, 6, "z")
+
+
+@query("mad_changepoints_wide", _mad_sql(HOURLY_EVENTS, 4.0, 336))
+def mad_changepoints_wide(spark, sf):
+    """A window of two weeks of hours."""
+    return rounded(monitor.mad_change_points(hourly_events(spark, sf), KEYS, window=336), 6, "z")
+
+
+_AT = f"SELECT series_id, ts, y, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS rn FROM ({DAILY_BY_PRIORITY}) AS d"
+
+
+@query("psi_rolling", f"""
+WITH n AS ({_AT}),
+  p AS (SELECT series_id, ts, rn AS place FROM n WHERE rn % 50 = 0 AND rn >= 120),
+  x AS (SELECT p.series_id, p.place, n.rn > p.place - 60 AS now, n.y FROM p JOIN n ON n.series_id = p.series_id AND n.rn > p.place - 120 AND n.rn <= p.place),
+  e AS (SELECT series_id, place, quantile_cont(y, [{", ".join(f"{i / 10}" for i in range(1, 10))}]) AS edges FROM x WHERE NOT now GROUP BY series_id, place),
+  k AS (SELECT series_id, place, now, len(list_filter(edges, lambda q: q <= y)) AS bin FROM x JOIN e USING (series_id, place)),
+  c AS (SELECT series_id, place, bin, count(*) FILTER (now) / 60 AS q, count(*) FILTER (NOT now) / 60 AS p FROM k GROUP BY series_id, place, bin),
+  r AS (SELECT series_id, place, sum((q - p) * ln((q + 1e-9::DOUBLE) / (p + 1e-9::DOUBLE))) AS psi FROM c GROUP BY series_id, place)
+SELECT p.series_id, p.ts, p.place AS rn, round(r.psi, 9) AS psi FROM p LEFT JOIN r USING (series_id, place)
+""")
+def psi_rolling(spark, sf):
+    return rounded(monitor.rolling_drift(daily_by_priority(spark, sf), KEYS, span=60, every=50), 9, "psi")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, raw_events, rounded, table
+from catalog.evaluating import _split_sql
+from catalog.monitoring import _mad_steps
 from catalog.regularizing import _FILLED, policy_sql
 from catalog.screening import _LAGGED_SQL, lagged_features
 from tidewright.functions import frequency as fq
@@ -15,7 +17,7 @@ from tidewright.operators.layout import by_series
 from tidewright.plans import forecasting as plan
 from tidewright.plans.load import LoadOptions, load_series
 from tidewright.session import scratch_path
-from tidewright.streaming import live
+from tidewright.streaming import live, watch
 
 
 # Sub-hourly and hourly series are read by the hour, wider ones by 6 hours or a day.
@@ -157,9 +159,9 @@ _GAPPED = ("seasonal_ar", "seasonal_ar_x", "trend_season", "snaive")
 
 
 @query("plan_scored_rows", f"""
-WITH d AS ({DAILY_BY_PRIORITY}), n AS (SELECT series_id, count(*) AS n FROM d GROUP BY series_id)
-SELECT series_id, model, least({fq.frequency("D").valid_cap}, n - {fq.frequency("D").min_train})::BIGINT AS n_rows
-FROM n, (VALUES {", ".join(f"('{m}')" for m in _GAPPED)}) AS v(model)
+WITH s AS ({_split_sql(DAILY_BY_PRIORITY, fq.frequency("D").valid_cap, fq.frequency("D").min_train)}),
+n AS (SELECT series_id, count(*) AS n_rows FROM s WHERE split = 'valid' GROUP BY series_id)
+SELECT series_id, model, n_rows FROM n, (VALUES {", ".join(f"('{m}')" for m in _GAPPED)}) AS v(model)
 """)
 def plan_scored_rows(spark, sf):
     """Series with gaps: every model is scored on the same rows."""
@@ -184,6 +186,37 @@ def plan_series_complete(spark, sf):
 
 # -------------------------------------------------------------------- streams
 
+_SEEN = """SELECT event_type AS series_id, ts, value AS y FROM events WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+
+
+def _rolling_psi_sql(span: int, every: int) -> str:
+    edges = ", ".join(f"{i / 10}" for i in range(1, 10))
+    return f"""p AS (SELECT series_id, rn AS place FROM n WHERE rn % {every} = 0 AND rn >= {2 * span}),
+  x AS (SELECT p.series_id, p.place, n.rn > p.place - {span} AS now, n.y FROM p JOIN n ON n.series_id = p.series_id AND n.rn > p.place - {2 * span} AND n.rn <= p.place WHERE n.y IS NOT NULL),
+  e AS (SELECT series_id, place, quantile_cont(y, [{edges}]) AS edges FROM x WHERE NOT now GROUP BY series_id, place),
+  side AS (SELECT x.*, len(list_filter(edges, lambda q: q <= y)) AS k FROM x JOIN e USING (series_id, place)),
+  c AS (SELECT series_id, place, count(*) FILTER (now) AS nn, count(*) FILTER (NOT now) AS nb FROM side GROUP BY series_id, place),
+  b AS (SELECT unnest(range(0, 10)) AS bin),
+  f AS (SELECT c.series_id, c.place, nn, nb, b.bin, count(*) FILTER (s.now) AS cn, count(*) FILTER (NOT s.now) AS cb
+    FROM c CROSS JOIN b LEFT JOIN side s ON s.series_id = c.series_id AND s.place = c.place AND s.k = b.bin GROUP BY ALL),
+  r AS (SELECT series_id, place, CASE WHEN max(nn) >= 10 AND max(nb) >= 10 THEN
+    sum((coalesce(cn, 0) / nn - coalesce(cb, 0) / nb) * ln((coalesce(cn, 0) / nn + 1e-9::DOUBLE) / (coalesce(cb, 0) / nb + 1e-9::DOUBLE))) END AS psi FROM f GROUP BY series_id, place)"""
+
+
+@query("stream_watch", f"""
+WITH {_mad_steps(_SEEN)},
+  n AS (SELECT series_id, y, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS rn, ts, z FROM z),
+  {_rolling_psi_sql(90, 30)}
+SELECT n.series_id, n.ts, n.y, round(n.z, 6) AS z, coalesce(abs(n.z) > 4.0, false) AS is_change, n.rn, round(r.psi, 9) AS psi
+FROM n LEFT JOIN r ON r.series_id = n.series_id AND r.place = n.rn
+""")
+def stream_watch(spark, sf):
+    """Change points and rolling drift of a stream equal those of the rows it has passed."""
+    out, ckpt = scratch_path(spark, "watch"), scratch_path(spark, "watch-state")
+    live.write_stream(watch.watch_series(_event_stream(spark, sf), "1 hour", KEYS), out, ckpt).awaitTermination()
+    return rounded(rounded(spark.read.parquet(out), 6, "z"), 9, "psi")
+
+
 def _event_stream(spark, sf):
     schema = table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)

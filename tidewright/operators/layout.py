@@ -72,6 +72,18 @@ def number_rows(df: DataFrame, keys: Sequence[str], ts: str, out: str = "rn", ch
     )
 
 
+def dealt_blocks(df: DataFrame, keys: Sequence[str], ts: str, before: int, after: int, block_rows: int) -> DataFrame:
+    """Rows with ``_pos``, the block ``_home`` they belong to and the ``_block`` they are
+    dealt to: their own, and the neighbour's that needs them as context."""
+    if max(before, after) > block_rows:
+        raise ValueError("block_rows must be at least the reach of the frame")
+    d = number_rows(df, keys, ts, out="_pos")
+    home = F.floor((F.col("_pos") - 1) / F.lit(block_rows))
+    inside = (F.col("_pos") - 1) % F.lit(block_rows)
+    homes = F.array(home, F.when(inside >= block_rows - before, home + 1), F.when(inside < after, home - 1))
+    return d.withColumn("_home", home).withColumn("_block", F.explode(homes)).where("_block is not null")
+
+
 def in_blocks(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,13 +104,7 @@ def in_blocks(
     """
     if block_rows is None:
         return body(df, by_series(keys, ts))
-    if max(before, after) > block_rows:
-        raise ValueError("block_rows must be at least the reach of the frame")
-    d = number_rows(df, keys, ts, out="_pos")
-    home = F.floor((F.col("_pos") - 1) / F.lit(block_rows))
-    inside = (F.col("_pos") - 1) % F.lit(block_rows)
-    homes = F.array(home, F.when(inside >= block_rows - before, home + 1), F.when(inside < after, home - 1))
-    d = d.withColumn("_home", home).withColumn("_block", F.explode(homes)).where("_block is not null")
+    d = dealt_blocks(df, keys, ts, before, after, block_rows)
     done = body(d, by_series([*keys, "_block"], "_pos"))
     return done.where(F.col("_block") == F.col("_home")).drop("_pos", "_home", "_block")
 

@@ -6,17 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
-from tidewright.operators.features import gated
-from tidewright.operators.layout import by_series, in_blocks, spread_join
+from tidewright.operators.layout import by_series, spread_join
+from tidewright.operators.ordered import RobustScore, scan_rows
 from tidewright.operators.quantiles import exact_quantiles, percentile
 
-# Guard inside the logarithm, sample size below which PSI is
-# undefined, and the factor that makes a MAD comparable to a deviation.
+# Guard inside the logarithm, sample size below which PSI is undefined.
 PSI_GUARD = 1e-9
 PSI_MIN_ROWS = 10
-MAD_TO_STD = 1.4826
 
 
 def bin_edges(baseline: DataFrame, keys: Sequence[str], y: str = "y", bins: int = 10, gridded: bool = False) -> DataFrame:
@@ -74,6 +71,24 @@ def recent_drift(
     return psi(before, now, keys, y, bins, gridded=True)
 
 
+def rolling_drift(
+    df: DataFrame, keys: Sequence[str], ts: str = "ts", y: str = "y", span: int = 90, every: int = 30, bins: int = 10
+) -> DataFrame:
+    """PSI of the last ``span`` rows against the ``span`` before them, at every
+    ``every``-th row of a series that has so many. A row is copied to the places whose
+    spans hold it; only bin counts are shuffled after that."""
+    keys = list(keys)
+    d = df.withColumn("_rn", F.row_number().over(by_series(keys, ts)).cast("long"))
+    first = F.greatest(F.ceil(F.col("_rn") / every), F.ceil(F.lit(2 * span) / every)).cast("long")
+    last = F.floor((F.col("_rn") + 2 * span - 1) / every).cast("long")
+    places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    at = d.select(*keys, "_rn", y, F.explode(F.transform(places, lambda k: k * every)).alias("_at"))
+    ends = d.where(F.col("_rn") % every == 0).select(*keys, F.col("_rn").alias("_at"), ts)
+    before, now = at.where(F.col("_rn") <= F.col("_at") - span), at.where(F.col("_rn") > F.col("_at") - span)
+    scored = psi(before, now, [*keys, "_at"], y, bins, gridded=True)
+    return ends.where(F.col("_at") >= 2 * span).join(scored, [*keys, "_at"], "left").select(*keys, ts, F.col("_at").alias("rn"), "psi")
+
+
 def mad_change_points(
     df: DataFrame,
     keys: Sequence[str] = (),
@@ -83,17 +98,8 @@ def mad_change_points(
     threshold: float = 4.0,
     block_rows: int | None = None,
 ) -> DataFrame:
-    """Robust rolling z-score and flag: distance from the rolling median in
-    units of the rolling median absolute deviation."""
-    at_least = max(5, window // 2)
-
-    def body(d: DataFrame, w: WindowSpec) -> DataFrame:
-        frame = w.rowsBetween(-(window - 1), 0)
-        d = d.withColumn("_med", gated(percentile(y, 0.5).over(frame), F.col(y), frame, at_least))
-        d = d.withColumn("_dev", F.abs(F.col(y) - F.col("_med")))
-        mad = gated(percentile("_dev", 0.5).over(frame), F.col("_dev"), frame, at_least) * MAD_TO_STD
-        z = (F.col(y) - F.col("_med")) / F.nullif(mad, F.lit(0.0))
-        d = d.withColumn("z", z).drop("_med", "_dev")
-        return d.withColumn("is_change", F.coalesce(F.abs("z") > threshold, F.lit(False)))
-
-    return in_blocks(df, keys, ts, body, before=2 * (window - 1), block_rows=block_rows)
+    """Robust rolling z-score and flag: distance from the rolling median in units of the
+    rolling median absolute deviation, both over the last ``window`` rows. The cost of a row
+    hardly grows with the window (see ``ordered``)."""
+    done = scan_rows(df, keys, ts, y, lambda: RobustScore(window).push, "z", 2 * (window - 1), block_rows)
+    return done.withColumn("is_change", F.coalesce(F.abs("z") > threshold, F.lit(False)))

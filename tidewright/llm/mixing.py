@@ -137,7 +137,8 @@ def mix(
         .join(offsets, [*stream, "bucket"])
         .withColumn("start", start)
         .where("start < quota")
-        .withColumn("block", F.expr(f"(start * {blocks}) div quota"))
+        # the product may pass 64 bits, the quotient is below the number of blocks
+        .withColumn("block", F.expr(f"(cast(start as decimal(20,0)) * cast({blocks} as decimal(18,0))) div cast(quota as decimal(20,0))"))
         .withColumn("place", F.md5(F.concat_ws("|", F.lit(f"{seed}|block"), F.col("epoch").cast("string"), "id").cast("binary")))
     )
     in_block = W.partitionBy("block").orderBy("place", "tokens")

@@ -516,6 +516,6 @@ def test_pipeline_stages_with_odd_rows(docs, nothing, spark):
 def test_mixing_of_a_hundred_trillion_tokens(spark):
     """Places in the stream times the number of blocks are past 64 bits."""
     d = spark.range(10).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit(10**13).alias("tokens"))
-    got = mixing.mix(d, text_col=None, tokens=F.col("tokens")).collect()
+    got = mixing.mix(d, text_col=None, tokens=F.col("tokens"), max_repeat=4.0).collect()
     blocks = round(10**14 / (1 << 20))
     assert sorted(r.block for r in got) == [k * 10**13 * blocks // 10**14 for k in range(10)]

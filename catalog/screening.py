@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    DAILY_BY_PRIORITY, HOURLY_EVENTS, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, hourly_events, idle_weekends_sql,
+    DAILY_BY_PRIORITY, HOURLY_EVENTS, KEYS, MONTHLY_BY_PRIORITY, REGISTRY, daily_by_priority, hourly_events, idle_weekends_sql,
     monthly_by_priority, query, rounded, table, with_idle_weekends,
 )
 from catalog.profiling import _ACF
@@ -69,6 +69,39 @@ def corr_screen(spark, sf):
     return rounded(screening.corr_screen(d, ["dow", "is_weekend", "month", "fixed"], KEYS), 9, "corr")
 
 
+@query("corr_pairs_tiled", REGISTRY["corr_pairs"][1])
+def corr_pairs_tiled(spark, sf):
+    """The same pairs from tiles of three columns."""
+    d = table(spark, sf, "lineitem").withColumnRenamed("l_returnflag", "series_id")
+    return rounded(screening.corr_pairs(d, NUMERICS, KEYS, tile=3), 9, "corr")
+
+
+LAGS = range(1, 61)
+
+
+def lag_columns(spark, sf):
+    return feat.lag_roll_features(daily_by_priority(spark, sf), KEYS, lags=list(LAGS), rolls=[])
+
+
+@query("corr_pairs_wide", f"""
+WITH d AS (SELECT series_id, y, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS rn FROM ({DAILY_BY_PRIORITY}) AS x),
+l AS (SELECT d.series_id, d.rn, k, e.y FROM d, range({LAGS.start}, {LAGS.stop}) AS r(k) JOIN d AS e ON e.series_id = d.series_id AND e.rn = d.rn - k)
+SELECT a.series_id, 'lag_' || a.k AS a, 'lag_' || b.k AS b, round(covar_pop(a.y, b.y) / nullif(stddev_pop(a.y) * stddev_pop(b.y), 0), 8) AS corr
+FROM l AS a JOIN l AS b ON a.series_id = b.series_id AND a.rn = b.rn AND a.k < b.k GROUP BY a.series_id, a.k, b.k
+""")
+def corr_pairs_wide(spark, sf):
+    """Sixty lags: 1,770 pairs a series, each over the rows that have both."""
+    return rounded(screening.corr_pairs(lag_columns(spark, sf), [f"lag_{k}" for k in LAGS], KEYS), 8, "corr")
+
+
+@query("vif_select_wide")
+def vif_select_wide(spark, sf):
+    """Sixty lags and ten sums of neighbours, which go."""
+    d = lag_columns(spark, sf)
+    d = d.withColumns({f"sum_{k}": F.col(f"lag_{k}") + F.col(f"lag_{k + 1}") for k in range(1, 11)})
+    return screening.select_by_vif(d, [*[f"sum_{k}" for k in range(1, 11)], *[f"lag_{k}" for k in LAGS]], KEYS)
+
+
 @query("vif_two", f"""
 SELECT l_returnflag AS series_id, round(1 / (1 - r * r), 9) AS vif FROM (SELECT l_returnflag, {_corr('l_quantity', 'l_extendedprice')} AS r FROM lineitem GROUP BY l_returnflag) AS c
 """)
@@ -93,6 +126,13 @@ def vif_three(spark, sf):
     return rounded(screening.vif_table(d, _P3, KEYS), 8, "vif")
 
 
+@query("vif_three_tiled", REGISTRY["vif_three"][1])
+def vif_three_tiled(spark, sf):
+    """The same factors from tiles of two columns."""
+    d = table(spark, sf, "lineitem").withColumnRenamed("l_returnflag", "series_id")
+    return rounded(screening.vif_table(d, _P3, KEYS, tile=2), 8, "vif")
+
+
 _MIXED3 = ["l_quantity", "mixed", "l_tax"]
 
 

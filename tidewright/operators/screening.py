@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.functions.expressions import pearson
+from tidewright.operators import tiles
 
 # Screening thresholds.
 MIN_ABS_CORR = 0.10
@@ -21,6 +22,7 @@ MAX_VIF = 5.0
 MIN_ACF7_FOR_LAGS = 0.3
 LOW_SEASONALITY = 0.3
 UPLIFT_POINTS = 1.0
+PLANNED_COLUMNS = 24  # beyond so many, pairs are summed in tiles, not planned one by one
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -50,8 +52,14 @@ def corr_screen(
     return correlations(df, columns, keys, y).where(F.abs("corr") >= min_abs)
 
 
-def corr_pairs(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), threshold: float | None = None) -> DataFrame:
-    """Correlation of each pair of columns, optionally only above a threshold."""
+def corr_pairs(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), threshold: float | None = None, tile: int | None = None
+) -> DataFrame:
+    """Correlation of each pair of columns, optionally only above a threshold. Many
+    columns, or a given ``tile`` size, go by tiles of cross-products."""
+    if tile or len(columns) > PLANNED_COLUMNS:
+        out = tiles.pair_rows(df, columns, keys, tile or tiles.TILE)
+        return out if threshold is None else out.where(F.abs("corr") > threshold)
     pairs = list(combinations(columns, 2))
     value = lambda a, b: pearson(F.col(a).cast("double"), F.col(b).cast("double"))
     entries = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value(a, b).alias("corr")) for a, b in pairs]
@@ -66,10 +74,12 @@ def high_pairs(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
 
 # ---------------------------------------------------------------------- VIF
 
-def _corr_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str], complete: bool = True) -> DataFrame:
+def _corr_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str], complete: bool = True, tile: int | None = None) -> DataFrame:
     """One row per series: row count and upper-triangle correlations, of rows
     that are complete in all columns unless the caller has chosen the rows."""
     d = df.na.drop(subset=list(columns)) if complete else df
+    if tile or len(columns) > PLANNED_COLUMNS:
+        return tiles.matrix_rows(d, columns, keys, tile or tiles.TILE)
     value = lambda a, b: pearson(F.col(a).cast("double"), F.col(b).cast("double"))
     spread = [F.stddev_samp(F.col(c).cast("double")) for c in columns]
     return d.groupBy(*keys).agg(
@@ -81,28 +91,49 @@ def _corr_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str], compl
 def _unpack(n_cols: int, sd, r) -> tuple[np.ndarray, list[int]]:
     """Correlation matrix of the columns that vary, and their positions."""
     full = np.eye(n_cols)
-    for value, (i, j) in zip(r, combinations(range(n_cols), 2)):
-        full[i, j] = full[j, i] = np.nan if value is None else value
+    full[np.triu_indices(n_cols, 1)] = [np.nan if v is None else v for v in r]
+    full = np.triu(full) + np.triu(full, 1).T
     live = [i for i in range(n_cols) if sd[i] is not None and sd[i] > 0]
     return full[np.ix_(live, live)], live
 
 
 def _vifs(corr: np.ndarray) -> np.ndarray:
-    """Variance inflation factors: the diagonal of the inverse correlation."""
+    """Variance inflation factors: the diagonal of the inverse correlation. Columns that
+    take part in an exact relation have an infinite one."""
     if not len(corr):
         return np.zeros(0)
-    if np.linalg.matrix_rank(corr, tol=1e-10) < len(corr):
-        out = np.full(len(corr), np.inf)
-        for i in range(len(corr)):
-            rest = [j for j in range(len(corr)) if j != i]
-            r2 = corr[i, rest] @ np.linalg.pinv(corr[np.ix_(rest, rest)], rcond=1e-10) @ corr[rest, i]
-            if r2 < 1 - 1e-9:
-                out[i] = 1.0 / (1.0 - r2)
-        return out
+    values, vectors = np.linalg.eigh(corr)
+    null = values < 1e-10
+    if null.any():
+        share = (vectors[:, null] ** 2).sum(1)
+        rest = (vectors[:, ~null] ** 2 / values[~null]).sum(1)
+        return np.where(share > 1e-9, np.inf, rest)
     return np.diag(np.linalg.inv(corr))
 
 
-def vif_table(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), threshold: float = MAX_VIF) -> DataFrame:
+def _prune(corr: np.ndarray, n: int, threshold: float) -> list[int]:
+    """Columns left after dropping the worst again and again. The inverse without a
+    column follows from the inverse with it; the end is checked afresh."""
+    left = list(range(len(corr)))
+    while left and n > len(left) + 1:
+        v = _vifs(corr[np.ix_(left, left)])
+        if v.max() <= threshold:
+            break
+        if np.isinf(v).any():
+            left.pop(int(np.argmax(v)))
+            continue
+        inverse = np.linalg.inv(corr[np.ix_(left, left)])
+        while left and n > len(left) + 1 and (v := np.diag(inverse)).max() > threshold:
+            k = int(np.argmax(v))
+            inverse = inverse - np.outer(inverse[:, k], inverse[k]) / inverse[k, k]
+            inverse = np.delete(np.delete(inverse, k, 0), k, 1)
+            left.pop(k)
+    return left
+
+
+def vif_table(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), threshold: float = MAX_VIF, tile: int | None = None
+) -> DataFrame:
     """VIF per column and a flag above the threshold.
 
     Rows are reduced to one correlation vector per series by ordinary
@@ -122,7 +153,7 @@ def vif_table(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), t
                     rows.append([*(rec[k] for k in keys), columns[pos], float(v), "high_vif" if v > threshold else ""])
             yield pd.DataFrame(rows, columns=[*keys, "feature", "vif", "flag"])
 
-    stats = _corr_rows(df, columns, keys)
+    stats = _corr_rows(df, columns, keys, tile=tile)
     return stats.mapInPandas(invert, _key_schema(df, keys) + "feature string, vif double, flag string")
 
 
@@ -136,7 +167,9 @@ def vif_pair(df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFra
     return df.na.drop(subset=[a, b]).groupBy(*keys).agg((1.0 / F.nullif(1.0 - r * r, F.lit(0.0))).alias("vif"))
 
 
-def select_by_vif(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), threshold: float = MAX_VIF) -> DataFrame:
+def select_by_vif(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), threshold: float = MAX_VIF, tile: int | None = None
+) -> DataFrame:
     """Columns left after dropping the worst VIF again and again.
 
     The data is scanned once; every round works on a sub-matrix of the same
@@ -149,18 +182,13 @@ def select_by_vif(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
             rows = []
             for rec in pdf.to_dict("records"):
                 corr, live = _unpack(len(columns), rec["_sd"], rec["_r"])
-                left = list(range(len(live)))
+                left = _prune(corr, rec["_n"], threshold)
                 constant = [i for i in range(len(columns)) if i not in live]
-                while left and rec["_n"] > len(left) + 1:
-                    v = _vifs(corr[np.ix_(left, left)])
-                    if v.max() <= threshold:
-                        break
-                    left.pop(int(np.argmax(v)))
                 for i in sorted([live[i] for i in left] + constant):
                     rows.append([*(rec[k] for k in keys), columns[i]])
             yield pd.DataFrame(rows, columns=[*keys, "feature"])
 
-    return _corr_rows(df, columns, keys).mapInPandas(prune, _key_schema(df, keys) + "feature string")
+    return _corr_rows(df, columns, keys, tile=tile).mapInPandas(prune, _key_schema(df, keys) + "feature string")
 
 
 def evaluate_features(

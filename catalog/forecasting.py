@@ -239,6 +239,32 @@ def trend_season_line(spark, sf):
     return rounded(trend_season.forecast(daily_by_priority(spark, sf), "D", 30, KEYS, design=LINE), 1, "forecast", "lower", "upper")
 
 
+BENT = trend_season.Design(changepoints=1, yearly=0, weekly=0, sparse=True)
+
+
+# One bend of a line in the logarithm: what is left of the hinge beside level and slope
+# decides alone, and its pull is cut by the weight of the prior.
+@query("sparse_changepoint", f"""
+WITH d AS ({DAILY_BY_PRIORITY}), e AS (SELECT series_id, min(ts) AS a, max(ts) AS b FROM d GROUP BY series_id),
+t AS (SELECT d.series_id, ln(1 + greatest(y, 0)) AS z, date_diff('second', a, ts)::DOUBLE / date_diff('second', a, b) AS t FROM d JOIN e ON d.series_id = e.series_id),
+h AS (SELECT *, greatest(0, t - {BENT.history_share / 2}::DOUBLE) AS h FROM t),
+s AS (SELECT series_id, count(*) AS n, avg(t) AS mt, avg(h) AS mh, avg(z) AS mz, var_pop(t) AS vt, var_pop(h) AS vh, covar_pop(h, t) AS ht, covar_pop(h, z) AS hz, covar_pop(t, z) AS tz FROM h GROUP BY series_id),
+g AS (SELECT s.*, p.prior, n * (hz - ht / vt * tz) AS pull, n * (vh - ht / vt * ht) AS own, {trend_season.NOISE}::DOUBLE / p.prior AS weight
+  FROM s, (VALUES (0.001::DOUBLE), (0.01), (0.05), (0.5)) AS p(prior)),
+b AS (SELECT *, CASE WHEN abs(pull) <= weight THEN 0.0 ELSE (pull - sign(pull) * weight) / own END AS bend FROM g)
+SELECT series_id, prior, round(mz - bend * mh - (tz - bend * ht) / vt * mt, 5) AS level, round((tz - bend * ht) / vt, 5) AS slope, round(bend, 5) AS bend FROM b
+""")
+def sparse_changepoint(spark, sf):
+    d = daily_by_priority(spark, sf)
+    out = None
+    for p in trend_season.PRIORS:
+        chosen = d.select("series_id").distinct().withColumn("prior", F.lit(p))
+        beta = trend_season.fit(d, BENT, KEYS, priors=chosen)
+        part = beta.select("series_id", "prior", *[F.col("beta")[i].alias(c) for i, c in enumerate(("level", "slope", "bend"))])
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, 5, "level", "slope", "bend")
+
+
 @query("prior_grid_line", f"""
 WITH d AS ({MONTHLY_BY_PRIORITY}), e AS (SELECT series_id, min(ts) AS a, max(ts) AS b, date_diff('day', min(ts), max(ts)) AS span FROM d GROUP BY series_id HAVING count(*) > 50),
 c AS (SELECT series_id, a, b, k, b - to_days(365) - to_days((k * 180)::INTEGER) AS cut FROM e, range(0, 40) AS r(k) WHERE k <= (span - 365 - 730) // 180),

@@ -223,6 +223,69 @@ def test_chosen_priors_are_used(daily):
     assert a == {r["series_id"]: r["prior"] for r in chosen.collect()} and len(a) == 3
 
 
+def reference_minimum(a, b, weight):
+    """Proximal gradient steps with momentum until nothing moves."""
+    step = 1 / np.linalg.eigvalsh(a)[-1]
+    x = z = np.zeros(len(b))
+    k = 1.0
+    for _ in range(400_000):
+        u = z - step * (a @ z - b)
+        new = np.sign(u) * np.maximum(np.abs(u) - step * weight, 0)
+        if (new - x) @ (z - new) > 0:  # restart
+            k = 1.0
+        nk = (1 + np.sqrt(1 + 4 * k * k)) / 2
+        z, gap, x, k = new + (k - 1) / nk * (new - x), np.abs(new - x).max(), new, nk
+        if gap < 1e-15:
+            break
+    return x
+
+
+def test_sparse_minimum():
+    rng = np.random.default_rng(0)
+    for n, p in ((60, 6), (200, 15), (40, 12)):
+        x = rng.normal(size=(n, p)) + 0.8 * rng.normal(size=(n, 1))
+        y = x[:, 0] * 2 - x[:, 3] + rng.normal(size=n)
+        a, b = x.T @ x / n + 1e-6 * np.eye(p), x.T @ y / n
+        for lam in (0.0, 0.01, 0.1, 0.5, 10.0):
+            weight = np.full(p, lam)
+            weight[0] = 0.0
+            found = gram._sparse(a, b, weight, np.zeros(p))
+            np.testing.assert_allclose(found, reference_minimum(a, b, weight), atol=1e-8)
+            assert lam < 10 or not found[1:].any()
+            warm = gram._sparse(a, b, weight, rng.normal(size=p))
+            np.testing.assert_allclose(found, warm, atol=1e-10)
+
+
+def test_sparse_changepoints(daily, daily_pdf):
+    """All priors from one path; the conditions of the minimum hold to rounding, and a
+    bend is found where there is one."""
+    design = trend_season.Design(changepoints=10, yearly=2, weekly=2, sparse=True)
+    for _, s in series_of(daily_pdf).items():
+        s = s + np.maximum(0, np.arange(len(s)) - 0.4 * len(s)) * 2
+        x = design_matrix(s.index, s.index[0], s.index[-1], design)
+        z = np.column_stack([x, np.log1p(s)])
+        fits = design.solutions(z.T @ z, len(s), trend_season.PRIORS)
+        kept = []
+        for prior, found in zip(trend_season.PRIORS, fits):
+            ridge = design.ridge(1.0)
+            ridge[2:12] = 0
+            slope = x.T @ (np.log1p(s).to_numpy() - x @ found["beta"]) - ridge * found["beta"]
+            hinge, weight = found["beta"][2:12], trend_season.NOISE / prior
+            np.testing.assert_allclose(slope[[0, 1, *range(12, design.width)]], 0, atol=1e-6)
+            np.testing.assert_allclose(slope[2:12][hinge != 0], weight * np.sign(hinge[hinge != 0]), atol=1e-6)
+            assert (np.abs(slope[2:12][hinge == 0]) <= weight + 1e-6).all()
+            kept.append(int((hinge != 0).sum()))
+        assert kept == sorted(kept) and 0 < kept[-1] < 10
+
+
+def test_sparse_designs_of_short_and_constant_series(spark):
+    rows = [("short", f"2024-01-0{i}", 5.0) for i in range(1, 4)] + [("flat", f"2024-01-{i:02d}", 5.0) for i in range(1, 31)]
+    d = spark.createDataFrame(rows, "series_id string, ts string, y double").withColumn("ts", F.to_timestamp_ntz("ts"))
+    design = trend_season.Design(changepoints=4, yearly=0, weekly=1, sparse=True)
+    got = {r.series_id: r.beta for r in trend_season.fit(d, design, KEYS).collect()}
+    assert set(got) == {"flat"} and got["flat"][0] == pytest.approx(np.log1p(5.0), abs=1e-6) and np.abs(got["flat"][1:]).max() < 1e-5
+
+
 # ------------------------------------------------------------------ boosted
 
 def test_recursion_feeds_predictions_back(daily, daily_pdf):

@@ -2,8 +2,10 @@
 
 The model is linear in a design vector per row: level, slope, hinges at change
 points, sine and cosine pairs, holiday flag. Multiplicative seasonality is
-fitted on the logarithm. Change-point flexibility is a ridge weight, so every
-candidate prior solves the same cross-product matrix.
+fitted on the logarithm. The prior of the change points is a double exponential when
+the design is ``sparse`` (an absolute penalty: most change points are exactly zero), else
+a normal one (a squared penalty). Either way every candidate prior solves the same
+cross-product matrix; sparse ones follow a path, each starting from the one before.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
-from tidewright.models.gram import gram_of_vectors, key_schema, least_squares, solve, unpack
+from tidewright.models.gram import gram_of_vectors, key_schema, least_squares, solve, sparse_path, unpack
 from tidewright.models.naive import future_spine
 from tidewright.operators.evaluate import cv_windows
 from tidewright.operators.intervals import clip_forecast
@@ -42,6 +44,7 @@ class Design:
     daily: int = 0
     multiplicative: bool = True
     holiday: str | None = None  # name of a 0/1 column
+    sparse: bool = False  # absolute penalty on the change points
 
     @staticmethod
     def for_frequency(freq: str, **over) -> "Design":
@@ -50,7 +53,7 @@ class Design:
         daily = 4 if f.unit == "minute" and f.every < 1440 else 0
         # monthly grids cannot tell more than five pairs apart
         yearly = {"MS": 5, "QS": 1, "YS": 0}.get(f.label, 6)
-        return Design(**{"yearly": yearly, "weekly": weekly, "daily": daily, **over})
+        return Design(**{"yearly": yearly, "weekly": weekly, "daily": daily, "sparse": True, **over})
 
     @property
     def width(self) -> int:
@@ -61,6 +64,17 @@ class Design:
         rest = np.full(self.width - 2 - self.changepoints, NOISE / SEASON_PRIOR**2)
         return np.concatenate([[1e-9, 1e-9], hinge, rest])
 
+    def solutions(self, g: np.ndarray, n: int, priors: Sequence[float]) -> list[dict | None]:
+        """Coefficients under each prior from one cross-product matrix."""
+        x, y = range(self.width), self.width
+        if not (self.sparse and self.changepoints):
+            return [least_squares(g, n, x, y, self.ridge(prior)) for prior in priors]
+        ridge, hinges = self.ridge(1.0), slice(2, 2 + self.changepoints)
+        ridge[hinges] = 0.0
+        weights = np.zeros((len(priors), self.width))
+        weights[:, hinges] = NOISE / np.asarray(priors)[:, None]
+        return sparse_path(g, n, x, y, ridge, weights) or [None] * len(priors)
+
     def vector(self, ts: Column, start: Column, end: Column) -> Column:
         t = fq.seconds_between(start, ts) / F.greatest(F.lit(1.0), fq.seconds_between(start, end).cast("double"))
         days = fq.seconds_between(F.lit("1970-01-01").cast("timestamp_ntz"), ts) / F.lit(86400.0)
@@ -115,8 +129,7 @@ def fit(
     # one solve per distinct prior value; each series matches exactly one
     def one(g: np.ndarray, n: int) -> list[list]:
         rows = []
-        for prior in PRIORS:
-            found = least_squares(g, n, range(p), p, design.ridge(prior))
+        for prior, found in zip(PRIORS, design.solutions(g, n, PRIORS)):
             if found is not None:
                 rows.append([[float(b) for b in found["beta"]], float(found["var"]), prior])
         return rows
@@ -193,8 +206,7 @@ def prior_scores(
                     if fold in at:
                         total, n = total + np.asarray(at[fold]["gram"], float), n + int(at[fold]["n"])
                     g = unpack(total, p + 1)
-                    for prior in PRIORS:
-                        found = least_squares(g, n, range(p), p, design.ridge(prior))
+                    for prior, found in zip(PRIORS, design.solutions(g, n, PRIORS)):
                         if found is not None:
                             out.append([*(rec[k] for k in keys), fold, [float(b) for b in found["beta"]], prior])
             yield pd.DataFrame(out, columns=[*keys, "_fold", "beta", "prior"])

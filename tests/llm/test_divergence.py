@@ -114,3 +114,18 @@ def test_terms_of_a_batch():
     texts = ["".join(rng.choice("abZé中🤖 1_@[`{\x7f\x00") for _ in range(rng.randint(0, 12))) for _ in range(3000)] + [None, "", "a", "B"]
     for part in (pa.array(texts), pa.array(texts)[7:2990], pa.array(["x", None, "y"]), pa.array([], pa.string()), pa.array([None, ""], pa.string())):
         assert divergence.cut_terms(part).to_pylist() == [TERMS.findall((t or "").translate(LOWER)) for t in part.to_pylist()]
+
+
+def test_sampled_hashes_tell_the_number_of_terms():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    words = list({"".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 150))) for _ in range(40_000)})
+    texts = pa.array([" ".join(rng.sample(words, 400)) for _ in range(100)] + [" ".join(words)])
+    found = divergence.cut_terms(texts)
+    one = lambda tag: divergence.some_hashes(np.full(len(texts), tag, np.uint64), found)
+    assert abs(len(one(1)) * divergence.HASH_SHARE / len(words) - 1) < 0.1
+    assert not set(one(1).tolist()) & set(one(7).tolist())
+    again = [divergence.some_hashes(np.ones(1, np.uint64), divergence.cut_terms(texts.slice(i, 1))).tolist() for i in range(len(texts))]
+    assert set(sum(again, [])) == set(one(1).tolist())

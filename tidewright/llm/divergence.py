@@ -4,8 +4,8 @@ Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased; they
 of a whole Arrow batch of texts at once. Texts become token arrays, each token tagged with
 its document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest
 integer as ``vocabSize``) keeps the vocabulary of every language at once. The arrays are
-written once, for the passes of fitting and counting. The model's exact sparse vectors are summed by group - language and source - as
-index and value rows, with a partial sum in each task. The sums feed both parts of the audit:
+written once, for the passes of fitting and counting. The model's exact sparse vectors are summed by group - language and source - a
+batch of vectors at a time, and the batches' sums by Spark. The sums feed both parts of the audit:
 
 * ``pair``: every two sources of a language are compared over all kept terms, in blocks of
   ``BLOCK`` terms by ``TILE`` x ``TILE`` sources; a block's term that neither source has
@@ -18,7 +18,7 @@ pass 64 bits are taken as decimals.
 
 The vocabulary of a model goes through the driver and to every task, as
 ``CountVectorizer`` works. It is kept bounded: the distinct terms of one hash value in
-``HASH_SHARE`` tell how many there are, and where ``MAX_TERMS`` are passed they are dealt by hash to several models,
+``HASH_SHARE``, noted while texts are cut, tell how many there are, and where ``MAX_TERMS`` are passed they are dealt by hash to several models,
 each of which reads the arrays once. All terms stay. Models are stored in the folder of
 ``spark.checkpoint.dir`` and their vocabularies read back as tables.
 
@@ -31,6 +31,8 @@ broken by the item's UTF-8 bytes; an empty table gives no rows; other columns ar
 from __future__ import annotations
 
 import math
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,8 @@ MAX_TERMS, BLOCK, TILE = 1 << 22, 4096, 128
 PLAIN = {"parquet.enable.dictionary": "false", "compression": "lz4"}
 #: one of so many hash values tells how many distinct terms there are; the margin allowed for
 HASH_SHARE, MARGIN = 64, 1.1
+SLICE_BYTES = 2_000_000
+FACTORS = np.random.default_rng(1).integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 #: no term holds this character; it tags, and is the token that keeps a vocabulary from being empty
 MARK = "\0"
 
@@ -77,17 +81,51 @@ def cut_terms(texts: pa.Array) -> pa.ListArray:
     return pa.LargeListArray.from_arrays(pa.array(np.searchsorted(first, ends - ends[0]), pa.int64()), words)
 
 
+def some_hashes(tags: np.ndarray, found: pa.ListArray) -> np.ndarray:
+    """Distinct 64-bit hashes of (tag, term) whose lowest bits are zero: one of
+    ``HASH_SHARE`` of all, the same ones wherever a term occurs."""
+    words = found.values
+    ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)
+    if not len(words):
+        return np.empty(0, np.uint64)
+    letters = np.frombuffer(words.buffers()[2], np.uint8)[: ends[-1]]
+    place = np.arange(len(letters)) - np.repeat(ends[:-1], np.diff(ends))
+    # the place in the term, up to a turn of the factors, makes the order count
+    mixed = (letters.astype(np.uint64) + np.uint64(1)) * FACTORS[place % len(FACTORS)] + (place // len(FACTORS)).astype(np.uint64)
+    hashed = np.add.reduceat(mixed, ends[:-1]) + np.repeat(tags, np.diff(found.offsets.to_numpy()))
+    hashed ^= hashed >> np.uint64(31)
+    hashed *= FACTORS[0]
+    hashed ^= hashed >> np.uint64(29)
+    return np.unique(hashed[hashed % np.uint64(HASH_SHARE) == 0])
+
+
 def tagged_terms(lang: Column, text: Column) -> Column:
-    """array<string>: the text's terms, each behind its language and a mark."""
+    """struct<tokens, some>: the text's terms, each behind its language and a mark; and, in
+    one row of a slice, the sampled hashes of the slice's terms. Batches are worked off in
+    slices of ``SLICE_BYTES``."""
+    both = pa.struct([("tokens", pa.list_(pa.string())), ("some", pa.list_(pa.int64()))])
 
-    @F.arrow_udf("array<string>")
-    def tag(lang: pa.Array, text: pa.Array) -> pa.Array:
+    def slice_of(lang: pa.Array, text: pa.Array) -> pa.Array:
         found = cut_terms(text)
         sizes = np.diff(found.offsets.to_numpy())
         tags = pc.binary_join_element_wise(lang.cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar(MARK, pa.large_string()))
         spread = tags.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
         whole = pc.binary_join_element_wise(spread, found.values, pa.scalar("", pa.large_string()))
-        return pa.LargeListArray.from_arrays(found.offsets, whole).cast(pa.list_(pa.string()))
+        tokens = pa.LargeListArray.from_arrays(found.offsets, whole).cast(pa.list_(pa.string()))
+        names = {x: np.uint64(zlib.crc32(x.encode("utf-8", "replace")) + 1) * FACTORS[1] for x in set(lang.to_pylist())}
+        some = some_hashes(np.array([names[x] for x in lang.to_pylist()], np.uint64), found).view(np.int64)
+        ends = np.full(len(text) + 1, len(some), np.int32)
+        ends[0] = 0
+        return pa.StructArray.from_arrays([tokens, pa.ListArray.from_arrays(pa.array(ends), pa.array(some))], fields=list(both))
+
+    @F.arrow_udf("tokens array<string>, some array<bigint>")
+    def tag(lang: pa.Array, text: pa.Array) -> pa.Array:
+        if not len(text):
+            return pa.array([], both)
+        sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy().astype(np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
+        edges = [0, *cuts.tolist(), len(text)]
+        return pa.concat_arrays([slice_of(lang.slice(i, j - i), text.slice(i, j - i)) for i, j in zip(edges, edges[1:])])
 
     return tag(lang, text)
 
@@ -95,8 +133,7 @@ def tagged_terms(lang: Column, text: Column) -> Column:
 def count_models(tagged: DataFrame, min_df: int, max_terms: int) -> list[CountVectorizerModel]:
     """Fitted models over ``tokens``; together they hold every token of at least ``min_df``
     rows, each exactly one of a hash's values."""
-    some = tagged.select(F.explode("tokens").alias("token")).where(F.xxhash64("token") % HASH_SHARE == 0)
-    distinct = some.agg(F.count_distinct("token").alias("n")).first().n * HASH_SHARE
+    distinct = tagged.select(F.explode("some").alias("some")).agg(F.count_distinct("some").alias("n")).first().n * HASH_SHARE
     shards = math.ceil(distinct * MARGIN / max_terms) or 1
     spark = tagged.sparkSession
     # a token in min_df rows of our own, so that no vocabulary is empty
@@ -113,11 +150,34 @@ def _share(tokens: str, shard: int, shards: int) -> Column:
     return F.filter(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == shard) if shards > 1 else F.col(tokens)
 
 
+def _batch_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a batch's sparse vectors by language, source and place."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = pa.StructArray.from_arrays([batch.column("lang"), batch.column("source")], names=["lang", "source"])
+        groups = list(dict.fromkeys(map(tuple, (x.values() for x in names.to_pylist()))))
+        code = {g: k for k, g in enumerate(groups)}
+        mine = np.array([code[tuple(x.values())] for x in names.to_pylist()], np.int64)
+        places, values = batch.column("pos"), batch.column("n").flatten().to_numpy()
+        sizes = pc.list_value_length(places).to_numpy()
+        keys = np.repeat(mine, sizes) << 32 | places.flatten().to_numpy().astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        keys, values = keys[order], values[order].astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        whose = pa.array(keys[starts] >> 32, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([g[i] for g in groups], pa.string()).take(whose) for i in (0, 1)]
+            + [pa.array((keys[starts] & 0xFFFFFFFF).astype(np.int32)), pa.array(np.add.reduceat(values, starts) if len(starts) else values)],
+            names=["lang", "source", "pos", "n"])
+
+
 def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame, DataFrame]:
     """(sums, vocabulary) of lang, source, text: ``count`` of each (lang, source, term id)
     that occurs, and the (id, lang, term) that are kept."""
     path = scratch_path(docs.sparkSession, "divergence-tokens")
-    docs.select("lang", "source", tagged_terms(F.col("lang"), F.col("text")).alias("tokens")).write.options(**PLAIN).parquet(path)
+    found = docs.select("lang", "source", tagged_terms(F.col("lang"), F.col("text")).alias("found"))
+    found.select("lang", "source", "found.tokens", "found.some").write.options(**PLAIN).parquet(path)
     tagged = docs.sparkSession.read.parquet(path)
     models = count_models(tagged, min_df, max_terms)
     spark, n = docs.sparkSession, len(models)
@@ -132,9 +192,9 @@ def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame,
             number.alias("id"), F.expr("token").substr(F.lit(1), F.length("token") - tag - 1).alias("lang"),
             F.substring_index("token", MARK, -1).alias("term")))
         vector = F.unwrap_udt("counts")
-        counted = model.transform(tagged.withColumn("tokens", _share("tokens", shard, n))).select(
-            "lang", "source", F.explode(F.arrays_zip(vector["indices"].alias("pos"), vector["values"].alias("n"))).alias("x"))
-        sums.append(counted.select("lang", "source", F.col("x.pos").alias("pos"), F.col("x.n").cast("long").alias("n"))
+        vectors = model.transform(tagged.select("lang", "source", _share("tokens", shard, n).alias("tokens"))).select(
+            "lang", "source", vector["indices"].alias("pos"), vector["values"].alias("n"))
+        sums.append(vectors.mapInArrow(_batch_sums, "lang string, source string, pos int, n long")
                     .groupBy("lang", "source", "pos").agg(F.sum("n").alias("count"))
                     .select("lang", "source", number.alias("id"), "count"))
     for frames in (sums, names):

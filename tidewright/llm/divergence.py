@@ -4,8 +4,8 @@ Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased; they
 of a whole Arrow batch of texts at once. Texts become token arrays, each token tagged with
 its document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest
 integer as ``vocabSize``) keeps the vocabulary of every language at once. The arrays are
-written once, for the passes of fitting and counting. The model's exact sparse vectors are summed by group - language and source - a
-batch of vectors at a time, and the batches' sums by Spark. The sums feed both parts of the audit:
+written once, for the passes of fitting and counting. The model's exact sparse vectors are summed by group (language
+and source), some vectors of a batch at a time, and these sums by Spark. The sums feed both parts of the audit:
 
 * ``pair``: every two sources of a language are compared over all kept terms, in blocks of
   ``BLOCK`` terms by ``TILE`` x ``TILE`` sources; a block's term that neither source has
@@ -56,7 +56,7 @@ MAX_TERMS, BLOCK, TILE = 1 << 22, 4096, 128
 PLAIN = {"parquet.enable.dictionary": "false", "compression": "lz4"}
 #: one of so many hash values tells how many distinct terms there are; the margin allowed for
 HASH_SHARE, MARGIN = 64, 1.1
-SLICE_BYTES = 2_000_000
+SLICE_BYTES, SLICE_PAIRS = 2_000_000, 500_000
 FACTORS = np.random.default_rng(1).integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 #: no term holds this character; it tags, and is the token that keeps a vocabulary from being empty
 MARK = "\0"
@@ -119,13 +119,13 @@ def tagged_terms(lang: Column, text: Column) -> Column:
         return pa.StructArray.from_arrays([tokens, pa.ListArray.from_arrays(pa.array(ends), pa.array(some))], fields=list(both))
 
     @F.arrow_udf("tokens array<string>, some array<bigint>")
-    def tag(lang: pa.Array, text: pa.Array) -> pa.Array:
-        if not len(text):
-            return pa.array([], both)
-        sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy().astype(np.int64)
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
-        edges = [0, *cuts.tolist(), len(text)]
-        return pa.concat_arrays([slice_of(lang.slice(i, j - i), text.slice(i, j - i)) for i, j in zip(edges, edges[1:])])
+    def tag(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for lang, text in batches:
+            sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy().astype(np.int64)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
+            edges = [0, *cuts.tolist(), len(text)]
+            for i, j in zip(edges, edges[1:]):
+                yield slice_of(lang.slice(i, j - i), text.slice(i, j - i)) if j > i else pa.array([], both)
 
     return tag(lang, text)
 
@@ -151,25 +151,31 @@ def _share(tokens: str, shard: int, shards: int) -> Column:
 
 
 def _batch_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of a batch's sparse vectors by language, source and place."""
+    """Sums of some vectors at a time by language, source and place."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        names = pa.StructArray.from_arrays([batch.column("lang"), batch.column("source")], names=["lang", "source"])
-        groups = list(dict.fromkeys(map(tuple, (x.values() for x in names.to_pylist()))))
-        code = {g: k for k, g in enumerate(groups)}
-        mine = np.array([code[tuple(x.values())] for x in names.to_pylist()], np.int64)
-        places, values = batch.column("pos"), batch.column("n").flatten().to_numpy()
-        sizes = pc.list_value_length(places).to_numpy()
-        keys = np.repeat(mine, sizes) << 32 | places.flatten().to_numpy().astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, values = keys[order], values[order].astype(np.int64)
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-        whose = pa.array(keys[starts] >> 32, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([g[i] for g in groups], pa.string()).take(whose) for i in (0, 1)]
-            + [pa.array((keys[starts] & 0xFFFFFFFF).astype(np.int32)), pa.array(np.add.reduceat(values, starts) if len(starts) else values)],
-            names=["lang", "source", "pos", "n"])
+        # slices of about SLICE_PAIRS values
+        before = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("pos")).to_numpy())])
+        edges = [0, *(np.flatnonzero(np.diff(before[:-1] // SLICE_PAIRS)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(edges, edges[1:]):
+            if j > i:
+                yield _slice_sums(batch.slice(i, j - i))
+
+
+def _slice_sums(batch: pa.RecordBatch) -> pa.RecordBatch:
+    names = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
+    groups = list(dict.fromkeys(names))
+    code = {g: k for k, g in enumerate(groups)}
+    places, values = batch.column("pos"), batch.column("n").flatten().to_numpy()
+    mine = np.repeat(np.array([code[g] for g in names], np.int64), pc.list_value_length(places).to_numpy())
+    keys = mine << 32 | places.flatten().to_numpy().astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order].astype(np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    whose = pa.array(keys[starts] >> 32, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([g[i] for g in groups], pa.string()).take(whose) for i in (0, 1)]
+        + [pa.array((keys[starts] & 0xFFFFFFFF).astype(np.int32)), pa.array(np.add.reduceat(values, starts) if len(starts) else values)],
+        names=["lang", "source", "pos", "n"])
 
 
 def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame, DataFrame]:

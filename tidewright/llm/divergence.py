@@ -1,11 +1,12 @@
 """How far the sources of a language differ in their words.
 
-Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased; they are cut out
-of a whole Arrow batch of texts at once. Texts become token arrays, each token tagged with
-its document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest
-integer as ``vocabSize``) keeps the vocabulary of every language at once. The arrays are
-written once, for the passes of fitting and counting. The model's exact sparse vectors are summed by group (language
-and source), some vectors of a batch at a time, and these sums by Spark. The sums feed both parts of the audit:
+Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased; they are cut out of
+a whole Arrow batch of texts at once. Texts become token arrays, each token tagged with its
+document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest integer as
+``vocabSize``) keeps the vocabulary of every language at once. The arrays are written once, for
+the passes of fitting and counting. The model's exact sparse vectors are summed by group
+(language and source), some vectors of a batch at a time, and these sums by Spark. The sums
+feed both parts of the audit:
 
 * ``pair``: every two sources of a language are compared over all kept terms, in blocks of
   ``BLOCK`` terms by ``TILE`` x ``TILE`` sources; a block's term that neither source has

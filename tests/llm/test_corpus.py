@@ -480,8 +480,8 @@ def test_bag_min_hash_is_unbiased():
 # ------------------------------------------------------------------ queries and pipeline
 
 def test_queries_have_sql_or_brute_force(spark):
-    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11))
-    assert {q.split("_")[0] for q in SQL} == {"op2", "op3", "op7"}
+    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14))
+    assert {q.split("_")[0] for q in SQL} == {"op2", "op3", "op7", "op13"}
 
 
 def test_pipeline(spark):

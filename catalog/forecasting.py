@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, rounded
+from catalog.base import (
+    DAILY_BY_PRIORITY, HOURLY_EVENTS, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, hourly_events, monthly_by_priority, query, rounded,
+)
 from catalog.feature_building import holidays
 from catalog.profiling import _ACF, _TEMPORAL_CTES, _TEMPORAL_SELECT, _basic_sql
 from tidewright.functions import frequency as fq
-from tidewright.models import boosted, seasonal_ar, trend_season, unit_root
+from tidewright.models import boosted, leaves, linear, seasonal_ar, trend_season, unit_root
 from tidewright.models.naive import future_spine
 from tidewright.operators import evaluate as ev
 from tidewright.operators import features as feat
@@ -291,6 +293,71 @@ def recursive_linear(spark, sf):
     return rounded(boosted.recursive_forecast(d, "D", 10, KEYS, score), 3, "forecast")
 
 
+LONG = linear.Linear({"lag_1": 0.3, "lag_7": 0.4, "lag_14": 0.1, "roll7_mean": 0.15, "is_weekend": 2.5}, 1.25)
+
+
+@query("recursive_linear_long", f"""
+WITH RECURSIVE d AS ({HOURLY_EVENTS}),
+h AS (SELECT series_id, list(y ORDER BY ts) AS h, max(ts) AS b FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) AS k FROM d) AS q WHERE k <= 14 GROUP BY series_id),
+r AS (SELECT series_id, b, h, 0 AS step FROM h
+  UNION ALL SELECT series_id, b, list_append(h[2:], 1.25::DOUBLE + 0.3::DOUBLE * h[-1] + 0.4::DOUBLE * h[-7] + 0.1::DOUBLE * h[-14] + 0.15::DOUBLE * list_avg(h[-7:])
+    + CASE WHEN isodow(b + to_hours((step + 1)::INTEGER)) >= 6 THEN 2.5::DOUBLE ELSE 0 END), step + 1 FROM r WHERE step < 2160)
+SELECT series_id, step::INTEGER AS step, (b + to_hours(step::INTEGER))::TIMESTAMP AS ts, round(h[-1], 6) AS forecast FROM r WHERE step > 0
+""")
+def recursive_linear_long(spark, sf):
+    """Ninety days by the hour, in one job."""
+    return rounded(linear.forecast(hourly_events(spark, sf), LONG, "h", 2160, KEYS), 6, "forecast")
+
+
+@query("linear_pooled_forecast")
+def linear_pooled_forecast(spark, sf):
+    split = ev.train_valid_split(filled_daily(spark, sf), "D", KEYS)
+    table = cut_lineage(boosted.training_table(split, KEYS))
+    leveled = split.join(table.select("series_id", "level").distinct(), KEYS)
+    return rounded(linear.forecast(leveled, linear.train(table), "D", 365, KEYS, level="level"), 2, "forecast")
+
+
+#: (absolute, squared, merging) penalties of a leaf
+PENALTIES = [(0.0, 0.0, 0.0), (0.0, 50.0, 0.0), (40.0, 10.0, 0.0), (25.0, 1.0, 1e9)]
+_CUT = "1996-07-01"
+
+
+# One split at the weekend, on which half is sold: leaves and merging in closed form.
+@query("penalised_leaves", f"""
+WITH d AS (SELECT series_id, ts, (isodow(ts) >= 6)::INTEGER AS is_weekend, CASE WHEN isodow(ts) >= 6 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END * y AS y FROM ({DAILY_BY_PRIORITY}) AS q WHERE ts < TIMESTAMP '{_CUT}'),
+v AS (SELECT *, y / avg(abs(y)) OVER (PARTITION BY series_id) AS v FROM d),
+s AS (SELECT is_weekend, sum(v) AS g, count(*) AS h FROM v GROUP BY is_weekend),
+p AS (SELECT * FROM (VALUES {", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for a, b, c in PENALTIES)}) AS t(l1, l2, gamma)),
+n AS (SELECT p.*, is_weekend, sign(g) * greatest(abs(g) - l1, 0) AS pull, h + l2 AS own, sum(g) OVER w AS tg, sum(h) OVER w + l2 AS town FROM s, p WINDOW w AS (PARTITION BY l1, l2, gamma)),
+m AS (SELECT *, sign(tg) * greatest(abs(tg) - l1, 0) AS tpull, sum(pull * pull / own) OVER (PARTITION BY l1, l2, gamma) AS apart FROM n)
+SELECT l1, l2, gamma, is_weekend, round(CASE WHEN apart - tpull * tpull / town < gamma THEN tpull / town ELSE pull / own END, 9) AS value FROM m
+""")
+def penalised_leaves(spark, sf):
+    d = feat.calendar_features(daily_by_priority(spark, sf).where(F.col("ts") < F.lit(_CUT).cast("timestamp_ntz")))
+    d = d.withColumn("y", F.when(F.col("is_weekend") == 1, F.col("y") * 0.5).otherwise(F.col("y")))
+    level = d.groupBy(*KEYS).agg(F.avg(F.abs("y")).alias("level"))
+    table = cut_lineage(d.join(level, KEYS).select("is_weekend", (F.col("y") / F.col("level")).alias("_scaled"), F.lit("train").alias("split")))
+    model = boosted.train(table, ["is_weekend"], patience=None, maxIter=1, maxDepth=1, subsamplingRate=1.0, featureSubsetStrategy="all")
+    out = None
+    for l1, l2, gamma in PENALTIES:
+        trees = leaves.penalised(table, model, ["is_weekend"], l1, l2, gamma, patience=None)
+        half = 2 ** (trees.depth - 1)  # the left half of the lowest nodes is the week
+        part = leaves.leaf_values(spark, trees).where(F.col("leaf").isin(0, half)).select(
+            F.lit(l1).alias("l1"), F.lit(l2).alias("l2"), F.lit(gamma).alias("gamma"), (F.col("leaf") / half).cast("int").alias("is_weekend"), "value")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, 9, "value")
+
+
+@query("gbt_penalised_validation")
+def gbt_penalised_validation(spark, sf):
+    split = ev.train_valid_split(filled_daily(spark, sf), "D", KEYS)
+    table = cut_lineage(boosted.training_table(split, KEYS))
+    model = boosted.train(table, patience=None, maxIter=40, stepSize=0.2)
+    trees = leaves.penalised(table, model, l1=0.1, l2=1.0, gamma=0.01)
+    valid = boosted.predict(table.where("split = 'valid'"), trees)
+    return rounded(ev.score(valid, KEYS, ["mape", "smape", "rmse"]), 4, "mape", "smape", "rmse")
+
+
 @query("full_summary_fields", f"""
 WITH d AS ({DAILY_BY_PRIORITY}), b AS ({_basic_sql(DAILY_BY_PRIORITY, 3)}), {_TEMPORAL_CTES},
 q AS (SELECT series_id, count(DISTINCT y) AS unique_count FROM d GROUP BY series_id),

@@ -9,7 +9,7 @@ from catalog.base import (
     idle_weekends_sql, monthly_by_priority, query, quiet_hours_sql, raw_events, raw_orders, rounded,
     with_idle_weekends, with_quiet_hours,
 )
-from tidewright.operators import profile
+from tidewright.operators import profile, structure
 
 
 def _basic_sql(inner: str, d: int) -> str:
@@ -132,6 +132,27 @@ def acf_full(spark, sf):
     return rounded(profile.acf(with_quiet_hours(hourly_events(spark, sf)), KEYS, block_rows=200), 9, "acf")
 
 
+_SPECTRUM = f"""s AS ({HOURLY_EVENTS}), {_ACF},
+a AS (SELECT a.series_id, (b.rn - a.rn) AS lag, sum(a.d * b.d) / max(v0) AS r
+  FROM v a JOIN v b ON a.series_id = b.series_id AND b.rn BETWEEN a.rn AND a.rn + 168 JOIN z ON z.series_id = a.series_id GROUP BY 1, 2),
+f AS (SELECT series_id, j AS frequency, sum(CASE WHEN lag = 0 THEN 1 ELSE 2 END * (1 - lag / 168::DOUBLE) * r * cos(pi() * j * lag / 168)) AS power
+  FROM a, range(1, 169) AS n(j) GROUP BY series_id, j)"""
+
+
+@query("spectrum_168", f"WITH {_SPECTRUM} SELECT series_id, frequency::INTEGER AS frequency, round(power, 6) AS power FROM f")
+def spectrum_168(spark, sf):
+    return rounded(structure.spectrum(profile.acf(hourly_events(spark, sf), KEYS, nlags=168), 168, KEYS), 6, "power")
+
+
+@query("dominant_period", f"""
+WITH {_SPECTRUM}
+SELECT series_id, round(336::DOUBLE / arg_max(frequency, power), 6) AS period, round(max(power) / sum(greatest(power, 0)), 6) AS share FROM f WHERE frequency >= 6 GROUP BY series_id
+""")
+def dominant_period(spark, sf):
+    a = profile.acf(hourly_events(spark, sf), KEYS, nlags=168)
+    return rounded(structure.dominant_period(a, 168, KEYS), 6, "period", "share")
+
+
 @query("pacf")
 def pacf(spark, sf):
     a = profile.acf(daily_by_priority(spark, sf), KEYS, nlags=40)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -85,15 +86,26 @@ class Trees:
             self._leaf(t, 2 * node + 1, value)
             self._leaf(t, 2 * node + 2, value)
 
-    def each(self, x: np.ndarray) -> np.ndarray:
-        """Weighted value of every tree for every row of ``x``."""
-        tree = np.arange(len(self.weight))
+    def nodes(self, x: np.ndarray, trees: int | None = None) -> np.ndarray:
+        """Lowest node that every row of ``x`` reaches in each of the first trees."""
+        tree = np.arange(len(self.weight) if trees is None else trees)
         node = np.zeros((len(x), len(tree)), np.int64)
         row = np.arange(len(x))[:, None]
         for _ in range(self.depth):
             right = x[row, self.feature[tree, node]] > self.limit[tree, node]
             node = 2 * node + 1 + right
-        return self.value[tree, node] * self.weight
+        return node
+
+    def each(self, x: np.ndarray) -> np.ndarray:
+        """Weighted value of every tree for every row of ``x``."""
+        return self.value[np.arange(len(self.weight)), self.nodes(x)] * self.weight
+
+    def first(self, n: int) -> Trees:
+        """The ensemble of the first ``n`` trees."""
+        out = copy.copy(self)
+        for name in ("weight", "feature", "limit", "value"):
+            setattr(out, name, getattr(self, name)[:n])
+        return out
 
 
 def _depths(lines: list[str]) -> list[int]:
@@ -108,9 +120,13 @@ def _depths(lines: list[str]) -> list[int]:
     return out
 
 
-def losses(rows: DataFrame, model: GBTRegressionModel, features: Sequence[str] = FEATURES) -> list[float]:
+def as_trees(model: GBTRegressionModel | Trees) -> Trees:
+    return model if isinstance(model, Trees) else Trees(model)
+
+
+def losses(rows: DataFrame, model: GBTRegressionModel | Trees, features: Sequence[str] = FEATURES) -> list[float]:
     """Mean squared error after each round, all rounds in one pass over the rows."""
-    trees = Trees(model)
+    trees = as_trees(model)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(len(trees.weight)), 0
@@ -141,8 +157,8 @@ def train(
 
     Rounds are fitted in doubling steps (the same seed gives the same leading
     trees), so a run that stops early never pays for all rounds; the losses of
-    all rounds of a fit come from one pass over the validation rows. MLlib offers no
-    L1/L2 leaf penalties; depth, leaf size, step and sampling regularise.
+    all rounds of a fit come from one pass over the validation rows. Leaf penalties
+    and pruning follow in ``leaves.penalised``.
     """
     limit = settings.pop("maxIter", SETTINGS["maxIter"])
     d = table.cache()
@@ -162,12 +178,20 @@ def train(
         d.unpersist()
 
 
-def predict(table: DataFrame, model: GBTRegressionModel, features: Sequence[str] = FEATURES) -> DataFrame:
+def predict(table: DataFrame, model: GBTRegressionModel | Trees, features: Sequence[str] = FEATURES) -> DataFrame:
+    if isinstance(model, Trees):
+        @F.pandas_udf("double")
+        def value(x: pd.DataFrame) -> pd.Series:
+            x = x.to_numpy(float)
+            return pd.Series(np.concatenate([model.each(x[i : i + 4096]).sum(1) for i in range(0, len(x), 4096)]))
+
+        cols = F.struct(*[F.col(c).cast("double").alias(c) for c in features])
+        return table.withColumn("yhat", value(cols) * F.col("level"))
     d = model.transform(_assembled(table, features))
     return d.withColumn("yhat", F.col("_pred") * F.col("level")).drop("features", "_pred")
 
 
-def learning_curve(table: DataFrame, model: GBTRegressionModel, features: Sequence[str] = FEATURES) -> DataFrame:
+def learning_curve(table: DataFrame, model: GBTRegressionModel | Trees, features: Sequence[str] = FEATURES) -> DataFrame:
     """Loss after each round on the training and validation rows: one number per
     round, computed by MLlib in one pass over each split."""
     curves = {x: losses(table.where(F.col("split") == x), model, features) for x in ("train", "valid")}
@@ -251,7 +275,7 @@ def _history_features() -> dict:
 
 
 def forecast(
-    df: DataFrame, table: DataFrame, model: GBTRegressionModel, freq: str, horizon: int, keys: Sequence[str],
+    df: DataFrame, table: DataFrame, model: GBTRegressionModel | Trees, freq: str, horizon: int, keys: Sequence[str],
     ts: str = "ts", y: str = "y",
 ) -> DataFrame:
     """Recursive boosted forecast on the original scale.
@@ -269,7 +293,7 @@ def forecast(
     future = future_spine(df.where(F.col(y).isNotNull()), freq, horizon, keys, ts)
     dates = future.withColumns(calendar_columns(F.col(ts))).groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("step", F.array(*[F.col(c).cast("double") for c in CALENDAR]).alias("v")))), lambda s: s["v"]).alias("_dates"))
-    trees = Trees(model)
+    trees = as_trees(model)
 
     def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -136,20 +136,27 @@ def seasonal_strength(
     )
 
 
+FEW_LAGS = 64  # below, products are cheaper than transforms
+
+
 def acf(
     df: DataFrame,
     keys: Sequence[str] = (),
     ts: str = "ts",
     y: str = "y",
     nlags: int = 365,
-    block_rows: int = 8192,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Autocorrelation at every lag up to ``nlags``.
 
     Each (series, block) becomes one array with the ``nlags`` rows after the
-    block as context; NumPy turns it into ``nlags + 1`` partial sums, and only
-    those are added up per series. No row is paired with every lag.
+    block as context; a fast Fourier transform of block and context turns it into
+    ``nlags + 1`` partial sums (few lags are multiplied out), and only those are
+    added up per series. No row is paired with every lag, and as a block is no shorter
+    than ``nlags`` rows, none is context of more than one block. ``block_rows`` sets
+    another length.
     """
+    block_rows = block_rows or max(8192, nlags)
     group = list(keys) or ["_all"]
     d = df.where(F.col(y).isNotNull())
     if not keys:
@@ -173,9 +180,16 @@ def acf(
         def one(x):
             x = np.asarray(x, dtype=float)
             head = x[:block_rows]
+            if not len(head):
+                return np.zeros(nlags + 1)
             padded = np.zeros(len(head) + nlags)
             padded[: len(x)] = x[: len(padded)]
-            return np.correlate(padded, head, "valid") if len(head) else np.zeros(nlags + 1)
+            if nlags < FEW_LAGS:
+                return np.correlate(padded, head, "valid")
+            # long enough that no sum wraps around
+            size = 1 << (len(padded) - 1).bit_length()
+            both = np.conj(np.fft.rfft(head, size)) * np.fft.rfft(padded, size)
+            return np.fft.irfft(both, size)[: nlags + 1]
 
         return xs.map(one)
 

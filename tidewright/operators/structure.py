@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +58,41 @@ def seasonal_period(acf_df: DataFrame, candidates: Sequence[int], keys: Sequence
     return d.groupBy(*keys).agg(
         F.max_by("lag", F.struct(F.col("acf"), -F.col("lag"))).alias("period"), F.max("acf").alias("strength")
     )
+
+
+def spectrum(acf_df: DataFrame, nlags: int, keys: Sequence[str] = ()) -> DataFrame:
+    """(frequency, power): smoothed periodogram from the (lag, acf) table.
+
+    The autocorrelations up to ``nlags``, tapered linearly, are the Fourier transform of
+    the spectrum, so a series of any length costs one transform of ``2 * nlags`` numbers.
+    ``frequency`` counts cycles in ``2 * nlags`` rows, from 1 to ``nlags``. Lags beyond
+    the series' length count as 0.
+    """
+    kept = acf_df.where((F.col("lag") >= 0) & (F.col("lag") <= nlags))
+    rows = kept.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("lag").cast("int"), F.coalesce("acf", F.lit(0.0))))).alias("_r"))
+
+    @F.pandas_udf("array<double>")
+    def transform(rs: pd.Series) -> pd.Series:
+        def one(r):
+            r = dict(r)
+            x = np.zeros(2 * nlags)
+            at = np.array(sorted(r))
+            x[at] = np.array([r[k] for k in at.tolist()]) * (1 - at / nlags)
+            x[nlags + 1 :] = x[1:nlags][::-1]
+            return np.fft.rfft(x).real[1:]
+
+        return rs.map(one)
+
+    out = rows.select(*keys, F.posexplode(transform("_r")).alias("_i", "power"))
+    return out.select(*keys, (F.col("_i") + 1).alias("frequency"), "power")
+
+
+def dominant_period(
+    acf_df: DataFrame, nlags: int, keys: Sequence[str] = (), cycles: int = 3
+) -> DataFrame:
+    """Period of the strongest frequency that completes ``cycles`` or more cycles within the
+    lags, and its share of their power; the longer period on ties."""
+    s = spectrum(acf_df, nlags, keys).where(F.col("frequency") >= 2 * cycles)
+    best = F.max_by("frequency", F.struct("power", -F.col("frequency")))
+    return s.groupBy(*keys).agg(
+        (F.lit(2.0 * nlags) / best).alias("period"), (F.max("power") / F.nullif(F.sum(F.greatest("power", F.lit(0.0))), F.lit(0.0))).alias("share"))

@@ -139,6 +139,28 @@ def test_secrets(spark, nothing):
     assert secrets.find_secrets(nothing).count() == 0
 
 
+def test_random_strings_of_usual_lengths(spark):
+    """Recall at 24, 32, 40 and 64 characters among five times as many ordinary names."""
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    alphabets = {"alnum": letters, "base64": letters + "+/"}
+    words = "request handler service config value default system archive import export index project release version update module report customer".split()
+    rows = [(f"{e}-{n}", "".join(rng.choice(a) for _ in range(n))) for e, a in alphabets.items() for n in (24, 32, 40, 64) for _ in range(100)]
+    for sep in "_/-":
+        rows += [(f"name{sep}", sep.join([*(rng.choice(words) for _ in range(rng.randint(4, 9))), str(rng.randint(0, 9999))])) for _ in range(1000)]
+    rows += [("camel", "".join(rng.choice(words).title() for _ in range(rng.randint(5, 9)))) for _ in range(1000)]
+    rows += [("number", "".join(rng.choice("0123456789") for _ in range(rng.randint(24, 31)))) for _ in range(200)]
+    df = table(spark, [(i, f"see {s} there", None, None, None) for i, (_, s) in enumerate(rows)])
+    hit = {r.doc_id for r in secrets.find_secrets(df).collect() if any(s.kind == "random" for s in r.secrets)}
+    share = {}
+    for i, (what, _) in enumerate(rows):
+        share.setdefault(what, []).append(i in hit)
+    share = {k: sum(v) / len(v) for k, v in share.items()}
+    for e in alphabets:
+        assert share[f"{e}-24"] >= 0.8 and min(share[f"{e}-{n}"] for n in (32, 40, 64)) >= 0.9, share
+    assert max(share[f"name{sep}"] for sep in "_/-") == 0 and share["number"] == 0 and share["camel"] <= 0.05, share
+
+
 # ------------------------------------------------------------------ 2 mixing
 
 def test_mixing(spark, docs, pairs, nothing, clashing):

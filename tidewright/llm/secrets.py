@@ -3,14 +3,18 @@
 Spans are code points, end exclusive. Fixed patterns (assign, access, hex) are
 always reported. Beyond them every run of 24 or more letters, digits and
 ``+/_-`` is a candidate: its encoding is inferred (hex, base 32, letters and
-digits, base 64) and three tests compare it with random draws from that
-encoding's alphabet - chi-squared uniformity, runs about the middle of the
-alphabet, serial correlation. Runs and serial correlation must not reject
-randomness; the chi-squared figure must be too small for text, whose letters
-are uneven by ``UNEVEN`` per character (noncentral chi-squared, so the test
-grows sharper with length). False discoveries are held at ``rate`` by
-Benjamini and Hochberg's rule within each encoding and length class, over all
-candidates of the table; the rule reads a histogram of p-values of fixed size.
+digits, base 64) and tests compare it with random draws from that
+encoding's alphabet. Runs about the middle of the alphabet, serial correlation and
+the chi-squared figure of the kinds of characters (capitals, small letters, digits)
+must not reject randomness. The chi-squared figure of single characters must be too
+small for text, whose letters are uneven by ``UNEVEN`` per character (noncentral
+chi-squared, so the test grows sharper with length): ordinary text repeats a letter
+with probability ``COINCIDENCE``, which weighs the more the larger the alphabet.
+False discoveries are held at ``rate`` by Benjamini and Hochberg's rule within each
+encoding and length class, over all candidates of the table, as far as these are text
+of that unevenness; the rule reads a histogram of p-values of fixed size. With equal
+shares of random strings among a class's candidates, nearly all random strings of 24
+and more letters and digits are found; base 32 needs about 40, hex more.
 
 Edge cases: a null text counts as empty and has no spans; repeated rows are
 scanned each; an empty table gives an empty result; an input column named like a
@@ -39,8 +43,16 @@ ALPHABETS = {
     "alnum": (r"^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
     "base64": (r"^", UPPER + LOWER + DIGITS + "+/-_"),
 }
-UNEVEN = 1.0
+#: chance that two letters of ordinary English text are equal (its index of coincidence, 1.73 / 26)
+COINCIDENCE = 1.73 / 26
+#: unevenness per character that ordinary strings are taken to have; few of them are hex,
+#: and those are mostly numbers
+UNEVEN = {name: len(a) * COINCIDENCE - 1 for name, (_, a) in ALPHABETS.items()} | {"hex": 1.0}
 REJECT_Z = 3.3
+#: places where the kinds of characters (capitals, small letters, others; in hex digits and
+#: letters) end in the alphabet, and the chi-squared figure that one random string in a
+#: thousand exceeds with that many kinds
+KINDS = {"hex": (10, 16, 10.83), "base32": (26, 32, 10.83), "alnum": (26, 52, 13.82), "base64": (26, 52, 13.82)}
 #: length classes start here
 LENGTHS = (24, 32, 40, 64, 128)
 #: p-values are counted in steps of 1 / P_STEPS of -ln p, up to P_TOP
@@ -81,9 +93,10 @@ def encoding_of(s: Column) -> Column:
 
 
 def by_encoding(enc: Column, value) -> Column:
-    out = value(ALPHABETS["base64"][1])
-    for name, (_, alphabet) in list(ALPHABETS.items())[:-1]:
-        out = F.when(enc == name, value(alphabet)).otherwise(out)
+    """``value`` of the encoding's name."""
+    out = value("base64")
+    for name in list(ALPHABETS)[:-1]:
+        out = F.when(enc == name, value(name)).otherwise(out)
     return out
 
 
@@ -100,19 +113,29 @@ def battery(spans: Column) -> Column:
         return F.struct(
             x["start"].alias("start"), x["end"].alias("end"), x["enc"].alias("enc"),
             F.length(x["s"]).cast("double").alias("n"),
-            by_encoding(x["enc"], lambda a: F.lit(float(len(a)))).alias("k"),
+            by_encoding(x["enc"], lambda e: F.lit(float(len(ALPHABETS[e][1])))).alias("k"),
             F.transform(F.split(x["s"], ""), lambda c: by_encoding(
-                x["enc"], lambda a: F.position(c, F.lit(a)) - 1).cast("double")).alias("v"))
+                x["enc"], lambda e: F.position(c, F.lit(ALPHABETS[e][1])) - 1).cast("double")).alias("v"))
 
     def total(v, f):
         return F.aggregate(v, F.lit(0.0), lambda acc, y: acc + f(y))
 
+    def mixed(v, n, enc):
+        """True unless capitals, small letters and digits are out of proportion."""
+        a, b, limit = KINDS[enc]
+        k = len(ALPHABETS[enc][1])
+        first, second = F.size(F.filter(v, lambda y: y < a)), F.size(F.filter(v, lambda y: (y >= a) & (y < b)))
+        seen = [(first, a), (second, b - a), (n - first - second, k - b)]
+        chi = sum((got * got * float(k) / (n * float(size)) for got, size in seen if size), F.lit(0.0)) - n
+        return chi < limit
+
     def summed(x):
         v, n = x["v"], x["n"]
         squares = F.transform(F.array_distinct(v), lambda a: F.pow(F.size(F.filter(v, lambda y: y == a)).cast("double"), F.lit(2.0)))
         return F.struct(
             x["start"].alias("start"), x["end"].alias("end"), x["enc"].alias("enc"), n.alias("n"), x["k"].alias("k"), v.alias("v"),
             (total(squares, lambda y: y) * x["k"] / n - n).alias("chi"),
+            by_encoding(x["enc"], lambda e: mixed(v, n, e)).alias("mixed"),
             (total(v, lambda y: y) / n).alias("mean"),
             F.transform(v, lambda y: y * 2 >= x["k"]).alias("high"))
 
@@ -122,20 +145,20 @@ def battery(spans: Column) -> Column:
         changes = F.size(F.filter(F.zip_with(F.slice(high, F.lit(1), last), F.slice(high, F.lit(2), last), lambda a, b: a != b), lambda y: y))
         together = total(F.zip_with(F.slice(v, F.lit(1), last), F.slice(v, F.lit(2), last), lambda a, b: (a - m) * (b - m)), lambda y: y)
         return F.struct(
-            x["start"].alias("start"), x["end"].alias("end"), x["enc"].alias("enc"), n.alias("n"), x["k"].alias("k"), x["chi"].alias("chi"),
+            x["start"].alias("start"), x["end"].alias("end"), x["enc"].alias("enc"), n.alias("n"), x["k"].alias("k"), x["chi"].alias("chi"), x["mixed"].alias("mixed"),
             (changes + 1).cast("double").alias("runs"),
             F.size(F.filter(high, lambda y: y)).cast("double").alias("n1"),
             together.alias("together"), total(v, lambda y: (y - m) * (y - m)).alias("spread"))
 
     def judged(x):
         n, n1 = x["n"], x["n1"]
-        n0, free, shift = n - n1, x["k"] - 1, n * UNEVEN
+        n0, free, shift = n - n1, x["k"] - 1, n * by_encoding(x["enc"], lambda e: F.lit(UNEVEN[e]))
         expected = 2 * n1 * n0 / n + 1
         variance = (expected - 1) * (expected - 2) / (n - 1)
         runs_z = F.when(variance > 0, F.abs(x["runs"] - expected) / F.sqrt(variance)).otherwise(F.lit(99.0))
         serial_z = F.when(x["spread"] > 0, F.abs(x["together"] / x["spread"]) * F.sqrt(n)).otherwise(F.lit(99.0))
         p = normal_cdf((x["chi"] - free - shift) / F.sqrt(2 * (free + 2 * shift)))
-        p = F.when((runs_z < REJECT_Z) & (serial_z < REJECT_Z), p).otherwise(F.lit(1.0))
+        p = F.when(x["mixed"] & (runs_z < REJECT_Z) & (serial_z < REJECT_Z), p).otherwise(F.lit(1.0))
         length = F.lit(LENGTHS[0])
         for low in LENGTHS[1:]:
             length = F.when(n >= low, F.lit(low)).otherwise(length)

@@ -6,6 +6,7 @@ from catalog import (  # noqa: F401
     monitoring,
     screening,
     sourcing,
+    calendars,
     whole_runs,
     feature_building,
     forecasting,

@@ -22,8 +22,11 @@ MAX_REPEAT = 1.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that are in no language: no letter, or hardly a known trigram."""
+    """Drops documents that are in no language: no letter, or hardly a known trigram. Where
+    no row has a label there is nothing to judge by, and all texts with a letter stay."""
     model = language.train(docs.where(~language.held_out("doc_id", 4, 2)).select("text", "lang"))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     (found,) = fresh(docs, "found")
     known = docs.withColumn(found, language.predict(F.col("text"), model))
     return known.where((F.col(found)["lang"] != "und") & (F.col(found)["score"] >= MIN_SCORE)).select(docs.columns)

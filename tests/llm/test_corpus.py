@@ -541,3 +541,12 @@ def test_mixing_of_a_hundred_trillion_tokens(spark):
     got = mixing.mix(d, text_col=None, tokens=F.col("tokens"), max_repeat=4.0).collect()
     blocks = round(10**14 / (1 << 20))
     assert sorted(r.block for r in got) == [k * 10**13 * blocks // 10**14 for k in range(10)]
+
+
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline
+
+    texts = ["some words", "", None, "12 34 --", "слова", "好"]
+    df = table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    assert sorted(r.doc_id for r in corpus_pipeline.language_id(spark, df, "").collect()) == [0, 4, 5]
+    assert corpus_pipeline.language_id(spark, df.limit(0), "").count() == 0

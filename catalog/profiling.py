@@ -9,7 +9,7 @@ from catalog.base import (
     idle_weekends_sql, monthly_by_priority, query, quiet_hours_sql, raw_events, raw_orders, rounded,
     with_idle_weekends, with_quiet_hours,
 )
-from tidewright.operators import profile, structure
+from tidewright.operators import profile, sketches, structure
 
 
 def _basic_sql(inner: str, d: int) -> str:
@@ -226,3 +226,33 @@ def qq_positions(spark, sf):
 @query("qq_normal")
 def qq_normal(spark, sf):
     return rounded(profile.qq_positions(profile.residuals(naive_week(spark, sf)), KEYS), 6, "normal_quantile")
+
+
+# Quantiles at 0 and 1 are the exact ends, and counts are exact through every merge.
+@query("sketch_months", """
+SELECT event_type AS series_id, date_trunc('month', ts)::TIMESTAMP AS slot, count(value) AS n, count(*) - count(value) AS missing, min(value) AS lowest, max(value) AS highest
+FROM events GROUP BY event_type, date_trunc('month', ts)
+""")
+def sketch_months(spark, sf):
+    """Months merged from daily sketches."""
+    months = sketches.merge_slots(sketches.sketch_slots(raw_events(spark, sf), "D", KEYS), "MS", KEYS)
+    return sketches.quantiles(months, [0.0, 1.0]).select("series_id", "slot", "n", "missing", F.col("q")[0].alias("lowest"), F.col("q")[1].alias("highest"))
+
+
+PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@query("sketch_rank_error", f"""
+SELECT series_id, prob, n, true AS close FROM (SELECT event_type AS series_id, count(value) AS n FROM events GROUP BY event_type) AS e, (VALUES {", ".join(f"({p}::DOUBLE)" for p in PROBS)}) AS p(prob)
+""")
+def sketch_rank_error(spark, sf):
+    """True ranks, counted over all rows, of quantiles from merged daily sketches."""
+    raw = raw_events(spark, sf)
+    whole = sketches.quantiles(sketches.merge_slots(sketches.sketch_slots(raw, "D", KEYS), None, KEYS), PROBS)
+    ranked = raw.where("y is not null").join(whole, KEYS)
+    below = [F.count_if(F.col("y") < F.col("q")[i]) for i in range(len(PROBS))]
+    upto = [F.count_if(F.col("y") <= F.col("q")[i]) for i in range(len(PROBS))]
+    n = F.count(F.lit(1))
+    off = [F.greatest(a / n - p, p - b / n, F.lit(0.0)) for a, b, p in zip(below, upto, PROBS)]
+    entries = [F.struct(F.lit(p).alias("prob"), n.alias("n"), (x <= 2 * sketches.rank_error() + 1 / n).alias("close")) for p, x in zip(PROBS, off)]
+    return ranked.groupBy(*KEYS).agg(F.array(*entries).alias("e")).select(*KEYS, F.inline("e"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewright.operators.features import rolling_stats
 from tidewright.operators.layout import by_series, number_rows, spread_join, whole_series
 from tidewright.operators.quantiles import exact_quantiles, percentile
+from tidewright.operators.sketches import quantiles_of, sketch_of
 
 INTERMITTENT_SHARE = 0.4
 QUARTILES = (0.25, 0.5, 0.75)
@@ -25,14 +26,18 @@ def join_per_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
     return left.withColumn("_one", one).join(right.withColumn("_one", one), "_one").drop("_one")
 
 
-def basic_stats(df: DataFrame, keys: Sequence[str] = (), y: str = "y", gridded: bool = True) -> DataFrame:
-    """Count (missing included), moments, quartiles, variation, zeros."""
+def basic_stats(df: DataFrame, keys: Sequence[str] = (), y: str = "y", gridded: bool = True, approx: bool = False) -> DataFrame:
+    """Count (missing included), moments, quartiles, variation, zeros. ``approx`` takes the
+    quartiles from a sketch within the same pass (``sketches.rank_error``)."""
     col = F.col(y)
     aggs = {
         "count": F.count(F.lit(1)), "mean": F.avg(col), "std": F.stddev_samp(col),
         "min": F.min(col), "max": F.max(col), "zeros_count": F.count_if(col == 0),
     }
-    if gridded:
+    if approx:
+        d = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], F.count(col).alias("_n"), sketch_of(col).alias("_s"))
+        d = d.withColumn("_q", quantiles_of(F.col("_s"), F.col("_n"), QUARTILES))
+    elif gridded:
         d = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], percentile(y, QUARTILES).alias("_q"))
     else:
         d = exact_quantiles(df, keys, y, QUARTILES, out="_q", carry=aggs)

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import SCHEMA
@@ -127,3 +128,22 @@ def test_run_report_tries_all_models(spark):
     assert rows
     for r in rows:
         assert {x["model"] for x in json.loads(r.models_tried)} == {*forecasting.BASELINES, *forecasting.LADDER}
+
+
+def test_holidays_in_the_run(spark):
+    """Days off cost half the value; a run that knows the country sees them coming."""
+    from dateutil.easter import easter
+
+    days = pd.date_range("2018-01-01", "2021-12-20")
+    off = {pd.Timestamp(easter(y)) + pd.Timedelta(days=k) for y in range(2018, 2023) for k in (-2, 1, 39, 50)}
+    off |= {pd.Timestamp(y, m, d) for y in range(2018, 2023) for m, d in ((1, 1), (5, 1), (10, 3), (12, 25), (12, 26))}
+    rng = np.random.default_rng(2)
+    y = (100 + 10 * np.sin(2 * np.pi * np.arange(len(days)) / 7) + rng.normal(0, 0.5, len(days))) * np.where(days.isin(list(off)), 0.5, 1.0)
+    series = spark.createDataFrame(pd.DataFrame({"series_id": "a", "ts": days, "y": y}), SCHEMA)
+    error = {}
+    for country in (None, "DE"):
+        run = plan.backtest(series, "D", ["series_id"], ladder=["trend_season"], country=country)
+        p = plan.forecast("D", ["series_id"], run).where("horizon_label = '30d'").toPandas().set_index("ts")["forecast"]
+        error[country] = abs(p[pd.Timestamp("2021-12-25")] - 50)
+        assert abs(p[pd.Timestamp("2022-01-12")] - 100) < 15
+    assert error["DE"] < 15 < error[None]

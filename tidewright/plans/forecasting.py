@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions import frequency as fq
+from tidewright.functions import holidays
 from tidewright.models import boosted, naive, seasonal_ar, trend_season
 from tidewright.operators import evaluate as ev
 from tidewright.operators import intervals as iv
@@ -38,6 +39,7 @@ class Run:
     metric: DataFrame  # keys, primary_metric
     boosted_model: object = None
     priors: DataFrame | None = None  # keys, prior
+    country: str | None = None  # whose holidays the trend knows
 
 
 def _season(freq: str) -> int:
@@ -45,6 +47,16 @@ def _season(freq: str) -> int:
     return fq.frequency(freq).season
 
 
+def _design(freq: str, country: str | None) -> trend_season.Design:
+    return trend_season.Design.for_frequency(freq, holiday="is_holiday") if country else trend_season.Design.for_frequency(freq)
+
+
+def _with_holidays(df: DataFrame, country: str | None) -> DataFrame:
+    if country is None:
+        return df
+    return holidays.flag(df.withColumn("_country", F.lit(country)), [country], "_country").drop("_country")
+
+
 def _ar(df: DataFrame, freq: str, steps: int, keys: Sequence[str], features: bool, future: DataFrame | None = None) -> DataFrame:
     if not features:
         return seasonal_ar.forecast(df, freq, steps, keys, season=_season(freq), future=future)
@@ -56,10 +68,12 @@ def _ar(df: DataFrame, freq: str, steps: int, keys: Sequence[str], features: boo
 
 def backtest(
     series: DataFrame, freq: str, keys: Sequence[str], ladder: Sequence[str] = LADDER, boosting: dict | None = None,
-    tune_prior: bool = False,
+    tune_prior: bool = False, country: str | None = None,
 ) -> Run:
     """Score every model of the ladder on each series' validation rows.
 
+    ``country`` gives the trend-and-season model that country's public holidays.
+
     ``tune_prior`` chooses the trend's flexibility per series by cross-validation
     on its training rows; series too short for a fold keep the default.
 
@@ -82,10 +96,11 @@ def backtest(
             p = _ar(train, freq, steps, keys, name.endswith("_x"), valid.select(*keys, "ts", "step"))
             p = p.select(*keys, "ts", F.col("forecast").alias("yhat"))
         elif name == "trend_season":
-            design = trend_season.Design.for_frequency(freq)
+            design = _design(freq, country)
+            known = _with_holidays(train, country)
             if tune_prior:
-                priors = cut_lineage(trend_season.choose_prior(trend_season.prior_scores(train, freq, keys), keys))
-            p = trend_season.predict(valid.drop("step"), trend_season.fit(train, design, keys, priors=priors), design, keys)
+                priors = cut_lineage(trend_season.choose_prior(trend_season.prior_scores(known, freq, keys, design=design), keys))
+            p = trend_season.predict(_with_holidays(valid.drop("step"), country), trend_season.fit(known, design, keys, priors=priors), design, keys)
             p = p.select(*keys, "ts", F.col("forecast").alias("yhat"))
         elif name == "boosted":
             table = cut_lineage(boosted.training_table(split, keys))
@@ -109,7 +124,7 @@ def backtest(
     fallback = F.when(F.col("_n") >= _season(freq), "snaive").otherwise("naive")
     best = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).join(won, keys, "left").select(
         *keys, F.coalesce("best_model", fallback).alias("best_model"), "best_score", F.col("best_model").isNull().alias("fallback"))
-    return Run(series, predictions, scores, ranked, cut_lineage(best), metric, run_model, priors)
+    return Run(series, predictions, scores, ranked, cut_lineage(best), metric, run_model, priors, country)
 
 
 def forecast(freq: str, keys: Sequence[str], run: Run, horizon_label: str | None = None) -> DataFrame:
@@ -151,7 +166,7 @@ def _refitted(name: str, mine: DataFrame, freq: str, steps: int, keys: list[str]
     if name in ("seasonal_ar", "seasonal_ar_x"):
         return _ar(mine, freq, steps, keys, name.endswith("_x"))
     if name == "trend_season":
-        return _trend(mine, freq, steps, keys, run.priors)
+        return _trend(mine, freq, steps, keys, run.priors, run.country)
     if name == "boosted":
         # as many rounds as validation chose, on all rows
         table = cut_lineage(boosted.training_table(run.series.withColumn("split", F.lit("train")), keys))
@@ -168,10 +183,13 @@ def _refitted(name: str, mine: DataFrame, freq: str, steps: int, keys: list[str]
     return iv.conformal(run.predictions.where(F.col("model") == name), out, keys)
 
 
-def _trend(df: DataFrame, freq: str, steps: int, keys: Sequence[str], priors: DataFrame | None = None) -> DataFrame:
-    design = trend_season.Design.for_frequency(freq)
+def _trend(
+    df: DataFrame, freq: str, steps: int, keys: Sequence[str], priors: DataFrame | None = None, country: str | None = None
+) -> DataFrame:
+    design = _design(freq, country)
+    df = _with_holidays(df, country)
     model = trend_season.fit(df, design, keys, priors=priors)
-    out = trend_season.predict(naive.future_spine(df, freq, steps, keys), model, design, keys)
+    out = trend_season.predict(_with_holidays(naive.future_spine(df, freq, steps, keys), country), model, design, keys)
     if fq.frequency(freq).label != "MS":
         return out
     scale = iv.level_scale(trend_season.fitted(df, model, design, keys), keys)

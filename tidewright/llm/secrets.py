@@ -12,9 +12,8 @@ chi-squared, so the test grows sharper with length): ordinary text repeats a let
 with probability ``COINCIDENCE``, which weighs the more the larger the alphabet.
 False discoveries are held at ``rate`` by Benjamini and Hochberg's rule within each
 encoding and length class, over all candidates of the table, as far as these are text
-of that unevenness; the rule reads a histogram of p-values of fixed size. With equal
-shares of random strings among a class's candidates, nearly all random strings of 24
-and more letters and digits are found; base 32 needs about 40, hex more.
+of that unevenness; the rule reads a histogram of p-values of fixed size. Base 32 and hex
+have small alphabets and need longer strings than the others do.
 
 Edge cases: a null text counts as empty and has no spans; repeated rows are
 scanned each; an empty table gives an empty result; an input column named like a

@@ -15,8 +15,13 @@ query keeps all). Probabilities and left() are stored as
 16-bit logarithms on a fixed grid. Level 1 is add-one smoothed.
 
 Counting: each task sums its own n-grams and sends them as sorted packed blocks to
-shards; a shard's counts are merged, then written as a file of its level to the
-shared folder. Scoring maps these files. Nothing but sizes reaches the driver.
+shards by a hash of the n-gram, whose number follows the bytes of text; a shard's counts
+are merged, then sent to the file of their level that holds their parent. Level 1 has one
+file per range of token hashes. Each further level is cut where the counts of the parents,
+which bound their children, add up to ``PER_FILE``, so a frequent first word is spread over
+many files and only the children of one entry stay together: at most the vocabulary, and
+at most that entry's count. Scoring maps the files in the shared folder. The driver sees
+sizes, totals and the first parent of each file.
 
 Edge cases: a null or empty text is its end token alone; tokens never seen have count
 0; a text that has no learned n-gram is scored by level 1; repeated rows count each;
@@ -36,13 +41,15 @@ from pyspark.sql import functions as F
 
 from tidewright.llm import bits
 from tidewright.llm.bits import U64, EliasFano
-from tidewright.llm.common import partitions, per_worker
+from tidewright.llm.common import per_worker
 from tidewright.llm.near import mixed, powers
-from tidewright.session import cut_lineage, scratch_path
+from tidewright.session import scratch_path
 
 ORDER, DISCOUNT, MIN_COUNT = 3, 0.75, 2
-#: vocabulary entries per file, about; n-grams that a task sums before it sends them
-PER_SHARD, HELD = 1 << 18, 1 << 19
+#: bytes of text per file of level 1 and per shard of merged counts; n-grams per file of further levels, about
+LEVEL1_BYTES, SHARD_BYTES, PER_FILE = 1 << 23, 1 << 21, 1 << 20
+#: n-grams that a task sums before it sends them; shards that it sends them to, beyond which they are cut again
+HELD, COARSE = 1 << 19, 1 << 10
 SLICE_BYTES = 1_000_000
 #: n-grams looked up together when a level is built
 AT_ONCE = 1 << 16
@@ -145,12 +152,13 @@ def joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Trie:
     """Where the levels' files are, and their sizes; ``starts[n]`` has the number of entries of
-    level n + 1 before each shard."""
+    level n + 1 before each file, ``parents[n]`` the first parent of each file of level n + 2."""
 
     folder: str
     power: int
     total: int
     starts: list[np.ndarray]
+    parents: list[np.ndarray]
 
     @property
     def vocabulary(self) -> int:
@@ -183,7 +191,7 @@ class Trie:
         """Entries of ``level``: the child ``word`` of entry ``parent`` one level up, -1 if absent."""
         out = np.full(len(parent), -1, np.int64)
         some = np.flatnonzero((parent >= 0) & (word >= 0))
-        above = self.starts[level - 2]
+        above = self.parents[level - 2]
         shard = np.searchsorted(above, parent[some], side="right") - 1
         width = self.vocabulary.bit_length()
         for s, at in self.by_shard(shard):
@@ -196,8 +204,9 @@ class Trie:
         return out
 
     def values(self, kind: str, level: int, name: str, entry: np.ndarray) -> np.ndarray:
+        """What the files of a level say of its entries, ``left`` of their parents."""
         out = np.zeros(len(entry))
-        starts = self.starts[level - 1]
+        starts = self.parents[level - 2] if kind == "left" else self.starts[level - 1]
         for s, at in self.by_shard(np.searchsorted(starts, entry, side="right") - 1):
             out[at] = self.file(kind, level, s)[name][entry[at] - starts[s]]
         return out
@@ -229,15 +238,19 @@ class Trie:
             context = np.full(len(text), -1, np.int64)
             context[1:] = entries[level - 2][:-1]
             backed = np.flatnonzero(follows & (context >= 0))
-            log[backed] += restored(self.values("left", level - 1, "left", context[backed]))
+            log[backed] += restored(self.values("left", level, "left", context[backed]))
             there = np.flatnonzero(entries[level - 1] >= 0)
             log[there] = restored(self.values("level", level, "log", entries[level - 1][there]))
         return log
 
 
 def count(rows: DataFrame, trie: Trie, level: int, shards: int, min_count: int = MIN_COUNT) -> DataFrame:
-    """Blocks (shard, keys, counts) of all n-grams of ``level`` in the training texts; keys are
-    token hashes, then parent * vocabulary + word."""
+    """Blocks (file, keys, counts) of all n-grams of ``level`` in the training texts; keys are
+    token hashes, not yet merged between tasks, then parent * vocabulary + word."""
+    wide = -(-shards // COARSE)
+
+    def fine(keys: np.ndarray) -> np.ndarray:
+        return (mixed(keys) % U64(shards)).astype(np.int32)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -245,7 +258,7 @@ def count(rows: DataFrame, trie: Trie, level: int, shards: int, min_count: int =
 
         def sent():
             keys, counts = summed(*(np.concatenate(x) for x in zip(*held)))
-            yield from blocks(keys, counts, (mixed(keys) % U64(shards)).astype(np.int32))
+            yield from blocks(keys, counts, (keys >> U64(64 - trie.power)).astype(np.int32) if level == 1 else fine(keys) // wide)
 
         for batch in batches:
             for _, _, texts in batches_of(batch.column(0)):
@@ -270,23 +283,39 @@ def count(rows: DataFrame, trie: Trie, level: int, shards: int, min_count: int =
         if held:
             yield from sent()
 
+    def cut_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, own = [], 0, None
+
+        def sent():
+            keys, counts = summed(*(np.concatenate(x) for x in zip(*held)))
+            yield from blocks(keys, counts, fine(keys))
+
+        for batch in batches:
+            for shard, keys, counts in zip(*batch.columns):
+                if held and (size > HELD or shard != own):
+                    yield from sent()
+                    held, size = [], 0
+                own = shard
+                held.append((np.cumsum(from_planes(keys, U64), dtype=U64), from_planes(counts, np.int64)))
+                size += len(held[-1][0])
+        if held:
+            yield from sent()
+
     def merge(table: pa.Table) -> pa.Table:
         keys, counts = joined(table)
-        if level > 1:
-            keys, counts = keys[counts >= min_count], counts[counts >= min_count]
-            parent = (keys // U64(max(1, trie.vocabulary))).astype(np.int64)
-            shard = np.searchsorted(trie.starts[level - 2], parent, side="right") - 1
-        else:
-            shard = (keys >> U64(64 - fine(shards))).astype(np.int64)
-        out = list(blocks(keys, counts, shard.astype(np.int32)))
+        keys, counts = keys[counts >= min_count], counts[counts >= min_count]
+        parent = (keys // U64(max(1, trie.vocabulary))).astype(np.int64)
+        file = np.searchsorted(trie.parents[level - 2], parent, side="right") - 1
+        out = list(blocks(keys, counts, file.astype(np.int32)))
         return pa.Table.from_batches(out) if out else table.slice(0, 0).select(["shard", "keys", "counts"])
 
-    return rows.mapInArrow(work, SHARD).groupBy("shard").applyInArrow(merge, SHARD)
-
-
-def fine(shards: int) -> int:
-    """Level 1 is first cut into 2 ** fine ranges of the hash, twice the shards or more."""
-    return max(4, (shards - 1).bit_length() + 1)
+    found = rows.mapInArrow(work, SHARD)
+    if level == 1:
+        return found
+    if wide > 1:
+        # so many shards that a task's blocks for them would hold a few n-grams each
+        found = found.repartition("shard").sortWithinPartitions("shard").mapInArrow(cut_again, SHARD)
+    return found.groupBy("shard").applyInArrow(merge, SHARD)
 
 
 def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
@@ -297,64 +326,71 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, min_coun
         folder = f"file://{folder}"
     elif folder.startswith("file:") and not folder.startswith("file://"):
         folder = "file://" + folder[5:]
-    shards = partitions(spark)
-    trie = Trie(folder, 2, 0, [])
-    blocks1 = cut_lineage(count(rows, trie, 1, shards))
-    entries = blocks1.agg(F.sum(F.length("keys") / 8)).first()[0] or 0
-    trie.power = min(fine(shards), max(2, int(entries / PER_SHARD).bit_length()))
-    files = 1 << trie.power
-    found = spark.range(files).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("counts"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, size // SHARD_BYTES)
+    trie = Trie(folder, max(2, int(size // LEVEL1_BYTES).bit_length()), 0, [], [])
 
-    def write_level(blocks_: DataFrame, level: int) -> None:
-        plan = Trie(folder, trie.power, trie.total, list(trie.starts))
+    def write_level(blocks_: DataFrame, level: int, files: int) -> None:
+        plan = Trie(folder, trie.power, trie.total, list(trie.starts), list(trie.parents))
+        empty = F.lit(None).cast("binary")
+        every = spark.range(files).select(F.col("id").cast("int").alias("shard"), empty.alias("keys"), empty.alias("counts"))
 
         def build(table: pa.Table) -> pa.Table:
-            # every shard has one empty block, so that it has a file
+            # every file has one empty block, so that it is written
             shard = table.column("shard")[0].as_py()
             table = table.filter(pa.compute.is_valid(table.column("keys")))
             keys, counts = joined(table) if table.num_rows else (np.zeros(0, U64), np.zeros(0, np.int64))
             if level == 1:
                 low = U64((1 << (64 - plan.power)) - 1)
-                arrays = EliasFano.arrays("hash", keys & low, 1 << (64 - plan.power), search=True) | {"count": counts}
+                arrays = EliasFano.arrays("hash", keys & low, 1 << (64 - plan.power), search=True) | {"count": narrow(counts)}
             else:
                 arrays = plan_level(plan, level, shard, keys, counts, order)
             bits.store(f"{folder}/level{level}-{shard}", arrays)
-            return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64())})
-
-        sizes = blocks_.unionByName(found).groupBy("shard").applyInArrow(build, "shard int, n long, total long").collect()
-        n = np.zeros(files, np.int64)
-        for r in sizes:
-            n[r["shard"]] = r["n"]
-        trie.starts.append(np.concatenate([[0], np.cumsum(n)]))
+            # an entry has at most as many children as it has occurrences
+            part = (np.cumsum(counts) - counts) // PER_FILE
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)) if level < order else np.zeros(0, np.int64)
+            return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()),
+                             "total": pa.array([int(counts.sum())], pa.int64()), "cuts": pa.array([cuts.tolist()], pa.list_(pa.int64()))})
+
+        written = blocks_.unionByName(every).groupBy("shard").applyInArrow(build, "shard int, n long, total long, cuts array<long>").collect()
+        written.sort(key=lambda r: r["shard"])
+        trie.starts.append(np.cumsum([0, *(r["n"] for r in written)], dtype=np.int64))
+        first = [s + c for s, r in zip(trie.starts[-1].tolist(), written) for c in r["cuts"]]
+        trie.parents.append(np.array([*first, trie.starts[-1][-1]], np.int64))
         if level == 1:
-            trie.total = sum(r["total"] for r in sizes)
+            trie.total = sum(r["total"] for r in written)
 
-    write_level(blocks1.withColumn("shard", F.shiftright("shard", fine(shards) - trie.power)), 1)
+    write_level(count(rows, trie, 1, shards), 1, 1 << trie.power)
     for level in range(2, order + 1):
-        write_level(count(rows, trie, level, shards, min_count), level)
+        write_level(count(rows, trie, level, shards, min_count), level, len(trie.parents[-1]) - 1)
     return trie
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 def plan_level(plan: Trie, level: int, shard: int, keys: np.ndarray, counts: np.ndarray, order: int) -> dict[str, np.ndarray]:
-    """Arrays of one shard of a level; also writes what its contexts leave over."""
+    """Arrays of one file of a level; also writes what its parents leave over."""
     v = max(1, plan.vocabulary)
-    above = plan.starts[level - 2]
-    parents = int(above[shard + 1] - above[shard])
-    parent, word = (keys // U64(v)).astype(np.int64), (keys % U64(v)).astype(np.int64)
-    own = parent - above[shard]
+    first, stop = plan.parents[level - 2][shard : shard + 2].tolist()
+    parents = stop - first
+    own, word = (keys // U64(v)).astype(np.int64) - first, (keys % U64(v)).astype(np.int64)
     pointer = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=parents))])
-    context = plan.file("level", level - 1, shard)["count"].astype(np.float64)
+    context = plan.values("level", level - 1, "count", np.arange(first, stop))
     share = (counts - DISCOUNT) / context[own] if len(keys) else np.zeros(0)
     left = np.maximum(1 - np.bincount(own, share, minlength=parents), 1e-16)
-    bits.store(f"{plan.folder}/left{level - 1}-{shard}", {"left": quantised(np.log10(left))})
-    last = None if level == 2 else plan.file("level", level - 1, shard)["word"]
+    bits.store(f"{plan.folder}/left{level}-{shard}", {"left": quantised(np.log10(left))})
+    # cuts lie within files, so all parents are in one
+    above = int(np.searchsorted(plan.starts[level - 2], first, side="right")) - 1
+    last, offset = (None, 0) if level == 2 else (plan.file("level", level - 1, above)["word"], first - int(plan.starts[level - 2][above]))
     width = plan.vocabulary.bit_length()
 
     def lower_of(own: np.ndarray, word: np.ndarray) -> np.ndarray:
         if level == 2:
             return plan.level1(word)[1]
         # the shorter context: the parent's own word, then this one
-        flat = np.stack([bits.unpack(last, own, width).astype(np.int64), word], 1).ravel()
+        flat = np.stack([bits.unpack(last, own + offset, width).astype(np.int64), word], 1).ravel()
         pair = np.repeat(np.arange(len(word)), 2)
         return plan.log_probability(plan.entries(pair, flat, 2), pair, 2)[1::2]
 
@@ -362,7 +398,7 @@ def plan_level(plan: Trie, level: int, shard: int, keys: np.ndarray, counts: np.
     lower = np.concatenate(parts) if parts else np.zeros(0)
     log = np.log10(share + left[own] * 10.0**lower) if len(keys) else np.zeros(0)
     out = EliasFano.arrays("pointer", pointer, len(keys) + 1) | {"word": bits.pack(word, width), "log": quantised(log)}
-    return out | ({"count": counts} if level < order else {})
+    return out | ({"count": narrow(counts)} if level < order else {})
 
 
 def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -410,6 +410,20 @@ def test_language_model_query_keeps_all(spark):
         assert got[r.doc_id].n_tokens == len(w) and abs(got[r.doc_id].score - want) < 6e-4 * len(w)
 
 
+def test_language_model_layout(docs, monkeypatch):
+    """Many files, heavy parents and shards cut again give the same scores as one plain layout."""
+    plain = ngram_lm.train(docs, min_count=1)
+    want = sorted((r.doc_id or -1, r.n_tokens, r.score) for r in ngram_lm.score(docs, plain).collect())
+    for name, value in {"LEVEL1_BYTES": 1 << 12, "SHARD_BYTES": 1 << 11, "PER_FILE": 40, "HEAVY": 60, "COARSE": 4, "HELD": 300}.items():
+        monkeypatch.setattr(ngram_lm, name, value)
+    cut = ngram_lm.train(docs, min_count=1)
+    assert all(x.any() and not x.all() for x in cut.heavy[:2]) and len(cut.parents[1]) > 10 * len(plain.parents[1])
+    assert [x[-1] for x in cut.starts] == [x[-1] for x in plain.starts]
+    got = sorted((r.doc_id or -1, r.n_tokens, r.score) for r in ngram_lm.score(docs, cut).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert max(abs(x[2] - y[2]) for x, y in zip(got, want)) < 1e-6
+
+
 # ------------------------------------------------------------------ 9 near duplicates
 
 def bag(t):

@@ -14,14 +14,15 @@ n-grams seen less than ``min_count`` times are not kept beyond level 1 (the regi
 query keeps all). Probabilities and left() are stored as
 16-bit logarithms on a fixed grid. Level 1 is add-one smoothed.
 
-Counting: each task sums its own n-grams and sends them as sorted packed blocks to
-shards by a hash of the n-gram, whose number follows the bytes of text; a shard's counts
-are merged, then sent to the file of their level that holds their parent. Level 1 has one
-file per range of token hashes. Each further level is cut where the counts of the parents,
-which bound their children, add up to ``PER_FILE``, so a frequent first word is spread over
-many files and only the children of one entry stay together: at most the vocabulary, and
-at most that entry's count. Scoring maps the files in the shared folder. The driver sees
-sizes, totals and the first parent of each file.
+Counting: each task sums its own n-grams and sends them as sorted packed blocks to the
+file of their level that holds their parent. Level 1 has one file per range of token
+hashes. Each further level is cut where the counts of the parents, which bound their
+children, add up to ``PER_FILE``, so a frequent first word is spread over many files. Files
+whose parents occur more than ``HEAVY`` times are counted in a pass of their own, merged in
+shards by a hash of the n-gram first; only the distinct children of one entry must stay
+together. A trigram is counted as its first pair and the place of its second pair among the
+pairs of the middle word, so its lower probability is read, not searched. Scoring maps the
+files in the shared folder. The driver sees sizes, totals and the first parent of each file.
 
 Edge cases: a null or empty text is its end token alone; tokens never seen have count
 0; a text that has no learned n-gram is scored by level 1; repeated rows count each;
@@ -46,8 +47,10 @@ from tidewright.llm.near import mixed, powers
 from tidewright.session import scratch_path
 
 ORDER, DISCOUNT, MIN_COUNT = 3, 0.75, 2
-#: bytes of text per file of level 1 and per shard of merged counts; n-grams per file of further levels, about
-LEVEL1_BYTES, SHARD_BYTES, PER_FILE = 1 << 23, 1 << 21, 1 << 20
+#: bytes of text per file of level 1 and per shard of merged counts
+LEVEL1_BYTES, SHARD_BYTES = 1 << 23, 1 << 21
+#: occurrences per file of further levels, about, and beyond which a file's n-grams are merged by shards first
+PER_FILE, HEAVY = 1 << 20, 1 << 22
 #: n-grams that a task sums before it sends them; shards that it sends them to, beyond which they are cut again
 HELD, COARSE = 1 << 19, 1 << 10
 SLICE_BYTES = 1_000_000
@@ -152,13 +155,15 @@ def joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Trie:
     """Where the levels' files are, and their sizes; ``starts[n]`` has the number of entries of
-    level n + 1 before each file, ``parents[n]`` the first parent of each file of level n + 2."""
+    level n + 1 before each file, ``parents[n]`` the first parent of each file of level n + 2, ``heavy[n]`` which of
+    these files are counted by shards first."""
 
     folder: str
     power: int
     total: int
     starts: list[np.ndarray]
     parents: list[np.ndarray]
+    heavy: list[np.ndarray]
 
     @property
     def vocabulary(self) -> int:
@@ -187,9 +192,10 @@ class Trie:
         out[:] = found[back]
         return out
 
-    def children(self, level: int, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Entries of ``level``: the child ``word`` of entry ``parent`` one level up, -1 if absent."""
-        out = np.full(len(parent), -1, np.int64)
+    def children(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of ``level``: the child ``word`` of entry ``parent`` one level up, and its place among
+        the children of that entry; -1 if absent."""
+        out, rank = np.full(len(parent), -1, np.int64), np.full(len(parent), -1, np.int64)
         some = np.flatnonzero((parent >= 0) & (word >= 0))
         above = self.parents[level - 2]
         shard = np.searchsorted(above, parent[some], side="right") - 1
@@ -199,8 +205,25 @@ class Trie:
             arrays = self.file("level", level, s)
             pointers = EliasFano(arrays, "pointer")
             own = parent[at] - above[s]
-            place = bits.find_between(arrays["word"], width, pointers.get(own), pointers.get(own + 1), word[at])
+            start = pointers.get(own)
+            place = bits.find_between(arrays["word"], width, start, pointers.get(own + 1), word[at])
             out[at] = np.where(place >= 0, place + self.starts[level - 1][s], -1)
+            rank[at] = np.where(place >= 0, place - start, -1)
+        return out, rank
+
+    def first_child(self, level: int, parent: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(parent), np.int64)
+        above = self.parents[level - 2]
+        for s, at in self.by_shard(np.searchsorted(above, parent, side="right") - 1):
+            out[at] = EliasFano(self.file("level", level, s), "pointer").get(parent[at] - above[s]) + self.starts[level - 1][s]
+        return out
+
+    def words(self, level: int, entry: np.ndarray) -> np.ndarray:
+        """The last word of each entry."""
+        out = np.zeros(len(entry), np.int64)
+        starts, width = self.starts[level - 1], self.vocabulary.bit_length()
+        for s, at in self.by_shard(np.searchsorted(starts, entry, side="right") - 1):
+            out[at] = bits.unpack(self.file("level", level, s)["word"], entry[at] - starts[s], width)
         return out
 
     def values(self, kind: str, level: int, name: str, entry: np.ndarray) -> np.ndarray:
@@ -218,16 +241,18 @@ class Trie:
         count[known] = self.values("level", 1, "count", word[known])
         return count, np.log10((count + 1) / (self.total + self.vocabulary + 1))
 
-    def entries(self, text: np.ndarray, word: np.ndarray, levels: int) -> list[np.ndarray]:
-        """For each level up to ``levels``, the entry that ends at each token."""
-        out = [word]
+    def entries(self, text: np.ndarray, word: np.ndarray, levels: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """For each level up to ``levels``, the entry that ends at each token; and the last one's
+        place among its parent's children."""
+        out, rank = [word], word
         follows = np.zeros(len(text), bool)
         follows[1:] = text[1:] == text[:-1]
         for level in range(2, levels + 1):
             parent = np.full(len(word), -1, np.int64)
             parent[1:] = out[-1][:-1]
-            out.append(self.children(level, np.where(follows, parent, -1), word))
-        return out
+            entry, rank = self.children(level, np.where(follows, parent, -1), word)
+            out.append(entry)
+        return out, rank
 
     def log_probability(self, entries: list[np.ndarray], text: np.ndarray, upto: int) -> np.ndarray:
         """log10 p of each token, given at most ``upto - 1`` tokens before it."""
@@ -244,21 +269,27 @@ class Trie:
         return log
 
 
-def count(rows: DataFrame, trie: Trie, level: int, shards: int, min_count: int = MIN_COUNT) -> DataFrame:
+def count(rows: DataFrame, trie: Trie, level: int, shards: int) -> DataFrame:
     """Blocks (file, keys, counts) of all n-grams of ``level`` in the training texts; keys are
-    token hashes, not yet merged between tasks, then parent * vocabulary + word."""
+    token hashes, then parent * vocabulary + place of the rest among its parent's children."""
+    heavy = trie.heavy[level - 2] if level > 1 else np.zeros(0, bool)
     wide = -(-shards // COARSE)
 
     def fine(keys: np.ndarray) -> np.ndarray:
         return (mixed(keys) % U64(shards)).astype(np.int32)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def file_of(keys: np.ndarray) -> np.ndarray:
+        if level == 1:
+            return (keys >> U64(64 - trie.power)).astype(np.int32)
+        return (np.searchsorted(trie.parents[level - 2], (keys // U64(max(1, trie.vocabulary))).astype(np.int64), side="right") - 1).astype(np.int32)
+
+    def work(batches: Iterator[pa.RecordBatch], by_shards: bool) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def sent():
             keys, counts = summed(*(np.concatenate(x) for x in zip(*held)))
-            yield from blocks(keys, counts, (keys >> U64(64 - trie.power)).astype(np.int32) if level == 1 else fine(keys) // wide)
+            yield from blocks(keys, counts, fine(keys) // wide if by_shards else file_of(keys))
 
         for batch in batches:
             for _, _, texts in batches_of(batch.column(0)):
@@ -267,9 +298,12 @@ def count(rows: DataFrame, trie: Trie, level: int, shards: int, min_count: int =
                     keys = h
                 else:
                     word = trie.ids(h)
-                    above = trie.entries(text, word, level - 1)[-1]
-                    some = np.flatnonzero((text[1:] == text[:-1]) & (above[:-1] >= 0))
-                    keys = above[some].astype(U64) * U64(trie.vocabulary) + word[some + 1].astype(U64)
+                    entries, rank = trie.entries(text, word, level - 1)
+                    above = entries[-1]
+                    some = np.flatnonzero((text[1:] == text[:-1]) & (above[:-1] >= 0) & (rank[1:] >= 0))
+                    if heavy.any():
+                        some = some[heavy[np.searchsorted(trie.parents[level - 2], above[some], side="right") - 1] == by_shards]
+                    keys = above[some].astype(U64) * U64(trie.vocabulary) + rank[some + 1].astype(U64)
                 if len(keys):
                     held.append(np.unique(keys, return_counts=True))
                     size += len(held[-1][0])
@@ -303,19 +337,16 @@ def count(rows: DataFrame, trie: Trie, level: int, shards: int, min_count: int =
 
     def merge(table: pa.Table) -> pa.Table:
         keys, counts = joined(table)
-        keys, counts = keys[counts >= min_count], counts[counts >= min_count]
-        parent = (keys // U64(max(1, trie.vocabulary))).astype(np.int64)
-        file = np.searchsorted(trie.parents[level - 2], parent, side="right") - 1
-        out = list(blocks(keys, counts, file.astype(np.int32)))
-        return pa.Table.from_batches(out) if out else table.slice(0, 0).select(["shard", "keys", "counts"])
-
-    found = rows.mapInArrow(work, SHARD)
-    if level == 1:
+        return pa.Table.from_batches(list(blocks(keys, counts, file_of(keys))))
+
+    found = rows.mapInArrow(lambda batches: work(batches, False), SHARD)
+    if not heavy.any():
         return found
+    hot = rows.mapInArrow(lambda batches: work(batches, True), SHARD)
     if wide > 1:
         # so many shards that a task's blocks for them would hold a few n-grams each
-        found = found.repartition("shard").sortWithinPartitions("shard").mapInArrow(cut_again, SHARD)
-    return found.groupBy("shard").applyInArrow(merge, SHARD)
+        hot = hot.repartition("shard").sortWithinPartitions("shard").mapInArrow(cut_again, SHARD)
+    return found.unionByName(hot.groupBy("shard").applyInArrow(merge, SHARD))
 
 
 def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
@@ -328,10 +359,10 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, min_coun
         folder = "file://" + folder[5:]
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, size // SHARD_BYTES)
-    trie = Trie(folder, max(2, int(size // LEVEL1_BYTES).bit_length()), 0, [], [])
+    trie = Trie(folder, max(2, int(size // LEVEL1_BYTES).bit_length()), 0, [], [], [])
 
     def write_level(blocks_: DataFrame, level: int, files: int) -> None:
-        plan = Trie(folder, trie.power, trie.total, list(trie.starts), list(trie.parents))
+        plan = Trie(folder, trie.power, trie.total, list(trie.starts), list(trie.parents), [])
         empty = F.lit(None).cast("binary")
         every = spark.range(files).select(F.col("id").cast("int").alias("shard"), empty.alias("keys"), empty.alias("counts"))
 
@@ -340,6 +371,8 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, min_coun
             shard = table.column("shard")[0].as_py()
             table = table.filter(pa.compute.is_valid(table.column("keys")))
             keys, counts = joined(table) if table.num_rows else (np.zeros(0, U64), np.zeros(0, np.int64))
+            if level > 1:
+                keys, counts = keys[counts >= min_count], counts[counts >= min_count]
             if level == 1:
                 low = U64((1 << (64 - plan.power)) - 1)
                 arrays = EliasFano.arrays("hash", keys & low, 1 << (64 - plan.power), search=True) | {"count": narrow(counts)}
@@ -350,19 +383,21 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, min_coun
             part = (np.cumsum(counts) - counts) // PER_FILE
             cuts = np.flatnonzero(np.diff(part, prepend=-1)) if level < order else np.zeros(0, np.int64)
             return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()),
-                             "total": pa.array([int(counts.sum())], pa.int64()), "cuts": pa.array([cuts.tolist()], pa.list_(pa.int64()))})
+                             "total": pa.array([int(counts.sum())], pa.int64()), "cuts": pa.array([cuts.tolist()], pa.list_(pa.int64())),
+                             "weights": pa.array([np.add.reduceat(counts, cuts).tolist() if len(cuts) else []], pa.list_(pa.int64()))})
 
-        written = blocks_.unionByName(every).groupBy("shard").applyInArrow(build, "shard int, n long, total long, cuts array<long>").collect()
+        written = blocks_.unionByName(every).groupBy("shard").applyInArrow(build, "shard int, n long, total long, cuts array<long>, weights array<long>").collect()
         written.sort(key=lambda r: r["shard"])
         trie.starts.append(np.cumsum([0, *(r["n"] for r in written)], dtype=np.int64))
         first = [s + c for s, r in zip(trie.starts[-1].tolist(), written) for c in r["cuts"]]
         trie.parents.append(np.array([*first, trie.starts[-1][-1]], np.int64))
+        trie.heavy.append(np.array([w > HEAVY for r in written for w in r["weights"]], bool))
         if level == 1:
             trie.total = sum(r["total"] for r in written)
 
     write_level(count(rows, trie, 1, shards), 1, 1 << trie.power)
     for level in range(2, order + 1):
-        write_level(count(rows, trie, level, shards, min_count), level, len(trie.parents[-1]) - 1)
+        write_level(count(rows, trie, level, shards), level, len(trie.parents[-1]) - 1)
     return trie
 
 
@@ -375,29 +410,24 @@ def plan_level(plan: Trie, level: int, shard: int, keys: np.ndarray, counts: np.
     v = max(1, plan.vocabulary)
     first, stop = plan.parents[level - 2][shard : shard + 2].tolist()
     parents = stop - first
-    own, word = (keys // U64(v)).astype(np.int64) - first, (keys % U64(v)).astype(np.int64)
+    own, rank = (keys // U64(v)).astype(np.int64) - first, (keys % U64(v)).astype(np.int64)
     pointer = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=parents))])
     context = plan.values("level", level - 1, "count", np.arange(first, stop))
     share = (counts - DISCOUNT) / context[own] if len(keys) else np.zeros(0)
     left = np.maximum(1 - np.bincount(own, share, minlength=parents), 1e-16)
     bits.store(f"{plan.folder}/left{level}-{shard}", {"left": quantised(np.log10(left))})
-    # cuts lie within files, so all parents are in one
-    above = int(np.searchsorted(plan.starts[level - 2], first, side="right")) - 1
-    last, offset = (None, 0) if level == 2 else (plan.file("level", level - 1, above)["word"], first - int(plan.starts[level - 2][above]))
-    width = plan.vocabulary.bit_length()
-
-    def lower_of(own: np.ndarray, word: np.ndarray) -> np.ndarray:
-        if level == 2:
-            return plan.level1(word)[1]
-        # the shorter context: the parent's own word, then this one
-        flat = np.stack([bits.unpack(last, own + offset, width).astype(np.int64), word], 1).ravel()
-        pair = np.repeat(np.arange(len(word)), 2)
-        return plan.log_probability(plan.entries(pair, flat, 2), pair, 2)[1::2]
-
-    parts = [lower_of(own[i : i + AT_ONCE], word[i : i + AT_ONCE]) for i in range(0, len(keys), AT_ONCE)]
-    lower = np.concatenate(parts) if parts else np.zeros(0)
-    log = np.log10(share + left[own] * 10.0**lower) if len(keys) else np.zeros(0)
-    out = EliasFano.arrays("pointer", pointer, len(keys) + 1) | {"word": bits.pack(word, width), "log": quantised(log)}
+    if level == 2:
+        word, lower = rank, lambda some: plan.level1(rank[some])[1]
+    else:
+        # the shorter n-gram: its first entry by the parent's own last word, then by its place
+        shorter = plan.first_child(level - 1, plan.words(level - 1, np.arange(first, stop)))[own] + rank
+        word = plan.words(level - 1, shorter)
+        lower = lambda some: restored(plan.values("level", level - 1, "log", shorter[some]))
+    log = np.zeros(len(keys), np.uint16)
+    for i in range(0, len(keys), AT_ONCE):
+        some = slice(i, i + AT_ONCE)
+        log[some] = quantised(np.log10(share[some] + left[own[some]] * 10.0 ** lower(some)))
+    out = EliasFano.arrays("pointer", pointer, len(keys) + 1) | {"word": bits.pack(word, plan.vocabulary.bit_length()), "log": log}
     return out | ({"count": narrow(counts)} if level < order else {})
 
 
@@ -410,7 +440,7 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
             for i, j, texts in batches_of(batch.column(1)):
                 text, h = tokens(texts)
                 word = trie.ids(h)
-                entries = trie.entries(text, word, levels)
+                entries, _ = trie.entries(text, word, levels)
                 log = trie.log_probability(entries, text, levels)
                 counts, base = trie.level1(word)
                 n = j - i

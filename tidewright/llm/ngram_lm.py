@@ -48,12 +48,12 @@ from tidewright.session import scratch_path
 
 ORDER, DISCOUNT, MIN_COUNT = 3, 0.75, 2
 #: bytes of text per file of level 1 and per shard of merged counts
-LEVEL1_BYTES, SHARD_BYTES = 1 << 23, 1 << 21
+LEVEL1_BYTES, SHARD_BYTES = 1 << 25, 1 << 21
 #: occurrences per file of further levels, about, and beyond which a file's n-grams are merged by shards first
-PER_FILE, HEAVY = 1 << 20, 1 << 22
+PER_FILE, HEAVY = 1 << 21, 1 << 22
 #: n-grams that a task sums before it sends them; shards that it sends them to, beyond which they are cut again
 HELD, COARSE = 1 << 19, 1 << 10
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 2_000_000
 #: n-grams looked up together when a level is built
 AT_ONCE = 1 << 16
 #: logarithms from -GRID to 0 in 65535 steps

@@ -307,20 +307,20 @@ for _p, _e in _DEDUPE.items():
 
 # ----------------------------------------------------------------- validate
 
-_OUTLIERS = """
+OUTLIERS_SQL = """
 q AS (SELECT series_id, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.75) AS q3 FROM d GROUP BY series_id),
 f AS (SELECT d.*, coalesce(y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1), false) AS is_outlier
   FROM d JOIN q ON d.series_id = q.series_id)
 """
 
 
-@query("row_outlier_flags", f"WITH d AS ({HOURLY_EVENTS}), {_OUTLIERS} SELECT series_id, ts, y, is_outlier FROM f")
+@query("row_outlier_flags", f"WITH d AS ({HOURLY_EVENTS}), {OUTLIERS_SQL} SELECT series_id, ts, y, is_outlier FROM f")
 def row_outlier_flags(spark, sf):
     return reg.flag_outliers(hourly_events(spark, sf), KEYS)
 
 
 @query("iqr_outliers_raw", f"""
-WITH d AS (SELECT event_type AS series_id, value AS y FROM events), {_OUTLIERS}
+WITH d AS (SELECT event_type AS series_id, value AS y FROM events), {OUTLIERS_SQL}
 SELECT series_id, count(*) AS n_rows, count(*) FILTER (is_outlier) AS n_outliers,
   round(avg(is_outlier::INTEGER), 9) AS outlier_share FROM f GROUP BY series_id
 """)
@@ -330,7 +330,7 @@ def iqr_outliers_raw(spark, sf):
 
 @query("validate_series", f"""
 WITH d AS ({quiet_hours_sql(HOURLY_EVENTS)} UNION ALL SELECT o_orderstatus, o_orderdate, o_totalprice - 150000 FROM orders
-  UNION ALL SELECT 'months', date_trunc('year', o_orderdate)::TIMESTAMP, max(o_totalprice) FROM orders GROUP BY 2), {_OUTLIERS},
+  UNION ALL SELECT 'months', date_trunc('year', o_orderdate)::TIMESTAMP, max(o_totalprice) FROM orders GROUP BY 2), {OUTLIERS_SQL},
 s AS (SELECT series_id, count(*) AS n_rows, min(y) AS min_y, avg((y IS NULL)::INTEGER) AS ms, avg(is_outlier::INTEGER) AS os FROM f GROUP BY series_id)
 SELECT series_id, n_rows, min_y, round(ms, 9) AS missing_share, round(os, 9) AS outlier_share,
   concat_ws(',', CASE WHEN n_rows < 30 THEN 'too_few_rows' END, CASE WHEN min_y < 0 THEN 'negative_values' END,

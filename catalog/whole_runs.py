@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import DAILY_BY_PRIORITY, KEYS, MONTHLY_BY_PRIORITY, daily_by_priority, monthly_by_priority, query, raw_events, rounded, table
 from catalog.evaluating import _split_sql
 from catalog.monitoring import _mad_steps
-from catalog.regularizing import _FILLED, policy_sql
+from catalog.regularizing import _FILLED, OUTLIERS_SQL, policy_sql
 from catalog.screening import _LAGGED_SQL, lagged_features
 from tidewright.functions import frequency as fq
 from tidewright.functions.expressions import safe_divide
@@ -57,6 +57,23 @@ def load_series_daily(spark, sf):
     return rounded(load_series(table(spark, sf, "orders"), o), 2, "y")
 
 
+@query("load_series_validated", f"""
+WITH d AS (SELECT * FROM ({policy_sql(DAILY_BY_PRIORITY, 'day')}) AS p), {OUTLIERS_SQL},
+s AS (SELECT series_id, count(*) AS n_rows, min(y) AS min_y, avg((y IS NULL)::INTEGER) AS ms, avg(is_outlier::INTEGER) AS os FROM f GROUP BY series_id)
+SELECT d.*, 'D' AS freq,
+  concat_ws(',', CASE WHEN n_rows < 30 THEN 'too_few_rows' END, CASE WHEN min_y < 0 THEN 'negative_values' END,
+    CASE WHEN ms > 0.2 THEN 'too_many_missing' END) AS violations,
+  concat_ws(',', CASE WHEN os > 0.1 THEN 'many_outliers' END) AS warnings
+FROM d JOIN s ON d.series_id = s.series_id
+""")
+def load_series_validated(spark, sf):
+    """Year, month and day in columns of their own; every series carries its findings."""
+    raw = table(spark, sf, "orders").select(
+        "o_orderpriority", "o_totalprice", *[F.date_format("o_orderdate", f).alias(c) for c, f in (("year", "yyyy"), ("month", "M"), ("day", "d"))])
+    o = LoadOptions(target="o_totalprice", date_parts=("year", "month", "day"), id_cols=("o_orderpriority",), freq="D", duplicates="sum", validate="report")
+    return rounded(load_series(raw, o), 2, "y").withColumns({c: F.concat_ws(",", c) for c in ("violations", "warnings")})
+
+
 @query("custom_drift_model", f"""
 WITH d AS ({MONTHLY_BY_PRIORITY}), m AS (SELECT series_id, arg_min(y, ts) AS a, arg_max(y, ts) AS b, max(ts) AS t, count(*) AS n FROM d GROUP BY series_id)
 SELECT series_id, step::INTEGER AS step, (t + to_months(step::INTEGER))::TIMESTAMP AS ts, round(b + step * (b - a) / (n - 1), 2) AS forecast, NULL::DOUBLE AS lower, NULL::DOUBLE AS upper

@@ -1,5 +1,6 @@
 """Loading and the full back-test."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -42,6 +43,19 @@ def test_mixed_frequencies_take_their_own_branch(spark):
     assert out[out.series_id == "month"].ts.dt.day.eq(1).all()
 
 
+def test_load_validates(spark):
+    rows = [("long", 2024, 1 + i // 28, 1 + i % 28, float(i)) for i in range(56)] + [("short", 2024, 1, 1 + i, -1.0) for i in range(5)]
+    d = spark.createDataFrame(rows, "name string, year int, month int, day int, value double")
+    o = LoadOptions(date_parts=("year", "month", "day"), id_cols=("name",), freq="D", validate="report")
+    found = {r["series_id"]: r["violations"] for r in load_series(d, o).select("series_id", "violations").distinct().collect()}
+    assert found == {"long": [], "short": ["too_few_rows", "negative_values"]}
+    with pytest.raises(Exception, match="failed validation"):
+        load_series(d, replace(o, validate="strict")).collect()
+    assert load_series(d.where("name = 'long'"), replace(o, validate="strict")).count() == 59  # three days without rows
+    with pytest.raises(ValueError, match="unknown validation"):
+        load_series(d, replace(o, validate="yes"))
+
+
 def test_only_first_series(spark):
     d = spark.createDataFrame([("b", datetime(2024, 1, 1), 1.0), ("a", datetime(2024, 1, 2), 2.0), ("b", datetime(2024, 1, 3), 3.0)], SCHEMA)
     assert {r["series_id"] for r in parse.first_series(d).collect()} == {"b"}

@@ -22,6 +22,7 @@ class LoadOptions:
     target: str = "value"
     date: str = "date"
     date_format: str | None = None  # None: first format that reads the column
+    date_parts: Sequence[str] = ()  # columns of year, month, day, hour (the last ones may be left out) in place of a date
     time: str | None = None
     id_cols: Sequence[str] = ()
     only_first: bool = False
@@ -32,13 +33,15 @@ class LoadOptions:
     duplicates: str = "mean"
     compat_lookback: bool = False
     long_series: bool = False  # very fine grids: cut every window into blocks
+    validate: str = "off"  # "report": each series' violations and warnings on its rows; "strict": violations fail the load
+    allow_negative: bool = False
 
 
 def shape(raw: DataFrame, o: LoadOptions) -> DataFrame:
     """Names, ids, dates: (series_id, ts, y)."""
     d = parse.rename_target(raw, o.target)
     d = parse.with_series_id(d, o.id_cols) if o.id_cols else d.withColumn("series_id", F.lit("all"))
-    d = parse.parse_dates(d, o.date, "ts", o.date_format)
+    d = parse.combine_parts(d, *o.date_parts) if o.date_parts else parse.parse_dates(d, o.date, "ts", o.date_format)
     if o.time and o.time in d.columns:
         d = parse.add_time_of_day(d, "ts", o.time)
     y = F.col("y").cast("double")
@@ -58,8 +61,19 @@ def regular(d: DataFrame, label: str, o: LoadOptions) -> DataFrame:
     return d.withColumn("freq", F.lit(label))
 
 
+def checked(d: DataFrame, o: LoadOptions) -> DataFrame:
+    """The regular series with what validation says of each, if it is asked for."""
+    if o.validate == "off":
+        return d
+    if o.validate not in ("report", "strict"):
+        raise ValueError(f"unknown validation {o.validate!r}")
+    found = reg.validate_series(d, KEYS, allow_negative=o.allow_negative, strict=o.validate == "strict")
+    return spread_join(d, found.select(*KEYS, "violations", "warnings"), KEYS)
+
+
 def load_series(raw: DataFrame, options: LoadOptions = LoadOptions()) -> DataFrame:
-    """(series_id, ts, y, imputed_flag, fill_policy, freq) for every series.
+    """(series_id, ts, y, imputed_flag, fill_policy, freq) for every series, and
+    (violations, warnings) where ``options.validate`` asks for them.
 
     With inferred frequencies the plan has one branch per way of regularising;
     all sub-hourly series share one when they are resampled. Only that list of
@@ -67,7 +81,7 @@ def load_series(raw: DataFrame, options: LoadOptions = LoadOptions()) -> DataFra
     """
     d = shape(raw, options)
     if options.freq:
-        return regular(d, fq.frequency(options.freq).label, options)
+        return checked(regular(d, fq.frequency(options.freq).label, options), options)
     label = F.col("freq")
     if options.auto_resample and options.resample_freq is None:
         label = F.when(label.isin(*fq.SUB_HOURLY), F.lit(fq.SUB_HOURLY[-1])).otherwise(label)
@@ -78,4 +92,4 @@ def load_series(raw: DataFrame, options: LoadOptions = LoadOptions()) -> DataFra
         mine = d if len(labels) == 1 else spread_join(d, inferred.where(F.col("freq") == name), KEYS, "left_semi")
         part = regular(mine, name, options)
         out = part if out is None else out.unionByName(part)
-    return out
+    return out if out is None else checked(out, options)

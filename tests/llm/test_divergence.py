@@ -129,3 +129,36 @@ def test_sampled_hashes_tell_the_number_of_terms():
     assert not set(one(1).tolist()) & set(one(7).tolist())
     again = [divergence.some_hashes(np.ones(1, np.uint64), divergence.cut_terms(texts.slice(i, 1))).tolist() for i in range(len(texts))]
     assert set(sum(again, [])) == set(one(1).tolist())
+
+
+def test_arrays_hold_a_term_once_and_its_repeats_by_bits(spark):
+    texts = [("en", "a b a c A"), ("de", "a " * 13 + "b"), ("en", None), ("", "x"), ("en", "zz " * 6 + "b b")]
+    frame = spark.createDataFrame(texts, "lang string, text string").coalesce(1)
+    got = frame.select("lang", "text", divergence.tagged_terms(F.col("lang"), F.coalesce("text", F.lit(""))).alias("t")).select("lang", "text", "t.*").collect()
+    for row in got:
+        want = Counter(f"{row.lang}\0{t}" for t in (row.text or "").lower().split())
+        assert len(row.tokens) == len(set(row.tokens)) and set(row.tokens) == set(want)
+        assert sum((Counter({t: 2**k for t in some}) for k, some in enumerate(row.again)), Counter(row.tokens)) == want
+        assert sum(map(len, row.again)) == sum((n - 1).bit_count() for n in want.values())
+
+
+def test_sums_travel_packed_and_are_merged_across_batches():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    want, packed = Counter(), []
+    for _ in range(7):
+        rows = []
+        for _ in range(400):
+            places = sorted(rng.sample(range(3000), rng.randint(0, 40)))
+            rows.append((rng.choice(["en", "", "\0é"]), rng.choice("ab"), rng.choice([1, 2, 2**35]), places, [float(rng.randint(1, 9)) for _ in places]))
+            for place, n in zip(*rows[-1][3:]):
+                want[(*rows[-1][:2], place)] += int(n) * rows[-1][2]
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.float64())))]
+        packed += divergence._batch_sums(iter([pa.RecordBatch.from_arrays(columns, names=["lang", "source", "weight", "pos", "n"])]))
+    assert sum(x.num_rows for x in packed) <= 7 * 6 * 6
+    table = pa.Table.from_batches(packed).sort_by([(c, "ascending") for c in ("lang", "source", "block")]).combine_chunks()
+    for size in (1, 5, 1000):
+        found = pa.Table.from_batches(divergence._merged(iter(table.to_batches(max_chunksize=size))))
+        assert found.num_rows == len(want)
+        assert {(x["lang"], x["source"], x["pos"]): x["count"] for x in found.to_pylist()} == want

@@ -1,12 +1,14 @@
 """How far the sources of a language differ in their words.
 
 Terms are runs of ASCII letters and non-ASCII characters, A-Z lower-cased; they are cut out of
-a whole Arrow batch of texts at once. Texts become token arrays, each token tagged with its
-document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest integer as
-``vocabSize``) keeps the vocabulary of every language at once. The arrays are written once, for
-the passes of fitting and counting. The model's exact sparse vectors are summed by group
-(language and source), some vectors of a batch at a time, and these sums by Spark. The sums
-feed both parts of the audit:
+a whole Arrow batch of texts at once. Texts become arrays of distinct tokens, each token tagged
+with its document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest
+integer as ``vocabSize``) keeps the vocabulary of every language at once. Tokens that a text
+has more often are in further arrays, one for each bit of the number of further occurrences.
+The arrays are written once, for the passes of fitting (distinct tokens) and counting (all).
+The model's exact sparse vectors, times their array's weight, are summed by group (language
+and source), some vectors of a batch at a time; these sums travel packed by ``PACKED`` places
+and are merged in sorted order. The sums feed both parts of the audit:
 
 * ``pair``: every two sources of a language are compared over all kept terms, in blocks of
   ``BLOCK`` terms by ``TILE`` x ``TILE`` sources; a block's term that neither source has
@@ -58,6 +60,8 @@ PLAIN = {"parquet.enable.dictionary": "false", "compression": "lz4"}
 #: one of so many hash values tells how many distinct terms there are; the margin allowed for
 HASH_SHARE, MARGIN = 64, 1.1
 SLICE_BYTES, SLICE_PAIRS = 2_000_000, 500_000
+#: places of a row of packed sums
+PACKED = 512
 FACTORS = np.random.default_rng(1).integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 #: no term holds this character; it tags, and is the token that keeps a vocabulary from being empty
 MARK = "\0"
@@ -101,36 +105,61 @@ def some_hashes(tags: np.ndarray, found: pa.ListArray) -> np.ndarray:
 
 
 def tagged_terms(lang: Column, text: Column) -> Column:
-    """struct<tokens, some>: the text's terms, each behind its language and a mark; and, in
-    one row of a slice, the sampled hashes of the slice's terms. Batches are worked off in
-    slices of ``SLICE_BYTES``."""
-    both = pa.struct([("tokens", pa.list_(pa.string())), ("some", pa.list_(pa.int64()))])
+    """struct<tokens, again, some>: the text's distinct terms, each behind its language and a
+    mark; in ``again[k]`` those whose further occurrences have bit k in their number, so the
+    text's count of a term is one and ``2 ** k`` for each list k that has it; and, in one row
+    of a slice, the sampled hashes of the slice's terms. Batches are worked off in slices of
+    ``SLICE_BYTES``."""
+    strings = pa.list_(pa.string())
+    all_ = pa.struct([("tokens", strings), ("again", pa.list_(strings)), ("some", pa.list_(pa.int64()))])
 
     def slice_of(lang: pa.Array, text: pa.Array) -> pa.Array:
-        found = cut_terms(text)
-        sizes = np.diff(found.offsets.to_numpy())
-        tags = pc.binary_join_element_wise(lang.cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar(MARK, pa.large_string()))
-        spread = tags.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
-        whole = pc.binary_join_element_wise(spread, found.values, pa.scalar("", pa.large_string()))
-        tokens = pa.LargeListArray.from_arrays(found.offsets, whole).cast(pa.list_(pa.string()))
-        names = {x: np.uint64(zlib.crc32(x.encode("utf-8", "replace")) + 1) * FACTORS[1] for x in set(lang.to_pylist())}
-        some = some_hashes(np.array([names[x] for x in lang.to_pylist()], np.uint64), found).view(np.int64)
-        ends = np.full(len(text) + 1, len(some), np.int32)
+        found, rows = cut_terms(text), len(text)
+        terms, langs = pc.dictionary_encode(found.values), pc.dictionary_encode(lang)
+        row = np.repeat(np.arange(rows), np.diff(found.offsets.to_numpy()))
+        keys, times = np.unique(row << 32 | terms.indices.to_numpy(), return_counts=True)
+        row, term = keys >> 32, keys & 0xFFFFFFFF
+        # what the slice has of each language, once
+        codes = langs.indices.to_numpy().astype(np.int64)
+        pairs, place = np.unique(codes[row] << 32 | term, return_inverse=True)
+        whose, names = pairs >> 32, langs.dictionary.to_pylist()
+        spelled = terms.dictionary.take(pa.array(pairs & 0xFFFFFFFF))
+        tagged = pc.binary_join_element_wise(
+            langs.dictionary.cast(pa.large_string()).take(pa.array(whose)), spelled, pa.scalar(MARK, pa.large_string())).cast(pa.string())
+        tags = (np.array([zlib.crc32(x.encode("utf-8", "replace")) for x in names], np.uint64) + np.uint64(1)) * FACTORS[1]
+        of_lang = pa.LargeListArray.from_arrays(pa.array(np.searchsorted(whose, np.arange(len(names) + 1)), pa.int64()), spelled)
+        some = some_hashes(tags, of_lang).view(np.int64)
+        tokens = pa.ListArray.from_arrays(_bounds(row, rows), tagged.take(pa.array(place)))
+        # a list for each bit of the largest number of further occurrences in a row
+        bits = np.zeros(rows, np.int64)
+        np.maximum.at(bits, row, np.frexp((times - 1).astype(np.float64))[1])
+        before = np.cumsum(bits) - bits
+        each = [(before[row[at]] + k, at) for k in range(int(bits.max(initial=0))) for at in [np.flatnonzero((times - 1) >> k & 1)]]
+        spot, at = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*each) if each else ((), ())))
+        order = np.argsort(spot, kind="stable")
+        again = pa.ListArray.from_arrays(_bounds(spot[order], int(bits.sum())), tagged.take(pa.array(place[at[order]], pa.int64())))
+        again = pa.ListArray.from_arrays(pa.array(np.append(before, bits.sum()), pa.int32()), again)
+        ends = np.full(rows + 1, len(some), np.int32)
         ends[0] = 0
-        return pa.StructArray.from_arrays([tokens, pa.ListArray.from_arrays(pa.array(ends), pa.array(some))], fields=list(both))
+        return pa.StructArray.from_arrays([tokens, again, pa.ListArray.from_arrays(pa.array(ends), pa.array(some))], fields=list(all_))
 
-    @F.arrow_udf("tokens array<string>, some array<bigint>")
+    @F.arrow_udf("tokens array<string>, again array<array<string>>, some array<bigint>")
     def tag(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for lang, text in batches:
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy().astype(np.int64)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
             edges = [0, *cuts.tolist(), len(text)]
             for i, j in zip(edges, edges[1:]):
-                yield slice_of(lang.slice(i, j - i), text.slice(i, j - i)) if j > i else pa.array([], both)
+                yield slice_of(lang.slice(i, j - i), text.slice(i, j - i)) if j > i else pa.array([], all_)
 
     return tag(lang, text)
 
 
+def _bounds(sorted_: np.ndarray, n: int) -> pa.Array:
+    """Where each of the numbers below ``n`` starts, and the end."""
+    return pa.array(np.searchsorted(sorted_, np.arange(n + 1)), pa.int32())
+
+
 def count_models(tagged: DataFrame, min_df: int, max_terms: int) -> list[CountVectorizerModel]:
     """Fitted models over ``tokens``; together they hold every token of at least ``min_df``
     rows, each exactly one of a hash's values."""
@@ -152,7 +181,7 @@ def _share(tokens: str, shard: int, shards: int) -> Column:
 
 
 def _batch_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of some vectors at a time by language, source and place."""
+    """Sums of some vectors at a time, a row for each language, source and ``PACKED`` places."""
     for batch in batches:
         # slices of about SLICE_PAIRS values
         before = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("pos")).to_numpy())])
@@ -166,17 +195,67 @@ def _slice_sums(batch: pa.RecordBatch) -> pa.RecordBatch:
     names = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
     groups = list(dict.fromkeys(names))
     code = {g: k for k, g in enumerate(groups)}
-    places, values = batch.column("pos"), batch.column("n").flatten().to_numpy()
-    mine = np.repeat(np.array([code[g] for g in names], np.int64), pc.list_value_length(places).to_numpy())
-    keys = mine << 32 | places.flatten().to_numpy().astype(np.int64)
+    places, values = batch.column("pos"), batch.column("n").flatten().to_numpy().astype(np.int64)
+    sizes = pc.list_value_length(places).to_numpy()
+    values = values * np.repeat(batch.column("weight").to_numpy(), sizes)
+    keys = np.repeat(np.array([code[g] for g in names], np.int64), sizes) << 32 | places.flatten().to_numpy().astype(np.int64)
     order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order].astype(np.int64)
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    whose = pa.array(keys[starts] >> 32, pa.int64())
+    keys, values = keys[order], values[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    keys, values = keys[starts], np.add.reduceat(values, starts) if len(starts) else values
+    cuts = np.flatnonzero(np.diff(keys // PACKED, prepend=-1))
+    whose, blocks = pa.array(keys[cuts] >> 32, pa.int64()), (keys[cuts] & 0xFFFFFFFF) // PACKED
     return pa.RecordBatch.from_arrays(
         [pa.array([g[i] for g in groups], pa.string()).take(whose) for i in (0, 1)]
-        + [pa.array((keys[starts] & 0xFFFFFFFF).astype(np.int32)), pa.array(np.add.reduceat(values, starts) if len(starts) else values)],
-        names=["lang", "source", "pos", "n"])
+        + [pa.array(blocks.astype(np.int32)), _packed((keys % PACKED).astype(np.uint16), cuts), _packed(values, cuts)],
+        names=["lang", "source", "block", "pos", "n"])
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The numbers between cuts as bytes."""
+    ends = (np.append(cuts, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def _unpacked(column: pa.Array, kind: type) -> np.ndarray:
+    """All numbers of a column of bytes."""
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums by language, source and place of rows that come sorted; the last language, source
+    and block of a batch may go on in the next one."""
+    held, sums = None, np.zeros(PACKED, np.int64)
+
+    def rows(lang: pa.Array, source: pa.Array, block: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        key, off = np.nonzero(sums)
+        at = pa.array(key)
+        return pa.RecordBatch.from_arrays(
+            [lang.take(at), source.take(at), pa.array((block[key].astype(np.int64) * PACKED + off).astype(np.int32)), pa.array(sums[key, off])],
+            names=["lang", "source", "pos", "count"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lang, source, block = (batch.column(c) for c in ("lang", "source", "block"))
+        coded = np.stack([pc.dictionary_encode(lang).indices.to_numpy(), pc.dictionary_encode(source).indices.to_numpy(), block.to_numpy()])
+        first = np.append(0, np.flatnonzero((coded[:, 1:] != coded[:, :-1]).any(0)) + 1)
+        key = np.repeat(np.arange(len(first)), np.diff(np.append(first, batch.num_rows)))
+        off = _unpacked(batch.column("pos"), np.uint16)
+        each = np.repeat(key, pc.binary_length(batch.column("pos")).to_numpy() // 2)
+        now = np.zeros((len(first), PACKED), np.int64)
+        np.add.at(now.ravel(), each * PACKED + off, _unpacked(batch.column("n"), np.int64))
+        lang, source, block = (x.take(pa.array(first)) for x in (lang, source, block))
+        name = lambda i: tuple(x[i].as_py() for x in (lang, source, block))
+        if held and held == name(0):
+            now[0] += sums
+        elif held:
+            yield rows(pa.array([held[0]], pa.string()), pa.array([held[1]], pa.string()), np.array([held[2]]), sums[None])
+        held, sums = name(len(first) - 1), now[-1].copy()
+        yield rows(lang, source, block.to_numpy(), now[:-1])
+    if held:
+        yield rows(pa.array([held[0]], pa.string()), pa.array([held[1]], pa.string()), np.array([held[2]]), sums[None])
 
 
 def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame, DataFrame]:
@@ -184,9 +263,12 @@ def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame,
     that occurs, and the (id, lang, term) that are kept."""
     path = scratch_path(docs.sparkSession, "divergence-tokens")
     found = docs.select("lang", "source", tagged_terms(F.col("lang"), F.col("text")).alias("found"))
-    found.select("lang", "source", "found.tokens", "found.some").write.options(**PLAIN).parquet(path)
+    found.select("lang", "source", "found.tokens", "found.again", "found.some").write.options(**PLAIN).parquet(path)
     tagged = docs.sparkSession.read.parquet(path)
     models = count_models(tagged, min_df, max_terms)
+    # the distinct tokens of a row count once, those of its list k 2 ** k times
+    lists = tagged.select("lang", "source", F.posexplode(F.concat(F.array("tokens"), "again")).alias("list", "tokens"))
+    weighed = lists.select("lang", "source", F.expr("shiftleft(1L, greatest(list - 1, 0))").alias("weight"), "tokens")
     spark, n = docs.sparkSession, len(models)
     sums, names = [], []
     for shard, model in enumerate(models):
@@ -199,10 +281,11 @@ def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame,
             number.alias("id"), F.expr("token").substr(F.lit(1), F.length("token") - tag - 1).alias("lang"),
             F.substring_index("token", MARK, -1).alias("term")))
         vector = F.unwrap_udt("counts")
-        vectors = model.transform(tagged.select("lang", "source", _share("tokens", shard, n).alias("tokens"))).select(
-            "lang", "source", vector["indices"].alias("pos"), vector["values"].alias("n"))
-        sums.append(vectors.mapInArrow(_batch_sums, "lang string, source string, pos int, n long")
-                    .groupBy("lang", "source", "pos").agg(F.sum("n").alias("count"))
+        vectors = model.transform(weighed.select("lang", "source", "weight", _share("tokens", shard, n).alias("tokens"))).select(
+            "lang", "source", "weight", vector["indices"].alias("pos"), vector["values"].alias("n"))
+        packed = vectors.mapInArrow(_batch_sums, "lang string, source string, block int, pos binary, n binary")
+        sums.append(packed.repartition("lang", "source", "block").sortWithinPartitions("lang", "source", "block")
+                    .mapInArrow(_merged, "lang string, source string, pos int, count long")
                     .select("lang", "source", number.alias("id"), "count"))
     for frames in (sums, names):
         while len(frames) > 1:

@@ -142,9 +142,10 @@ def test_arrays_hold_a_term_once_and_its_repeats_by_bits(spark):
         assert sum(map(len, row.again)) == sum((n - 1).bit_count() for n in want.values())
 
 
-def test_sums_travel_packed_and_are_merged_across_batches():
+def test_sums_travel_packed_and_are_merged_across_batches(monkeypatch):
     import pyarrow as pa
 
+    monkeypatch.setattr(divergence, "ROWS", 9)
     rng = random.Random(6)
     want, packed = Counter(), []
     for _ in range(7):
@@ -156,7 +157,7 @@ def test_sums_travel_packed_and_are_merged_across_batches():
                 want[(*rows[-1][:2], place)] += int(n) * rows[-1][2]
         columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.float64())))]
         packed += divergence._batch_sums(iter([pa.RecordBatch.from_arrays(columns, names=["lang", "source", "weight", "pos", "n"])]))
-    assert sum(x.num_rows for x in packed) <= 7 * 6 * 6
+    assert sum(x.num_rows for x in packed) <= 7 * 6 * (3000 // divergence.PACKED + 1)
     table = pa.Table.from_batches(packed).sort_by([(c, "ascending") for c in ("lang", "source", "block")]).combine_chunks()
     for size in (1, 5, 1000):
         found = pa.Table.from_batches(divergence._merged(iter(table.to_batches(max_chunksize=size))))

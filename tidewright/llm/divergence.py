@@ -60,8 +60,8 @@ PLAIN = {"parquet.enable.dictionary": "false", "compression": "lz4"}
 #: one of so many hash values tells how many distinct terms there are; the margin allowed for
 HASH_SHARE, MARGIN = 64, 1.1
 SLICE_BYTES, SLICE_PAIRS = 2_000_000, 500_000
-#: places of a row of packed sums
-PACKED = 512
+#: places of a row of packed sums, and such rows that are merged at once
+PACKED, ROWS = 2048, 2048
 FACTORS = np.random.default_rng(1).integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 #: no term holds this character; it tags, and is the token that keeps a vocabulary from being empty
 MARK = "\0"
@@ -235,9 +235,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [lang.take(at), source.take(at), pa.array((block[key].astype(np.int64) * PACKED + off).astype(np.int32)), pa.array(sums[key, off])],
             names=["lang", "source", "pos", "count"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
         lang, source, block = (batch.column(c) for c in ("lang", "source", "block"))
         coded = np.stack([pc.dictionary_encode(lang).indices.to_numpy(), pc.dictionary_encode(source).indices.to_numpy(), block.to_numpy()])
         first = np.append(0, np.flatnonzero((coded[:, 1:] != coded[:, :-1]).any(0)) + 1)

@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewright import session
 from tidewright.llm import bits, bpe, exact, fingerprint, language, mixing, near, ngram_lm, repeats, secrets, urls
 from tidewright.llm.queries import QUERIES, SQL, TOKENIZER
 
@@ -498,6 +499,34 @@ def test_near_blocks(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in near.near_classes(df).collect()} == brute_classes(known)
 
 
+def test_few_links_take_few_tasks(spark):
+    """Few links are not spread over as many partitions as a shuffle has; classes stay the same."""
+    links = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (3, 9), (9, 1), (7, 7)], "a long, b long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    apart = "spark.sql.adaptive.coalescePartitions.enabled"
+    coalesced = spark.conf.get(apart)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "97")
+        spark.conf.set(apart, "false")
+        got = near.components(links)
+        assert got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert {r.id: r.label for r in got.collect()} == {1: 9, 2: 9, 3: 9, 9: 9, 4: 5, 5: 5}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(apart, coalesced)
+
+
+def test_settled_plans_leave_no_shuffle_files(spark, monkeypatch):
+    """Plans behind a settled table are made under the setting that frees their shuffles, and only they."""
+    seen = []
+    cut = session.cut_lineage
+    monkeypatch.setattr(session, "cut_lineage", lambda df: seen.append(df.sparkSession.conf.get(session.RELEASE, None)) or cut(df))
+    before = spark.conf.get(session.RELEASE, None)
+    got = session.settled(spark.range(50).groupBy((F.col("id") % 7).alias("k")).count())
+    assert seen == ["true"] and spark.conf.get(session.RELEASE, None) == before
+    assert {r["k"]: r["count"] for r in got.collect()} == {k: 8 if k == 0 else 7 for k in range(7)}
+
+
 def test_bag_min_hash_is_unbiased():
     rng = np.random.default_rng(0)
     h = rng.integers(1, 2**63, 60).astype(np.uint64)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.common import per_worker
 from tidewright.llm.language import CODES, slices
-from tidewright.session import cut_lineage
+from tidewright.session import settled
 
 WORDS_PER_SHINGLE, LIKENESS = 5, 0.8
 BANDS, ROWS = 30, 5
@@ -47,6 +47,8 @@ CHAIN = 4096
 ORDERS = 6
 #: nodes of a block and the units of their bags, about; shingles compared at once
 BLOCK_NODES, BLOCK_UNITS, COLUMNS = 512, 1 << 19, 4096
+#: narrow rows of one task, about
+TASK_ROWS = 1 << 17
 U64 = np.uint64
 
 
@@ -221,16 +223,27 @@ def verified(pairs: DataFrame, packed: DataFrame, likeness: float) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long").distinct()
 
 
+def tasks_for(rows: DataFrame) -> int:
+    """Tasks that the narrow ``rows`` of a checkpoint need, one for each core at least. Each
+    partition of a shuffle has files of its own from each task, so the few rows that are
+    left to join late are not spread over as many tasks as all rows need."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(cores, -(-rows.coalesce(cores).count() // TASK_ROWS))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label): the largest id that links lead to. Labels spread along links and jump to
     their own label's label, so rounds follow the logarithm of a class's width."""
-    edges = cut_lineage(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").where("a <> b").distinct())
-    labels = cut_lineage(edges.groupBy(F.col("a").alias("id")).agg(F.greatest(F.max("b"), F.first("a")).alias("label")))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = settled(links.where("a <> b").select(F.explode(ways).alias("way")).select("way.a", "way.b").distinct())
+    tasks = tasks_for(edges)
+    edges = edges.coalesce(tasks)
+    labels = settled(edges.groupBy(F.col("a").alias("id")).agg(F.greatest(F.max("b"), F.first("a")).alias("label")).coalesce(tasks))
     while True:
-        near = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.max("label").alias("near"))
+        near = edges.join(labels.withColumnRenamed("id", "b"), "b").coalesce(tasks).groupBy(F.col("a").alias("id")).agg(F.max("label").alias("near"))
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("jump"))
-        after = cut_lineage(
-            labels.join(near, "id").join(jump, "label", "left")
+        after = settled(
+            labels.join(near, "id").coalesce(tasks).join(jump, "label", "left").coalesce(tasks)
             .select("id", F.greatest("label", "near", "jump").alias("after"), F.col("label").alias("old"))
         )
         changed = after.where("after <> old").limit(1).count()
@@ -284,7 +297,9 @@ def remaining(buckets: DataFrame, classes: DataFrame, packed: DataFrame, likenes
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("low <> high")
     once = several.groupBy("n", "x", "y").agg(F.min(F.struct(*at)).alias("one")).select("one.*")
-    rows = cut_lineage(named.join(once, at))
+    rows = settled(named.join(once, at))
+    tasks = tasks_for(rows)
+    rows = rows.coalesce(tasks)
 
     def parts(n, units):
         return F.greatest(F.ceil(n / BLOCK_NODES), F.ceil(units / BLOCK_UNITS))
@@ -296,7 +311,8 @@ def remaining(buckets: DataFrame, classes: DataFrame, packed: DataFrame, likenes
     spot = F.when(F.col("parts") > 1, F.struct("label", F.pmod(F.xxhash64("node"), "parts").alias("part"))).otherwise(
         F.struct(F.lit(-1).cast("long").alias("label"), F.pmod(F.xxhash64("node", F.lit(2)), "mixed").alias("part")))
     big = F.col("parts") > 1
-    rows = cut_lineage(rows.join(of_label, [*at, "label"]).select(*at, "node", "size", "label", F.struct(big.alias("own"), spot.alias("spot")).alias("block")))
+    rows = rows.join(of_label, [*at, "label"]).select(*at, "node", "size", "label", F.struct(big.alias("own"), spot.alias("spot")).alias("block"))
+    rows = settled(rows.coalesce(tasks))
     blocks = rows.groupBy(*at, "block").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("size").alias("least"), F.max("size").alias("most"))
     left, right = (blocks.select(*at, *[F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high", "least", "most")]) for k in "ij")
     met = left.join(right, at).where(
@@ -336,18 +352,19 @@ def remaining(buckets: DataFrame, classes: DataFrame, packed: DataFrame, likenes
         if held:
             yield links(pa.Table.from_batches(held))
 
-    return cut_lineage(groups.mapInArrow(compare, "a long, b long").distinct())
+    return settled(groups.mapInArrow(compare, "a long, b long").distinct())
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", likeness: float = LIKENESS) -> DataFrame:
     """One row per row of ``docs``: id, class_id (largest id of its class), class_size."""
-    signed = cut_lineage(signatures(docs, id_col, text_col))
+    signed = settled(signatures(docs, id_col, text_col))
     bag = ["check", "check2", "size"]
     nodes = signed.where("size > 0").groupBy(*bag).agg(F.max(F.struct("id", "bands")).alias("top"))
     nodes = nodes.select("size", *bag[:2], F.col("top.id").alias("node"), F.col("top.bands").alias("bands"))
     spread = nodes.select("node", "size", F.posexplode("bands").alias("band", "value"))
     shared = spread.groupBy("band", "value").agg(F.max("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = cut_lineage(spread.join(shared, ["band", "value"]).select("band", "value", "node", "size", "leader", "n"))
+    buckets = settled(spread.join(shared, ["band", "value"]).select("band", "value", "node", "size", "leader", "n"))
+    buckets = buckets.coalesce(tasks_for(buckets))
     wanted = buckets.select(F.col("node").alias(id_col)).distinct()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,12 +374,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(packed_bags(texts[i:j]), pa.binary())], names=["id", "bag"])
 
-    packed = cut_lineage(
+    packed = settled(
         docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
         .join(wanted, id_col, "left_semi").mapInArrow(pack, "id long, bag binary"))
     # a node is first compared with the largest leader of its buckets only
     first = buckets.groupBy(F.col("node").alias("a")).agg(F.max("leader").alias("b")).where("a <> b")
-    led = cut_lineage(verified(first, packed, likeness))
+    led = settled(verified(first, packed, likeness))
+    led = led.coalesce(tasks_for(led))
     # then classes that share a bucket meet there through one member each; orders are few,
     # so the same two members that share many buckets are one pair
     order = F.xxhash64(F.col("band") % ORDERS, "node")
@@ -383,7 +401,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = classes.join(joined, "label", "left").select("id", F.coalesce("top", "label").alias("label"))
     of_node = nodes.select(*bag, "node").join(classes.withColumnRenamed("id", "node"), "node", "left").select(*bag, F.coalesce("label", "node").alias("class_id"))
     member = signed.join(of_node, bag, "left").groupBy("id").agg(F.coalesce(F.max("class_id"), F.first("id")).alias("class_id"))
-    member = cut_lineage(member)
+    member = settled(member)
     sizes = member.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     member = member.join(sizes, "class_id")
     return docs.select(F.col(id_col).cast("long").alias("id")).join(member, "id", "left").select(

@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "tidewright", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -52,6 +54,22 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a plan that is run once: the shuffle files behind it go when it
+    is written, not whenever the driver collects its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(RELEASE, None)
+    conf.set(RELEASE, "true")
+    try:
+        # the setting holds for plans made under it
+        return cut_lineage(df.select("*"))
+    finally:
+        if before is None:
+            conf.unset(RELEASE)
+        else:
+            conf.set(RELEASE, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder that does not exist yet, under the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)

@@ -425,6 +425,29 @@ def test_language_model_layout(docs, monkeypatch):
     assert max(abs(x[2] - y[2]) for x, y in zip(got, want)) < 1e-6
 
 
+
+def test_language_model_looks_pairs_up_once(spark, monkeypatch):
+    """Repeated text costs no further search, and scores are those of the text alone."""
+    texts = [f"a b c a b d e{k % 3} a b c".encode() for k in range(60)]
+    trie = ngram_lm.train(table(spark, [(i, t.decode(), "en", "s", 1) for i, t in enumerate(texts[:2])]), min_count=1)
+    asked = []
+    search = bits.find_between
+    monkeypatch.setattr(bits, "find_between", lambda words, width, start, stop, x: asked.append(len(x)) or search(words, width, start, stop, x))
+    _, _, alone = trie.scores(*ngram_lm.tokens(texts[:3]), 3)
+    once = sum(asked)
+    asked.clear()
+    _, _, every = trie.scores(*ngram_lm.tokens(texts), 3)
+    assert 0 < sum(asked) <= once
+    assert np.array_equal(every, np.tile(alone, 20))
+
+
+def test_elias_fano_bounds():
+    rng = np.random.default_rng(2)
+    for n, top in ((1, 5), (1000, 50), (3000, 10**7), (300, 0)):
+        values = np.sort(rng.integers(0, top + 1, n))
+        low, high = bits.EliasFano(bits.EliasFano.arrays("x", values, top + 1), "x").bounds(np.arange(n - 1))
+        assert np.array_equal(low, values[:-1]) and np.array_equal(high, values[1:])
+
 # ------------------------------------------------------------------ 9 near duplicates
 
 def bag(t):

@@ -87,6 +87,16 @@ class EliasFano:
         high = self._select(i, self.ones, False) - i
         return ((high.astype(U64) << U64(self.width)) | unpack(self.low, i, self.width)).astype(np.int64)
 
+    def bounds(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at places ``i`` and ``i`` + 1; the second bit mostly is in the first one's word."""
+        at = self._select(i, self.ones, False)
+        rest = (self.high[at >> 6] >> (at & 63).astype(U64)) >> U64(1)
+        after = at + 1 + np.bitwise_count((rest & (~rest + U64(1))) - U64(1))
+        far = np.flatnonzero(rest == 0)
+        after[far] = self._select(i[far] + 1, self.ones, False)
+        first, second = (((x - j).astype(U64) << U64(self.width)) | unpack(self.low, j, self.width) for x, j in ((at, i), (after, i + 1)))
+        return first.astype(np.int64), second.astype(np.int64)
+
     def find(self, x: np.ndarray) -> np.ndarray:
         """Position of each value, -1 if it is absent: the values that share its high bits
         lie between two zeros, and their low bits are searched."""

@@ -181,34 +181,61 @@ class Trie:
         present, first = np.unique(shard[order], return_index=True)
         yield from zip(present.tolist(), np.split(order, first[1:]))
 
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Ids of token hashes, -1 for those never seen."""
-        out = np.full(len(hashes), -1, np.int64)
+    def distinct_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the distinct token hashes, -1 for those never seen; and which of them each hash is."""
         distinct, back = np.unique(hashes, return_inverse=True)
         found = np.full(len(distinct), -1, np.int64)
         for s, at in self.by_shard((distinct >> U64(64 - self.power)).astype(np.int64)):
             place = EliasFano(self.file("level", 1, s), "hash").find(distinct[at] & U64((1 << (64 - self.power)) - 1))
             found[at] = np.where(place >= 0, place + self.starts[0][s], -1)
-        out[:] = found[back]
-        return out
+        return found, back
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of token hashes, -1 for those never seen."""
+        found, back = self.distinct_ids(hashes)
+        return found[back]
+
+    def pairs(self, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where there is a parent, which distinct pair of parent and word is there, and the pairs' parents
+        and words in order, so that each is looked up once and lookups run along the files."""
+        some = np.flatnonzero(parent >= 0)
+        own, child = parent[some], word[some]
+        key = own.astype(U64) * U64(self.vocabulary + 1) + (child + 1).astype(U64)
+        order = np.argsort(key)
+        key = key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        back = np.empty(len(key), np.int64)
+        back[order] = np.cumsum(new) - 1
+        first = order[new]
+        return some, back, own[first], child[first]
+
+    def found(self, level: int, own: np.ndarray, child: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each file of ``level`` that holds parents of the ordered pairs: its number, its pairs, the
+        places in the file of their parents, of the parents' first children and of the child, -1 if absent."""
+        above, width = self.parents[level - 2], self.vocabulary.bit_length()
+        cuts = np.searchsorted(own, above)
+        for s in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            part = slice(cuts[s], cuts[s + 1])
+            arrays = self.file("level", level, s)
+            mine = own[part] - above[s]
+            new = np.ones(len(mine), bool)
+            new[1:] = mine[1:] != mine[:-1]
+            run = np.cumsum(new) - 1
+            start, stop = EliasFano(arrays, "pointer").bounds(mine[new])
+            start = start[run]
+            yield s, part, mine, start, bits.find_between(arrays["word"], width, start, stop[run], child[part])
 
     def children(self, level: int, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entries of ``level``: the child ``word`` of entry ``parent`` one level up, and its place among
         the children of that entry; -1 if absent."""
         out, rank = np.full(len(parent), -1, np.int64), np.full(len(parent), -1, np.int64)
-        some = np.flatnonzero((parent >= 0) & (word >= 0))
-        above = self.parents[level - 2]
-        shard = np.searchsorted(above, parent[some], side="right") - 1
-        width = self.vocabulary.bit_length()
-        for s, at in self.by_shard(shard):
-            at = some[at]
-            arrays = self.file("level", level, s)
-            pointers = EliasFano(arrays, "pointer")
-            own = parent[at] - above[s]
-            start = pointers.get(own)
-            place = bits.find_between(arrays["word"], width, start, pointers.get(own + 1), word[at])
-            out[at] = np.where(place >= 0, place + self.starts[level - 1][s], -1)
-            rank[at] = np.where(place >= 0, place - start, -1)
+        some, back, own, child = self.pairs(parent, word)
+        entry, nth = np.full(len(own), -1, np.int64), np.full(len(own), -1, np.int64)
+        for s, part, _, start, place in self.found(level, own, child):
+            entry[part] = np.where(place >= 0, place + self.starts[level - 1][s], -1)
+            nth[part] = np.where(place >= 0, place - start, -1)
+        out[some], rank[some] = entry[back], nth[back]
         return out, rank
 
     def first_child(self, level: int, parent: np.ndarray) -> np.ndarray:
@@ -254,19 +281,29 @@ class Trie:
             out.append(entry)
         return out, rank
 
-    def log_probability(self, entries: list[np.ndarray], text: np.ndarray, upto: int) -> np.ndarray:
-        """log10 p of each token, given at most ``upto - 1`` tokens before it."""
-        log = self.level1(entries[0])[1]
+    def scores(self, text: np.ndarray, hashes: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(counts, log10 add-one probability, log10 p given at most ``levels - 1`` tokens before it) of each token."""
+        found, back = self.distinct_ids(hashes)
+        count, base = (x[back] for x in self.level1(found))
+        word, log = found[back], base.copy()
         follows = np.zeros(len(text), bool)
         follows[1:] = text[1:] == text[:-1]
-        for level in range(2, upto + 1):
-            context = np.full(len(text), -1, np.int64)
-            context[1:] = entries[level - 2][:-1]
-            backed = np.flatnonzero(follows & (context >= 0))
-            log[backed] += restored(self.values("left", level, "left", context[backed]))
-            there = np.flatnonzero(entries[level - 1] >= 0)
-            log[there] = restored(self.values("level", level, "log", entries[level - 1][there]))
-        return log
+        above = word
+        for level in range(2, levels + 1):
+            parent = np.full(len(word), -1, np.int64)
+            parent[1:] = above[:-1]
+            some, back, own, child = self.pairs(np.where(follows, parent, -1), word)
+            entry, kept, left = np.full(len(own), -1, np.int64), np.zeros(len(own), np.uint16), np.zeros(len(own), np.uint16)
+            for s, part, mine, _, place in self.found(level, own, child):
+                there = place >= 0
+                entry[part] = np.where(there, place + self.starts[level - 1][s], -1)
+                kept[part] = np.where(there, self.file("level", level, s)["log"][np.maximum(place, 0)] if there.any() else 0, 0)
+                left[part] = self.file("left", level, s)["left"][mine]
+            entry = entry[back]
+            log[some] = np.where(entry >= 0, restored(kept)[back], log[some] + restored(left)[back])
+            above = np.full(len(word), -1, np.int64)
+            above[some] = entry
+        return count, base, log
 
 
 def count(rows: DataFrame, trie: Trie, level: int, shards: int) -> DataFrame:
@@ -439,10 +476,7 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for i, j, texts in batches_of(batch.column(1)):
                 text, h = tokens(texts)
-                word = trie.ids(h)
-                entries, _ = trie.entries(text, word, levels)
-                log = trie.log_probability(entries, text, levels)
-                counts, base = trie.level1(word)
+                counts, base, log = trie.scores(text, h, levels)
                 n = j - i
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, n), pa.array(np.bincount(text, minlength=n)), pa.array(np.bincount(text, counts > 0, n).astype(np.int64)),

@@ -163,3 +163,44 @@ def test_sums_travel_packed_and_are_merged_across_batches(monkeypatch):
         found = pa.Table.from_batches(divergence._merged(iter(table.to_batches(max_chunksize=size))))
         assert found.num_rows == len(want)
         assert {(x["lang"], x["source"], x["pos"]): x["count"] for x in found.to_pylist()} == want
+
+
+def test_texts_of_a_group_travel_as_one(spark, monkeypatch):
+    """A slice states a group's terms once, and the fit still sees which are in ``min_df`` texts."""
+    monkeypatch.setattr(divergence, "SLICE_BYTES", 40_000)
+    rng = random.Random(9)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = [(rng.choice(["en", "de", ""]), rng.choice("xyz"), " ".join(words[int(200 * rng.random() ** 3)] for _ in range(rng.randint(0, 30)))) for _ in range(1500)]
+    rows += [("en", "x", None), ("lone", "x", "lone " * 37), ("en", "", "")]
+    frame = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    alone, pooled = (
+        frame.select("lang", "source", divergence.tagged_terms(F.col("lang"), F.coalesce("text", F.lit("")), *more).alias("t")).select("lang", "source", "t.*").collect()
+        for more in ((), (F.col("source"), 5)))
+    want, texts = Counter(), Counter()
+    for lang, source, text in rows:
+        want.update((lang, source, f"{lang}\0{t}") for t in (text or "").split())
+        texts.update({f"{lang}\0{t}" for t in (text or "").split()})
+
+    def counts(found):
+        out = Counter()
+        for row in found:
+            assert len(row.tokens) == len(set(row.tokens))
+            for k, some in [(0, row.tokens), *enumerate(row.again)]:
+                out.update({(row.lang, row.source, t): 2**k for t in some})
+        return out
+
+    lists = Counter(t for row in pooled for some in [row.tokens, *row.more] for t in set(some))
+    assert counts(alone) == counts(pooled) == want and not any(row.more for row in alone)
+    assert {t for t, n in lists.items() if n >= 5} == {t for t, n in texts.items() if n >= 5}
+    assert all(lists[t] == n for t, n in texts.items() if n < 5) and all(lists[t] <= n for t, n in texts.items())
+    # what counting and fitting read
+    for part in ("again", "more"):
+        size = lambda found: sum(len(row.tokens) + sum(map(len, row[part])) for row in found)  # noqa: B023, E731
+        assert size(pooled) < 0.8 * size(alone)
+
+
+def test_shares_where_the_product_reaches_64_bits(spark):
+    counts = [0, 1, divergence.LONGS - 1, divergence.LONGS, divergence.LONGS + 1, 2 * divergence.LONGS]
+    frame = spark.createDataFrame([(c, 3 * c + 1) for c in counts], "c long, n long")
+    got = frame.select(divergence._share_of(F.col("c"), F.col("n"), F.lit(1000).cast("long")).alias("p"), "c").collect()
+    assert {r.c: r.p for r in got} == {c: 1 + 10**9 * (c + 2) // (3 * c + 1 + 2000) for c in counts}

@@ -5,6 +5,8 @@ a whole Arrow batch of texts at once. Texts become arrays of distinct tokens, ea
 with its document's language, so one ``CountVectorizer`` (``minDF`` documents, the largest
 integer as ``vocabSize``) keeps the vocabulary of every language at once. Tokens that a text
 has more often are in further arrays, one for each bit of the number of further occurrences.
+The texts of a slice that have the same language and source travel as one; what this takes from
+the number of arrays that hold a token is made up by arrays for fitting only, up to ``minDF``.
 The arrays are written once, for the passes of fitting (distinct tokens) and counting (all).
 The model's exact sparse vectors, times their array's weight, are summed by group (language
 and source), some vectors of a batch at a time; these sums travel packed by ``PACKED`` places
@@ -16,7 +18,7 @@ and are merged in sorted order. The sums feed both parts of the audit:
 * ``term``: the terms that a source uses more than its language does, the top ones only.
 
 Shares are integers, ``1 + floor(scale * (count + 2) / (N + 2 V))``, and so is the likeness
-``floor((p - q)^2 / (p + q))``: nothing depends on the order of addition. Products that can
+``floor((p - q)^2 / (p + q))``: nothing depends on the order of addition. Products that
 pass 64 bits are taken as decimals.
 
 The vocabulary of a model goes through the driver and to every task, as
@@ -53,13 +55,15 @@ LETTER = np.array([b >= 128 or bytes([b]).isalpha() for b in range(256)])
 LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 SCALE = 1_000_000_000
 LARGEST = 2**31 - 1
+#: counts below it stay within 64 bits when multiplied by SCALE
+LONGS = 9_000_000_000
 #: distinct terms of one model, terms of a block, sources of a tile
 MAX_TERMS, BLOCK, TILE = 1 << 22, 4096, 128
 #: the arrays are read a few times only: no dictionaries of words
 PLAIN = {"parquet.enable.dictionary": "false", "compression": "lz4"}
 #: one of so many hash values tells how many distinct terms there are; the margin allowed for
 HASH_SHARE, MARGIN = 64, 1.1
-SLICE_BYTES, SLICE_PAIRS = 2_000_000, 500_000
+SLICE_BYTES, SLICE_PAIRS = 8_000_000, 500_000
 #: places of a row of packed sums, and such rows that are merged at once
 PACKED, ROWS = 2048, 2048
 FACTORS = np.random.default_rng(1).integers(1, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -104,24 +108,36 @@ def some_hashes(tags: np.ndarray, found: pa.ListArray) -> np.ndarray:
     return np.unique(hashed[hashed % np.uint64(HASH_SHARE) == 0])
 
 
-def tagged_terms(lang: Column, text: Column) -> Column:
-    """struct<tokens, again, some>: the text's distinct terms, each behind its language and a
-    mark; in ``again[k]`` those whose further occurrences have bit k in their number, so the
-    text's count of a term is one and ``2 ** k`` for each list k that has it; and, in one row
-    of a slice, the sampled hashes of the slice's terms. Batches are worked off in slices of
-    ``SLICE_BYTES``."""
+def tagged_terms(lang: Column, text: Column, source: Column | None = None, min_df: int = 0) -> Column:
+    """struct<tokens, again, more, some>: the text's distinct terms, each behind its language
+    and a mark; in ``again[k]`` those whose further occurrences have bit k in their number, so
+    the text's count of a term is one and ``2 ** k`` for each list k that has it; and, in one
+    row of a slice, the sampled hashes of the slice's terms. Batches are worked off in slices
+    of ``SLICE_BYTES``.
+
+    With a ``source``, the texts of a slice of one language and source count as one, which
+    stands in the first of their rows. Terms then are in fewer lists than they have texts;
+    ``more``, in one row of a slice, lists them again, until the slice has them in as many
+    lists as texts, or in ``min_df``: in all rows, a term is in ``min_df`` lists of ``tokens``
+    and ``more`` if, and only if, it is in ``min_df`` texts."""
     strings = pa.list_(pa.string())
-    all_ = pa.struct([("tokens", strings), ("again", pa.list_(strings)), ("some", pa.list_(pa.int64()))])
+    all_ = pa.struct([("tokens", strings), ("again", pa.list_(strings)), ("more", pa.list_(strings)), ("some", pa.list_(pa.int64()))])
 
-    def slice_of(lang: pa.Array, text: pa.Array) -> pa.Array:
+    def slice_of(lang: pa.Array, text: pa.Array, source: pa.Array | None = None) -> pa.Array:
         found, rows = cut_terms(text), len(text)
         terms, langs = pc.dictionary_encode(found.values), pc.dictionary_encode(lang)
         row = np.repeat(np.arange(rows), np.diff(found.offsets.to_numpy()))
         keys, times = np.unique(row << 32 | terms.indices.to_numpy(), return_counts=True)
         row, term = keys >> 32, keys & 0xFFFFFFFF
+        codes, texts = langs.indices.to_numpy().astype(np.int64), np.ones(len(row), np.int64)
+        if source is not None:
+            sources = pc.dictionary_encode(source)
+            _, first, group = np.unique(codes * len(sources.dictionary) + sources.indices.to_numpy(), return_index=True, return_inverse=True)
+            keys, into, texts = np.unique(first[group][row] << 32 | term, return_inverse=True, return_counts=True)
+            times = np.bincount(into, times).astype(np.int64)
+            row, term = keys >> 32, keys & 0xFFFFFFFF
         # what the slice has of each language, once
-        codes = langs.indices.to_numpy().astype(np.int64)
-        pairs, place = np.unique(codes[row] << 32 | term, return_inverse=True)
+        pairs, place, lists = np.unique(codes[row] << 32 | term, return_inverse=True, return_counts=True)
         whose, names = pairs >> 32, langs.dictionary.to_pylist()
         spelled = terms.dictionary.take(pa.array(pairs & 0xFFFFFFFF))
         tagged = pc.binary_join_element_wise(
@@ -139,20 +155,24 @@ def tagged_terms(lang: Column, text: Column) -> Column:
         order = np.argsort(spot, kind="stable")
         again = pa.ListArray.from_arrays(_bounds(spot[order], int(bits.sum())), tagged.take(pa.array(place[at[order]], pa.int64())))
         again = pa.ListArray.from_arrays(pa.array(np.append(before, bits.sum()), pa.int32()), again)
-        ends = np.full(rows + 1, len(some), np.int32)
-        ends[0] = 0
-        return pa.StructArray.from_arrays([tokens, again, pa.ListArray.from_arrays(pa.array(ends), pa.array(some))], fields=list(all_))
-
-    @F.arrow_udf("tokens array<string>, again array<array<string>>, some array<bigint>")
-    def tag(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for lang, text in batches:
+        # lists of the terms that have fewer lists than texts
+        lacking = np.minimum(np.bincount(place, texts, len(pairs)).astype(np.int64), min_df) - lists
+        each = [np.flatnonzero(lacking > k) for k in range(int(lacking.max(initial=0)))]
+        more = pa.ListArray.from_arrays(
+            pa.array(np.cumsum([0, *map(len, each)]), pa.int32()), tagged.take(pa.array(np.concatenate([np.empty(0, np.int64), *each]))))
+        more, some = (pa.ListArray.from_arrays(pa.array(np.append(0, np.full(rows, len(x))), pa.int32()), x) for x in (more, pa.array(some)))
+        return pa.StructArray.from_arrays([tokens, again, more, some], fields=list(all_))
+
+    @F.arrow_udf("tokens array<string>, again array<array<string>>, more array<array<string>>, some array<bigint>")
+    def tag(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for lang, text, *source in batches:
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy().astype(np.int64)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
             edges = [0, *cuts.tolist(), len(text)]
             for i, j in zip(edges, edges[1:]):
-                yield slice_of(lang.slice(i, j - i), text.slice(i, j - i)) if j > i else pa.array([], all_)
+                yield slice_of(*(x.slice(i, j - i) for x in (lang, text, *source))) if j > i else pa.array([], all_)
 
-    return tag(lang, text)
+    return tag(lang, text) if source is None else tag(lang, text, source)
 
 
 def _bounds(sorted_: np.ndarray, n: int) -> pa.Array:
@@ -161,16 +181,17 @@ def _bounds(sorted_: np.ndarray, n: int) -> pa.Array:
 
 
 def count_models(tagged: DataFrame, min_df: int, max_terms: int) -> list[CountVectorizerModel]:
-    """Fitted models over ``tokens``; together they hold every token of at least ``min_df``
-    rows, each exactly one of a hash's values."""
+    """Fitted models over ``tokens`` and ``more``; together they hold every token of at least
+    ``min_df`` of their lists, each exactly one of a hash's values."""
     distinct = tagged.select(F.explode("some").alias("some")).agg(F.count_distinct("some").alias("n")).first().n * HASH_SHARE
     shards = math.ceil(distinct * MARGIN / max_terms) or 1
     spark = tagged.sparkSession
     # a token in min_df rows of our own, so that no vocabulary is empty
     mark = spark.range(min_df).select(F.array(F.lit(MARK)).alias("tokens"))
+    lists = tagged.select(F.explode(F.concat(F.array("tokens"), "more")).alias("tokens")).where(F.size("tokens") > 0)
     models = []
     for shard in range(shards):
-        mine = tagged.select(_share("tokens", shard, shards).alias("tokens")).unionByName(mark)
+        mine = lists.select(_share("tokens", shard, shards).alias("tokens")).unionByName(mark)
         models.append(CountVectorizer(inputCol="tokens", outputCol="counts", minDF=float(min_df), vocabSize=LARGEST).fit(mine))
     return models
 
@@ -260,12 +281,12 @@ def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame,
     """(sums, vocabulary) of lang, source, text: ``count`` of each (lang, source, term id)
     that occurs, and the (id, lang, term) that are kept."""
     path = scratch_path(docs.sparkSession, "divergence-tokens")
-    found = docs.select("lang", "source", tagged_terms(F.col("lang"), F.col("text")).alias("found"))
-    found.select("lang", "source", "found.tokens", "found.again", "found.some").write.options(**PLAIN).parquet(path)
+    found = docs.select("lang", "source", tagged_terms(F.col("lang"), F.col("text"), F.col("source"), min_df).alias("found"))
+    found.select("lang", "source", "found.*").write.options(**PLAIN).parquet(path)
     tagged = docs.sparkSession.read.parquet(path)
     models = count_models(tagged, min_df, max_terms)
     # the distinct tokens of a row count once, those of its list k 2 ** k times
-    lists = tagged.select("lang", "source", F.posexplode(F.concat(F.array("tokens"), "again")).alias("list", "tokens"))
+    lists = tagged.select("lang", "source", F.posexplode(F.concat(F.array("tokens"), "again")).alias("list", "tokens")).where(F.size("tokens") > 0)
     weighed = lists.select("lang", "source", F.expr("shiftleft(1L, greatest(list - 1, 0))").alias("weight"), "tokens")
     spark, n = docs.sparkSession, len(models)
     sums, names = [], []
@@ -293,9 +314,11 @@ def group_sums(docs: DataFrame, min_df: int, max_terms: int) -> tuple[DataFrame,
 
 def _share_of(count: Column, total: Column, kept: Column) -> Column:
     """1 + floor(SCALE * (count + 2) / (total + 2 kept)); 1 where nothing is kept."""
-    below = (total + F.lit(2) * kept).cast("decimal(20,0)")
+    below, one = total + F.lit(2) * kept, F.lit(1).cast("long")
+    short = F.call_function("div", F.lit(SCALE).cast("long") * (count + 2), below)
     above = F.lit(SCALE).cast("decimal(10,0)") * (count + 2).cast("decimal(20,0)")
-    return F.when(kept > 0, F.lit(1).cast("long") + F.call_function("div", above, below)).otherwise(F.lit(1).cast("long"))
+    wide = F.call_function("div", above, below.cast("decimal(20,0)"))
+    return F.when(kept > 0, one + F.when(count < LONGS, short).otherwise(wide)).otherwise(one)
 
 
 def _unlike(p: Column, q: Column) -> Column:

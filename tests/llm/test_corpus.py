@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,6 +230,22 @@ def test_bpe_matches_library(spark):
     assert out.limit(0).count() == 0
 
 
+def test_bpe_batches_leave_in_slices(spark):
+    """What comes of a batch is never held whole by a worker, and no row is lost or moved."""
+    texts = [None, ""] + [f"word{i} " * 30_000 + "x" * i for i in range(30)] + ["last one", "one more " * 200_000, None]
+    tokens = bpe.tokenizer(TOKENIZER)
+    want = [np.frombuffer(x, "<u4").tolist() for x in tokens.encode(texts)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = df.select("doc_id", "text", bpe.encode(F.col("text"), TOKENIZER).alias("ids"), bpe.round_trip(F.col("text"), TOKENIZER).alias("both")).collect()
+    assert [(r.doc_id, r.text) for r in rows] == list(enumerate(texts))
+    for r, ids in zip(rows, want):
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids == np.frombuffer(bytes(r.both.ids), "<u4").tolist()
+        assert r.both.decoded == bpe.decoded(bytes(r.ids), bpe.spellings(TOKENIZER))
+    parts = [len(x) for x in bpe.encoded_decoded(iter([pa.array(texts, pa.string()), pa.array([], pa.string())]), TOKENIZER)]
+    assert sum(parts) == len(texts) and max(parts) <= 8
+    assert not tokens.pieces and not tokens.words
+
+
 # ------------------------------------------------------------------ 10 language
 
 def test_language(spark, nothing):

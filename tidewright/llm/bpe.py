@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L
 SPACES = regex.compile(f"[{SPACE}]+")
 #: str.split also cuts at these, which are not white space to the tokenizer
 NOT_SPACE = regex.compile("[\x1c-\x1f]")
-CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 500_000, 16_000_000, 2_000_000
+CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 250_000, 8_000_000, 1_000_000
 NEVER = np.int32(2**31 - 1)
 #: words that need merging are padded to the next of these; longer ones are merged alone
 WIDTHS = (8, 16, 32)
@@ -348,17 +349,45 @@ def tokenizer(path: str) -> WordBpe:
     return per_worker(("bpe", path), lambda: WordBpe(path))
 
 
+def slices(column: pa.Array) -> Iterator[pa.Array]:
+    """Runs of a column's texts of about ``SLICE_CHARS`` bytes, or one longer text."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > first and size + n > SLICE_CHARS:
+            yield column.slice(first, i - first)
+            first, size = i, 0
+        size += n
+    yield column.slice(first)
+
+
+def encoded(batches: Iterator[pa.Array], path: str) -> Iterator[tuple[list[bytes], pa.Array]]:
+    """Packed ids of each slice of the texts, as a list and as an array, so that a worker never
+    holds what comes of a whole batch."""
+    bpe = tokenizer(path)
+    try:
+        for batch in batches:
+            for texts in slices(batch):
+                ids = bpe.encode(texts.to_pylist())
+                yield ids, pa.array(ids, pa.binary())
+    finally:  # the worker goes on to other tasks
+        bpe.forget()
+        pa.default_memory_pool().release_unused()
+
+
+def encoded_decoded(batches: Iterator[pa.Array], path: str) -> Iterator[pa.Array]:
+    tokens = spellings(path)
+    for ids, packed in encoded(batches, path):
+        yield pa.StructArray.from_arrays([packed, pa.array([decoded(x, tokens) for x in ids], pa.string())], names=["ids", "decoded"])
+
+
 def encode(text: Column, path: str) -> Column:
     """Packed ids of a text column; ``path`` is the tokenizer's file on every machine."""
 
     @F.arrow_udf("binary")
     def bpe_encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = tokenizer(path)
-        try:
-            for texts in batches:
-                yield pa.array(bpe.encode(texts.to_pylist()), pa.binary())
-        finally:  # the worker goes on to other tasks
-            bpe.forget()
+        for _, packed in encoded(batches, path):
+            yield packed
 
     return bpe_encode(text)
 
@@ -380,13 +409,6 @@ def round_trip(text: Column, path: str) -> Column:
 
     @F.arrow_udf("ids binary, decoded string")
     def bpe_round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe, tokens = tokenizer(path), spellings(path)
-        try:
-            for texts in batches:
-                ids = bpe.encode(texts.to_pylist())
-                yield pa.StructArray.from_arrays(
-                    [pa.array(ids, pa.binary()), pa.array([decoded(x, tokens) for x in ids], pa.string())], names=["ids", "decoded"])
-        finally:  # the worker goes on to other tasks
-            bpe.forget()
+        yield from encoded_decoded(batches, path)
 
     return bpe_round_trip(text)

@@ -458,6 +458,20 @@ def test_language_model_looks_pairs_up_once(spark, monkeypatch):
     assert np.array_equal(every, np.tile(alone, 20))
 
 
+def test_language_model_cuts_little_and_looks_up_much(monkeypatch):
+    """Lookups take 4 MB of text together, tokens are cut from a quarter of it at once, and are those of the texts alone."""
+    texts = [f"a{i % 7} b c{i} ".encode() * (1 + i * 997 % 3000) for i in range(150)] + [b"", b"x" * 1_500_000]
+    assert 4_000_000 > sum(map(len, texts)) > 3_000_000
+    assert [(i, j) for i, j, _ in ngram_lm.batches_of(pa.array([t.decode() for t in texts]))] == [(0, len(texts))]
+    alone = [ngram_lm.cut([t])[1] for t in texts]
+    sizes, cut = [], ngram_lm.cut
+    monkeypatch.setattr(ngram_lm, "cut", lambda some: sizes.append(sum(map(len, some))) or cut(some))
+    text, h = ngram_lm.tokens(texts)
+    assert len(sizes) > 3 and sorted(sizes)[-2] <= 1_000_000 and max(sizes) == 1_500_000
+    assert np.array_equal(text, np.repeat(np.arange(len(texts)), [len(x) for x in alone])) and np.array_equal(h, np.concatenate(alone))
+    assert [len(x) for x in ngram_lm.tokens([])] == [0, 0]
+
+
 def test_elias_fano_bounds():
     rng = np.random.default_rng(2)
     for n, top in ((1, 5), (1000, 50), (3000, 10**7), (300, 0)):

@@ -17,6 +17,11 @@ from pyarrow import fs
 
 U64 = np.uint64
 PACK_AT_ONCE = 1 << 16
+#: place of the n-th set bit of a byte, at 8 * byte + n
+IN_BYTE = np.zeros(256 * 8, np.uint8)
+for _byte in range(256):
+    _set = [b for b in range(8) if _byte >> b & 1]
+    IN_BYTE[8 * _byte : 8 * _byte + len(_set)] = _set
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -47,13 +52,13 @@ def nth_bit(word: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Place of the n-th set bit of each word."""
     place = np.zeros(len(word), np.int64)
     n = n.astype(np.int64)
-    for s in (32, 16, 8, 4, 2, 1):
+    for s in (32, 16, 8):
         below = np.bitwise_count(word & U64((1 << s) - 1)).astype(np.int64)
         up = n >= below
         word = np.where(up, word >> U64(s), word)
         n = np.where(up, n - below, n)
         place += s * up
-    return place
+    return place + IN_BYTE[8 * (word & U64(255)).astype(np.int64) + n]
 
 
 class EliasFano:
@@ -116,10 +121,11 @@ def find_between(words: np.ndarray, width: int, start: np.ndarray, stop: np.ndar
     while len(at):
         mid = (low + high) >> 1
         value = unpack(words, mid, width)
-        out[at[value == x]] = mid[value == x]
+        hit = value == x
+        out[at[hit]] = mid[hit]
         less = value < x
         low, high = np.where(less, mid + 1, low), np.where(less, high, mid - 1)
-        on = (value != x) & (low <= high)
+        on = np.flatnonzero(~hit & (low <= high))
         at, low, high, x = at[on], low[on], high[on], x[on]
     return out
 
@@ -151,6 +157,7 @@ def mapped(uri: str) -> dict[str, np.ndarray]:
                 own.write(block)
             own.flush()
             raw = np.memmap(own, np.uint8, "r")
+    raw = raw.view(np.ndarray)  # plain arrays are indexed with less ado
     size = int(raw[:8].view(U64)[0])
     out, at = {}, 8 + size
     for k, dtype, n in json.loads(raw[8:at].tobytes()):

@@ -53,7 +53,8 @@ LEVEL1_BYTES, SHARD_BYTES = 1 << 25, 1 << 21
 PER_FILE, HEAVY = 1 << 21, 1 << 22
 #: n-grams that a task sums before it sends them; shards that it sends them to, beyond which they are cut again
 HELD, COARSE = 1 << 19, 1 << 10
-SLICE_BYTES = 2_000_000
+#: bytes of text whose n-grams are looked up together, as every lookup visits each file; and that are cut into tokens at once
+SLICE_BYTES, CUT_BYTES = 4_000_000, 1_000_000
 #: n-grams looked up together when a level is built
 AT_ONCE = 1 << 16
 #: logarithms from -GRID to 0 in 65535 steps
@@ -79,7 +80,21 @@ def byte_tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, token hash), an end after each text."""
+    """(text number, token hash), an end after each text; some texts at a time, as each byte takes many while it is cut."""
+    parts, i = [cut([])], 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= CUT_BYTES):
+            size += len(texts[j])
+            j += 1
+        text, h = cut(texts[i:j])
+        parts.append((text + i, h))
+        i = j
+    text, h = (np.concatenate(x) for x in zip(*parts))
+    return text, h
+
+
+def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     space, letter = per_worker("lm bytes", byte_tables)
     raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     ends = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))

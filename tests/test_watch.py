@@ -1,6 +1,8 @@
 """Order-statistic windows; drift and change points of a stream however it is cut."""
 
+import pickle
 import time
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewright.operators import monitor
 from tidewright.operators.ordered import RobustScore, SortedWindow
 from tidewright.session import scratch_path
-from tidewright.streaming import live, watch
+from tidewright.streaming import live, runs, watch
 
 KEYS = ["series_id"]
 
@@ -122,3 +124,84 @@ def test_a_stream_cut_anyhow_and_restarted(spark, rows_pdf):
     write_pieces(spark, rows_pdf, folder, pieces[2:])
     run(spark, folder, out, ckpt)
     assert got_from(spark, out) == want
+
+
+class Variable(dict):
+    """A state variable of any kind, for one series; notes the most bytes put or got at once."""
+
+    largest = 0
+
+    def _seen(self, value):
+        self.largest = max(self.largest, len(pickle.dumps(value)))
+        return value
+
+    def updateValue(self, key, value):
+        self[key] = self._seen(value)
+
+    def getValue(self, key):
+        return self._seen(self[key])
+
+    def removeKey(self, key):
+        del self[key]
+
+    def update(self, value):
+        self[0] = self._seen(value)
+
+    put = update
+
+    def appendList(self, value):
+        self[0] = [*self.get(), *self._seen(value)] if self else self._seen(value)
+
+    def get(self):
+        return self._seen(super().get(0))
+
+    def exists(self):
+        return bool(self)
+
+
+@pytest.mark.parametrize("sizes", [(64, 8, 4), (10, 16, 3), (1000, 7, 2), (1 << 18, 1 << 12, 64)])
+def test_sorted_runs_against_sorting(monkeypatch, sizes):
+    for name, size in zip(("RUN_ROWS", "PAGE_ROWS", "MOST_RUNS"), sizes):
+        monkeypatch.setattr(runs, name, size)
+    rng, some = np.random.default_rng(1), np.array([np.nan, -np.inf, np.inf, -1.5, 0.0, 2.0, 1e-300])
+    assert np.array_equal(runs.values(runs.ranks(some)), some, equal_nan=True)
+    for _ in range(10):
+        pages, stored, left, passed = Variable(), [], [], 0
+        for _ in range(20):
+            blocks = []
+            for n in rng.integers(1, 150, rng.integers(0, 4)):
+                blocks.append(np.stack([passed + 1 + rng.integers(0, 200, n), runs.ranks(rng.choice(some, n))]))
+                left += zip(*blocks[-1].tolist())
+            waiting = runs.SortedRuns(pages, stored)
+            waiting.add(iter(blocks))
+            assert waiting.first() == min(left, default=(None,))[0] and len(waiting.runs) <= sizes[2]
+            passed += int(rng.integers(0, 150))
+            waiting = runs.SortedRuns(pages, waiting.stored())
+            got = [tuple(row) for block in waiting.take(passed) for row in block.T.tolist()]
+            assert got == sorted(row for row in left if row[0] <= passed)
+            left, stored = [row for row in left if row[0] > passed], waiting.stored()
+        assert sum(1 for block in runs.SortedRuns(pages, stored).take(10**9) for _ in block.T) == len(left) and not pages
+        assert pages.largest < 16 * sizes[1] + 1000
+
+
+def test_a_long_series_is_never_held_at_once():
+    rng, n = np.random.default_rng(4), 300_000
+    micros, y = rng.permutation(n // 3).repeat(3) * 1000, rng.normal(size=n)
+    y[rng.random(n) < 0.01] = np.nan
+    frames = [pd.DataFrame({"ts": pd.to_datetime(micros[i : i + 10_000], unit="us"), "y": y[i : i + 10_000]}) for i in range(0, n, 10_000)]
+    variables, timers = {}, []
+    kept = lambda name, *_: variables.setdefault(name, Variable())
+    series = watch.SeriesWatch(["series_id"], "ts", "y", 30, 4.0, 90, 30_000, 10)
+    series.init(SimpleNamespace(getListState=kept, getMapState=kept, getValueState=kept, registerTimer=timers.append))
+    assert not list(series.handleInputRows(("a",), iter(frames), None)) and timers == [0]
+    out, half = [], n // 6
+    for passed in (half, n):
+        out += series.handleExpiredTimer(("a",), SimpleNamespace(getCurrentWatermarkInMs=lambda: passed), None)  # noqa: B023
+    assert timers == [0, half + 1] and max(map(len, out)) <= 10_000
+    assert max(v.largest for v in variables.values()) < 100_000
+    got, order = pd.concat(out), np.lexsort((np.where(np.isnan(y), -np.inf, y), micros))
+    assert np.array_equal(got.rn, np.arange(1, n + 1)) and np.array_equal(got.y, y[order], equal_nan=True)
+    assert np.array_equal(got.ts.dt.tz_localize(None).astype("datetime64[us]").astype("int64"), micros[order])
+    score = RobustScore(30)
+    assert got.z.tolist()[:5000] == pytest.approx([np.nan if (z := score.push(v)) is None else z for v in y[order][:5000].tolist()], nan_ok=True)
+    assert got.psi.count() == n // 30_000

@@ -1,8 +1,9 @@
 """Drift and change points of a stream, row by row, as the batch operators have them.
 
 Each series keeps its last rows in the state store: a ring of values and one of deviations
-for the robust score, a ring of two spans for the drift. New rows wait in a list until the
-watermark has passed them, when a timer takes them out in time order. What a row gets
+for the robust score, a ring of two spans for the drift. New rows wait in sorted runs of
+small pages until the watermark has passed them, when a timer takes them out in time order,
+merging the runs page by page, so no series is held at once. What a row gets
 therefore depends on the rows before it alone, not on how the stream was cut into batches,
 in which order rows of a batch came, or how often the query was restarted.
 """
@@ -13,6 +14,7 @@ import math
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +22,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewright.operators.monitor import PSI_GUARD, PSI_MIN_ROWS
 from tidewright.operators.ordered import RobustScore
+from tidewright.streaming.runs import SortedRuns, ranks, values
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+OUT_ROWS = 1 << 13  # of a frame of results
 
 
 def quantile(ranked: Sequence[float], p: float) -> float:
@@ -58,17 +62,26 @@ class SeriesWatch(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "micros long, y double")
+        self.waiting = handle.getMapState("waiting", "run long, page long", "rows binary")
+        self.runs = handle.getValueState("runs", "runs array<long>")
         self.past = handle.getValueState("past", "rows long, recent array<double>, recent_deviations array<double>, drift array<double>")
 
+    def _waiting(self) -> SortedRuns:
+        stored = self.runs.get()
+        return SortedRuns(self.waiting, stored[0] if stored else ())
+
+    def _block(self, pdf: pd.DataFrame) -> np.ndarray:
+        # pandas may hold timestamps in another unit than nanoseconds
+        micros = pdf[self.ts].astype("datetime64[us, UTC]" if pdf[self.ts].dt.tz is not None else "datetime64[us]").astype("int64")
+        return np.stack([micros.to_numpy(), ranks(pdf[self.y].to_numpy(np.float64))])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        came = []
-        for pdf in rows:
-            # pandas may hold timestamps in another unit than nanoseconds
-            micros = pdf[self.ts].astype("datetime64[us, UTC]" if pdf[self.ts].dt.tz is not None else "datetime64[us]").astype("int64")
-            came += [(int(t), None if v is None or v != v else float(v)) for t, v in zip(micros, pdf[self.y])]
-        self.waiting.appendList(came)
-        self._wake_at(min(came)[0] if len(came) == 1 else min(t for t, _ in came))
+        runs = self._waiting()
+        before = runs.first()
+        runs.add(map(self._block, rows))
+        self.runs.update((runs.stored(),))
+        if runs.first() != before:
+            self._wake_at(runs.first())
         return iter(())
 
     def _wake_at(self, micros: int) -> None:
@@ -76,34 +89,40 @@ class SeriesWatch(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] is not None, r[1] or 0.0))
-        ready = [r for r in rows if r[0] <= passed]
-        left = rows[len(ready) :]
-        if not ready:
+        runs = self._waiting()
+        if not runs.runs or runs.first() > passed:
             return
-        self.waiting.clear()
-        if left:
-            self.waiting.put([tuple(r) for r in left])
-            self._wake_at(left[0][0])
         number, recent, deviations, ring = self.past.get() if self.past.exists() else (0, [], [], [])
-        score, ring, out = RobustScore(self.window, list(recent), list(deviations)), list(ring), []
-        for micros, value in ready:
-            z = score.push(value)
-            number += 1
-            ring.append(value)
-            place = number % self.every == 0 and number >= 2 * self.span
-            if len(ring) > 2 * self.span + 1024 or place:
-                del ring[: -2 * self.span]
-            psi = drift_of(ring[: self.span], ring[self.span :], self.bins) if place else None
-            out.append((micros, value, z, z is not None and abs(z) > self.threshold, number, psi))
+        score, ring = RobustScore(self.window, list(recent), list(deviations)), list(ring)
+        for block in runs.take(passed):
+            for i in range(0, block.shape[1], OUT_ROWS):
+                part, out = block[:, i : i + OUT_ROWS], []
+                for micros, value in zip(part[0].tolist(), values(part[1]).tolist()):
+                    value = None if value != value else value
+                    z = score.push(value)
+                    number += 1
+                    ring.append(value)
+                    place = number % self.every == 0 and number >= 2 * self.span
+                    if len(ring) > 2 * self.span + 1024 or place:
+                        del ring[: -2 * self.span]
+                    psi = drift_of(ring[: self.span], ring[self.span :], self.bins) if place else None
+                    out.append((micros, value, z, z is not None and abs(z) > self.threshold, number, psi))
+                yield self._scored(key, out)
         self.past.update((number, list(score.values.order), list(score.deviations.order), ring[-2 * self.span :]))
+        if runs.runs:
+            self.runs.update((runs.stored(),))
+            self._wake_at(runs.first())
+        else:
+            self.runs.clear()
+
+    def _scored(self, key, out: list[tuple]) -> pd.DataFrame:
         pdf = pd.DataFrame(out, columns=[self.ts, self.y, "z", "is_change", "rn", "psi"])
         pdf[self.ts] = pd.to_datetime(pdf[self.ts], unit="us", utc=True)
         for c in (self.y, "z", "psi"):
             pdf[c] = pdf[c].astype(float)
         for k, v in zip(self.keys, key):
             pdf[k] = v
-        yield pdf[[*self.keys, self.ts, self.y, "z", "is_change", "rn", "psi"]]
+        return pdf[[*self.keys, self.ts, self.y, "z", "is_change", "rn", "psi"]]
 
     def close(self) -> None:
         pass
@@ -117,7 +136,8 @@ def watch_series(
     and ``is_change`` as ``mad_change_points`` has them, its number ``rn`` in the series
     and, at every ``every``-th row, ``psi`` as ``rolling_drift`` has it. Rows without a time
     are left out, rows later than the watermark too; rows of equal time go by value. State
-    per series: ``window`` and ``2 span`` values and the rows not yet passed.
+    per series: ``window`` and ``2 span`` values and the rows not yet passed, of which some
+    pages at a time are in memory.
 
     The state store must be the one with timers (RocksDB); it is set for the session."""
     spark, keys = stream.sparkSession, list(keys)
